@@ -41,6 +41,6 @@ def unseen_cells(df: DataFrame, cells: DataFrame, keys: list[str] = CELL_KEYS) -
 
 def tall_predictions(df: DataFrame, models: list[str], keep: list[str]) -> DataFrame:
     """(keep.., y, model, pred) with one row per model."""
-    return df.select(*keep, F.col(TARGET).alias("y"),
+    return df.select(*keep, F.col(TARGET).cast("double").alias("y"),
                      F.explode(F.create_map(*[x for m in models for x in (F.lit(m), F.col(m).cast("double"))]))
                      .alias("model", "pred"))

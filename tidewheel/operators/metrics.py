@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewheel.contract import BUSY_THRESHOLD, PEAK_HOURS, TARGET
 from tidewheel.functions.encoding import clipped, demand_band
@@ -59,33 +59,42 @@ def cost(df: DataFrame, quantiles: dict[str, float], peak: list[int] = PEAK_HOUR
         (F.sum(under) / F.sum(_Y)).alias("unmet_pct"), (F.sum(over) / F.sum(_Y)).alias("over_pct"))
 
 
+def _at_reference(reference: str, metric: str) -> Column:
+    """A metric of the reference model on every row.
+
+    Score frames hold one row per model, so this window is over a handful of rows.
+    """
+    return F.max(F.when(F.col("model") == reference, F.col(metric))).over(Window.partitionBy())
+
+
 def compare(scores: DataFrame, reference: str, metric: str = "mae", name: str = "vs_baseline") -> DataFrame:
-    """Relative improvement over a reference model; one row per model goes in and out."""
-    base = scores.where(F.col("model") == reference).select(metric).scalar()
-    return scores.withColumn(name, 1 - F.col(metric) / base)
+    """Relative improvement over a reference model."""
+    return scores.withColumn(name, 1 - F.col(metric) / _at_reference(reference, metric))
+
+
+def _trade(reference: str) -> dict[str, Column]:
+    def ratio(metric: str) -> Column:
+        return F.col(metric) / _at_reference(reference, metric)
+
+    return {"mae_vs_reference": ratio("mae") - 1, "shortfall_closed": 1 - ratio("shortfall_busy"),
+            "unmet_lower": 1 - ratio("unmet_pct"), "over_ratio": ratio("over_pct")}
 
 
 def tradeoff(costs: DataFrame, reference: str) -> DataFrame:
     """What each model gives and takes against the reference model."""
-    def base(metric: str) -> Column:
-        return costs.where(F.col("model") == reference).select(metric).scalar()
-
-    return costs.select(
-        "model", "mae", "shortfall_busy", "under_rate_busy", "over_supply",
-        (F.col("mae") / base("mae") - 1).alias("mae_vs_reference"),
-        (1 - F.col("shortfall_busy") / base("shortfall_busy")).alias("shortfall_closed"),
-        (1 - F.col("unmet_pct") / base("unmet_pct")).alias("unmet_lower"),
-        (F.col("over_pct") / base("over_pct")).alias("over_ratio"))
+    return costs.select("model", "mae", "shortfall_busy", "under_rate_busy", "over_supply",
+                        *[c.alias(n) for n, c in _trade(reference).items()])
 
 
 def decision(costs: DataFrame, reference: str, recommended: str) -> DataFrame:
     """The recorded choice: headline percentages of every model and the recommendation."""
-    trade = tradeoff(costs, reference).select("model", "unmet_lower", "over_ratio")
-    return costs.join(trade, "model").select(
+    trade = _trade(reference)
+    return costs.select(
         "model", (F.col("model") == recommended).alias("recommended"), F.round("mae", 2).alias("mae"),
         F.round(100 * F.col("unmet_pct"), 2).alias("unmet_pct"),
         F.round(100 * F.col("over_pct"), 2).alias("over_pct"),
-        F.round(100 * F.col("shortfall_busy"), 2).alias("busy_shortfall_pct"), "unmet_lower", "over_ratio")
+        F.round(100 * F.col("shortfall_busy"), 2).alias("busy_shortfall_pct"),
+        *[trade[n].alias(n) for n in ("unmet_lower", "over_ratio")])
 
 
 def by_band(df: DataFrame) -> DataFrame:
@@ -93,8 +102,6 @@ def by_band(df: DataFrame) -> DataFrame:
 
     The share of all trips is taken over the band totals, so over five rows per model.
     """
-    from pyspark.sql import Window
-
     bands = _scored(df).groupBy("model", demand_band(_Y).alias("band")).agg(
         F.count("*").alias("row_count"), F.avg(_Y).alias("mean_actual"), F.avg(_P).alias("mean_pred"),
         _mae().alias("mae"), F.sum(_Y).alias("trips"))
@@ -146,8 +153,8 @@ def peak_hours(profile: DataFrame, k: int = 3) -> DataFrame:
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Equal-width bins between the smallest and largest value; empty bins are left out."""
-    bounds = df.agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
-    lo, hi = bounds.select("lo").scalar(), bounds.select("hi").scalar()
+    bounds = df.agg(F.struct(F.min(column).alias("lo"), F.max(column).alias("hi"))).scalar()
+    lo, hi = bounds["lo"], bounds["hi"]
     position = F.floor((F.col(column) - lo) / F.nullif(hi - lo, F.lit(0.0)) * bins)
     bin_no = F.least(F.coalesce(position, F.lit(0)), F.lit(bins - 1)).cast("int")
     return (df.where(F.col(column).isNotNull()).groupBy(bin_no.alias("bin")).agg(F.count("*").alias("row_count"))
@@ -174,5 +181,6 @@ def leaderboard(scores: DataFrame) -> DataFrame:
 
     One row per candidate, so the window and the sort are over a handful of rows.
     """
-    worst, best = scores.agg(F.max("mae")).scalar(), scores.agg(F.min("mae")).scalar()
-    return scores.withColumn("spread", worst / best - 1).orderBy("mae", "model")
+    everyone = Window.partitionBy()
+    spread = F.max("mae").over(everyone) / F.min("mae").over(everyone) - 1
+    return scores.withColumn("spread", spread).orderBy("mae", "model")

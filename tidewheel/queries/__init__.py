@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["stage", "warehouse"]
+MODULES = ["stage", "warehouse", "prep", "demand", "evaluation", "forecast", "models"]
 
 
 def load_all() -> None:

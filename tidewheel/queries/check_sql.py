@@ -215,6 +215,18 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     SELECT split, w.station_id, start_date, w.hour, is_weekend, CAST(trip_count AS DOUBLE) AS y,
         unnest(['baseline', 'q50', 'q80', 'q90']) AS model, unnest([baseline, q50, q80, q90]) AS p
     FROM wsplit w JOIN cells c ON c.station_id = w.station_id AND c.hour = w.hour AND c.weekday = w.weekday"""),
+    "ev_split": (("ev_cal_panel",), """
+    SELECT *, CASE WHEN week_of_year <= 2 THEN 'train' WHEN week_of_year = 3 THEN 'val' ELSE 'test' END AS split
+    FROM ev_cal_panel"""),
+    "requests": ((), """
+    SELECT event_id AS request_id, event_id % 12 AS m, CAST(user_id AS INT) AS station_id,
+        CAST(hour(ts) AS INT) AS hour, CAST(ts AS DATE) + CAST(CASE WHEN event_id % 2 = 0 THEN 60 ELSE 0 END AS INT) AS day
+    FROM events"""),
+    "good": (("requests",), """
+    SELECT request_id, 0 AS position, station_id, hour, CAST(day AS DATE) AS start_date
+    FROM requests WHERE m IN (0, 1, 2, 10)
+    UNION ALL
+    SELECT request_id, 1, station_id, (hour + 1) % 24, CAST(day AS DATE) FROM requests WHERE m IN (0, 1)"""),
     "tests": (("preds",), "SELECT * FROM preds WHERE split = 'test'"),
 }
 
@@ -232,4 +244,4 @@ def with_ctes(body: str, *names: str) -> str:
     for name in names:
         visit(name)
     clause = ",\n".join(f"{n} AS ({CTES[n][1]})" for n in ordered)
-    return f"WITH {clause}\n{body}" if ordered else body
+    return f"WITH {clause}\n{body}"

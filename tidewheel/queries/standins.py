@@ -166,8 +166,12 @@ def year_panel(spark: SparkSession, folder: str) -> DataFrame:
     return panel.zero_filled_panel(year_pool(spark, folder), pooled_trips(spark, folder))
 
 
+def year_calendar(spark: SparkSession, folder: str) -> DataFrame:
+    return features.add_calendar(year_panel(spark, folder), calendar(ordered_trips(spark, folder)))
+
+
 def year_features(spark: SparkSession, folder: str) -> DataFrame:
-    return features.featured(year_panel(spark, folder), calendar(ordered_trips(spark, folder)))
+    return features.add_cyclical(features.add_prior_year(year_calendar(spark, folder)))
 
 
 def year_split(spark: SparkSession, folder: str) -> DataFrame:
@@ -181,9 +185,9 @@ def event_panel(spark: SparkSession, folder: str, zones: bool = False) -> DataFr
     return features.add_calendar(panel.zero_filled_panel(trips, trips), calendar(fact))
 
 
-def week_split(spark: SparkSession, folder: str) -> DataFrame:
-    """Zone panel split by ISO week; prior features look one week back."""
-    frame = event_panel(spark, folder, zones=True)
+def week_split(spark: SparkSession, folder: str, zones: bool = True) -> DataFrame:
+    """Event panel split by ISO week; prior features look one week back."""
+    frame = event_panel(spark, folder, zones)
     frame = features.add_prior_year(frame, "week_of_year", (["hour", "weekday"], ["month"]))
     return splits.split_by_period(features.add_cyclical(frame), WEEK_SPLIT, "week_of_year")
 
