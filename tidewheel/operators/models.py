@@ -149,6 +149,8 @@ def fit_boosted(train: DataFrame, features: list[str], params: BoostParams = Boo
     """
     if params.loss not in ("poisson", "quantile"):
         raise ValueError(f"unknown loss {params.loss}")
+    if params.depth > 12:
+        raise ValueError("depth is limited to 12: every leaf value passes through the driver")
     base = train.select(*features, F.col(TARGET).cast("double").alias("y"))
     rows = materialize(assemble(base, features).select("inputs", "y"), "boost")
     model = BoostedTrees(params, list(features), _start(rows, params))
@@ -199,6 +201,24 @@ def ablation(train: DataFrame, val: DataFrame, params: BoostParams) -> dict[str,
             "calendar+py": fit_boosted(train, CALENDAR_FEATURES + PRIOR_FEATURES, params)}
 
 
+def _hash(key: list[str], seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), *key)
+
+
+def hash_sample(df: DataFrame, key: list[str], rows: int, seed: int = 0) -> DataFrame:
+    """The `rows` rows that come first in the order of a key hash.
+
+    Hashes spread evenly, so a bound on the hash leaves about twice the wanted rows and
+    the sort never sees the rest. Should the bound leave too few, the sort takes all.
+    """
+    total = df.count()
+    hashed = _hash(key, seed)
+    share = (2 * rows + 1000) / max(total, 1)
+    bounded = df if share >= 1 else df.where(hashed < int(-2 ** 63 + share * 2 ** 64))
+    enough = share >= 1 or bounded.limit(rows).count() == rows
+    return (bounded if enough else df).orderBy(hashed, *key).limit(rows)
+
+
 def permutation_importance(model: BoostedTrees, df: DataFrame, key: list[str], rows: int = 60_000,
                            repeats: int = 3, seed: int = 0) -> DataFrame:
     """Rise of the MAE when one feature is shuffled, on a sample of at most `rows` rows.
@@ -208,10 +228,9 @@ def permutation_importance(model: BoostedTrees, df: DataFrame, key: list[str], r
     the row with that number. Window partitions and broadcast are as large as the
     sample at most.
     """
-    hashed = F.xxhash64(F.lit(seed), *key)
-    sample = df.orderBy(hashed, *key).limit(rows).select(*key, *[f for f in model.features if f not in key], TARGET)
     numbered = materialize(
-        sample.withColumn("_i", F.row_number().over(Window.orderBy(F.xxhash64(F.lit(seed), *key), *key))), "sample")
+        hash_sample(df.select(*key, *[f for f in model.features if f not in key], TARGET), key, rows, seed)
+        .withColumn("_i", F.row_number().over(Window.orderBy(_hash(key, seed), *key))), "sample")
 
     pairs = numbered.withColumn("feature", F.explode(F.array(*map(F.lit, model.features)))).withColumn(
         "repeat", F.explode(F.sequence(F.lit(1), F.lit(repeats))))

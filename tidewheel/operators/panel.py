@@ -14,36 +14,47 @@ def hourly_counts(trips: DataFrame) -> DataFrame:
     return trips.groupBy("station_id", "start_date", "hour").agg(F.count("*").alias("trip_count"))
 
 
-def station_days(stations: DataFrame, trips: DataFrame) -> DataFrame:
-    """Every station on every day on which anybody in `trips` rode.
+def daily_counts(trips: DataFrame) -> DataFrame:
+    """(station_id, start_date, by_hour): 24 departure counters per station and day.
 
-    Each station unfolds the calendar between two scalar bounds and a semi join drops
-    the idle days, which gives all pairs without a cartesian product. The day list has
-    at most one row per calendar day, hence the broadcast.
+    The only pass over the trips. Its result has one row per active station and day, so
+    the pool, the observed days and the panel can all be read from it; write it once
+    with `materialize` when several of them are needed.
     """
-    days = trips.select("start_date").where("start_date is not null").distinct()
-    first, last = (days.agg(f("start_date")).scalar() for f in (F.min, F.max))
+    counters = F.array(*[F.count_if(F.col("hour") == h) for h in HOURS])
+    return trips.where("start_date is not null").groupBy("station_id", "start_date").agg(counters.alias("by_hour"))
+
+
+def station_days(stations: DataFrame, active: DataFrame) -> DataFrame:
+    """Every station on every day that occurs in `active`.
+
+    Each station unfolds the calendar between the first and last such day and a semi
+    join drops the idle days, which gives all pairs without a cartesian product. The
+    day list has at most one row per calendar day, hence the broadcast.
+    """
+    days = active.select("start_date").where("start_date is not null").distinct()
+    bounds = active.agg(F.struct(F.min("start_date").alias("first"), F.max("start_date").alias("last"))).scalar()
     unfolded = stations.select("station_id").distinct().select(
-        "station_id", F.explode(F.sequence(first, last, F.expr("interval 1 day"))).alias("start_date"))
+        "station_id",
+        F.explode(F.sequence(bounds["first"], bounds["last"], F.expr("interval 1 day"))).alias("start_date"))
     return unfolded.join(F.broadcast(days), "start_date", "left_semi").select("station_id", "start_date")
 
 
-def station_hour_grid(stations: DataFrame, trips: DataFrame) -> DataFrame:
+def station_hour_grid(stations: DataFrame, active: DataFrame) -> DataFrame:
     hours = F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour")
-    return station_days(stations, trips).select("station_id", "start_date", hours)
+    return station_days(stations, active).select("station_id", "start_date", hours)
 
 
-def zero_filled_panel(stations: DataFrame, trips: DataFrame) -> DataFrame:
-    """The grid with trip counts, zero where nobody left.
+def zero_filled_panel(stations: DataFrame, daily: DataFrame) -> DataFrame:
+    """The grid with trip counts from `daily_counts`, zero where nobody left.
 
-    Trips collapse to one row per station and day that carries 24 counters; the grid is
+    Days count as observed when any of the given `stations` was active. The grid is
     joined at day level and unfolds to hours after the join, so that a 24th of the
     panel rows is shuffled.
     """
-    counters = F.array(*[F.count_if(F.col("hour") == h) for h in HOURS])
-    per_day = trips.groupBy("station_id", "start_date").agg(counters.alias("by_hour"))
+    own = daily.join(stations.select("station_id").distinct(), "station_id", "left_semi")
     zeros = F.array_repeat(F.lit(0).cast("bigint"), len(HOURS))
-    return (station_days(stations, trips).join(per_day, ["station_id", "start_date"], "left")
+    return (station_days(stations, own).join(own, ["station_id", "start_date"], "left")
             .select("station_id", "start_date",
                     F.posexplode(F.coalesce("by_hour", zeros)).alias("hour", "trip_count")))
 

@@ -27,18 +27,16 @@ def segment(fact: DataFrame, dim_user_type: DataFrame, name: str, years: list[in
                       .join(chosen, "fact_trip_user_type_id", "left_semi"))
 
 
-def yearly_activity(trips: DataFrame) -> DataFrame:
-    """Trips, first and last day per station and year: everything the pool needs.
-
-    One partial aggregate over the trips; all later steps read this small result.
-    """
-    return trips.groupBy("station_id", "year").agg(
-        F.count("*").alias("trips"), F.min("start_date").alias("first_trip"),
+def yearly_activity(daily: DataFrame) -> DataFrame:
+    """Trips, first and last day per station and year, from `panel.daily_counts`."""
+    trips = F.aggregate("by_hour", F.lit(0).cast("bigint"), lambda total, n: total + n)
+    return daily.groupBy("station_id", F.year("start_date").alias("year")).agg(
+        F.sum(trips).alias("trips"), F.min("start_date").alias("first_trip"),
         F.max("start_date").alias("last_trip"))
 
 
-def lifespan(trips: DataFrame) -> DataFrame:
-    return yearly_activity(trips).groupBy("station_id").agg(
+def lifespan(activity: DataFrame) -> DataFrame:
+    return activity.groupBy("station_id").agg(
         F.min("first_trip").alias("first_trip"), F.max("last_trip").alias("last_trip"))
 
 
@@ -48,16 +46,13 @@ def top_n_per(counts: DataFrame, group: str, key: str, value: str, n: int) -> Da
     return counts.withColumn("rnk", F.row_number().over(order)).where(F.col("rnk") <= n)
 
 
-def station_pool(trips: DataFrame, dim_station: DataFrame, first_by: str, last_from: str,
+def station_pool(activity: DataFrame, dim_station: DataFrame, first_by: str, last_from: str,
                  n: int = POOL_TOP_N) -> DataFrame:
     """Stations among the top `n` of a year and active by `first_by` and from `last_from` on."""
-    activity = yearly_activity(trips)
     ranks = top_n_per(activity, "year", "station_id", "trips", n).groupBy("station_id").agg(
         F.count_distinct("year").alias("top_years"), F.min("rnk").alias("best_rank"))
-    life = activity.groupBy("station_id").agg(
-        F.min("first_trip").alias("first_trip"), F.max("last_trip").alias("last_trip"))
-    spanning = life.where((F.col("first_trip") <= F.to_date(F.lit(first_by)))
-                          & (F.col("last_trip") >= F.to_date(F.lit(last_from))))
+    spanning = lifespan(activity).where((F.col("first_trip") <= F.to_date(F.lit(first_by)))
+                                        & (F.col("last_trip") >= F.to_date(F.lit(last_from))))
     names = dim_station.select(F.col("dim_station_id").alias("station_id"),
                                F.col("dim_station_name").alias("station_name"))
     return (spanning.join(ranks, "station_id").join(names, "station_id", "left")

@@ -48,17 +48,17 @@ def duration_quantiles(fact: DataFrame, quantiles: dict[str, float], column: str
     aggregate first, so the exact percentile sees one weighted row per distinct value.
     `approximate` bounds the state as well, for columns with unlimited distinct values.
     """
-    value, weight = F.col(column), F.col("n")
-    counts = fact.groupBy(column).agg(F.count("*").alias("n"))
-    estimate = F.percentile_approx if approximate else F.percentile
-    source, args = (fact, ()) if approximate else (counts, (weight,))
-    quantile_row = source.agg(*[estimate(value, q, *args).cast("double").alias(n) for n, q in quantiles.items()])
-    tails = counts.agg(
-        F.min(value).cast("double").alias("p_min"), F.max(value).cast("double").alias("p_max"),
-        F.sum(F.when(value < MIN_DURATION, weight).otherwise(0)).cast("double").alias("below_minimum"),
-        F.sum(F.when(value > MAX_DURATION, weight).otherwise(0)).cast("double").alias("above_maximum"))
-    frames = [row.unpivot([], row.columns, "measure", "value") for row in (quantile_row, tails)]
-    return frames[0].unionByName(frames[1])
+    value = F.col(column)
+    if approximate:
+        source, weight, levels = fact, F.lit(1), {n: F.percentile_approx(value, q) for n, q in quantiles.items()}
+    else:
+        source, weight = fact.groupBy(column).agg(F.count("*").alias("n")), F.col("n")
+        levels = {n: F.percentile(value, q, weight) for n, q in quantiles.items()}
+    measures = {"p_min": F.min(value), **levels, "p_max": F.max(value),
+                "below_minimum": F.sum(F.when(value < MIN_DURATION, weight).otherwise(0)),
+                "above_maximum": F.sum(F.when(value > MAX_DURATION, weight).otherwise(0))}
+    row = source.agg(*[m.cast("double").alias(n) for n, m in measures.items()])
+    return row.unpivot([], row.columns, "measure", "value")
 
 
 def funnel(df: DataFrame, steps: dict[str, Column]) -> DataFrame:

@@ -100,12 +100,31 @@ def missing_keys(used: DataFrame, dim: DataFrame, key: str, dim_key: str) -> Dat
     return lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations"))
 
 
+def _used_keys(fact: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, key, n) for several key columns in one pass.
+
+    The rows unfold per column only up to the partial aggregate, so what is shuffled is
+    one row per column, key and task, however hot a key is.
+    """
+    pairs = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("key")) for c in columns]
+    return fact.select(F.inline(F.array(*pairs))).groupBy("column", "key").agg(F.count("*").alias("n"))
+
+
+def _known_keys(links: list[tuple[str, DataFrame, str]]) -> DataFrame:
+    return reduce(DataFrame.unionByName, [
+        dim.select(F.lit(column).alias("column"), F.col(pk).cast("string").alias("key")) for column, dim, pk in links])
+
+
 def orphans(fact: DataFrame, links: list[tuple[str, str, DataFrame, str]]) -> DataFrame:
     """One row per foreign key: (foreign_key, dimension, violations, status)."""
-    reports = [missing_keys(fact, dim, fk, pk).select(
-        F.lit(fk).alias("foreign_key"), F.lit(name).alias("dimension"), "violations")
-        for fk, name, dim, pk in links]
-    return reduce(DataFrame.unionByName, reports).withColumn("status", verdict(F.col("violations")))
+    used = _used_keys(fact, [fk for fk, *_ in links])
+    lost = used.join(_known_keys([(fk, dim, pk) for fk, _, dim, pk in links]), ["column", "key"], "left_anti")
+    counts = lost.groupBy(F.col("column").alias("foreign_key")).agg(F.sum("n").alias("lost"))
+    listed = fact.sparkSession.createDataFrame([(fk, name) for fk, name, *_ in links],
+                                               "foreign_key string, dimension string")
+    return listed.join(counts, "foreign_key", "left").select(
+        "foreign_key", "dimension", F.coalesce("lost", F.lit(0)).alias("violations")).withColumn(
+        "status", verdict(F.col("violations")))
 
 
 def star_links(dims: dict[str, DataFrame]) -> list[tuple[str, str, DataFrame, str]]:
@@ -119,16 +138,20 @@ def star_links(dims: dict[str, DataFrame]) -> list[tuple[str, str, DataFrame, st
 
 def referential_integrity(fact: DataFrame, dim_station: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Dimension size, stations in use, and distinct keys without a dimension row."""
-    used = {"stations": ("fact_trip_start_station_id", dim_station, "dim_station_id"),
-            "dates": ("fact_trip_start_date_id", dim_date, "dim_date_id")}
-    parts = [dim_station.agg(F.lit("dim_stations").alias("measure"), F.count("*").alias("value"))]
-    for what, (fk, dim, pk) in used.items():
-        keys = fact.select(F.col(fk).alias(pk)).distinct()
-        if what == "stations":
-            parts.append(keys.agg(F.lit("active_stations").alias("measure"), F.count(pk).alias("value")))
-        lost = keys.join(dim.select(pk), pk, "left_anti")
-        parts.append(lost.agg(F.lit(f"orphan_{what}").alias("measure"), F.count("*").alias("value")))
-    return reduce(DataFrame.unionByName, parts)
+    station, date = "fact_trip_start_station_id", "fact_trip_start_date_id"
+    used = _used_keys(fact, [station, date])
+    known = _known_keys([(station, dim_station, "dim_station_id"), (date, dim_date, "dim_date_id")])
+    marked = used.join(known.withColumn("known", F.lit(True)), ["column", "key"], "left")
+
+    def kind(column: str) -> Column:
+        return F.col("column") == column
+
+    lost = F.col("known").isNull()
+    row = marked.agg(F.count_if(kind(station) & F.col("key").isNotNull()).alias("active_stations"),
+                     F.count_if(kind(station) & lost).alias("orphan_stations"),
+                     F.count_if(kind(date) & lost).alias("orphan_dates"))
+    sizes = dim_station.agg(F.lit("dim_stations").alias("measure"), F.count("*").alias("value"))
+    return sizes.unionByName(_tall(row, "measure", "value"))
 
 
 def dimension_checks(dim: DataFrame, key: str, used: DataFrame, used_key: str) -> DataFrame:

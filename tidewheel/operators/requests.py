@@ -18,7 +18,7 @@ EMPTY_BODY = "body must be a record or a non-empty list of records"
 
 
 def explode_requests(requests: DataFrame, column: str = "body") -> DataFrame:
-    """(request_id, path, position, record): one row per record of each request.
+    """(request_id, is_forecast, position, record, body_error): one row per record.
 
     The text is one record, a list of records, an object with `instances`, or a gateway
     event that carries any of these (as text or object) in `body`. A request without a
@@ -36,20 +36,18 @@ def explode_requests(requests: DataFrame, column: str = "body") -> DataFrame:
                .when(inner.isNotNull(), inner)
                .otherwise(F.concat(F.lit("["), payload, F.lit("]"))))
     records = F.from_json(as_list, "array<map<string,string>>")
-    return decoded.select("request_id", "path", F.posexplode_outer(records).alias("position", "record"),
+    return decoded.select("request_id", _forecast_route(F.col("path"), F.get(records, F.lit(0))).alias("is_forecast"),
+                          F.posexplode_outer(records).alias("position", "record"),
                           F.when(records.isNull(), NOT_JSON).when(F.size(records) == 0, EMPTY_BODY).alias("body_error"))
 
 
-def is_forecast(path: Column, first_record: Column) -> Column:
-    """Forecast by path, or by the presence of a date when the path does not say."""
-    return path.endswith("/forecast") | (~path.endswith("/predict") & F.map_contains_key(first_record, "date"))
+def _forecast_route(path: Column, first_record: Column) -> Column:
+    """Forecast by path, or by a date in the first record when the path does not say.
 
-
-def route(records: DataFrame) -> DataFrame:
-    """Add `is_forecast`, decided per request on its first record."""
-    first = records.where(F.coalesce("position", F.lit(0)) == 0).select(
-        "request_id", F.coalesce(is_forecast(F.col("path"), F.col("record")), F.lit(True)).alias("is_forecast"))
-    return records.join(first, "request_id")
+    A request without any record is refused on the forecast side.
+    """
+    dated = ~path.endswith("/predict") & F.map_contains_key(first_record, "date")
+    return path.endswith("/forecast") | F.coalesce(dated, F.lit(True))
 
 
 def _whole(name: str) -> Column:

@@ -10,8 +10,9 @@ from tidewheel.functions.encoding import rounded
 from tidewheel.operators import baseline, features, metrics, panel, pool, requests, splits
 from tidewheel.queries.check_sql import with_ctes
 from tidewheel.queries.registry import query
-from tidewheel.queries.standins import (YEAR_SPLIT, event_panel, event_trips, ordered_trips, pooled_trips, suppliers,
-                                        year_calendar, year_features, year_panel, year_pool, year_split)
+from tidewheel.queries.standins import (YEAR_SPLIT, event_counts, event_daily, event_panel, ordered_trips, suppliers,
+                                        with_calendar, year_calendar, year_daily, year_features, year_panel, year_pool,
+                                        year_split)
 from tidewheel.session import materialize, scratch_path
 from tidewheel.sources import records, tables
 
@@ -24,14 +25,13 @@ def station_hour_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("station_hour_grid", with_ctes("SELECT station_id, start_date, hour FROM ev_panel", "ev_panel"))
 def station_hour_grid(spark: SparkSession, folder: str) -> DataFrame:
-    trips = pool.departures(event_trips(spark, folder))
-    return panel.station_hour_grid(trips, trips)
+    daily = event_daily(spark, folder)
+    return panel.station_hour_grid(daily, daily)
 
 
 @query("zero_filled_panel", with_ctes("SELECT * FROM ev_panel", "ev_panel"))
 def zero_filled_panel(spark: SparkSession, folder: str) -> DataFrame:
-    trips = pool.departures(event_trips(spark, folder))
-    return panel.zero_filled_panel(trips, trips)
+    return event_counts(spark, folder)
 
 
 @query("year_panel_by_station", with_ctes("""
@@ -109,7 +109,10 @@ def panel_summary(spark: SparkSession, folder: str) -> DataFrame:
             CAST(abs(sum(n) - (SELECT count(*) FROM cal_panel)) AS BIGINT)]) AS violations, 'ok' AS status
     FROM (SELECT station_id, start_date, hour, trip_count, count(*) AS n FROM panel GROUP BY ALL)""", "cal_panel"))
 def dq_panel(spark: SparkSession, folder: str) -> DataFrame:
-    return panel.panel_checks(year_panel(spark, folder), pooled_trips(spark, folder), year_calendar(spark, folder))
+    """Against the trips themselves: an independent count of pool departures."""
+    counts = materialize(year_panel(spark, folder), "panel")
+    trips = pool.keep_pool(pool.departures(ordered_trips(spark, folder)), year_pool(spark, folder))
+    return panel.panel_checks(counts, trips, with_calendar(counts))
 
 
 @query("dq_prior_year", with_ctes("""
@@ -142,7 +145,8 @@ def feature_parity(spark: SparkSession, folder: str) -> DataFrame:
 def split_summary(spark: SparkSession, folder: str) -> DataFrame:
     """Freeze the split on disk, one folder per part, and summarise what was read back."""
     path = scratch_path(spark, "split")
-    tables.write_partitioned(year_split(spark, folder), path, ["split"])
+    split = splits.split_by_period(year_features(spark, folder), YEAR_SPLIT)
+    tables.write_partitioned(split, path, ["split"])
     return splits.split_summary(tables.read_table(spark, path))
 
 
@@ -153,7 +157,10 @@ def split_summary(spark: SparkSession, folder: str) -> DataFrame:
             CAST(sum(trip_count) - (SELECT sum(trip_count) FROM panel) AS BIGINT)]) AS violations, 'ok' AS status
     FROM ysplit""", "ysplit"))
 def dq_split(spark: SparkSession, folder: str) -> DataFrame:
-    return splits.split_checks(year_split(spark, folder), year_panel(spark, folder), list(YEAR_SPLIT))
+    daily = year_daily(spark, folder)
+    counts = panel.zero_filled_panel(year_pool(spark, folder, daily), daily)
+    split = splits.split_by_period(features.add_cyclical(features.add_prior_year(with_calendar(counts))), YEAR_SPLIT)
+    return splits.split_checks(materialize(split, "split"), counts, list(YEAR_SPLIT))
 
 
 @query("dataset_fingerprint", with_ctes("""
@@ -174,7 +181,7 @@ _SCORED = """
 
 
 def _split_with_baseline(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    frozen = materialize(year_split(spark, folder), "split")
+    frozen = year_split(spark, folder)
     cells = baseline.fit_cells(frozen.where("split = 'train'"), {"baseline": F.avg(TARGET)})
     return frozen, baseline.predict_cells(frozen, cells, ["baseline"])
 
@@ -268,5 +275,4 @@ def quantile_cells(spark: SparkSession, folder: str) -> DataFrame:
     WHERE station_id = (SELECT station_id FROM ev_panel GROUP BY 1 ORDER BY sum(trip_count) DESC, 1 LIMIT 1)
         AND start_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-14'""", "ev_panel"))
 def busiest_station_week(spark: SparkSession, folder: str) -> DataFrame:
-    trips = pool.departures(event_trips(spark, folder))
-    return metrics.busiest_slice(panel.zero_filled_panel(trips, trips), "2024-01-08", "2024-01-14")
+    return metrics.busiest_slice(event_counts(spark, folder), "2024-01-08", "2024-01-14")

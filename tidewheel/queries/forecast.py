@@ -57,7 +57,7 @@ def request_log(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _forecasts(spark: SparkSession, folder: str) -> DataFrame:
-    return requests.route(requests.explode_requests(request_log(spark, folder))).where("is_forecast")
+    return requests.explode_requests(request_log(spark, folder)).where("is_forecast")
 
 
 def _stations(spark: SparkSession, folder: str) -> DataFrame:
@@ -110,7 +110,7 @@ def request_validation(spark: SparkSession, folder: str) -> DataFrame:
              WHEN request_id // 12 % 2 = 0 THEN 'missing features: season, month_cos' END AS error
     FROM requests WHERE m IN (5, 11)""", "requests"))
 def direct_requests(spark: SparkSession, folder: str) -> DataFrame:
-    routed = requests.route(requests.explode_requests(request_log(spark, folder)))
+    routed = requests.explode_requests(request_log(spark, folder))
     given = requests.given_features(routed.where("not is_forecast"))
     return given.select("request_id", "station_id", "hour", "season", "hour_sin", "error")
 

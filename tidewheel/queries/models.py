@@ -12,14 +12,13 @@ from tidewheel.queries import forecast
 from tidewheel.queries.evaluation import shown
 from tidewheel.queries.registry import query
 from tidewheel.queries.standins import BUSY, event_panel, week_split
-from tidewheel.session import materialize
 
 FEATURES = CALENDAR_FEATURES + PRIOR_FEATURES
 POISSON = models.BoostParams(rounds=6, depth=4, learning_rate=0.4)
 
 
 def _parts(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    frozen = materialize(week_split(spark, folder), "split")
+    frozen = week_split(spark, folder)
     return {name: frozen.where(F.col("split") == name) for name in ("train", "val", "test")}
 
 

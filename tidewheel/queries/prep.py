@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewheel.functions.encoding import rounded
-from tidewheel.operators import pool, profile
+from tidewheel.operators import panel, pool, profile
 from tidewheel.queries.check_sql import with_ctes
 from tidewheel.queries.registry import query
-from tidewheel.queries.standins import (POOL_FIRST_BY, POOL_LAST_FROM, event_trips, ordered_trips, priorities, suppliers,
-                                        year_pool)
+from tidewheel.queries.standins import event_trips, ordered_trips, priorities, suppliers, year_pool
 from tidewheel.session import materialize, scratch_path
 from tidewheel.sources import exports, tables
 
@@ -80,13 +79,13 @@ def segment_trips(spark: SparkSession, folder: str) -> DataFrame:
     SELECT station_id, min(start_date) AS first_trip, max(start_date) AS last_trip
     FROM departures GROUP BY 1""", "departures"))
 def station_lifespan(spark: SparkSession, folder: str) -> DataFrame:
-    return pool.lifespan(pool.departures(ordered_trips(spark, folder)))
+    return pool.lifespan(pool.yearly_activity(panel.daily_counts(pool.departures(ordered_trips(spark, folder)))))
 
 
 @query("top_n_per_year", with_ctes("""
     SELECT year, station_id, trips, CAST(rnk AS INT) AS rnk FROM ranked WHERE rnk <= 50""", "ranked"))
 def top_n_per_year(spark: SparkSession, folder: str) -> DataFrame:
-    activity = pool.yearly_activity(pool.departures(ordered_trips(spark, folder)))
+    activity = pool.yearly_activity(panel.daily_counts(pool.departures(ordered_trips(spark, folder))))
     return pool.top_n_per(activity, "year", "station_id", "trips", 50).select("year", "station_id", "trips", "rnk")
 
 
@@ -113,8 +112,9 @@ def pool_overlap(spark: SparkSession, folder: str) -> DataFrame:
     """Top ten of any year: all users against one user type."""
     fact = ordered_trips(spark, folder)
     urgent = pool.segment(fact, priorities(spark, folder), "1-URGENT", SEGMENT_YEARS)
-    pools = [pool.station_pool(t, suppliers(spark, folder), "9999-12-31", "0001-01-01", n=10)
-             for t in (pool.departures(fact), urgent)]
+    pools = [pool.station_pool(materialize(pool.yearly_activity(panel.daily_counts(trips)), "activity"),
+                               suppliers(spark, folder), "9999-12-31", "0001-01-01", n=10)
+             for trips in (pool.departures(fact), urgent)]
     return pool.pool_overlap(*pools)
 
 
@@ -141,7 +141,7 @@ _CLEANED = """
 
 
 def _write_cleaned(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    kept = pool.cleaned_trips(ordered_trips(spark, folder), materialize(year_pool(spark, folder), "pool"))
+    kept = pool.cleaned_trips(ordered_trips(spark, folder), year_pool(spark, folder))
     path = scratch_path(spark, "cleaned")
     tables.write_partitioned(kept, path, ["year"])
     return kept, tables.read_table(spark, path)

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidewheel.contract import STAMP_FORMAT, STAGE_COLUMNS
 from tidewheel.functions.calendar import statutory_holidays
 from tidewheel.operators import cleaning, dimensions, features, panel, pool, splits
+from tidewheel.session import materialize
 
 POOL_FIRST_BY, POOL_LAST_FROM = "1995-01-31", "2001-06-01"
 YEAR_SPLIT = {"train": [1995, 1996, 1997, 1998], "val": [1999], "test": [2000, 2001]}
@@ -153,21 +154,30 @@ def with_holidays(bounds: DataFrame) -> DataFrame:
     return dimensions.dim_date(bounds, statutory_holidays(years))
 
 
-def year_pool(spark: SparkSession, folder: str) -> DataFrame:
-    trips = pool.departures(ordered_trips(spark, folder))
-    return pool.station_pool(trips, suppliers(spark, folder), POOL_FIRST_BY, POOL_LAST_FROM)
+def year_daily(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily counters of all stations, written once: the one pass over the trips."""
+    return materialize(panel.daily_counts(pool.departures(ordered_trips(spark, folder))), "daily")
 
 
-def pooled_trips(spark: SparkSession, folder: str) -> DataFrame:
-    return pool.keep_pool(pool.departures(ordered_trips(spark, folder)), year_pool(spark, folder))
+def year_pool(spark: SparkSession, folder: str, daily: DataFrame | None = None) -> DataFrame:
+    daily = year_daily(spark, folder) if daily is None else daily
+    chosen = pool.station_pool(pool.yearly_activity(daily), suppliers(spark, folder), POOL_FIRST_BY, POOL_LAST_FROM)
+    return materialize(chosen, "pool")
 
 
 def year_panel(spark: SparkSession, folder: str) -> DataFrame:
-    return panel.zero_filled_panel(year_pool(spark, folder), pooled_trips(spark, folder))
+    daily = year_daily(spark, folder)
+    return panel.zero_filled_panel(year_pool(spark, folder, daily), daily)
+
+
+def with_calendar(frame: DataFrame) -> DataFrame:
+    """Calendar columns from a dimension that spans the frame's own days."""
+    bounds = frame.agg(F.min("start_date").alias("first_date"), F.max("start_date").alias("last_date"))
+    return features.add_calendar(frame, with_holidays(bounds))
 
 
 def year_calendar(spark: SparkSession, folder: str) -> DataFrame:
-    return features.add_calendar(year_panel(spark, folder), calendar(ordered_trips(spark, folder)))
+    return with_calendar(year_panel(spark, folder))
 
 
 def year_features(spark: SparkSession, folder: str) -> DataFrame:
@@ -175,21 +185,32 @@ def year_features(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def year_split(spark: SparkSession, folder: str) -> DataFrame:
-    return splits.split_by_period(year_features(spark, folder), YEAR_SPLIT)
+    """The yearly split, frozen on disk."""
+    return materialize(splits.split_by_period(year_features(spark, folder), YEAR_SPLIT), "split")
+
+
+def event_daily(spark: SparkSession, folder: str, zones: bool = False) -> DataFrame:
+    return materialize(panel.daily_counts(pool.departures(event_trips(spark, folder, zones))), "daily")
+
+
+def event_counts(spark: SparkSession, folder: str, zones: bool = False) -> DataFrame:
+    """Zero-filled panel of all stations of the month."""
+    daily = event_daily(spark, folder, zones)
+    return panel.zero_filled_panel(daily, daily)
 
 
 def event_panel(spark: SparkSession, folder: str, zones: bool = False) -> DataFrame:
-    """Zero-filled panel of all stations of the month, with calendar columns."""
-    fact = event_trips(spark, folder, zones)
-    trips = pool.departures(fact)
-    return features.add_calendar(panel.zero_filled_panel(trips, trips), calendar(fact))
+    return with_calendar(event_counts(spark, folder, zones))
 
 
 def week_split(spark: SparkSession, folder: str, zones: bool = True) -> DataFrame:
-    """Event panel split by ISO week; prior features look one week back."""
+    """Event panel split by ISO week; prior features look one week back.
+
+    Frozen on disk, as later steps read it more than once.
+    """
     frame = event_panel(spark, folder, zones)
     frame = features.add_prior_year(frame, "week_of_year", (["hour", "weekday"], ["month"]))
-    return splits.split_by_period(features.add_cyclical(frame), WEEK_SPLIT, "week_of_year")
+    return materialize(splits.split_by_period(features.add_cyclical(frame), WEEK_SPLIT, "week_of_year"), "split")
 
 
 def day(text: str) -> datetime.date:

@@ -326,11 +326,12 @@ def dq_dim_date(spark: SparkSession, folder: str) -> DataFrame:
 def dq_dims(spark: SparkSession, folder: str) -> DataFrame:
     built = star(spark, folder)
     stage, kinds = built["stage"], built["dim_user_type"]
+    stations, bikes = (materialize(built[name], name) for name in ("dim_station", "dim_bike"))
     used_kinds = stage.select("user_type").distinct().join(
         kinds.withColumnRenamed("dim_user_type_name", "user_type"), "user_type", "left")
-    return (quality.dimension_checks(built["dim_station"], "dim_station_id",
+    return (quality.dimension_checks(stations, "dim_station_id",
                                      dimensions.station_sightings(stage), "station_id")
-            .unionByName(quality.dimension_checks(built["dim_bike"], "dim_bike_id", stage.select(
+            .unionByName(quality.dimension_checks(bikes, "dim_bike_id", stage.select(
                 F.col("bike_id").try_cast("int").alias("bike_id")), "bike_id"))
             .unionByName(quality.dimension_checks(kinds, "dim_user_type_id", used_kinds.select(
                 F.col("dim_user_type_id").alias("user_type_id")), "user_type_id")))
