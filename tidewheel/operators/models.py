@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+import json
+from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GeneralizedLinearRegression, RandomForestRegressor
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.ml.regression import GeneralizedLinearRegression, RandomForestRegressionModel, RandomForestRegressor
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidewheel.contract import CALENDAR_FEATURES, CATEGORICAL_FEATURES, PRIOR_FEATURES, TARGET
 from tidewheel.functions.encoding import clipped
@@ -171,6 +172,22 @@ def fit_boosted(train: DataFrame, features: list[str], params: BoostParams = Boo
     return model
 
 
+def save(model: BoostedTrees, spark: SparkSession, path: str) -> None:
+    """Trees as Spark ML models, everything else as one JSON row beside them."""
+    for number, (tree, _) in enumerate(model.trees):
+        tree.write().overwrite().save(f"{path}/tree-{number:04d}")
+    state = {"params": asdict(model.params), "features": model.features, "start": model.start,
+             "leaves": [{str(k): v for k, v in values.items()} for _, values in model.trees]}
+    spark.createDataFrame([(json.dumps(state),)], "state string").coalesce(1).write.mode("overwrite").text(f"{path}/state")
+
+
+def load(spark: SparkSession, path: str) -> BoostedTrees:
+    state = json.loads(spark.read.text(f"{path}/state").first()["value"])
+    trees = [(RandomForestRegressionModel.load(f"{path}/tree-{number:04d}"), {int(k): v for k, v in values.items()})
+             for number, values in enumerate(state["leaves"])]
+    return BoostedTrees(BoostParams(**state["params"]), state["features"], state["start"], trees)
+
+
 def predictions(models: dict[str, object], df: DataFrame, keep: list[str]) -> DataFrame:
     """Tall (keep.., y, model, pred) of several fitted models."""
     frames = [tall_predictions(m.predict(df).withColumnRenamed("pred", name), [name], keep)
