@@ -20,7 +20,7 @@ def fit_cells(train: DataFrame, models: dict[str, Column], keys: list[str] = CEL
 
 def global_mean(cells: DataFrame) -> Column:
     """Mean over all training rows, taken from the cells instead of a second scan."""
-    return cells.agg(F.sum("cell_sum") / F.sum("cell_rows")).scalar()
+    return cells.agg(F.try_divide(F.sum("cell_sum"), F.sum("cell_rows"))).scalar()
 
 
 def predict_cells(df: DataFrame, cells: DataFrame, models: list[str], keys: list[str] = CELL_KEYS) -> DataFrame:

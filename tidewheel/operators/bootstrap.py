@@ -47,7 +47,7 @@ def replicate_gaps(df: DataFrame, gap: str, key: list[str], replicates: int = 20
         w = _weight(F.substring("h", 1 + 8 * i, 8))
         sums += [F.sum(w * F.col("d")).alias(f"s{i}"), F.sum(w).alias(f"n{i}")]
     per_block = drawn.groupBy("block").agg(*sums)
-    pairs = F.posexplode(F.array(*[F.col(f"s{i}") / F.col(f"n{i}") for i in range(_PER_DIGEST)])).alias("i", "gap")
+    pairs = F.posexplode(F.array(*[F.try_divide(f"s{i}", f"n{i}") for i in range(_PER_DIGEST)])).alias("i", "gap")
     return (per_block.select("block", pairs)
             .select((F.col("block") * _PER_DIGEST + F.col("i")).alias("replicate"), "gap")
             .where(F.col("replicate") < replicates))
@@ -62,4 +62,4 @@ def paired_ci(df: DataFrame, error_a: str, error_b: str, key: list[str], replica
     mean, base = gaps.agg(F.avg("_gap")).scalar(), gaps.agg(F.avg(error_a)).scalar()
     return draws.agg(F.percentile("gap", tail).alias("low"), F.percentile("gap", 1 - tail).alias("high"),
                      F.count("*").alias("replicates")).select(
-        mean.alias("mean_gap"), "low", "high", "replicates", (mean / base).alias("relative_gap"))
+        mean.alias("mean_gap"), "low", "high", "replicates", F.try_divide(mean, base).alias("relative_gap"))

@@ -64,7 +64,7 @@ def season_by_user_type(fact: DataFrame, dim_date: DataFrame, dim_user_type: Dat
               .join(dim_user_type, F.col("fact_trip_user_type_id") == F.col("dim_user_type_id")))
     return (joined.groupBy("dim_date_season", "dim_user_type_name")
             .agg(F.sum("n").alias("trips"),
-                 rounded(F.sum("seconds") / F.sum("timed") / 60, 1).alias("avg_min"))
+                 rounded(F.try_divide(F.sum("seconds"), F.sum("timed")) / 60, 1).alias("avg_min"))
             .orderBy("dim_date_season", "dim_user_type_name"))
 
 

@@ -7,7 +7,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidewheel.contract import BUSY_THRESHOLD, PEAK_HOURS, TARGET
 from tidewheel.functions.encoding import clipped, demand_band
 
-_Y, _P = F.col("y"), F.col("p")
+def _y() -> Column:
+    return F.col("y")
+
+
+def _p() -> Column:
+    return F.col("p")
 
 
 def _scored(df: DataFrame) -> DataFrame:
@@ -16,16 +21,16 @@ def _scored(df: DataFrame) -> DataFrame:
 
 
 def _mae(where: Column | None = None) -> Column:
-    error = F.abs(_Y - _P)
+    error = F.abs(_y() - _p())
     return F.avg(error if where is None else F.when(where, error))
 
 
 def _shortfall(where: Column) -> Column:
-    return 1 - F.sum(F.when(where, _P)) / F.sum(F.when(where, _Y))
+    return 1 - F.try_divide(F.sum(F.when(where, _p())), F.sum(F.when(where, _y())))
 
 
 def _pinball(q: Column) -> Column:
-    gap = _Y - _P
+    gap = _y() - _p()
     return F.avg(F.greatest(q * gap, (q - 1) * gap))
 
 
@@ -35,28 +40,29 @@ def accuracy(df: DataFrame, by: tuple = ("model",), peak: list[int] = PEAK_HOURS
 
     A group without peak or busy rows gets a null there.
     """
-    at_peak, at_busy = F.col("hour").isin(peak), _Y >= busy
+    at_peak, at_busy = F.col("hour").isin(peak), _y() >= busy
     return _scored(df).groupBy(*by).agg(
-        _mae().alias("mae"), F.sqrt(F.avg((_Y - _P) * (_Y - _P))).alias("rmse"),
+        _mae().alias("mae"), F.sqrt(F.avg((_y() - _p()) * (_y() - _p()))).alias("rmse"),
         _mae(at_peak).alias("mae_peak"), _mae(~at_peak).alias("mae_offpeak"),
-        _mae(at_busy).alias("mae_busy"), F.avg(F.when(at_busy, _P - _Y)).alias("bias_busy"))
+        _mae(at_busy).alias("mae_busy"), F.avg(F.when(at_busy, _p() - _y())).alias("bias_busy"))
 
 
 def cost(df: DataFrame, quantiles: dict[str, float], peak: list[int] = PEAK_HOURS,
          busy: int = BUSY_THRESHOLD) -> DataFrame:
     """What the errors mean for operations; pinball uses each model's own quantile."""
-    at_peak, at_busy = F.col("hour").isin(peak), _Y >= busy
-    over, under = F.greatest(_P - _Y, F.lit(0.0)), F.greatest(_Y - _P, F.lit(0.0))
+    at_peak, at_busy = F.col("hour").isin(peak), _y() >= busy
+    over, under = F.greatest(_p() - _y(), F.lit(0.0)), F.greatest(_y() - _p(), F.lit(0.0))
     q = F.lit(0.5)
     for model, level in quantiles.items():
         q = F.when(F.col("model") == model, level).otherwise(q)
     return _scored(df).withColumn("q", q).groupBy("model").agg(
         _mae().alias("mae"), _mae(at_peak).alias("mae_peak"), _mae(at_busy).alias("mae_busy"),
-        F.avg(F.when(at_busy, (_P < _Y).cast("double"))).alias("under_rate_busy"),
+        F.avg(F.when(at_busy, (_p() < _y()).cast("double"))).alias("under_rate_busy"),
         _shortfall(at_busy).alias("shortfall_busy"), _pinball(F.col("q")).alias("pinball"),
         F.avg(over).alias("over_supply"), F.sum(under).alias("unmet_demand"),
         F.sum(over).alias("over_supply_total"),
-        (F.sum(under) / F.sum(_Y)).alias("unmet_pct"), (F.sum(over) / F.sum(_Y)).alias("over_pct"))
+        F.try_divide(F.sum(under), F.sum(_y())).alias("unmet_pct"),
+        F.try_divide(F.sum(over), F.sum(_y())).alias("over_pct"))
 
 
 def _at_reference(reference: str, metric: str) -> Column:
@@ -69,12 +75,12 @@ def _at_reference(reference: str, metric: str) -> Column:
 
 def compare(scores: DataFrame, reference: str, metric: str = "mae", name: str = "vs_baseline") -> DataFrame:
     """Relative improvement over a reference model."""
-    return scores.withColumn(name, 1 - F.col(metric) / _at_reference(reference, metric))
+    return scores.withColumn(name, 1 - F.try_divide(F.col(metric), _at_reference(reference, metric)))
 
 
 def _trade(reference: str) -> dict[str, Column]:
     def ratio(metric: str) -> Column:
-        return F.col(metric) / _at_reference(reference, metric)
+        return F.try_divide(F.col(metric), _at_reference(reference, metric))
 
     return {"mae_vs_reference": ratio("mae") - 1, "shortfall_closed": 1 - ratio("shortfall_busy"),
             "unmet_lower": 1 - ratio("unmet_pct"), "over_ratio": ratio("over_pct")}
@@ -102,21 +108,20 @@ def by_band(df: DataFrame) -> DataFrame:
 
     The share of all trips is taken over the band totals, so over five rows per model.
     """
-    bands = _scored(df).groupBy("model", demand_band(_Y).alias("band")).agg(
-        F.count("*").alias("row_count"), F.avg(_Y).alias("mean_actual"), F.avg(_P).alias("mean_pred"),
-        _mae().alias("mae"), F.sum(_Y).alias("trips"))
+    bands = _scored(df).groupBy("model", demand_band(_y()).alias("band")).agg(
+        F.count("*").alias("row_count"), F.avg(_y()).alias("mean_actual"), F.avg(_p()).alias("mean_pred"),
+        _mae().alias("mae"), F.sum(_y()).alias("trips"))
     all_trips = F.sum("trips").over(Window.partitionBy("model"))
-    actual = F.nullif(F.col("mean_actual"), F.lit(0.0))
     return bands.select("model", "band", "row_count", "mean_actual", "mean_pred", "mae",
-                        (1 - F.col("mean_pred") / actual).alias("shortfall"),
-                        (F.col("trips") / all_trips).alias("pct_of_trips"))
+                        (1 - F.try_divide("mean_pred", "mean_actual")).alias("shortfall"),
+                        F.try_divide(F.col("trips"), all_trips).alias("pct_of_trips"))
 
 
 def by_station(df: DataFrame, k: int | None = None) -> DataFrame:
     """Trips, MAE and shortfall per model and station, busiest first."""
     stations = _scored(df).groupBy("model", "station_id").agg(
-        F.sum(_Y).alias("total_trips"), _mae().alias("mae"),
-        (1 - F.sum(_P) / F.nullif(F.sum(_Y), F.lit(0))).alias("shortfall"))
+        F.sum(_y()).alias("total_trips"), _mae().alias("mae"),
+        (1 - F.try_divide(F.sum(_p()), F.sum(_y()))).alias("shortfall"))
     ordered = stations.orderBy(F.desc("total_trips"), "station_id", "model")
     return ordered if k is None else ordered.limit(k)
 
@@ -130,12 +135,12 @@ def station_spread(stations: DataFrame) -> DataFrame:
 
 def by_hour(df: DataFrame) -> DataFrame:
     """Mean actual and predicted demand per hour and model."""
-    return _scored(df).groupBy("model", "hour").agg(F.avg(_Y).alias("actual"), F.avg(_P).alias("predicted"))
+    return _scored(df).groupBy("model", "hour").agg(F.avg(_y()).alias("actual"), F.avg(_p()).alias("predicted"))
 
 
 def unmet_by_hour(df: DataFrame, first: int = 16, last: int = 19) -> DataFrame:
     """Share of trips a stock at the prediction would not serve, for a slice of hours."""
-    unmet = F.sum(F.greatest(_Y - _P, F.lit(0.0))) / F.nullif(F.sum(_Y), F.lit(0))
+    unmet = F.try_divide(F.sum(F.greatest(_y() - _p(), F.lit(0.0))), F.sum(_y()))
     return (_scored(df).where(F.col("hour").between(first, last))
             .groupBy("model", "hour").agg(unmet.alias("unmet_share")))
 
@@ -155,7 +160,7 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Equal-width bins between the smallest and largest value; empty bins are left out."""
     bounds = df.agg(F.struct(F.min(column).alias("lo"), F.max(column).alias("hi"))).scalar()
     lo, hi = bounds["lo"], bounds["hi"]
-    position = F.floor((F.col(column) - lo) / F.nullif(hi - lo, F.lit(0.0)) * bins)
+    position = F.floor(F.try_divide(F.col(column) - lo, hi - lo) * bins)
     bin_no = F.least(F.coalesce(position, F.lit(0)), F.lit(bins - 1)).cast("int")
     return (df.where(F.col(column).isNotNull()).groupBy(bin_no.alias("bin")).agg(F.count("*").alias("row_count"))
             .orderBy("bin"))
@@ -182,5 +187,5 @@ def leaderboard(scores: DataFrame) -> DataFrame:
     One row per candidate, so the window and the sort are over a handful of rows.
     """
     everyone = Window.partitionBy()
-    spread = F.max("mae").over(everyone) / F.min("mae").over(everyone) - 1
+    spread = F.try_divide(F.max("mae").over(everyone), F.min("mae").over(everyone)) - 1
     return scores.withColumn("spread", spread).orderBy("mae", "model")

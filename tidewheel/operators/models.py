@@ -119,7 +119,7 @@ def _add_tree(df: DataFrame, tree, values: dict[int, float], rate: float) -> Dat
 
 
 def _start(train: DataFrame, p: BoostParams) -> float:
-    level = F.log(F.avg("y")) if p.loss == "poisson" else F.percentile_approx("y", p.quantile, 10000)
+    level = F.log(F.greatest(F.avg("y"), F.lit(1e-9))) if p.loss == "poisson" else F.percentile_approx("y", p.quantile, 10000)
     return float(train.agg(level.alias("v")).first()["v"])
 
 

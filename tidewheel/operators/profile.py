@@ -69,4 +69,4 @@ def funnel(df: DataFrame, steps: dict[str, Column]) -> DataFrame:
         counts.append(F.count_if(reduce(and_, passed)).alias(name))
     row = df.agg(*counts)
     tall = row.withColumn("total", F.col("raw")).unpivot(["total"], row.columns, "step", "row_count")
-    return tall.select("step", "row_count", (100.0 * F.col("row_count") / F.col("total")).alias("pct"))
+    return tall.select("step", "row_count", F.try_divide(100.0 * F.col("row_count"), F.col("total")).alias("pct"))

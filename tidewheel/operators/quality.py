@@ -38,7 +38,7 @@ def null_profile(df: DataFrame) -> DataFrame:
     total = "row count of the frame"
     row = df.agg(F.count("*").alias(total), *[n.alias(c) for c, n in null_counts(df).items()])
     tall = row.unpivot([total], df.columns, "column_name", "nulls")
-    return tall.select("column_name", "nulls", (F.col("nulls") / F.col(total)).alias("share"))
+    return tall.select("column_name", "nulls", F.try_divide("nulls", total).alias("share"))
 
 
 def _not(cond: Column) -> Column:
