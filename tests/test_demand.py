@@ -126,7 +126,7 @@ def two_years(spark):
     daily = panel.daily_counts(trips(spark, *data))
     days = dimensions.calendar_between(spark, dt.date(2019, 1, 1), dt.date(2021, 12, 31),
                                        spark.createDataFrame([(dt.date(2020, 1, 1),)], "holiday date"))
-    return features.featured(panel.zero_filled_panel(daily, daily), days).cache()
+    return features.featured(panel.day_panel(daily, daily), days).cache()
 
 
 def test_prior_year_means(two_years):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewheel.contract import CELL_KEYS, TARGET
+from tidewheel.session import materialize
 
 
 def quantile_of(q: float, target: str = TARGET) -> Column:
@@ -13,9 +14,14 @@ def quantile_of(q: float, target: str = TARGET) -> Column:
 
 
 def fit_cells(train: DataFrame, models: dict[str, Column], keys: list[str] = CELL_KEYS) -> DataFrame:
-    """One row per cell with one column per model and the cell's sums."""
-    return train.groupBy(*keys).agg(*[m.alias(n) for n, m in models.items()],
-                                    F.sum(TARGET).alias("cell_sum"), F.count(TARGET).alias("cell_rows"))
+    """One row per cell with one column per model and the cell's sums.
+
+    A fitted model is a table: it is written once, and its file size tells Catalyst
+    whether a later join may broadcast it.
+    """
+    return materialize(train.groupBy(*keys).agg(
+        *[m.alias(n) for n, m in models.items()],
+        F.sum(TARGET).alias("cell_sum"), F.count(TARGET).alias("cell_rows")), "cells")
 
 
 def global_mean(cells: DataFrame) -> Column:

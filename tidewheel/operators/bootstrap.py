@@ -6,6 +6,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidewheel.session import spread
+
 # weights per MD5 value: each uses eight of its 32 hex digits
 _PER_DIGEST = 4
 
@@ -20,12 +22,15 @@ def _thresholds(terms: int = 12) -> list[str]:
 
 
 def _weight(digits: Column) -> Column:
-    """Poisson(1) weight: how many cumulative probabilities the digits reach."""
-    steps = [(digits >= t).cast("int") for t in _thresholds()]
-    weight = steps[0]
-    for step in steps[1:]:
-        weight = weight + step
-    return weight
+    """Poisson(1) weight: how many cumulative probabilities the digits reach.
+
+    A chain of cases: two comparisons on average, as most weights are 0, 1 or 2.
+    """
+    steps = _thresholds()
+    weight = F.when(digits < steps[0], 0)
+    for count, step in enumerate(steps[1:], 1):
+        weight = weight.when(digits < step, count)
+    return weight.otherwise(len(steps))
 
 
 def replicate_gaps(df: DataFrame, gap: str, key: list[str], replicates: int = 200, seed: int = 0) -> DataFrame:
@@ -37,14 +42,15 @@ def replicate_gaps(df: DataFrame, gap: str, key: list[str], replicates: int = 20
     far as the partial aggregate, which keeps one row per replicate and task.
     """
     blocks = math.ceil(replicates / _PER_DIGEST)
-    unfolded = df.select(F.col(gap).alias("d"), *key,
+    row_text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in key], F.lit(""))
+    unfolded = spread(df, *key).select(F.col(gap).alias("d"), row_text.alias("row_text"),
                          F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in key],
-                               F.col("block").cast("string")).cast("binary"))
-    drawn = unfolded.select("d", "block", digest.alias("h"))
+    digest = F.md5(F.concat("row_text", F.col("block").cast("string")).cast("binary"))
+    drawn = unfolded.select("d", "block", digest.alias("h")).select(
+        "d", "block", *[F.substring("h", 1 + 8 * i, 8).alias(f"h{i}") for i in range(_PER_DIGEST)])
     sums = []
     for i in range(_PER_DIGEST):
-        w = _weight(F.substring("h", 1 + 8 * i, 8))
+        w = _weight(F.col(f"h{i}"))
         sums += [F.sum(w * F.col("d")).alias(f"s{i}"), F.sum(w).alias(f"n{i}")]
     per_block = drawn.groupBy("block").agg(*sums)
     pairs = F.posexplode(F.array(*[F.try_divide(f"s{i}", f"n{i}") for i in range(_PER_DIGEST)])).alias("i", "gap")

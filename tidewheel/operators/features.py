@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewheel.contract import CYCLES, PRIOR_FEATURES, TARGET
 from tidewheel.functions.encoding import cyclical_columns
+from tidewheel.operators import panel
 from tidewheel.operators.quality import count_checks, verdict
 
 # panel column <- dim_date column
@@ -15,7 +16,7 @@ _CALENDAR = {"year": "year", "quarter": "quarter", "month": "month", "weekday":
              "week_of_year": "week", "is_weekend": "is_weekend", "is_holiday": "is_holiday", "season": "season"}
 
 
-def add_calendar(panel: DataFrame, dim_date: DataFrame) -> DataFrame:
+def add_calendar(frame: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Attributes of the start date; flags become 0/1.
 
     Safe to broadcast: the dimension has one row per calendar day.
@@ -23,33 +24,38 @@ def add_calendar(panel: DataFrame, dim_date: DataFrame) -> DataFrame:
     days = dim_date.select(F.col("dim_date_id").alias("start_date"), *[
         (F.col(f"dim_date_{src}").cast("tinyint") if src.startswith("is_") else F.col(f"dim_date_{src}")).alias(name)
         for name, src in _CALENDAR.items()])
-    return panel.join(F.broadcast(days), "start_date").select(*panel.columns, *_CALENDAR)
+    return frame.join(F.broadcast(days), "start_date").select(*frame.columns, *_CALENDAR)
 
 
 def add_cyclical(df: DataFrame, cycles: dict[str, int] = CYCLES) -> DataFrame:
     return df.withColumns(cyclical_columns(cycles))
 
 
-def prior_means(panel: DataFrame, keys: list[str], name: str, period: str = "year") -> DataFrame:
-    """Mean target per station, period and keys, filed under the following period."""
-    return panel.groupBy("station_id", (F.col(period) + 1).cast("int").alias(period), *keys).agg(
-        F.avg(TARGET).alias(name))
+def add_prior_year(days: DataFrame, period: str = "year") -> DataFrame:
+    """Unfold a day panel with calendar columns and add the two means of the period before.
 
-
-def add_prior_year(panel: DataFrame, period: str = "year",
-                   keys: tuple[list[str], list[str]] = (["hour", "weekday"], ["month"])) -> DataFrame:
-    """The two means of the period before; null where a key has no history.
-
-    `period` is the calendar year; shorter series can use any integer period column.
+    The means are over the zero-filled rows: per station, hour and weekday, and per
+    station and month. They are filed under the following period, so a row only sees
+    the one before it; keys without history give null. Both are computed and joined per
+    day, on a 24th of the rows. `period` is the calendar year; shorter series can use
+    any integer period column.
     """
-    out = panel
-    for name, extra in zip(PRIOR_FEATURES, keys):
-        out = out.join(prior_means(panel, extra, name, period), ["station_id", period, *extra], "left")
-    return out.select(*panel.columns, *PRIOR_FEATURES)
-
-
-def featured(panel: DataFrame, dim_date: DataFrame) -> DataFrame:
-    return add_cyclical(add_prior_year(add_calendar(panel, dim_date)))
+    by_hour = F.col("by_hour")
+    following = (F.col(period) + 1).cast("int").alias(period)
+    per_hour = days.groupBy("station_id", following, "weekday").agg(
+        F.array(*[F.avg(by_hour[h]) for h in panel.HOURS]).alias("hour_means"))
+    day_total = F.aggregate(by_hour, F.lit(0).cast("bigint"), lambda total, n: total + n)
+    per_month = days.groupBy("station_id", following, "month").agg(
+        (F.sum(day_total) / (F.count("*") * len(panel.HOURS))).alias(PRIOR_FEATURES[1]))
+    joined = (days.join(per_hour, ["station_id", period, "weekday"], "left")
+              .join(per_month, ["station_id", period, "month"], "left"))
+    hours = panel.unfold(joined, {"hour_means": PRIOR_FEATURES[0]})
+    return hours.select(*[c for c in hours.columns if c not in PRIOR_FEATURES], *PRIOR_FEATURES)
+
+
+def featured(days: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """All features of a day panel, one row per station and hour."""
+    return add_cyclical(add_prior_year(add_calendar(days, dim_date)))
 
 
 def feature_population(df: DataFrame, by: str = "year", features: list[str] = PRIOR_FEATURES) -> DataFrame:

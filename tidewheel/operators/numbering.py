@@ -15,16 +15,16 @@ def with_dense_id(df: DataFrame, order_by: list[str], name: str, partitions: int
 
     Rows are range-partitioned on the ordering columns and then on all other columns,
     so one hot ordering value is cut by its other values and the numbering of a reload
-    is the same. Copies equal in every column are cut by their position in a sorted
-    input partition, which a recomputed task reproduces. The placed rows are written
-    once; the sizes of the written ranges give each range its first number.
+    is the same. Copies equal in every column are cut by a position that is written
+    with the rows first: it cannot change when a task is repeated, and the sampling for
+    the ranges reads that table instead of running the input twice. The placed rows are
+    written too; the sizes of the written ranges give each range its first number.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = [*order_by, *[c for c in df.columns if c not in order_by]]
-    copies = df.sortWithinPartitions(*order).withColumn("_copy", F.monotonically_increasing_id())
+    order = [*order_by, *[c for c in df.columns if c not in order_by], "_copy"]
+    copies = materialize(df.withColumn("_copy", F.monotonically_increasing_id()), "unnumbered")
     placed = materialize(
-        copies.repartitionByRange(n, *order, "_copy")
-        .sortWithinPartitions(*order, "_copy").drop("_copy")
+        copies.repartitionByRange(n, *order).sortWithinPartitions(*order).drop("_copy")
         .withColumn("_place", F.monotonically_increasing_id()), "numbered")
 
     ranged = placed.withColumn("_range", F.shiftright("_place", _SHIFT))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidewheel.operators.quality import count_checks
+from tidewheel.session import spread
 
 HOURS = range(24)
 
@@ -34,7 +35,7 @@ def station_days(stations: DataFrame, active: DataFrame) -> DataFrame:
     """
     days = active.select("start_date").where("start_date is not null").distinct()
     bounds = active.agg(F.struct(F.min("start_date").alias("first"), F.max("start_date").alias("last"))).scalar()
-    unfolded = stations.select("station_id").distinct().select(
+    unfolded = spread(stations.select("station_id").distinct(), "station_id").select(
         "station_id",
         F.explode(F.sequence(bounds["first"], bounds["last"], F.expr("interval 1 day"))).alias("start_date"))
     return unfolded.join(F.broadcast(days), "start_date", "left_semi").select("station_id", "start_date")
@@ -45,18 +46,31 @@ def station_hour_grid(stations: DataFrame, active: DataFrame) -> DataFrame:
     return station_days(stations, active).select("station_id", "start_date", hours)
 
 
-def zero_filled_panel(stations: DataFrame, daily: DataFrame) -> DataFrame:
-    """The grid with trip counts from `daily_counts`, zero where nobody left.
+def day_panel(stations: DataFrame, daily: DataFrame) -> DataFrame:
+    """(station_id, start_date, by_hour) for every station and observed day, zeros filled.
 
-    Days count as observed when any of the given `stations` was active. The grid is
-    joined at day level and unfolds to hours after the join, so that a 24th of the
-    panel rows is shuffled.
+    Days count as observed when any of the given `stations` was active. Everything that
+    depends on the day alone is best joined to this frame, before `unfold` makes it 24
+    times as long.
     """
     own = daily.join(stations.select("station_id").distinct(), "station_id", "left_semi")
     zeros = F.array_repeat(F.lit(0).cast("bigint"), len(HOURS))
     return (station_days(stations, own).join(own, ["station_id", "start_date"], "left")
-            .select("station_id", "start_date",
-                    F.posexplode(F.coalesce("by_hour", zeros)).alias("hour", "trip_count")))
+            .select("station_id", "start_date", F.coalesce("by_hour", zeros).alias("by_hour")))
+
+
+def unfold(days: DataFrame, arrays: dict[str, str] | None = None) -> DataFrame:
+    """Hour rows of a day panel; `arrays` names further 24-element columns to unfold."""
+    arrays = arrays or {}
+    plain = [c for c in days.columns if c not in ("by_hour", "station_id", "start_date", *arrays)]
+    hours = days.select("station_id", "start_date", F.posexplode("by_hour").alias("hour", "trip_count"), *plain, *arrays)
+    return hours.select("station_id", "start_date", "hour", "trip_count", *plain,
+                        *[F.get(source, F.col("hour")).alias(name) for source, name in arrays.items()])
+
+
+def zero_filled_panel(stations: DataFrame, daily: DataFrame) -> DataFrame:
+    """(station_id, start_date, hour, trip_count) with zero where nobody left."""
+    return unfold(day_panel(stations, daily))
 
 
 def panel_summary(panel: DataFrame, by: str = "year") -> DataFrame:

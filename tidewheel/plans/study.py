@@ -55,14 +55,14 @@ def prepare(spark: SparkSession, export: str, out: str, scope: StudyScope) -> di
     tables.write_partitioned(pool.keep_pool(trips, stations), f"{out}/cleaned", ["year"])
     cleaned = tables.read_table(spark, f"{out}/cleaned")
 
-    counts = panel.zero_filled_panel(stations, daily)
-    enriched = features.add_calendar(counts, star["dim_date"])
-    tables.write_partitioned(features.add_cyclical(features.add_prior_year(enriched)), f"{out}/featured", ["year"])
+    days = panel.day_panel(stations, daily)
+    counts = panel.unfold(days)
+    tables.write_partitioned(features.featured(days, star["dim_date"]), f"{out}/featured", ["year"], gather=False)
     featured = tables.read_table(spark, f"{out}/featured")
     require_ok(panel.panel_checks(counts, cleaned, featured), "panel")
     require_ok(features.prior_year_checks(featured), "prior year")
 
-    tables.write_partitioned(splits.split_by_period(featured, scope.periods), f"{out}/split", ["split"])
+    tables.write_partitioned(splits.split_by_period(featured, scope.periods), f"{out}/split", ["split"], gather=False)
     split = tables.read_table(spark, f"{out}/split")
     require_ok(splits.split_checks(split, counts, list(scope.periods)), "split")
 

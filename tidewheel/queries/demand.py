@@ -11,8 +11,7 @@ from tidewheel.operators import baseline, features, metrics, panel, pool, reques
 from tidewheel.queries.check_sql import with_ctes
 from tidewheel.queries.registry import query
 from tidewheel.queries.standins import (YEAR_SPLIT, event_counts, event_daily, event_panel, ordered_trips, suppliers,
-                                        with_calendar, year_calendar, year_daily, year_features, year_panel, year_pool,
-                                        year_split)
+                                        year_calendar, year_days, year_features, year_pool, year_split)
 from tidewheel.session import materialize, scratch_path
 from tidewheel.sources import records, tables
 
@@ -40,7 +39,7 @@ def zero_filled_panel(spark: SparkSession, folder: str) -> DataFrame:
     FROM panel GROUP BY ALL""", "panel"))
 def year_panel_by_station(spark: SparkSession, folder: str) -> DataFrame:
     """The panel over all years and pool stations, summed per station and hour."""
-    return year_panel(spark, folder).groupBy("station_id", "hour").agg(
+    return year_calendar(spark, folder).groupBy("station_id", "hour").agg(
         F.count("*").alias("row_count"), F.sum(TARGET).alias("trips"),
         F.count_if(F.col(TARGET) == 0).alias("zero_rows"), F.max(TARGET).alias("busiest"))
 
@@ -110,9 +109,10 @@ def panel_summary(spark: SparkSession, folder: str) -> DataFrame:
     FROM (SELECT station_id, start_date, hour, trip_count, count(*) AS n FROM panel GROUP BY ALL)""", "cal_panel"))
 def dq_panel(spark: SparkSession, folder: str) -> DataFrame:
     """Against the trips themselves: an independent count of pool departures."""
-    counts = materialize(year_panel(spark, folder), "panel")
+    enriched = materialize(year_calendar(spark, folder), "panel")
+    counts = enriched.select("station_id", "start_date", "hour", TARGET)
     trips = pool.keep_pool(pool.departures(ordered_trips(spark, folder)), year_pool(spark, folder))
-    return panel.panel_checks(counts, trips, with_calendar(counts))
+    return panel.panel_checks(counts, trips, enriched)
 
 
 @query("dq_prior_year", with_ctes("""
@@ -146,7 +146,7 @@ def split_summary(spark: SparkSession, folder: str) -> DataFrame:
     """Freeze the split on disk, one folder per part, and summarise what was read back."""
     path = scratch_path(spark, "split")
     split = splits.split_by_period(year_features(spark, folder), YEAR_SPLIT)
-    tables.write_partitioned(split, path, ["split"])
+    tables.write_partitioned(split, path, ["split"], gather=False)
     return splits.split_summary(tables.read_table(spark, path))
 
 
@@ -157,10 +157,9 @@ def split_summary(spark: SparkSession, folder: str) -> DataFrame:
             CAST(sum(trip_count) - (SELECT sum(trip_count) FROM panel) AS BIGINT)]) AS violations, 'ok' AS status
     FROM ysplit""", "ysplit"))
 def dq_split(spark: SparkSession, folder: str) -> DataFrame:
-    daily = year_daily(spark, folder)
-    counts = panel.zero_filled_panel(year_pool(spark, folder, daily), daily)
-    split = splits.split_by_period(features.add_cyclical(features.add_prior_year(with_calendar(counts))), YEAR_SPLIT)
-    return splits.split_checks(materialize(split, "split"), counts, list(YEAR_SPLIT))
+    days = year_days(spark, folder)
+    split = splits.split_by_period(panel.unfold(days), YEAR_SPLIT, features=CELL_KEYS)
+    return splits.split_checks(materialize(split, "split"), panel.unfold(days), list(YEAR_SPLIT))
 
 
 @query("dataset_fingerprint", with_ctes("""
@@ -181,7 +180,7 @@ _SCORED = """
 
 
 def _split_with_baseline(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    frozen = year_split(spark, folder)
+    frozen = year_split(spark, folder, CELL_KEYS)
     cells = baseline.fit_cells(frozen.where("split = 'train'"), {"baseline": F.avg(TARGET)})
     return frozen, baseline.predict_cells(frozen, cells, ["baseline"])
 
@@ -190,7 +189,7 @@ def _split_with_baseline(spark: SparkSession, folder: str) -> tuple[DataFrame, D
     SELECT station_id, hour, weekday, round(avg(trip_count), 6) AS baseline, CAST(sum(trip_count) AS BIGINT) AS cell_sum,
         count(*) AS cell_rows FROM ysplit WHERE split = 'train' GROUP BY ALL""", "ysplit"))
 def baseline_cells(spark: SparkSession, folder: str) -> DataFrame:
-    train = year_split(spark, folder).where("split = 'train'")
+    train = year_split(spark, folder, CELL_KEYS).where("split = 'train'")
     return baseline.fit_cells(train, {"baseline": rounded(F.avg(TARGET))})
 
 
@@ -211,7 +210,8 @@ def baseline_predict(spark: SparkSession, folder: str) -> DataFrame:
         [1999] AS val_years, [2000, 2001] AS test_years,
         round(avg(abs(trip_count - p)) FILTER (split = 'val'), 6) AS baseline_val_mae FROM scored""", "ysplit"))
 def split_contract(spark: SparkSession, folder: str) -> DataFrame:
-    frozen, scored = _split_with_baseline(spark, folder)
+    _, scored = _split_with_baseline(spark, folder)
+    frozen = year_split(spark, folder)
     mae = scored.where("split = 'val'").agg(F.avg(F.abs(F.col(TARGET) - F.col("baseline"))))
     contract = splits.split_contract(frozen, YEAR_SPLIT, "all", mae, "boosted_poisson")
     return contract.select(

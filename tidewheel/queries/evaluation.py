@@ -10,7 +10,7 @@ from tidewheel.operators import baseline, bootstrap, metrics
 from tidewheel.queries.check_sql import with_ctes
 from tidewheel.queries.registry import query
 from tidewheel.queries.standins import BUSY, event_panel, week_split
-from tidewheel.session import scratch_path
+from tidewheel.session import materialize, scratch_path
 from tidewheel.sources import records
 
 MODELS = {"baseline": None, "q50": 0.5, "q80": 0.8, "q90": 0.9}
@@ -224,4 +224,4 @@ def bootstrap_ci(spark: SparkSession, folder: str) -> DataFrame:
     key = ["station_id", "start_date", "hour"]
     paired = test.groupBy(*key).agg(*[
         F.max(F.when(F.col("model") == m, F.abs(F.col("y") - F.col("pred")))).alias(m) for m in ("baseline", "q50")])
-    return shown(bootstrap.paired_ci(paired, "baseline", "q50", key))
+    return shown(bootstrap.paired_ci(materialize(paired, "paired"), "baseline", "q50", key))

@@ -11,6 +11,7 @@ from tidewheel.operators import baseline, requests
 from tidewheel.queries.check_sql import with_ctes
 from tidewheel.queries.registry import query
 from tidewheel.queries.standins import event_panel, read
+from tidewheel.session import materialize
 
 
 def _record(station: Column, date: Column | None, hour: Column) -> Column:
@@ -115,10 +116,11 @@ def direct_requests(spark: SparkSession, folder: str) -> DataFrame:
     return given.select("request_id", "station_id", "hour", "season", "hour_sin", "error")
 
 
-def _expanded(spark: SparkSession, folder: str) -> DataFrame:
+def expanded(spark: SparkSession, folder: str, history: DataFrame) -> DataFrame:
+    """Features of all accepted requests, with lookups from a history panel."""
     valid = requests.accepted(requests.validate(_forecasts(spark, folder), _stations(spark, folder)))
-    history = event_panel(spark, folder)
     by_hour, by_month, default = requests.prior_lookups(history)
+    by_hour, by_month = materialize(by_hour, "lookup"), materialize(by_month, "lookup")
     holidays = statutory_holidays(history.select("year").distinct())
     return requests.expand(valid, holidays, by_hour, by_month, default)
 
@@ -143,7 +145,7 @@ def _expanded(spark: SparkSession, folder: str) -> DataFrame:
     LEFT JOIN hw ON hw.station_id = g.station_id AND hw.hour = g.hour AND hw.weekday = g.weekday
     LEFT JOIN mo ON mo.station_id = g.station_id AND mo.month = g.month""", "good", "ev_cal_panel", "holidays"))
 def expand_requests(spark: SparkSession, folder: str) -> DataFrame:
-    return _expanded(spark, folder)
+    return expanded(spark, folder, materialize(event_panel(spark, folder), "history"))
 
 
 @query("batch_forecast", with_ctes("""
@@ -154,5 +156,6 @@ def expand_requests(spark: SparkSession, folder: str) -> DataFrame:
         AND c.weekday = dayofweek(start_date) + 1""", "good", "ev_cal_panel"))
 def batch_forecast(spark: SparkSession, folder: str) -> DataFrame:
     """Accepted requests scored by the 80 % quantile cells."""
-    cells = baseline.fit_cells(event_panel(spark, folder), {"pred": baseline.quantile_of(0.8)}, CELL_KEYS)
-    return requests.score(_expanded(spark, folder), lambda df: baseline.predict_cells(df, cells, ["pred"]))
+    history = materialize(event_panel(spark, folder), "history")
+    cells = baseline.fit_cells(history, {"pred": baseline.quantile_of(0.8)}, CELL_KEYS)
+    return requests.score(expanded(spark, folder, history), lambda df: baseline.predict_cells(df, cells, ["pred"]))

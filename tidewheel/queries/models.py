@@ -12,6 +12,7 @@ from tidewheel.queries import forecast
 from tidewheel.queries.evaluation import shown
 from tidewheel.queries.registry import query
 from tidewheel.queries.standins import BUSY, event_panel, week_split
+from tidewheel.session import materialize
 
 FEATURES = CALENDAR_FEATURES + PRIOR_FEATURES
 POISSON = models.BoostParams(rounds=6, depth=4, learning_rate=0.4)
@@ -76,8 +77,6 @@ def permutation_importance(spark: SparkSession, folder: str) -> DataFrame:
 @query("boosted_batch_forecast")
 def boosted_batch_forecast(spark: SparkSession, folder: str) -> DataFrame:
     """Accepted requests scored by a boosted 80 % quantile model."""
-    history = event_panel(spark, folder)
-    by_hour, by_month, default = requests.prior_lookups(history)
     train = week_split(spark, folder, zones=False).where("split = 'train'")
     fitted = models.fit_boosted(train, FEATURES, replace(POISSON, loss="quantile", quantile=0.8))
-    return requests.score(forecast._expanded(spark, folder), fitted.predict)
+    return requests.score(forecast.expanded(spark, folder, materialize(event_panel(spark, folder), "history")), fitted.predict)

@@ -8,8 +8,6 @@ source tables becomes a trip.
 
 from __future__ import annotations
 
-import datetime
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidewheel.contract import STAMP_FORMAT, STAGE_COLUMNS
@@ -165,42 +163,49 @@ def year_pool(spark: SparkSession, folder: str, daily: DataFrame | None = None)
     return materialize(chosen, "pool")
 
 
-def year_panel(spark: SparkSession, folder: str) -> DataFrame:
+def year_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Day panel of the pool with calendar columns."""
     daily = year_daily(spark, folder)
-    return panel.zero_filled_panel(year_pool(spark, folder, daily), daily)
+    return with_calendar(panel.day_panel(year_pool(spark, folder, daily), daily), daily)
 
 
-def with_calendar(frame: DataFrame) -> DataFrame:
-    """Calendar columns from a dimension that spans the frame's own days."""
-    bounds = frame.agg(F.min("start_date").alias("first_date"), F.max("start_date").alias("last_date"))
+def with_calendar(frame: DataFrame, daily: DataFrame) -> DataFrame:
+    """Calendar columns from a dimension that spans the days of `daily`."""
+    bounds = daily.agg(F.min("start_date").alias("first_date"), F.max("start_date").alias("last_date"))
     return features.add_calendar(frame, with_holidays(bounds))
 
 
 def year_calendar(spark: SparkSession, folder: str) -> DataFrame:
-    return with_calendar(year_panel(spark, folder))
+    return panel.unfold(year_days(spark, folder))
 
 
 def year_features(spark: SparkSession, folder: str) -> DataFrame:
-    return features.add_cyclical(features.add_prior_year(year_calendar(spark, folder)))
+    return features.add_cyclical(features.add_prior_year(year_days(spark, folder)))
 
 
-def year_split(spark: SparkSession, folder: str) -> DataFrame:
-    """The yearly split, frozen on disk."""
-    return materialize(splits.split_by_period(year_features(spark, folder), YEAR_SPLIT), "split")
+def year_split(spark: SparkSession, folder: str, names: list[str] | None = None) -> DataFrame:
+    """The yearly split, frozen on disk; all features, or only the calendar ones named."""
+    source = year_features(spark, folder) if names is None else year_calendar(spark, folder)
+    return materialize(splits.split_by_period(source, YEAR_SPLIT, features=names), "split")
 
 
 def event_daily(spark: SparkSession, folder: str, zones: bool = False) -> DataFrame:
     return materialize(panel.daily_counts(pool.departures(event_trips(spark, folder, zones))), "daily")
 
 
-def event_counts(spark: SparkSession, folder: str, zones: bool = False) -> DataFrame:
-    """Zero-filled panel of all stations of the month."""
+def event_days(spark: SparkSession, folder: str, zones: bool = False) -> DataFrame:
+    """Day panel of all stations of the month, with calendar columns."""
     daily = event_daily(spark, folder, zones)
+    return with_calendar(panel.day_panel(daily, daily), daily)
+
+
+def event_counts(spark: SparkSession, folder: str) -> DataFrame:
+    daily = event_daily(spark, folder)
     return panel.zero_filled_panel(daily, daily)
 
 
 def event_panel(spark: SparkSession, folder: str, zones: bool = False) -> DataFrame:
-    return with_calendar(event_counts(spark, folder, zones))
+    return panel.unfold(event_days(spark, folder, zones))
 
 
 def week_split(spark: SparkSession, folder: str, zones: bool = True) -> DataFrame:
@@ -208,10 +213,5 @@ def week_split(spark: SparkSession, folder: str, zones: bool = True) -> DataFram
 
     Frozen on disk, as later steps read it more than once.
     """
-    frame = event_panel(spark, folder, zones)
-    frame = features.add_prior_year(frame, "week_of_year", (["hour", "weekday"], ["month"]))
-    return materialize(splits.split_by_period(features.add_cyclical(frame), WEEK_SPLIT, "week_of_year"), "split")
-
-
-def day(text: str) -> datetime.date:
-    return datetime.date.fromisoformat(text)
+    frame = features.add_cyclical(features.add_prior_year(event_days(spark, folder, zones), "week_of_year"))
+    return materialize(splits.split_by_period(frame, WEEK_SPLIT, "week_of_year"), "split")

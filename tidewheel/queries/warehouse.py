@@ -103,8 +103,7 @@ def resolve_user_type(spark: SparkSession, folder: str) -> DataFrame:
 # source ids they were given to are compared.
 @query("fact_surrogate_key", with_ctes("SELECT fact_trip_id, fact_trip_source_id FROM fact", "fact"))
 def fact_surrogate_key(spark: SparkSession, folder: str) -> DataFrame:
-    stage = clean_stage(spark, folder)
-    return facts.build_fact(stage, dimensions.dim_user_type(stage)).select("fact_trip_id", "fact_trip_source_id")
+    return star(spark, folder)["fact_trip"].select("fact_trip_id", "fact_trip_source_id")
 
 
 @query("fact_trip", with_ctes("SELECT * EXCLUDE (fact_trip_id) FROM fact", "fact"))

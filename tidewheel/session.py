@@ -54,3 +54,13 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash `df` over the session's shuffle partitions.
+
+    For rows that are about to unfold into many: such a frame is small in bytes, so
+    adaptive execution would fold it into one task and leave all the work there. An
+    explicit partition count is kept.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)

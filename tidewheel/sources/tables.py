@@ -38,14 +38,16 @@ def create_star(spark: SparkSession, location: str, prefix: str = "") -> list[st
 
 
 def write_partitioned(df: DataFrame, path: str, by: list[str], mode: str = "overwrite",
-                      dynamic: bool = False) -> None:
+                      dynamic: bool = False, gather: bool = True) -> None:
     """Hive-style partitioned Parquet.
 
-    With `dynamic`, only partitions that occur in `df` are replaced. Rows are gathered
-    per partition value first, in pieces that AQE sizes and splits, so that a write
-    makes neither one file per task and value nor one task per hot value.
+    With `dynamic`, only partitions that occur in `df` are replaced. With `gather`, rows
+    are brought together per partition value first, in pieces that AQE sizes and splits,
+    so that many values make neither one file per task and value nor one task per hot
+    value. A handful of values needs no such exchange.
     """
-    (df.hint("rebalance", *map(F.col, by)).write.mode(mode).partitionBy(*by)
+    rows = df.hint("rebalance", *map(F.col, by)) if gather else df
+    (rows.write.mode(mode).partitionBy(*by)
      .option("partitionOverwriteMode", "dynamic" if dynamic else "static").parquet(path))
 
 
