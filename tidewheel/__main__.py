@@ -6,7 +6,7 @@ import argparse
 
 from tidewheel.operators.models import BoostParams
 from tidewheel.plans import service, study, warehouse
-from tidewheel.session import session
+from tidewheel.session import clear_scratch, session
 
 
 def _quantile(text: str) -> float:
@@ -74,6 +74,7 @@ def main(argv: list[str] | None = None) -> None:
         predictions, refusals = service.forecast(spark, args.out, args.name, spark.read.parquet(args.requests))
         predictions.write.mode("overwrite").parquet(f"{args.answers}/predictions")
         refusals.write.mode("overwrite").parquet(f"{args.answers}/refusals")
+    clear_scratch(spark)
 
 
 if __name__ == "__main__":

@@ -8,7 +8,8 @@ from dataclasses import asdict, dataclass, field, replace
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GeneralizedLinearRegression, RandomForestRegressionModel, RandomForestRegressor
+from pyspark.ml.regression import (GeneralizedLinearRegression, GeneralizedLinearRegressionModel,
+                                   RandomForestRegressionModel, RandomForestRegressor)
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidewheel.contract import CALENDAR_FEATURES, CATEGORICAL_FEATURES, PRIOR_FEATURES, TARGET
@@ -26,17 +27,22 @@ _SEASONS = ["winter", "spring", "summer", "fall"]
 
 @dataclass
 class PoissonRegression:
-    model: PipelineModel
+    inputs: PipelineModel
+    model: GeneralizedLinearRegressionModel
 
     def predict(self, df: DataFrame) -> DataFrame:
         ready = df.withColumn("station_id", F.col("station_id").cast("string"))
-        return (self.model.transform(ready).select(*df.columns, clipped(F.col("prediction")).alias("pred"))
+        return (self.model.transform(self.inputs.transform(ready)).select(*df.columns, clipped(F.col("prediction")).alias("pred"))
                 .withColumn("station_id", F.col("station_id").cast(df.schema["station_id"].dataType)))
 
 
 def fit_poisson_glm(train: DataFrame, features: list[str] = CALENDAR_FEATURES, alpha: float = 1.0,
                     max_iter: int = 300) -> PoissonRegression:
-    """One-hot categories, scaled numbers, log link, L2 penalty; unseen categories get zeros."""
+    """One-hot categories, scaled numbers, log link, L2 penalty; unseen categories get zeros.
+
+    The encoded rows are written once, since every iteration of the fit reads them. The
+    solver takes at most 4096 inputs, which a station pool stays far below.
+    """
     categories = [c for c in CATEGORICAL_FEATURES if c in features]
     numbers = [c for c in features if c not in categories]
     indexed, encoded = [f"{c}_index" for c in categories], [f"{c}_onehot" for c in categories]
@@ -46,12 +52,13 @@ def fit_poisson_glm(train: DataFrame, features: list[str] = CALENDAR_FEATURES, a
         VectorAssembler(inputCols=numbers, outputCol="numbers"),
         StandardScaler(inputCol="numbers", outputCol="scaled", withMean=True, withStd=True),
         VectorAssembler(inputCols=[*encoded, "scaled"], outputCol="inputs"),
-        GeneralizedLinearRegression(family="poisson", link="log", featuresCol="inputs", labelCol=TARGET,
-                                    regParam=alpha, maxIter=max_iter),
     ]
     ready = train.select(*features, F.col(TARGET).cast("double").alias(TARGET)).withColumn(
         "station_id", F.col("station_id").cast("string"))
-    return PoissonRegression(Pipeline(stages=stages).fit(ready))
+    inputs = Pipeline(stages=stages).fit(ready)
+    solver = GeneralizedLinearRegression(family="poisson", link="log", featuresCol="inputs", labelCol=TARGET,
+                                         regParam=alpha, maxIter=max_iter)
+    return PoissonRegression(inputs, solver.fit(materialize(inputs.transform(ready).select("inputs", TARGET), "glm")))
 
 
 # --- Boosted trees ---------------------------------------------------------

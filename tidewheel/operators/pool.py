@@ -63,15 +63,15 @@ def station_pool(activity: DataFrame, dim_station: DataFrame, first_by: str, las
 def keep_pool(trips: DataFrame, pool: DataFrame) -> DataFrame:
     """Trips that start at a pool station.
 
-    Safe to broadcast: the pool holds at most n stations per year by construction.
+    The pool is read from files, so Catalyst broadcasts it by its real size.
     """
-    return trips.join(F.broadcast(pool.select("station_id")), "station_id", "left_semi")
+    return trips.join(pool.select("station_id"), "station_id", "left_semi")
 
 
 def pool_flag(trips: DataFrame, pool: DataFrame) -> DataFrame:
     """All trips with a boolean `in_pool`, for accounting in one scan."""
     marks = pool.select("station_id").withColumn("in_pool", F.lit(True))
-    return trips.join(F.broadcast(marks), "station_id", "left").withColumn(
+    return trips.join(marks, "station_id", "left").withColumn(
         "in_pool", F.coalesce("in_pool", F.lit(False)))
 
 

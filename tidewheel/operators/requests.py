@@ -24,21 +24,21 @@ def explode_requests(requests: DataFrame, column: str = "body") -> DataFrame:
     event that carries any of these (as text or object) in `body`. A request without a
     record keeps one row with a null record.
     """
-    event = F.col(column)
+    event, payload = F.col(column), F.col("payload")
     path = F.coalesce(F.get_json_object(event, "$.rawPath"),
                       F.get_json_object(event, "$.requestContext.http.path"), F.lit(""))
-    decoded = requests.select(
+    # one projection per step, so that each text is parsed once and not per use
+    opened = requests.select(
         "request_id", path.alias("path"),
         F.trim(F.coalesce(F.get_json_object(event, "$.body"), event)).alias("payload"))
-    payload = F.col("payload")
-    inner = F.get_json_object(payload, "$.instances")
+    inner = opened.withColumn("inner", F.when(~payload.startswith("["), F.get_json_object(payload, "$.instances")))
     as_list = (F.when(payload.startswith("["), payload)
-               .when(inner.isNotNull(), inner)
-               .otherwise(F.concat(F.lit("["), payload, F.lit("]"))))
-    records = F.from_json(as_list, "array<map<string,string>>")
-    return decoded.select("request_id", _forecast_route(F.col("path"), F.get(records, F.lit(0))).alias("is_forecast"),
-                          F.posexplode_outer(records).alias("position", "record"),
-                          F.when(records.isNull(), NOT_JSON).when(F.size(records) == 0, EMPTY_BODY).alias("body_error"))
+               .otherwise(F.coalesce("inner", F.concat(F.lit("["), payload, F.lit("]")))))
+    parsed = inner.select("request_id", "path", F.from_json(as_list, "array<map<string,string>>").alias("records"))
+    records = F.col("records")
+    return parsed.select("request_id", _forecast_route(F.col("path"), F.get(records, F.lit(0))).alias("is_forecast"),
+                         F.posexplode_outer(records).alias("position", "record"),
+                         F.when(records.isNull(), NOT_JSON).when(F.size(records) == 0, EMPTY_BODY).alias("body_error"))
 
 
 def _forecast_route(path: Column, first_record: Column) -> Column:

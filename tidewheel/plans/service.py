@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidewheel.contract import STAR_COLUMNS
 from tidewheel.functions.calendar import service_holidays
 from tidewheel.operators import models, requests
+from tidewheel.session import materialize
 from tidewheel.sources import exports, records, tables
 
 
@@ -35,11 +36,11 @@ def forecast(spark: SparkSession, out: str, name: str, batch: DataFrame,
     model = models.load(spark, f"{out}/models/{name}")
 
     records_of = requests.explode_requests(batch)
-    checked = requests.validate(records_of.where("is_forecast"), stations)
+    checked = materialize(requests.validate(records_of.where("is_forecast"), stations), "validated")
     expanded = requests.expand(
         requests.accepted(checked), service_holidays(spark) if holidays is None else holidays,
         records.read_lookup(spark, f"{base}/hour_weekday"), records.read_lookup(spark, f"{base}/month"), default)
-    given = requests.given_features(records_of.where("not is_forecast"))
+    given = materialize(requests.given_features(records_of.where("not is_forecast")), "given")
     predictions = requests.score(expanded, model.predict).unionByName(
         requests.score(requests.accepted(given), model.predict))
     return predictions, requests.rejected(checked).unionByName(requests.rejected(given))

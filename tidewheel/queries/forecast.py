@@ -65,6 +65,11 @@ def _stations(spark: SparkSession, folder: str) -> DataFrame:
     return read(spark, folder, "events").select(F.col("user_id").cast("int").alias("station_id")).distinct()
 
 
+def _validated(spark: SparkSession, folder: str) -> DataFrame:
+    """Written once: the accepted and the refused side both read it."""
+    return materialize(requests.validate(_forecasts(spark, folder), _stations(spark, folder)), "validated")
+
+
 _DAY = "strftime(day, '%Y-%m-%d')"
 
 
@@ -95,7 +100,7 @@ def request_envelope(spark: SparkSession, folder: str) -> DataFrame:
     FROM requests WHERE m IN (3, 4, 5, 6, 7, 8, 9) AND m <> 5
     UNION ALL SELECT request_id, 'accepted', position, NULL FROM good""", "requests", "good"))
 def request_validation(spark: SparkSession, folder: str) -> DataFrame:
-    checked = requests.validate(_forecasts(spark, folder), _stations(spark, folder))
+    checked = _validated(spark, folder)
     refused = requests.rejected(checked).select("request_id", F.lit("rejected").alias("outcome"),
                                                 F.lit(None).cast("int").alias("position"), "error")
     passed = requests.accepted(checked).select("request_id", F.lit("accepted").alias("outcome"), "position",
@@ -118,7 +123,7 @@ def direct_requests(spark: SparkSession, folder: str) -> DataFrame:
 
 def expanded(spark: SparkSession, folder: str, history: DataFrame) -> DataFrame:
     """Features of all accepted requests, with lookups from a history panel."""
-    valid = requests.accepted(requests.validate(_forecasts(spark, folder), _stations(spark, folder)))
+    valid = requests.accepted(_validated(spark, folder))
     by_hour, by_month, default = requests.prior_lookups(history)
     by_hour, by_month = materialize(by_hour, "lookup"), materialize(by_month, "lookup")
     holidays = statutory_holidays(history.select("year").distinct())
