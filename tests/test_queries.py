@@ -41,6 +41,18 @@ def test_plans_have_no_products_and_no_python(spark, name):
     assert not re.search("CartesianProduct|BroadcastNestedLoopJoin|EvalPython|MapInPandas", plan)
 
 
+@pytest.mark.parametrize("name", ["star_join_season", "fact_surrogate_key", "prior_year_features", "expand_requests",
+                                  "filter_funnel"])
+def test_results_do_not_depend_on_broadcasts_by_size(spark, con, name):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        assert difference(spark, con, entry.queries()[name], entry.oracle_sql()[name], FOLDER) is None
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_entry_point(spark):
     result = entry.entry(spark)
     assert result.columns == ["dim_date_season", "dim_user_type_name", "trips", "avg_min"] and result.count() > 0

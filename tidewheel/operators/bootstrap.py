@@ -43,7 +43,7 @@ def replicate_gaps(df: DataFrame, gap: str, key: list[str], replicates: int = 20
     """
     blocks = math.ceil(replicates / _PER_DIGEST)
     row_text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in key], F.lit(""))
-    unfolded = spread(df, *key).select(F.col(gap).alias("d"), row_text.alias("row_text"),
+    unfolded = spread(df).select(F.col(gap).alias("d"), row_text.alias("row_text"),
                          F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
     digest = F.md5(F.concat("row_text", F.col("block").cast("string")).cast("binary"))
     drawn = unfolded.select("d", "block", digest.alias("h")).select(

@@ -66,11 +66,12 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash `df` over the session's shuffle partitions.
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of `df` out evenly over the session's shuffle partitions.
 
     For rows that are about to unfold into many: such a frame is small in bytes, so
     adaptive execution would fold it into one task and leave all the work there. An
-    explicit partition count is kept.
+    explicit partition count is kept, and without keys no earlier exchange on the same
+    keys can stand in for it.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
