@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewheel.llm import language, packing, token_counts, url_filter
+from tidewheel.llm import language, ngram_join, packing, token_counts, url_filter
 from tidewheel.queries.registry import query
 
 #: The rules that pages are judged by.
@@ -66,3 +66,29 @@ def packed(docs: DataFrame) -> DataFrame:
 @query("op9_best_fit_packing")
 def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed(read(spark, folder, "documents"))
+
+
+NGRAM_SQL = r"""
+WITH RECURSIVE numbered AS (SELECT doc_id, text, row_number() OVER () AS n FROM documents),
+tokens AS (
+  SELECT n, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM numbered),
+grams AS (
+  SELECT DISTINCT n, doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+         ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM tokens),
+sizes AS (SELECT n, any_value(doc_id) AS doc_id, count(*) AS size FROM grams GROUP BY n),
+common AS (
+  SELECT a.n AS n, b.n AS m, count(*) AS overlap FROM grams a JOIN grams b ON a.g = b.g AND a.n <> b.n
+  GROUP BY a.n, b.n),
+links AS (
+  SELECT o.n, o.m FROM common o JOIN sizes a ON a.n = o.n JOIN sizes b ON b.n = o.m
+  WHERE 100 * overlap >= 80 * (a.size + b.size - overlap)),
+reach(n, m) AS (SELECT n, n FROM numbered UNION SELECT r.n, l.m FROM reach r JOIN links l ON l.n = r.m)
+SELECT any_value(x.doc_id) AS doc_id, coalesce(any_value(s.size), 0) AS n_shingles, min(y.doc_id) AS component_id
+FROM reach r JOIN numbered x ON x.n = r.n JOIN numbered y ON y.n = r.m LEFT JOIN sizes s ON s.n = r.n GROUP BY r.n
+"""
+
+
+@query("op4_ngram_join", NGRAM_SQL)
+def ngram_join_query(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.link(read(spark, folder, "documents"))
