@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewheel.llm import language, ngram_join, packing, token_counts, url_filter
+from tidewheel.llm import language, lm_scoring, ngram_join, packing, token_counts, url_filter
 from tidewheel.queries.registry import query
 
 #: The rules that pages are judged by.
@@ -92,3 +92,44 @@ FROM reach r JOIN numbered x ON x.n = r.n JOIN numbered y ON y.n = r.m LEFT JOIN
 @query("op4_ngram_join", NGRAM_SQL)
 def ngram_join_query(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.link(read(spark, folder, "documents"))
+
+
+#: CRC-32 of a number's decimal text, bit by bit.
+CRC_SQL = """xor(4294967295::BIGINT, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(coalesce(doc_id::VARCHAR, 'null'), ''),
+                                                    lambda c: ascii(c)::BIGINT)),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)),
+                             lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))"""
+
+LM_SQL = r"""
+WITH rows_in AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS n FROM documents),
+crc AS (SELECT n, doc_id, text, {crc} % 10 = 0 AS held FROM rows_in),
+listed AS (
+  SELECT n, held, list_append(list_transform(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), lambda w: 'w' || w), 'end') AS w FROM crc),
+tokens AS (
+  SELECT n, held, w[i] AS w, CASE WHEN i = 1 THEN 'start' ELSE w[i - 1] END AS h
+  FROM (SELECT n, held, w, unnest(range(1, len(w) + 1)) AS i FROM listed)),
+one AS (SELECT w, count(*) AS c FROM tokens WHERE NOT held GROUP BY w),
+two AS (SELECT h, w, count(*) AS c FROM tokens WHERE NOT held GROUP BY h, w),
+history AS (SELECT h, sum(c) AS c FROM two GROUP BY h),
+total AS (SELECT sum(c) AS tokens, sum(c) + 0.1::DOUBLE * (count(*) + 1) AS norm FROM one),
+each AS (
+  SELECT n, held, coalesce(one.c, 0) AS c1, coalesce(two.c, 0) AS c2, coalesce(history.c, 0) AS ch, norm
+  FROM tokens t LEFT JOIN one ON one.w = t.w LEFT JOIN two ON two.w = t.w AND two.h = t.h
+  LEFT JOIN history ON history.h = t.h CROSS JOIN total),
+strengths AS (SELECT unnest([{strengths}]::DOUBLE[]) AS s),
+best AS (
+  SELECT s FROM each CROSS JOIN strengths WHERE NOT held GROUP BY s
+  ORDER BY sum(log10((c2 - 1 + s * (c1 - 1 + 0.1::DOUBLE) / norm) / (ch - 1 + s))) DESC LIMIT 1)
+SELECT any_value(doc_id) AS doc_id, any_value(crc.held) AS held_out, count(*) AS n_tokens,
+       count(*) FILTER (c1 > 0) AS n_known, any_value(total.tokens)::BIGINT AS train_tokens,
+       round(sum(log10((c1 + 0.1::DOUBLE) / each.norm)), 6) AS base_score,
+       round(sum(log10((c2 + best.s * (c1 + 0.1::DOUBLE) / each.norm) / (ch + best.s))), 6) AS score
+FROM each JOIN crc USING (n) CROSS JOIN best CROSS JOIN total GROUP BY n
+""".replace("{crc}", CRC_SQL).replace("{strengths}", ", ".join(map(str, lm_scoring.STRENGTHS)))
+
+
+@query("op6_lm_scoring", LM_SQL)
+def lm_scoring_query(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_scoring.score(read(spark, folder, "documents"))
