@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewheel.llm import language, lm_scoring, ngram_join, packing, token_counts, url_filter
+from tidewheel.llm import language, lm_scoring, ngram_join, packing, passages, token_counts, url_filter
 from tidewheel.queries.registry import query
 
 #: The rules that pages are judged by.
@@ -133,3 +133,8 @@ FROM each JOIN crc USING (n) CROSS JOIN best CROSS JOIN total GROUP BY n
 @query("op6_lm_scoring", LM_SQL)
 def lm_scoring_query(spark: SparkSession, folder: str) -> DataFrame:
     return lm_scoring.score(read(spark, folder, "documents"))
+
+
+@query("op3_compact_windows")
+def compact_windows(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.repeated(read(spark, folder, "documents")).drop("text_hash")
