@@ -171,7 +171,7 @@ def verified(a: np.ndarray, b: np.ndarray, hits: np.ndarray, least: int, percent
     for _, at_a, at_b in hits.tolist():
         if any(p <= at_a < q and s <= at_b < t for p, q, s, t, _ in found):
             continue
-        for penalty in (4, 8):
+        for penalty in (4, 8, len(b) + len(a)):  # the last one allows nothing but shared n-grams
             run = (*grow(in_a, at_a, penalty), *grow(in_b, at_b, penalty))
             if run in tried:
                 continue
