@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewheel.llm import language, lm_scoring, ngram_join, packing, passages, token_counts, url_filter
+from tidewheel.llm import language, lm_scoring, mixing, ngram_join, packing, passages, token_counts, url_filter
 from tidewheel.queries.registry import query
 
 #: The rules that pages are judged by.
@@ -138,3 +138,56 @@ def lm_scoring_query(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_compact_windows")
 def compact_windows(spark: SparkSession, folder: str) -> DataFrame:
     return passages.repeated(read(spark, folder, "documents")).drop("text_hash")
+
+
+#: The least exponent under which no source is seen more than 1.25 times in a budget of 0.9 of all tokens.
+MIX = {"budget_share": 0.9, "max_epochs": 1.25}
+
+
+def _search_sql(turn: int) -> str:
+    """One step of the search for the exponent, as the operator takes it."""
+    before = "(SELECT 0.0::DOUBLE AS low, 0.25::DOUBLE AS step)" if turn == 0 else f"t{turn - 1}"
+    first = 0 if turn == 0 else 1
+    return f"""
+t{turn} AS (
+  SELECT any_value(low) + (coalesce(min(i) FILTER (peak * 0.9 <= 1.25 OR exponent >= 1), 32) - 1) * any_value(step) AS low,
+         any_value(step) / 32 AS step
+  FROM (SELECT i, low, step, low + i * step AS exponent, max(pow(share, low + i * step) / share)
+               / sum(pow(share, low + i * step)) AS peak
+        FROM shares CROSS JOIN {before} CROSS JOIN (SELECT unnest(range({first}, 33)) AS i) WHERE share > 0
+        GROUP BY i, low, step))"""
+
+
+_HEX = """list_reduce(list_prepend(0::BIGINT, list_transform(string_split(substr({key}, 1, 8), ''),
+          lambda c: (instr('0123456789abcdef', c) - 1)::BIGINT)), lambda a, b: a * 16 + b)"""
+
+MIX_SQL = r"""
+WITH narrow AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n_tokens,
+         coalesce(doc_id::VARCHAR, 'null') AS id, row_number() OVER () AS n FROM documents),
+totals AS (SELECT source, sum(n_tokens)::BIGINT AS tokens, count(*) AS documents FROM narrow GROUP BY source),
+shares AS (SELECT *, tokens / sum(tokens) OVER ()::DOUBLE AS share FROM totals),""" + ",".join(
+    _search_sql(i) for i in range(mixing.ROUNDS)) + r""",
+weights AS (
+  SELECT source, tokens, ceil(documents / 4096)::BIGINT AS blocks,
+         round(pow(share, low + step * 32) / sum(pow(share, low + step * 32)) OVER (), 9) AS weight,
+         floor(sum(tokens) OVER () * 0.9) AS budget FROM shares CROSS JOIN t5),
+sources AS (
+  SELECT source, blocks, weight, floor(weight * budget)::BIGINT // tokens AS full_passes,
+         floor(weight * budget)::BIGINT % tokens AS rest FROM weights),
+epochs AS (
+  SELECT *, md5('0:' || epoch || ':' || id) AS key
+  FROM (SELECT *, unnest(range(0, full_passes + 1)) AS epoch
+        FROM narrow JOIN sources ON narrow.source IS NOT DISTINCT FROM sources.source)),
+dealt AS (SELECT *, {hex} % blocks AS block FROM epochs),
+running AS (
+  SELECT *, sum(n_tokens) OVER (PARTITION BY source, epoch ORDER BY block, key, doc_id, n_tokens) AS so_far FROM dealt)
+SELECT doc_id, source, n_tokens, weight, epoch, block,
+       row_number() OVER (PARTITION BY source, epoch, block ORDER BY key, doc_id, n_tokens)::INTEGER AS place
+FROM running WHERE epoch < full_passes OR (rest > 0 AND so_far <= rest)
+""".replace("{hex}", _HEX.format(key="key"))
+
+
+@query("op2_temperature_mixing", MIX_SQL)
+def temperature_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(read(spark, folder, "documents"), **MIX)
