@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewheel.llm import language, lm_scoring, mixing, ngram_join, packing, passages, token_counts, url_filter
+from tidewheel.llm import hamming, language, lm_scoring, mixing, ngram_join, packing, passages, token_counts, url_filter
 from tidewheel.queries.registry import query
 
 #: The rules that pages are judged by.
@@ -191,3 +191,21 @@ FROM running WHERE epoch < full_passes OR (rest > 0 AND so_far <= rest)
 @query("op2_temperature_mixing", MIX_SQL)
 def temperature_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(read(spark, folder, "documents"), **MIX)
+
+
+HAMMING_SQL = """
+WITH codes AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: x > 0) AS code FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT DISTINCT q.vec_id AS query_id, c.vec_id, len(list_filter(list_zip(q.code, c.code), lambda p: p[1] <> p[2])) AS distance
+  FROM codes q JOIN codes c ON len(q.code) = len(c.code) AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, (row_number() OVER best)::INTEGER AS rank, vec_id, distance FROM pairs
+WINDOW best AS (PARTITION BY query_id ORDER BY distance, vec_id) QUALIFY row_number() OVER best <= 10
+"""
+
+
+@query("op7_hamming_topk", HAMMING_SQL)
+def hamming_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return hamming.search(read(spark, folder, "embeddings"))
