@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewheel.llm import hamming, language, lm_scoring, mixing, ngram_join, packing, passages, token_counts, url_filter
+from tidewheel.llm import hamming, language, lm_scoring, mixing, near_vectors, ngram_join, packing, passages, token_counts, url_filter
 from tidewheel.queries.registry import query
 
 #: The rules that pages are judged by.
@@ -209,3 +209,24 @@ WINDOW best AS (PARTITION BY query_id ORDER BY distance, vec_id) QUALIFY row_num
 @query("op7_hamming_topk", HAMMING_SQL)
 def hamming_topk(spark: SparkSession, folder: str) -> DataFrame:
     return hamming.search(read(spark, folder, "embeddings"))
+
+
+VECTOR_SQL = """
+WITH RECURSIVE numbered AS (SELECT vec_id, label, embedding::DOUBLE[] AS e, row_number() OVER () AS n FROM embeddings),
+usable AS (
+  SELECT * FROM numbered WHERE label IS NOT NULL AND len(list_filter(e, lambda x: x <> 0)) > 0
+  AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+links AS (
+  SELECT a.n, b.n AS m FROM usable a JOIN usable b ON a.label = b.label AND a.n <> b.n AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach(n, m) AS (SELECT n, n FROM numbered UNION SELECT r.n, l.m FROM reach r JOIN links l ON l.n = r.m),
+roots AS (SELECT r.n, min(y.vec_id) AS component_id FROM reach r JOIN numbered y ON y.n = r.m GROUP BY r.n),
+degrees AS (SELECT n, count(*) AS n_links FROM links GROUP BY n)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM numbered JOIN roots USING (n) LEFT JOIN degrees USING (n)
+"""
+
+
+@query("op10_product_quantisation", VECTOR_SQL)
+def product_quantisation(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors.near_duplicates(read(spark, folder, "embeddings"))
