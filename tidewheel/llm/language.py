@@ -134,37 +134,55 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("null")).cast("binary")) % 4 == 2
 
 
-def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str = "doc_id",
-            text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, lang_pred and score, the largest cosine, not below 0.
-
-    `und` with score 0 where the text is null or has no letter, or where nothing was learned. Of equal cosines the
-    first language by name wins. Whole texts count; repeated rows are predicted alike.
-    """
+def annotate(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str, pred: str, score: str) -> DataFrame:
+    """`docs` with two more columns, the predicted language and its score."""
     languages, prototypes = model
-    dimensions = prototypes.shape[1] if len(languages) else DIMENSIONS
-    wide = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    dimensions = prototypes.shape[1]
     names = [*languages, "und"]
 
     def compare(batches):
-        for batch in blocks(batches, limit=BLOCK):
-            grams, first = trigrams(batch.column("text").to_pylist())
+        for batch in blocks(batches, text_col, BLOCK):
+            grams, first = trigrams(batch.column(text_col).to_pylist())
             row = np.repeat(np.arange(batch.num_rows), np.diff(first))
             vectors = bundles(grams, row, batch.num_rows, dimensions).astype(np.float64)
             norms = np.linalg.norm(vectors, axis=1)
             known = (norms > 0) & (len(languages) > 0)
-            cosine = (vectors @ prototypes.T if len(languages) else np.zeros((len(vectors), 1)))
+            cosine = vectors @ prototypes.T if len(languages) else np.zeros((len(vectors), 1))
             cosine /= np.where(norms > 0, norms, 1)[:, None]
             best = np.where(known, cosine.argmax(axis=1), len(languages))
-            score = np.where(known, np.clip(cosine.max(axis=1), 0, 1), 0.0)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([names[i] for i in best.tolist()]), pa.array(score)],
-                ["doc_id", "lang_pred", "score"])
+            top = np.where(known, np.clip(cosine.max(axis=1), 0, 1), 0.0)
+            yield batch.append_column(pred, pa.array([names[i] for i in best.tolist()], pa.string())).append_column(
+                score, pa.array(top))
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    return docs.mapInArrow(compare, f"{fields}, `{pred}` string, `{score}` double")
+
 
-    return wide.mapInArrow(compare, "doc_id long, lang_pred string, score double")
+def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str = "doc_id",
+            text_col: str = "text") -> DataFrame:
+    """Per row: doc_id, lang_pred and score, the largest cosine, not below 0.
+
+    `und` with score 0 where the text is null or has no letter, or where nothing was learned. Of equal cosines the
+    first language by name wins. Whole texts count; repeated rows are predicted alike. Other columns are dropped.
+    """
+    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return annotate(narrow, model, "text", "lang_pred", "score").select("doc_id", "lang_pred", "score")
 
 
 def identify(docs: DataFrame, dimensions: int = DIMENSIONS) -> DataFrame:
     """Learn from the documents that are not held out, predict all: doc_id, held_out, lang_pred, score."""
     model = fit(docs.where(~held_out(F.col("doc_id"))), dimensions)
     return predict(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def keep_identified(docs: DataFrame, dimensions: int = DIMENSIONS) -> DataFrame:
+    """`docs`, with all its columns, without the rows whose language is `und`; see `predict`.
+
+    Where no row has a language to learn from, nothing can be told and every row stays.
+    """
+    model = fit(docs.where(~held_out(F.col("doc_id"))), dimensions)
+    if not model[0]:
+        return docs
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    judged = annotate(plain, model, f"c{docs.columns.index('text')}", "lang_pred", "score")
+    return judged.where("lang_pred <> 'und'").drop("lang_pred", "score").toDF(*docs.columns)

@@ -73,8 +73,9 @@ class Order:
 
 
 def _survey(docs: DataFrame, size: int) -> DataFrame:
-    """One pass over the texts: doc_id, n and fp of every row, and every task's part of the sketch."""
-    schema = "doc_id long, n long, fp long, part int, loads binary"
+    """One pass over the texts: doc_id, text_hash, n and fp of every row, and every task's part of the sketch."""
+    schema = "doc_id long, text_hash long, n long, fp long, part int, loads binary"
+    names = ["doc_id", "text_hash", "n", "fp", "part", "loads"]
 
     def look(batches):
         load = np.zeros(1 << SKETCH_BITS, np.int64)
@@ -84,17 +85,16 @@ def _survey(docs: DataFrame, size: int) -> DataFrame:
             n = np.diff(first)
             nothing = pa.nulls(len(n))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n), pa.array(prints, mask=n == 0), nothing.cast(pa.int32()),
-                 nothing.cast(pa.binary())], ["doc_id", "n", "fp", "part", "loads"])
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(n), pa.array(prints, mask=n == 0),
+                 nothing.cast(pa.int32()), nothing.cast(pa.binary())], names)
         if load.any():
             kind = np.uint16 if load.max() < 1 << 16 else np.uint64
             parts = [p.astype(kind).tobytes() for p in np.split(load, SKETCH_PARTS)]
             nothing = pa.nulls(SKETCH_PARTS, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [nothing, nothing, nothing, pa.array(range(SKETCH_PARTS), pa.int32()), pa.array(parts, pa.binary())],
-                ["doc_id", "n", "fp", "part", "loads"])
+                [*[nothing] * 4, pa.array(range(SKETCH_PARTS), pa.int32()), pa.array(parts, pa.binary())], names)
 
-    return materialize(docs.mapInArrow(look, schema), "survey")
+    return materialize(docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(look, schema), "survey")
 
 
 def _order(survey: DataFrame) -> Order:
@@ -208,19 +208,11 @@ def _links(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
                        .select("a", "b"), "links")
 
 
-def link(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id",
-         text_col: str = "text") -> DataFrame:
-    """Per row of `docs`: doc_id, n_shingles and component_id, the smallest doc_id it is connected with.
-
-    Documents are linked when 100 * intersection >= percent * union of their sets of `size`-word n-grams. A shorter
-    text is one n-gram; a null text or one without words has none, is linked with nothing and is its own component.
-    Repeated rows are copies of each other. A null id takes part, but no component is named after it unless it has no
-    other. Columns other than id and text are dropped; an empty table gives an empty result.
-    """
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    survey = _survey(narrow, size)
+def _linked(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The survey's rows, and for every class the first document of its component, by id, those without one last."""
+    survey = _survey(docs, size)
     shared = docs.sparkSession.sparkContext.broadcast(_order(survey))
-    prefixes = _prefixes(narrow, size, percent, shared)
+    prefixes = _prefixes(docs, size, percent, shared)
     edges, roots = [], None
     for turn in range(PIVOTS + 1):
         rows = _unlinked(prefixes, roots)
@@ -238,26 +230,60 @@ def link(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_i
         met = met.where(_possible(percent, F.col("pivot.n"), F.col("pivot.p"), F.col("member.n"), F.col("member.p")))
         pairs = _pairs(met, "pivot", "member")
         if pairs.isEmpty():
-            if turn < PIVOTS:
-                continue
-            break
-        links = _links(pairs, _segments(narrow, survey, pairs, size, shared), percent)
+            continue
+        links = _links(pairs, _segments(docs, survey, pairs, size, shared), percent)
         if not links.isEmpty():
             edges.append(links)
             roots = materialize(components(functools.reduce(DataFrame.unionByName, edges)), "roots")
-    return _named(survey, roots)
-
-
-def _named(survey: DataFrame, roots: DataFrame | None) -> DataFrame:
-    rows = survey.where("part is null").select("doc_id", "n", "fp")
-    classes = rows.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("first"))
+    rows = survey.where("part is null").select("doc_id", "text_hash", "n", "fp")
+    head = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash"))
+    classes = rows.where("fp is not null").groupBy("fp").agg(head.alias("head"))
     if roots is not None:
         classes = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     else:
         classes = classes.withColumn("root", F.lit(None).cast("long"))
     classes = materialize(classes.withColumn("root", F.coalesce("root", "fp")), "classes")
-    names = classes.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = materialize(classes.join(names, "root").select("fp", "component_id"), "names")
-    return rows.join(named, "fp", "left").select(
+    heads = classes.groupBy("root").agg(F.min("head").alias("head"))
+    return rows, materialize(classes.drop("head").join(heads, "root").select(
+        "fp", F.col("head.doc_id").alias("first"), F.col("head.text_hash").alias("first_hash")), "heads")
+
+
+def link(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id",
+         text_col: str = "text") -> DataFrame:
+    """Per row of `docs`: doc_id, n_shingles and component_id, the smallest doc_id it is connected with.
+
+    Documents are linked when 100 * intersection >= percent * union of their sets of `size`-word n-grams. A shorter
+    text is one n-gram; a null text or one without words has none, is linked with nothing and is its own component.
+    Repeated rows are copies of each other. A null id takes part, but no component is named after it unless it has no
+    other. Columns other than id and text are dropped; an empty table gives an empty result.
+    """
+    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows, heads = _linked(narrow, size, percent)
+    return rows.join(heads, "fp", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+        F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("first")).alias("component_id"))
+
+
+def keep_first(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """`docs`, with all its columns, without all but the first document of each component; see `link`.
+
+    The first has the smallest id, or the smallest hash of its text among equal ids. Of rows that are equal in id and
+    text one stays. Documents without words are linked with nothing, so they all stay.
+    """
+    rows, heads = _linked(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                                      F.col("text").cast("string").alias("text")), size, percent)
+    is_first = F.col("doc_id").eqNullSafe(F.col("first")) & (F.col("text_hash") == F.col("first_hash"))
+    judged = rows.where("fp is not null").join(heads, "fp").groupBy("doc_id", "text_hash").agg(
+        F.max(is_first).alias("stays"), F.count("*").alias("times"))
+    judged = materialize(judged.where("not stays or times > 1").select(
+        F.col("doc_id").alias("key_id"), F.col("text_hash").alias("key_hash"), "stays"), "judged")
+    side = F.broadcast(judged) if judged.count() <= BROADCAST_IDS else judged
+    same = F.col("doc_id").eqNullSafe(F.col("key_id")) & (F.xxhash64("text") == F.col("key_hash"))
+    kept = docs.join(side, same, "left_anti")
+    if judged.where("stays").isEmpty():
+        return kept
+    names = docs.columns
+    again = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
+    again = again.join(side.where("stays"), F.col("row.doc_id").eqNullSafe(F.col("key_id"))
+                       & (F.xxhash64("row.text") == F.col("key_hash")))
+    return kept.unionByName(again.groupBy("key_id", "key_hash").agg(F.min("row").alias("row")).select("row.*"))

@@ -286,7 +286,8 @@ def without_repeats(docs: DataFrame, spans: DataFrame) -> DataFrame:
     cuts = spans.groupBy("doc_id", "text_hash").agg(
         F.collect_set(F.array("start_word", "end_word")).alias("cuts"))
     cuts = materialize(cuts.withColumnRenamed("doc_id", "cut_id").withColumnRenamed("text_hash", "cut_hash"), "cuts")
-    side = F.broadcast(cuts) if cuts.agg(F.sum(F.size("cuts") + 2)).first()[0] or 0 <= BROADCAST_IDS else cuts
+    weight = cuts.agg(F.coalesce(F.sum(F.size("cuts") + 1), F.lit(0))).first()[0]
+    side = F.broadcast(cuts) if weight <= BROADCAST_IDS else cuts
     at = docs.columns.index("text")
     names = [f"c{i}" for i in range(len(docs.columns))]
     plain = docs.toDF(*names)

@@ -230,3 +230,10 @@ FROM numbered JOIN roots USING (n) LEFT JOIN degrees USING (n)
 @query("op10_product_quantisation", VECTOR_SQL)
 def product_quantisation(spark: SparkSession, folder: str) -> DataFrame:
     return near_vectors.near_duplicates(read(spark, folder, "embeddings"))
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
