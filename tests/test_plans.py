@@ -81,3 +81,13 @@ def test_failed_checks_stop_the_flow(spark):
     report = spark.createDataFrame([("a", "ok"), ("b", "FAIL")], "check string, status string")
     with pytest.raises(warehouse.FailedChecks, match="'b'"):
         warehouse.require_ok(report, "demo")
+
+
+def test_a_failed_suite_stops_before_the_export(spark, network, tmp_path, monkeypatch):
+    lost = spark.createDataFrame([("dim_bike", 1, "FAIL")], "dimension string, orphans int, status string")
+    warned = spark.createDataFrame([(warehouse.WARNINGS[0], 3, "FAIL")], "check string, violations int, status string")
+    monkeypatch.setattr(warehouse, "confirm", lambda _: {"fact": warned, "orphans": lost})
+    folders = {"2019": f"{network}/raw/2019/*.csv"}
+    with pytest.raises(warehouse.FailedChecks, match="orphans"):
+        warehouse.build(spark, folders, f"{tmp_path}/warehouse", f"{tmp_path}/export")
+    assert not (tmp_path / "export").exists()

@@ -43,6 +43,9 @@ def test_envelopes(spark, body, hours):
     ({**GOOD, "hour": 24}, "hour must be 0-23, got 24"),
     ({**GOOD, "hour": -1}, "hour must be 0-23, got -1"),
     ({**GOOD, "hour": "five"}, "bad field: hour"),
+    ({**GOOD, "hour": "8.7"}, "bad field: hour"),
+    ({**GOOD, "station_id": "7000.9"}, "bad field: station_id"),
+    ({**GOOD, "hour": [8]}, "bad field: hour"),
     ({**GOOD, "hour": None}, "bad field: hour"),
     ({**GOOD, "date": "2023-02-30"}, "bad field: date"),
     ({**GOOD, "date": "19/07/2023"}, "bad field: date"),
@@ -113,3 +116,21 @@ def test_station_list(spark):
     got = requests.service_stations(pool, names, 2022).collect()
     assert [(r.station_id, r.station_name, r.target_year) for r in got] == [
         (1, "Bay St / King", 2023), (2, "Quay", 2023), (3, "3", 2023)]
+
+
+def test_numbers_lose_their_fraction_and_texts_keep_it(spark):
+    ok = requests.accepted(judged(spark, {**GOOD, "hour": 8.7, "station_id": " 7000 "})).collect()
+    assert [(r.station_id, r.hour) for r in ok] == [(7000, 8)]
+
+
+def test_direct_values_are_read_or_refused(spark):
+    full = {n: 1 for n in CALENDAR_FEATURES + PRIOR_FEATURES} | {"season": "fall"}
+    less = {n: v for n, v in full.items() if n != "month_cos"}
+    bodies = [full, {**full, "hour": "abc"}, {**full, "month_sin": "xyz"}, [full, less], [less, less],
+              {**full, "hour_sin": None}, {**full, "weekday": "2"}]
+    given = requests.given_features(batch(spark, *[{"instances": b if isinstance(b, list) else [b]} for b in bodies]))
+    got = {(r.request_id, r.position): (r.error, r.month_cos, r.hour_sin, r.weekday) for r in given.collect()}
+    assert got == {(0, 0): (None, 1.0, 1.0, 1), (1, 0): ("bad field: hour", 1.0, 1.0, 1),
+                   (2, 0): ("bad field: month_sin", 1.0, 1.0, 1), (3, 0): (None, 1.0, 1.0, 1), (3, 1): (None, None, 1.0, 1),
+                   (4, 0): ("missing features: month_cos", None, 1.0, 1), (4, 1): ("missing features: month_cos", None, 1.0, 1),
+                   (5, 0): (None, 1.0, None, 1), (6, 0): (None, 1.0, 1.0, 2)}

@@ -30,6 +30,28 @@ def test_years_with_and_without_bom(spark, tmp_path):
     assert {r.source_year: r.raw_lines for r in csvs.raw_line_counts(spark, folders).collect()} == {"2019": 3, "2020": 1}
 
 
+def test_carriage_returns_and_blank_lines_are_no_rows(spark, tmp_path):
+    (tmp_path / "2019").mkdir()
+    body = [HEADER, LINE.format(id=1) + "\r", "", LINE.format(id=2), "  ", LINE.format(id=3)]
+    (tmp_path / "2019" / "a.csv").write_bytes("\r\n".join(body).encode() + b"\r\n\r\n")
+    folders = {"2019": f"{tmp_path}/2019/*.csv"}
+    got = csvs.read_years(spark, folders).select("trip_id", "user_type").collect()
+    assert sorted((r.trip_id, r.user_type.rstrip("\r")) for r in got) == [("1", "Annual Member"), ("2", "Annual Member"), ("3", "Annual Member")]
+    assert [r.raw_lines for r in csvs.raw_line_counts(spark, folders).collect()] == [3]
+
+
+def test_files_of_a_year_may_order_their_headers_differently(spark, tmp_path):
+    write(tmp_path / "2019" / "a.csv", [HEADER, LINE.format(id=1)])
+    names, values = HEADER.split(","), LINE.format(id=2).split(",")
+    turned = list(reversed(range(len(names))))
+    write(tmp_path / "2019" / "b.csv", [",".join(names[i] for i in turned), ",".join(values[i] for i in turned)], bom=True)
+    got = csvs.read_raw_csv(spark, f"{tmp_path}/2019/*.csv").drop("trip_id").distinct().collect()
+    assert len(got) == 1 and got[0].trip_duration == "730" and got[0].user_type == "Annual Member"
+    write(tmp_path / "2019" / "c.csv", [HEADER.replace(",Bike Id", ""), "1,2,3,4,5,6,7,8,9"])
+    with pytest.raises(ValueError, match="c.csv lacks .*bike_id"):
+        csvs.read_raw_csv(spark, f"{tmp_path}/2019/*.csv")
+
+
 def test_missing_header_is_named(spark, tmp_path):
     write(tmp_path / "2019" / "a.csv", [HEADER.replace(",Bike Id", ""), "1,2,3,4,5,6,7,8,9"])
     with pytest.raises(ValueError, match="bike_id"):
@@ -68,6 +90,10 @@ def test_swap_reads_its_own_table_and_drops_emptied_partitions(spark, tmp_path):
     tables.register_partitions(spark, "swap_me")
     tables.swap_table(spark.table("swap_me").where("trip_id = '1'"), "swap_me", STAGE_PARTITIONS, root=location)
     assert [r.trip_id for r in spark.table("swap_me").collect()] == ["1"]
+    assert not (tmp_path / "stage").exists()  # the folder it replaced
+    again = tables.swap_table(spark.table("swap_me").withColumn("model", F.lit("m")), "swap_me", STAGE_PARTITIONS)
+    assert [(r.trip_id, r.model) for r in spark.table("swap_me").collect()] == [("1", "m")]
+    assert spark.read.parquet(again).count() == 1
 
 
 def test_export_manifest_reconciles_and_notices_loss(spark, tmp_path):

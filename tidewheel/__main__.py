@@ -25,6 +25,7 @@ def _parser() -> argparse.ArgumentParser:
     build.add_argument("--years", required=True, nargs="+")
     build.add_argument("--warehouse", required=True)
     build.add_argument("--export", required=True)
+    build.add_argument("--holidays", help="Parquet table with a date column `holiday`; else Ontario's by rule")
 
     prepare = steps.add_parser("prepare", help="export -> pool, panel, features, frozen split")
     prepare.add_argument("--export", required=True)
@@ -49,15 +50,17 @@ def _parser() -> argparse.ArgumentParser:
     forecast.add_argument("--name", required=True)
     forecast.add_argument("--requests", required=True, help="Parquet table")
     forecast.add_argument("--answers", required=True)
+    forecast.add_argument("--holidays", help="the table that the warehouse was built with")
     return parser
 
 
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = session(f"tidewheel {args.step}")
+    holidays = spark.read.parquet(args.holidays) if getattr(args, "holidays", None) else None
     if args.step == "build":
         folders = {year: f"{args.raw}/{year}/*.csv" for year in args.years}
-        for name, report in warehouse.build(spark, folders, args.warehouse, args.export).items():
+        for name, report in warehouse.build(spark, folders, args.warehouse, args.export, holidays).items():
             print(name)
             report.show(100, truncate=False)
     elif args.step == "prepare":
@@ -71,7 +74,8 @@ def main(argv: list[str] | None = None) -> None:
     elif args.step == "lookups":
         service.build_lookups(spark, args.out, args.export, args.history_year)
     else:
-        predictions, refusals = service.forecast(spark, args.out, args.name, spark.read.parquet(args.requests))
+        predictions, refusals = service.forecast(
+            spark, args.out, args.name, spark.read.parquet(args.requests), holidays)
         predictions.write.mode("overwrite").parquet(f"{args.answers}/predictions")
         refusals.write.mode("overwrite").parquet(f"{args.answers}/refusals")
     clear_scratch(spark)

@@ -51,12 +51,18 @@ def good_friday(year: Column) -> Column:
 
 
 def statutory_days(year: Column) -> Column:
-    """Array of the Ontario statutory holidays of one year."""
+    """Array of the Ontario statutory holidays of one year, with the days on which they are observed.
+
+    New Year's Day on a weekend is observed on the Monday after it; Christmas on a Saturday, and Boxing Day with it,
+    on the Monday and the Tuesday.
+    """
     def on(month: int, day: int) -> Column:
         return F.make_date(year, F.lit(month), F.lit(day))
 
+    new_year, christmas = F.dayofweek(on(1, 1)), F.dayofweek(on(12, 25))
     return F.array_compact(F.array(
         on(1, 1),
+        F.when(new_year == 1, on(1, 2)).when(new_year == 7, on(1, 3)),
         F.when(year >= 2008, _nth_monday(year, 2, 3)),   # Family Day
         good_friday(year),
         F.date_sub(F.next_day(on(5, 24), "Mon"), 7),     # Monday before 25 May
@@ -65,6 +71,8 @@ def statutory_days(year: Column) -> Column:
         _nth_monday(year, 10, 2),
         on(12, 25),
         on(12, 26),
+        F.when(christmas == 7, on(12, 27)),
+        F.when(christmas == 7, on(12, 28)),
     ))
 
 

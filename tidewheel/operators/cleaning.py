@@ -12,12 +12,13 @@ from tidewheel.functions import stamps, text
 
 
 def key_rules() -> dict[str, Column]:
-    """One condition per key column; a null condition counts as broken.
+    """One condition per key column; a null condition counts as broken, as does a number beyond the key's type.
 
     Casts are the `try_` kind throughout: conditions joined by `&` are not evaluated in
     a guaranteed order, so a pattern test does not protect a failing cast in ANSI mode.
     """
-    matches = {c: F.col(c).rlike(INTEGER_PATTERN) for c in ("trip_id", "start_station_id", "end_station_id")}
+    kinds = {"trip_id": "bigint", "start_station_id": "int", "end_station_id": "int"}
+    matches = {c: F.col(c).rlike(INTEGER_PATTERN) & F.col(c).try_cast(kind).isNotNull() for c, kind in kinds.items()}
     duration = F.col("trip_duration")
     return {
         **matches,

@@ -18,7 +18,9 @@ EMPTY_BODY = "body must be a record or a non-empty list of records"
 
 
 def explode_requests(requests: DataFrame, column: str = "body") -> DataFrame:
-    """(request_id, is_forecast, position, record, body_error): one row per record.
+    """(request_id, is_forecast, position, record, texts, fields, body_error): one row per record.
+
+    `texts` names the fields of the record that are JSON texts, and `fields` all that any record of the request has.
 
     The text is one record, a list of records, an object with `instances`, or a gateway
     event that carries any of these (as text or object) in `body`. A request without a
@@ -34,11 +36,17 @@ def explode_requests(requests: DataFrame, column: str = "body") -> DataFrame:
     inner = opened.withColumn("inner", F.when(~payload.startswith("["), F.get_json_object(payload, "$.instances")))
     as_list = (F.when(payload.startswith("["), payload)
                .otherwise(F.coalesce("inner", F.concat(F.lit("["), payload, F.lit("]")))))
-    parsed = inner.select("request_id", "path", F.from_json(as_list, "array<map<string,string>>").alias("records"))
+    parsed = inner.select("request_id", "path", F.from_json(as_list, "array<map<string,variant>>").alias("records"))
     records = F.col("records")
-    return parsed.select("request_id", _forecast_route(F.col("path"), F.get(records, F.lit(0))).alias("is_forecast"),
-                         F.posexplode_outer(records).alias("position", "record"),
+    fields = F.array_distinct(F.flatten(F.transform(records, F.map_keys)))
+    rows = parsed.select("request_id", _forecast_route(F.col("path"), F.get(records, F.lit(0))).alias("is_forecast"),
+                         F.posexplode_outer(records).alias("position", "given"), fields.alias("fields"),
                          F.when(records.isNull(), NOT_JSON).when(F.size(records) == 0, EMPTY_BODY).alias("body_error"))
+    given = F.col("given")
+    is_text = F.map_filter(given, lambda _, v: F.schema_of_variant(v) == "STRING")
+    return rows.select("request_id", "is_forecast", "position",
+                       F.transform_values(given, lambda _, v: F.try_variant_get(v, "$", "string")).alias("record"),
+                       F.map_keys(is_text).alias("texts"), "fields", "body_error")
 
 
 def _forecast_route(path: Column, first_record: Column) -> Column:
@@ -51,7 +59,10 @@ def _forecast_route(path: Column, first_record: Column) -> Column:
 
 
 def _whole(name: str) -> Column:
-    return F.col("record")[name].try_cast("double").try_cast("int")
+    """A number without its fraction, or a text of digits; a text with a fraction is not a whole number."""
+    value = F.col("record")[name]
+    number = value.try_cast("double").try_cast("int")
+    return F.when(~F.array_contains("texts", name) | value.rlike(r"^\s*[+-]?[0-9]+\s*$"), number)
 
 
 def validate(records: DataFrame, stations: DataFrame) -> DataFrame:
@@ -140,7 +151,11 @@ def expand(records: DataFrame, holidays: DataFrame, by_hour: DataFrame, by_month
 
 
 def given_features(records: DataFrame) -> DataFrame:
-    """Feature values of direct prediction records; `error` names the absent ones."""
+    """Feature values of direct prediction records, with `error` where a request is unusable.
+
+    A feature that no record of the request has is missing; where only some records lack it, theirs is null. A value
+    that cannot be read as its feature's number is a bad field.
+    """
     names = CALENDAR_FEATURES + PRIOR_FEATURES
     whole = {"station_id", "hour", "quarter", "month", "weekday", "week_of_year", "is_weekend", "is_holiday"}
 
@@ -150,10 +165,11 @@ def given_features(records: DataFrame) -> DataFrame:
             return text
         return _whole(name) if name in whole else text.try_cast("double")
 
-    absent = F.filter(F.array(*map(F.lit, names)),
-                      lambda n: ~F.array_contains(F.map_keys("record"), n))
+    absent = F.filter(F.array(*map(F.lit, names)), lambda n: ~F.array_contains("fields", n))
     error = (F.when(F.col("record").isNull(), F.coalesce("body_error", F.lit(NOT_JSON)))
              .when(F.size(absent) > 0, F.concat(F.lit("missing features: "), F.array_join(absent, ", "))))
+    for name in names:
+        error = error.when(F.col("record")[name].isNotNull() & value(name).isNull(), f"bad field: {name}")
     return records.select("request_id", "position", *[value(n).alias(n) for n in names], error.alias("error"))
 
 

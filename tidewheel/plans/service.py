@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewheel.contract import STAR_COLUMNS
-from tidewheel.functions.calendar import service_holidays
+from tidewheel.functions.calendar import statutory_holidays
 from tidewheel.operators import models, requests
 from tidewheel.session import materialize
 from tidewheel.sources import exports, records, tables
@@ -28,7 +28,8 @@ def forecast(spark: SparkSession, out: str, name: str, batch: DataFrame,
     """(predictions, refusals) for a (request_id, body) batch.
 
     Forecast requests are expanded from station, date and hour; direct requests bring
-    their features along. Both go through the same saved model.
+    their features along. Both go through the same saved model. Give `holidays` when the
+    warehouse was built with a holiday table of its own.
     """
     base = f"{out}/service"
     stations = spark.read.schema("station_id int, station_name string").json(f"{base}/stations")
@@ -37,9 +38,11 @@ def forecast(spark: SparkSession, out: str, name: str, batch: DataFrame,
 
     records_of = requests.explode_requests(batch)
     checked = materialize(requests.validate(records_of.where("is_forecast"), stations), "validated")
+    accepted = requests.accepted(checked)
+    if holidays is None:  # the rule that dim_date is built with
+        holidays = statutory_holidays(accepted.select(F.year("start_date").alias("year")).distinct())
     expanded = requests.expand(
-        requests.accepted(checked), service_holidays(spark) if holidays is None else holidays,
-        records.read_lookup(spark, f"{base}/hour_weekday"), records.read_lookup(spark, f"{base}/month"), default)
+        accepted, holidays, records.read_lookup(spark, f"{base}/hour_weekday"), records.read_lookup(spark, f"{base}/month"), default)
     given = materialize(requests.given_features(records_of.where("not is_forecast")), "given")
     predictions = requests.score(expanded, model.predict).unionByName(
         requests.score(requests.accepted(given), model.predict))

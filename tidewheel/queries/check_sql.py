@@ -166,7 +166,9 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     FROM (SELECT unnest([1994, 1995, 1996, 1997, 1998, 1999, 2000, 2001, 2002, 2024]) AS y)
     UNION ALL
     SELECT unnest([DATE '1994-04-01', DATE '1995-04-14', DATE '1996-04-05', DATE '1997-03-28', DATE '1998-04-10',
-                   DATE '1999-04-02', DATE '2000-04-21', DATE '2001-04-13', DATE '2002-03-29', DATE '2024-03-29'])"""),
+                   DATE '1999-04-02', DATE '2000-04-21', DATE '2001-04-13', DATE '2002-03-29', DATE '2024-03-29'])
+    UNION ALL
+    SELECT unnest([DATE '1994-01-03', DATE '1995-01-02', DATE '1999-12-27', DATE '1999-12-28', DATE '2000-01-03'])"""),
     "dim_date": (("stage", "holidays"), _CALENDAR.format(f"""
         SELECT min(CAST(strptime(start_time, {_FMT}) AS DATE)) AS lo,
             max(CAST(strptime(end_time, {_FMT}) AS DATE)) AS hi FROM stage""")),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,21 +22,12 @@ def session(app: str = "tidewheel", **conf: str) -> SparkSession:
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables: `spark.checkpoint.dir`.
+    """The shared folder for intermediate tables: `spark.checkpoint.dir`, else a folder in the warehouse.
 
-    Only a local-mode session without that setting gets a folder of its own; on a
-    cluster a machine-local folder would not be visible to the other machines.
+    The warehouse is shared by all machines of a cluster; a machine's own temporary folder would not be.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return context.getCheckpointDir().rstrip("/")
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="tidewheel-"))
-    return context.getCheckpointDir().rstrip("/")
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_working").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -49,10 +39,14 @@ def _own_folder(spark: SparkSession) -> str:
     return f"{work_dir(spark)}/tidewheel-{spark.sparkContext.applicationId}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete this application's intermediate tables; frames built on them end here."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    remove_folder(spark, _own_folder(spark))
 
 
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:

@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidewheel.contract import OPTIONAL_COLUMNS, RAW_HEADERS, STAGE_COLUMNS
 
 
-def header_names(headers: list[str], wanted: dict[str, str] = RAW_HEADERS) -> dict[str, str]:
+_AROUND = "﻿ \t\r"  # what may stand around a header: byte order mark, blanks, the end of a CRLF line
+
+
+def header_names(headers: list[str], wanted: dict[str, str] = RAW_HEADERS, where: str = "csv header") -> dict[str, str]:
     """Map headers as they stand in the file to stage names; fail when one is absent."""
-    names = {h: wanted[h.strip("﻿ \t")] for h in headers if h.strip("﻿ \t") in wanted}
+    names = {h: wanted[h.strip(_AROUND)] for h in headers if h.strip(_AROUND) in wanted}
     absent = sorted(set(wanted.values()).difference(names.values()))
     if absent:
-        raise ValueError(f"csv header lacks {absent}")
+        raise ValueError(f"{where} lacks {absent}")
     return names
 
 
@@ -25,17 +28,46 @@ def align(df: DataFrame, columns: list[str] = STAGE_COLUMNS,
     return df.withColumns(filled).select(*columns)
 
 
+def _lines(spark: SparkSession, path) -> DataFrame:
+    """Lines that are not blank, with their file. Carriage returns stay: only a line feed ends a line."""
+    lines = spark.read.text(path, lineSep="\n").select("value", F.col("_metadata.file_path").alias("file"))
+    return lines.where(F.col("value").rlike(r"[^\x00-\x20]"))
+
+
+def file_headers(spark: SparkSession, path, wanted: dict[str, str] = RAW_HEADERS) -> dict[str, list[str]]:
+    """The header lines below `path`, each with its files: the line of a file that names the most wanted headers."""
+    cells = F.transform(F.split("value", ","), lambda c: F.trim(F.regexp_replace(c, r"[\x{FEFF}\r\t\"]", "")))
+    known = F.size(F.array_intersect(cells, F.array(*map(F.lit, wanted))))
+    per_file = _lines(spark, path).groupBy("file").agg(F.max_by("value", known).alias("header"))
+    found = per_file.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("files")
+    return {row.header: row.files for row in found.collect()}
+
+
 def read_raw_csv(spark: SparkSession, path: str, wanted: dict[str, str] = RAW_HEADERS) -> DataFrame:
-    """All files below `path` (a glob or a list) as strings, in stage order."""
-    raw = spark.read.csv(path, header=True, inferSchema=False, multiLine=False, encoding="UTF-8")
-    return align(raw.withColumnsRenamed(header_names(raw.columns, wanted)))
+    """All files below `path` (a glob or a list) as strings, in stage order.
+
+    Files are read by groups of one header line, so that each is bound by its own headers; a file that lacks one is
+    named in the error. Spark leaves out blank lines.
+    """
+    parts = []
+    for files in file_headers(spark, path, wanted).values():
+        raw = spark.read.csv(files, header=True, inferSchema=False, multiLine=False, encoding="UTF-8", lineSep="\n")
+        names = header_names(raw.columns, wanted, files[0])
+        last = raw.columns[-1]  # carries the carriage return of lines that end in both
+        ended = raw.withColumn(last, F.regexp_replace(F.col(f"`{last}`"), "\r$", ""))
+        ended = ended.withColumn(last, F.when(F.col(f"`{last}`") != "", F.col(f"`{last}`")))
+        model = {h: h.strip(_AROUND) for h in ended.columns if h.strip(_AROUND) in OPTIONAL_COLUMNS}
+        parts.append(align(ended.withColumnsRenamed({**model, **names})))
+    if not parts:
+        raise ValueError(f"no lines below {path}")
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_years(spark: SparkSession, folders: dict[str, str]) -> DataFrame:
     """`{source year: path}` -> one frame tagged with `source_year`.
 
-    Headers differ between years (some carry a byte order mark), so every year is
-    bound to the stage names on its own before the union.
+    Headers differ between files (in order, and some carry a byte order mark), so they
+    are bound to the stage names before the union.
     """
     tagged = [read_raw_csv(spark, path).withColumn("source_year", F.lit(year))
               for year, path in sorted(folders.items())]
@@ -43,9 +75,8 @@ def read_years(spark: SparkSession, folders: dict[str, str]) -> DataFrame:
 
 
 def raw_line_counts(spark: SparkSession, folders: dict[str, str]) -> DataFrame:
-    """Data lines per source year: all lines less one header line per file."""
-    per_file = [spark.read.text(path)
-                .groupBy(F.lit(year).alias("source_year"), F.col("_metadata.file_path").alias("file"))
+    """Data lines per source year: all lines that are not blank, less one header line per file."""
+    per_file = [_lines(spark, path).groupBy(F.lit(year).alias("source_year"), "file")
                 .agg((F.count("*") - 1).alias("n"))
                 for year, path in sorted(folders.items())]
     return (reduce(DataFrame.unionByName, per_file)

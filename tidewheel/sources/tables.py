@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidewheel.contract import STAR_COLUMNS, STAR_PARTITIONS, star_schema
-from tidewheel.session import scratch_path
+from tidewheel.session import remove_folder, scratch_path
 
 
 def create_table(spark: SparkSession, name: str, schema: T.StructType, location: str,
@@ -65,19 +65,25 @@ def write_small(df: DataFrame, path: str) -> None:
 def swap_table(df: DataFrame, name: str, partitions: list[str] | tuple = (), root: str | None = None) -> str:
     """Replace a table by a frame that may read the same table.
 
-    The rows go to a fresh folder and the catalog entry is pointed there afterwards, so
-    no input file is touched before the write is complete and partitions that lost all
-    their rows do not survive. Returns the new location.
+    The rows go to a fresh folder, the catalog entry is pointed there once they are all written, and the folder that it
+    pointed to before is removed last. So the table exists at every moment, no input file is touched before the write is
+    complete, and partitions that lost all their rows do not survive. Returns the new location.
     """
     spark = df.sparkSession
     fresh = f"{root}-{uuid.uuid4().hex}" if root else scratch_path(spark, name)
+    before = spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]
     if partitions:
         write_partitioned(df, fresh, list(partitions))
+        for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
+            spec = ", ".join("{}='{}'".format(*pair.split("=", 1)) for pair in row.partition.split("/"))
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
     else:
         write_small(df, fresh)
-    create_table(spark, name, df.schema, fresh, partitions)
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{fresh}'")
     if partitions:
         register_partitions(spark, name)
+    spark.sql(f"REFRESH TABLE {name}")
+    remove_folder(spark, before)
     return fresh
 
 
