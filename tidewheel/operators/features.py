@@ -17,14 +17,11 @@ _CALENDAR = {"year": "year", "quarter": "quarter", "month": "month", "weekday":
 
 
 def add_calendar(frame: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """Attributes of the start date; flags become 0/1.
-
-    Safe to broadcast: the dimension has one row per calendar day.
-    """
+    """Attributes of the start date; flags become 0/1."""
     days = dim_date.select(F.col("dim_date_id").alias("start_date"), *[
         (F.col(f"dim_date_{src}").cast("tinyint") if src.startswith("is_") else F.col(f"dim_date_{src}")).alias(name)
         for name, src in _CALENDAR.items()])
-    return frame.join(F.broadcast(days), "start_date").select(*frame.columns, *_CALENDAR)
+    return frame.join(days, "start_date").select(*frame.columns, *_CALENDAR)
 
 
 def add_cyclical(df: DataFrame, cycles: dict[str, int] = CYCLES) -> DataFrame:

@@ -10,12 +10,13 @@ from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, Vec
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (GeneralizedLinearRegression, GeneralizedLinearRegressionModel,
                                    RandomForestRegressionModel, RandomForestRegressor)
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidewheel.contract import CALENDAR_FEATURES, CATEGORICAL_FEATURES, PRIOR_FEATURES, TARGET
 from tidewheel.functions.encoding import clipped
 from tidewheel.operators.baseline import tall_predictions
 from tidewheel.operators.metrics import accuracy, leaderboard
+from tidewheel.operators.numbering import with_dense_id
 from tidewheel.session import materialize
 
 # A missing prior-year mean sits below every real mean: one split sets it apart.
@@ -225,42 +226,23 @@ def ablation(train: DataFrame, val: DataFrame, params: BoostParams) -> dict[str,
             "calendar+py": fit_boosted(train, CALENDAR_FEATURES + PRIOR_FEATURES, params)}
 
 
-def _hash(key: list[str], seed: int) -> Column:
-    return F.xxhash64(F.lit(seed), *key)
+def permutation_importance(model: BoostedTrees, df: DataFrame, key: list[str], repeats: int = 3,
+                           seed: int = 0) -> DataFrame:
+    """Rise of the MAE over all rows when one feature is shuffled.
 
-
-def hash_sample(df: DataFrame, key: list[str], rows: int, seed: int = 0) -> DataFrame:
-    """The `rows` rows that come first in the order of a key hash.
-
-    Hashes spread evenly, so a bound on the hash leaves about twice the wanted rows and
-    the sort never sees the rest. Should the bound leave too few, the sort takes all.
-    """
-    total = df.count()
-    hashed = _hash(key, seed)
-    share = (2 * rows + 1000) / max(total, 1)
-    bounded = df if share >= 1 else df.where(hashed < int(-2 ** 63 + share * 2 ** 64))
-    enough = share >= 1 or bounded.limit(rows).count() == rows
-    return (bounded if enough else df).orderBy(hashed, *key).limit(rows)
-
-
-def permutation_importance(model: BoostedTrees, df: DataFrame, key: list[str], rows: int = 60_000,
-                           repeats: int = 3, seed: int = 0) -> DataFrame:
-    """Rise of the MAE when one feature is shuffled, on a sample of at most `rows` rows.
-
-    Sampling is part of the operator. All (feature, repeat) pairs are scored in one
-    plan: each pair numbers the sample in its own hash order and takes the feature from
-    the row with that number. Window partitions and broadcast are as large as the
-    sample at most.
+    The rows get dense numbers in the order of a key hash, in parallel. Each (feature, repeat) pair takes the feature
+    from the row a pseudo-random number of places further on, around the end: in a random order that pairs every row
+    with an unrelated one, by an equi join. All pairs are scored in one plan.
     """
-    numbered = materialize(
-        hash_sample(df.select(*key, *[f for f in model.features if f not in key], TARGET), key, rows, seed)
-        .withColumn("_i", F.row_number().over(Window.orderBy(_hash(key, seed), *key))), "sample")
-
+    rows = df.select(*key, *[f for f in model.features if f not in key], TARGET)
+    ordered = rows.withColumn("_order", F.xxhash64(F.lit(seed), *key))
+    numbered = materialize(with_dense_id(ordered, ["_order", *key], "_i").drop("_order"), "numbered")
+    total = numbered.agg(F.count("*")).first()[0]
+    donors = numbered.select(F.col("_i").alias("_donor"), *[F.col(f).alias(f"_d_{f}") for f in model.features])
     pairs = numbered.withColumn("feature", F.explode(F.array(*map(F.lit, model.features)))).withColumn(
         "repeat", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
-    order = Window.partitionBy("feature", "repeat").orderBy(F.xxhash64("_i", "feature", "repeat", F.lit(seed)), "_i")
-    donors = numbered.select(F.col("_i").alias("_donor"), *[F.col(f).alias(f"_d_{f}") for f in model.features])
-    shuffled = pairs.withColumn("_donor", F.row_number().over(order)).join(F.broadcast(donors), "_donor")
+    further = F.pmod(F.xxhash64("feature", "repeat", F.lit(seed)), F.lit(max(total - 1, 1))) + 1
+    shuffled = pairs.withColumn("_donor", (F.col("_i") - 1 + further) % F.lit(max(total, 1)) + 1).join(donors, "_donor")
     swapped = shuffled.select("feature", "repeat", TARGET, *[
         F.when(F.col("feature") == f, F.col(f"_d_{f}")).otherwise(F.col(f)).alias(f) for f in model.features])
 

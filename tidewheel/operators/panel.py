@@ -29,16 +29,11 @@ def daily_counts(trips: DataFrame) -> DataFrame:
 def station_days(stations: DataFrame, active: DataFrame) -> DataFrame:
     """Every station on every day that occurs in `active`.
 
-    Each station unfolds the calendar between the first and last such day and a semi
-    join drops the idle days, which gives all pairs without a cartesian product. The
-    day list has at most one row per calendar day, hence the broadcast.
+    The observed days are one array, at most a calendar long however far apart they lie,
+    which every station unfolds; that gives all pairs without a cartesian product.
     """
-    days = active.select("start_date").where("start_date is not null").distinct()
-    bounds = active.agg(F.struct(F.min("start_date").alias("first"), F.max("start_date").alias("last"))).scalar()
-    unfolded = spread(stations.select("station_id").distinct()).select(
-        "station_id",
-        F.explode(F.sequence(bounds["first"], bounds["last"], F.expr("interval 1 day"))).alias("start_date"))
-    return unfolded.join(F.broadcast(days), "start_date", "left_semi").select("station_id", "start_date")
+    days = active.agg(F.sort_array(F.collect_set("start_date")).alias("days")).scalar()
+    return spread(stations.select("station_id").distinct()).select("station_id", F.explode(days).alias("start_date"))
 
 
 def station_hour_grid(stations: DataFrame, active: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ def _parts(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 @query("poisson_glm_scores")
 def poisson_glm_scores(spark: SparkSession, folder: str) -> DataFrame:
     part = _parts(spark, folder)
-    glm = models.fit_poisson_glm(part["train"], alpha=0.01, max_iter=25)
+    glm = models.fit_poisson_glm(part["train"])
     return shown(metrics.accuracy(models.predictions({"poisson_glm": glm}, part["test"], ["hour"]), busy=BUSY))
 
 
