@@ -79,13 +79,33 @@ def _bucket(values: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def _thin(counts: np.ndarray) -> bytes:
-    """Whole numbers as bytes in the narrowest width that holds them, the width in front."""
-    width = next(w for w in (1, 2, 4, 8) if not len(counts) or int(counts.max()) < 1 << (8 * w))
-    return bytes([width]) + counts.astype(f"<u{width}").tobytes()
+    """Counts as a byte each; those from 255 on follow at the end in full."""
+    many = counts >= 255
+    return np.where(many, 255, counts).astype(np.uint8).tobytes() + counts[many].astype("<i8").tobytes()
 
 
-def _wide(packed: bytes) -> np.ndarray:
-    return np.frombuffer(packed, f"<u{packed[0]}", offset=1).astype(np.int64)
+def _wide(packed: bytes, n: int) -> np.ndarray:
+    counts = np.frombuffer(packed, np.uint8, n).astype(np.int64)
+    counts[counts == 255] = np.frombuffer(packed, "<i8", offset=n)
+    return counts
+
+
+def _close(values: np.ndarray) -> bytes:
+    """Ascending hashes as the steps between them, six bytes each; what a step has beyond follows at the end."""
+    steps = np.diff(values, prepend=_U(0))
+    far = np.flatnonzero(steps >> _U(48))
+    six = steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+    return six.tobytes() + far.astype("<u4").tobytes() + (steps[far] >> _U(48)).astype("<u2").tobytes()
+
+
+def _apart(packed: bytes, n: int) -> np.ndarray:
+    steps = np.zeros((n, 8), np.uint8)
+    steps[:, :6] = np.frombuffer(packed, np.uint8, 6 * n).reshape(n, 6)
+    steps = steps.view("<u8").ravel()
+    k = (len(packed) - 6 * n) // 6
+    far = np.frombuffer(packed, "<u4", k, 6 * n)
+    steps[far] |= np.frombuffer(packed, "<u2", k, 6 * n + 4 * k).astype(_U) << _U(48)
+    return np.cumsum(steps, dtype=_U)
 
 
 def _statistics(docs: DataFrame) -> tuple[int, int, int]:
@@ -129,20 +149,22 @@ def _name_grams(order: int, buckets: int):
         chunk = table.column("chunk")[0].as_py()
         return pa.table({
             "bucket": pa.array(full), "chunk": pa.array(np.full(len(full), chunk)),
-            "grams": pa.array([values[edges[b]:edges[b + 1]].tobytes() for b in full], pa.binary()),
+            "size": pa.array(np.diff(edges)[full]),
+            "grams": pa.array([_close(values[edges[b]:edges[b + 1]]) for b in full], pa.binary()),
             "counts": pa.array([_thin(counts[edges[b]:edges[b + 1]]) for b in full], pa.binary())})
     return name
 
 
 def _answer(table: pa.Table) -> pa.Table:
     """The totals of a bucket's n-grams for every chunk that named them."""
-    grams = [np.frombuffer(x, "<u8") for x in table.column("grams").to_pylist()]
-    counts = np.concatenate([_wide(x) for x in table.column("counts").to_pylist()])
+    sizes = table.column("size").to_pylist()
+    grams = [_apart(x, n) for x, n in zip(table.column("grams").to_pylist(), sizes)]
+    counts = np.concatenate([_wide(x, n) for x, n in zip(table.column("counts").to_pylist(), sizes)])
     values, back = np.unique(np.concatenate(grams), return_inverse=True)
     total = np.bincount(back, weights=counts, minlength=len(values)).astype(np.int64)
     edges = np.cumsum([0, *map(len, grams)])
     packed = [_thin(total[back[a:b]]) for a, b in zip(edges, edges[1:])]
-    return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"),
+    return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"), "size": table.column("size"),
                      "totals": pa.array(packed, pa.binary())})
 
 
@@ -153,9 +175,9 @@ def _traverse(order: int, tokens_learned: int, kinds: int):
     def score(texts: pa.Table, answers: pa.Table) -> pa.Table:
         stream = Stream(texts.column("text"), order)
         values, back = np.unique(stream.every(), return_inverse=True)
-        packed = answers.column("totals").to_pylist()
+        packed, sizes = answers.column("totals").to_pylist(), answers.column("size").to_pylist()
         by = np.argsort(answers.column("bucket").to_numpy())
-        totals = np.concatenate([_wide(packed[i]) for i in by.tolist()])
+        totals = np.concatenate([_wide(packed[i], sizes[i]) for i in by.tolist()])
         if len(totals) != len(values):
             raise RuntimeError("the documents changed between two readings")
         count = totals[back]
@@ -207,8 +229,8 @@ def score(docs: DataFrame, order: int = 2, id_col: str = "doc_id", text_col: str
     chunks, buckets = -(-size // CHUNK_BYTES) or 1, -(-size // BUCKET_BYTES) or 1
     dealt = narrow.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)))
     named = dealt.groupBy("chunk").applyInArrow(
-        _name_grams(order, buckets), "bucket long, chunk long, grams binary, counts binary")
-    answers = named.groupBy("bucket").applyInArrow(_answer, "chunk long, bucket long, totals binary")
+        _name_grams(order, buckets), "bucket long, chunk long, size long, grams binary, counts binary")
+    answers = named.groupBy("bucket").applyInArrow(_answer, "chunk long, bucket long, size long, totals binary")
     scored = dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
         _traverse(order, tokens, kinds), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, "
         "scores array<double>, left_out array<double>")
