@@ -13,9 +13,7 @@ from tidewheel.queries.standins import clean_stage, raw_stage
 from tidewheel.session import scratch_path
 from tidewheel.sources import csvs, tables
 
-# CSV copies carry no carriage returns (a line reader would break rows there), and an
-# empty CSV field is a null.
-_NO_CR = "replace(user_type, chr(13), '')"
+# An empty CSV field is a null.
 
 
 def csv_folders(spark: SparkSession, folder: str, with_model: bool = False) -> dict[str, str]:
@@ -23,7 +21,7 @@ def csv_folders(spark: SparkSession, folder: str, with_model: bool = False) -> d
 
     The first header carries a byte order mark, as the published files do.
     """
-    stage = raw_stage(spark, folder, carriage_returns=False)
+    stage = raw_stage(spark, folder)
     root = scratch_path(spark, "csv")
     headers = [F.col(c).alias(("﻿" if i == 0 else "") + h) for i, (h, c) in enumerate(RAW_HEADERS.items())]
     extra = [F.col("model").alias("model")] if with_model else [F.col("model").alias("Bike Model")]
@@ -36,7 +34,7 @@ def csv_folders(spark: SparkSession, folder: str, with_model: bool = False) -> d
 
 @query("csv_extract", with_ctes(f"""
     SELECT trip_id, trip_duration, start_time, start_station_id, start_station_name, end_time, end_station_id,
-        end_station_name, nullif(bike_id, '') AS bike_id, {_NO_CR} AS user_type, CAST(NULL AS VARCHAR) AS model, source_year FROM raw""", "raw"))
+        end_station_name, nullif(bike_id, '') AS bike_id, user_type, CAST(NULL AS VARCHAR) AS model, source_year FROM raw""", "raw"))
 def csv_extract(spark: SparkSession, folder: str) -> DataFrame:
     return csvs.read_years(spark, csv_folders(spark, folder))
 

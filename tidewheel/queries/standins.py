@@ -69,7 +69,7 @@ def ordered_trips(spark: SparkSession, folder: str) -> DataFrame:
                        F.col("p"), F.col("secs"), F.substring("pr", 1, 1))
 
 
-def raw_stage(spark: SparkSession, folder: str, carriage_returns: bool = True) -> DataFrame:
+def raw_stage(spark: SparkSession, folder: str) -> DataFrame:
     """All-text stage rows with dirt. CSV copies go without stray carriage returns."""
     df, k, n, p, s, e = _lines(spark, folder), *map(F.col, "knpse")
     text = {c: F.col(c).cast("string") for c in ("p", "s", "e", "secs")}
@@ -82,7 +82,7 @@ def raw_stage(spark: SparkSession, folder: str, carriage_returns: bool = True) -
         return F.date_format(stamp, "yyyy-MM-dd HH:mm")
 
     placeholder = F.lit("NULL")
-    casual = "Casual Member\r" if carriage_returns else "Casual Member"
+    casual = "Casual Member\r"
     member = (F.when(F.col("pr") == "1-URGENT", "Annual Member").when(F.col("pr") == "2-HIGH", casual)
               .when(F.col("pr") == "3-MEDIUM", " Annual Member ")
               .when(F.col("pr") == "5-LOW", "Corporate").when(k % 2 == 0, F.lit(None).cast("string")).otherwise(" "))
