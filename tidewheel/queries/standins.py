@@ -70,7 +70,7 @@ def ordered_trips(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_stage(spark: SparkSession, folder: str) -> DataFrame:
-    """All-text stage rows with dirt. CSV copies go without stray carriage returns."""
+    """All-text stage rows with dirt."""
     df, k, n, p, s, e = _lines(spark, folder), *map(F.col, "knpse")
     text = {c: F.col(c).cast("string") for c in ("p", "s", "e", "secs")}
     rev = (F.year("d") - 1994).cast("string")
