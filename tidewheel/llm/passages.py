@@ -10,8 +10,8 @@ per function, equal ones under every function.
 Windows that meet in a hash are joined, each with one anchor of the hash: the document of the smallest id. A pair of
 documents is verified when windows of MIN_HASHES functions or more meet: from every meeting point the longest run is
 grown in both documents in which n-grams of the other document prevail, and the pair of runs is kept when it is long
-enough, similar enough, and holds meeting points of enough functions. Windows that their anchor does not explain meet
-again among themselves, with the next anchor, until a round finds nothing new.
+enough, similar enough, and holds meeting points of enough functions. Windows of which the place has not been found to
+repeat meet again among themselves, with the next anchor, until a round finds nothing new.
 
 Documents with the same words are one class, of which the first stands for all.
 """
@@ -96,7 +96,7 @@ def _survey(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _windows(docs: DataFrame, size: int, least: int) -> DataFrame:
-    """(v, fp, c): the nodes that windows of other documents or places may share; v holds the function's number."""
+    """(v, fp, c): the nodes that windows of other documents may share; v holds the function's number."""
     def cut(batches):
         seen: set[int] = set()
         for batch in blocks(batches):
@@ -128,8 +128,9 @@ def _windows(docs: DataFrame, size: int, least: int) -> DataFrame:
                  pa.array(np.concatenate([salt, mark - 1]).astype(np.int32))], ["v", "fp", "c", "salt"])
 
     rows = docs.mapInArrow(cut, "v long, fp long, c int, salt int")
-    met = rows.withColumn("here", F.count("*").over(W.partitionBy("v", "salt")))
-    return materialize(met.where("(here > 1 or salt >= 0) and c >= 0").select("v", "fp", "c"), "windows")
+    here = W.partitionBy("v", "salt")
+    met = rows.withColumns({"least": F.min("fp").over(here), "most": F.max("fp").over(here)})
+    return materialize(met.where("(least < most or salt >= 0) and c >= 0").select("v", "fp", "c"), "windows")
 
 
 def _sequences(docs: DataFrame, classes: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -150,12 +151,19 @@ def _sequences(docs: DataFrame, classes: DataFrame, wanted: DataFrame, size: int
     return materialize(texts.mapInArrow(cut, "fp long, grams binary").dropDuplicates(["fp"]), "sequences")
 
 
-def grow(shared: np.ndarray, at: int, penalty: int) -> tuple[int, int]:
-    """The run around `at` with the most shared places, each other place counting -penalty; the end is exclusive."""
-    worth = np.where(shared, 1, -penalty)
-    after = np.cumsum(worth[at:])
-    before = np.cumsum(worth[at::-1])
-    return at - int(before.argmax()), at + int(after.argmax()) + 1
+def runs(shared: np.ndarray, penalty: int) -> tuple[np.ndarray, np.ndarray]:
+    """For every place the run around it with the most shared places, each other place counting -penalty.
+
+    Starts and exclusive ends; of equally good runs the shortest.
+    """
+    n = len(shared)
+    until = np.concatenate([[0], np.cumsum(np.where(shared, 1, -penalty))])
+    at = np.arange(n)
+    least = np.minimum.accumulate(until[:-1])
+    start = np.maximum.accumulate(np.where(until[:-1] == least, at, 0))
+    most = np.maximum.accumulate(until[:0:-1])[::-1]
+    end = np.minimum.accumulate(np.where(until[1:] == most, at, n)[::-1])[::-1] + 1
+    return start, end
 
 
 def _similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -167,25 +175,26 @@ def _similarity(a: np.ndarray, b: np.ndarray) -> float:
 def verified(a: np.ndarray, b: np.ndarray, hits: np.ndarray, least: int, percent: int) -> list[tuple]:
     """Pairs of runs (start and end in a, start and end in b, similarity) around the meeting points (function, a, b)."""
     in_a, in_b = np.isin(a, b), np.isin(b, a)
-    found, tried = [], set()
-    for _, at_a, at_b in hits.tolist():
-        if any(p <= at_a < q and s <= at_b < t for p, q, s, t, _ in found):
-            continue
-        for penalty in (4, 8, len(b) + len(a)):  # the last one allows nothing but shared n-grams
-            run = (*grow(in_a, at_a, penalty), *grow(in_b, at_b, penalty))
+    found, tried, left = [], set(), hits
+    for penalty in (4, 8, len(a) + len(b)):  # the last one allows nothing but shared n-grams
+        (p, q), (s, t) = runs(in_a, penalty), runs(in_b, penalty)
+        at_a, at_b = left[:, 1], left[:, 2]
+        around = np.stack([p[at_a], q[at_a], s[at_b], t[at_b]], axis=1)
+        long = np.minimum(around[:, 1] - around[:, 0], around[:, 3] - around[:, 2]) >= least
+        for run in dict.fromkeys(map(tuple, around[long].tolist())):
             if run in tried:
                 continue
             tried.add(run)
-            p, q, s, t = run
-            if min(q - p, t - s) < least:
-                continue
-            inside = (hits[:, 1] >= p) & (hits[:, 1] < q) & (hits[:, 2] >= s) & (hits[:, 2] < t)
+            inside = ((hits[:, 1] >= run[0]) & (hits[:, 1] < run[1]) & (hits[:, 2] >= run[2]) & (hits[:, 2] < run[3]))
             if len(np.unique(hits[inside, 0])) < MIN_HASHES:
                 continue
-            similar = _similarity(a[p:q], b[s:t])
+            similar = _similarity(a[run[0]:run[1]], b[run[2]:run[3]])
             if 100 * similar >= percent - 1e-9:
-                found.append((p, q, s, t, similar))
-                break
+                found.append((*run, similar))
+                left = left[~((left[:, 1] >= run[0]) & (left[:, 1] < run[1])
+                              & (left[:, 2] >= run[2]) & (left[:, 2] < run[3]))]
+        if not len(left):
+            break
     return found
 
 
@@ -198,8 +207,11 @@ def _verify(pairs: DataFrame, sequences: DataFrame, size: int, least: int, perce
         names = ["a", "b", "a_start", "a_end", "b_start", "b_end", "similarity"]
         for batch in batches:
             rows = [[] for _ in names]
+            listed = batch.column("hits")
+            edges, flat = listed.offsets.to_numpy(), listed.values
+            points = np.stack([flat.field(c).to_numpy().astype(np.int64) for c in ("k", "a", "b")], axis=1)
             for i in range(batch.num_rows):
-                hits = np.array([(h["k"], h["a"], h["b"]) for h in batch.column("hits")[i].as_py()], np.int64)
+                hits = points[edges[i]:edges[i + 1]]
                 hits = hits[np.lexsort((hits[:, 0], hits[:, 1], hits[:, 2]))]
                 grams = [np.frombuffer(batch.column(c)[i].as_py(), "<u4") for c in ("grams_a", "grams_b")]
                 for p, q, s, t, similar in verified(*grams, hits, least - size + 1, percent):
@@ -250,9 +262,9 @@ def repeated(docs: DataFrame, least: int = 50, size: int = SHINGLE, percent: int
         if spans.isEmpty():
             break
         found.append(spans)
-        left = met.join(spans.select(F.col("b").alias("s_fp"), F.col("a").alias("s_a"), "b_start", "b_end"), (
-            (F.col("w.fp") == F.col("s_fp")) & (F.col("anchor.fp") == F.col("s_a"))
-            & (F.col("w.c") >= F.col("b_start")) & (F.col("w.c") < F.col("b_end"))), "left_anti")
+        left = met.join(spans.select(F.col("b").alias("s_fp"), "b_start", "b_end").distinct(), (
+            (F.col("w.fp") == F.col("s_fp")) & (F.col("w.c") >= F.col("b_start")) & (F.col("w.c") < F.col("b_end"))),
+            "left_anti")
         open_rows = materialize(left.select("v", "w"), "open")
     return _listed(survey, classes, found, least)
 
