@@ -14,7 +14,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tidewheel.llm import hamming, near_vectors, packing, passages, pretokens, text, url_filter
+from tidewheel.llm import (hamming, lm_scoring, near_vectors, ngram_join, packing, passages, pretokens, text,
+                           url_filter)
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 TEXT = st.text(st.sampled_from("abAB st'mdrevl.,!?1x9Éçß \n\t\r\x0b\x1c ▁–漢<|>"), max_size=80)
@@ -205,3 +206,22 @@ def test_empty_index(tmp_path):
     path = tmp_path / "rules"
     path.write_bytes(url_filter.build_index([]))
     assert url_filter.longest_fits(url_filter.DigestArray(str(path)), ["a"], ["/"]) == [-1]
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.integers(0, 2**64 - 1), max_size=30), st.lists(st.integers(0, 10**12) | st.integers(250, 260), max_size=30))
+def test_packed_hashes_and_counts(values, counts):
+    values, counts = np.unique(np.array(values, np.uint64)), np.array(counts, np.int64)
+    assert (lm_scoring._apart(lm_scoring._close(values), len(values)) == values).all()
+    assert (lm_scoring._wide(lm_scoring._thin(counts), len(counts)) == counts).all()
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.sets(st.integers(0, 2**64 - 1), max_size=30), min_size=2, max_size=4))
+def test_bitmaps_differ_no_more_than_the_sets(found):
+    values = np.concatenate([np.array(sorted(x), np.uint64) for x in found])
+    first = np.concatenate([[0], np.cumsum([len(x) for x in found])])
+    bits = ngram_join.bitmaps(values, first).view(np.uint64)
+    for x, a in zip(found, bits):
+        for y, b in zip(found, bits):
+            assert np.bitwise_count(a ^ b).sum() <= len(x ^ y)

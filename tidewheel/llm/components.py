@@ -21,22 +21,13 @@ def components(edges: DataFrame) -> DataFrame:
     while (state := _state(now)) != before:
         before = state
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = _star(both, F.col("b") > F.col("a"))
-        up = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        low = materialize(up.distinct(), "stars")
+        root = both.groupBy("a").agg(F.min("b").alias("root"))
+        large = both.join(root, "a").where("b > a").select(F.col("b").alias("a"), F.least("a", "root").alias("b"))
+        low = materialize(large.distinct(), "stars")
         root = low.groupBy("a").agg(F.min("b").alias("root"))
         moved = low.join(root, "a").where("b <> root").select(F.col("b").alias("a"), F.col("root").alias("b"))
-        kept = root.select("a", F.col("root").alias("b"))
-        now = materialize(kept.unionByName(moved).distinct(), "edges")
-    return now.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root")).unionByName(
-        now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
-
-
-def _star(both: DataFrame, which) -> DataFrame:
-    """Every neighbour chosen by `which` of each node, with the smallest of the node and its neighbours."""
-    root = both.groupBy("a").agg(F.min("b").alias("least"))
-    joined = both.join(root.withColumn("least", F.least("a", "least")), "a").where(which)
-    return joined.select(F.col("b").alias("a"), F.col("least").alias("b"))
+        now = materialize(root.withColumnRenamed("root", "b").unionByName(moved).distinct(), "edges")
+    return now.unionByName(now.select(F.col("b").alias("a"), "b").distinct()).toDF("node", "root")
 
 
 def _state(edges: DataFrame) -> tuple:

@@ -7,9 +7,11 @@ one segment per fragment, overlaps of segments are counted fragment by fragment,
 are summed.
 
 Documents with equal sets are one class throughout. Candidates that meet at an n-gram are first only compared with
-one pivot of the n-gram, for a few pivots in turn; documents that this has linked need no comparison with each other,
-as only components are asked for. What then still meets unlinked is compared pair by pair. So no link is lost, and a
-large group of near copies costs a few comparisons per member.
+one pivot of the n-gram, for a few pivots in turn; the first pivot is the document in which the n-gram comes earliest,
+which is the one with the fewest rare n-grams of its own and so the likeliest to be similar to the others. Documents that
+this has connected need no comparison with each other, as only components are asked for. What then still meets in
+different components is compared pair by pair. So no link is lost, and a large group of near copies costs a few
+comparisons per member.
 
 Hashes have 64 bits: n-grams or sets of different documents are taken for equal with a chance of about pairs / 2^64.
 """
@@ -33,9 +35,10 @@ SKETCH_BITS = 20
 SKETCH_PARTS = 64
 LOAD_BITS = 20
 FRAGMENTS = 8
-PIVOTS = 3
+PIVOTS = 2
 SALTS = 64
 BROADCAST_IDS = 500_000  # ids of 16 bytes each
+BITMAP_WORDS = 8
 
 _U = np.uint64
 
@@ -49,6 +52,19 @@ def sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return values, first, prints.view(np.int64)
 
 
+def bitmaps(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """A bit per cell of hashes, set when an odd number of a set's n-grams falls into the cell.
+
+    Every n-gram that only one of two sets has changes one bit, so the bits in which two bitmaps differ are no more
+    than the n-grams in which the sets differ.
+    """
+    cells = 64 * BITMAP_WORDS
+    out = np.zeros((len(first) - 1, cells), np.uint8)
+    row = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    odd = np.bincount(row * cells + ((values >> _U(24)) % _U(cells)).astype(np.int64), minlength=out.size) & 1
+    return np.packbits(odd.reshape(out.shape).astype(np.uint8), axis=1).view(np.int64)
+
+
 class Order:
     """The global order: the load of an n-gram's cell in the sketch, then its hash."""
 
@@ -73,9 +89,9 @@ class Order:
 
 
 def _survey(docs: DataFrame, size: int) -> DataFrame:
-    """One pass over the texts: doc_id, text_hash, n and fp of every row, and every task's part of the sketch."""
-    schema = "doc_id long, text_hash long, n long, fp long, part int, loads binary"
-    names = ["doc_id", "text_hash", "n", "fp", "part", "loads"]
+    """One pass over the texts: doc_id, text_hash, n, fp and bits of every row, and every task's part of the sketch."""
+    schema = "doc_id long, text_hash long, n long, fp long, bits array<long>, part int, loads binary"
+    names = ["doc_id", "text_hash", "n", "fp", "bits", "part", "loads"]
 
     def look(batches):
         load = np.zeros(1 << SKETCH_BITS, np.int64)
@@ -86,13 +102,13 @@ def _survey(docs: DataFrame, size: int) -> DataFrame:
             nothing = pa.nulls(len(n))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_hash"), pa.array(n), pa.array(prints, mask=n == 0),
-                 nothing.cast(pa.int32()), nothing.cast(pa.binary())], names)
+                 pa.array(list(bitmaps(values, first)), pa.list_(pa.int64())), nothing.cast(pa.int32()), nothing.cast(pa.binary())], names)
         if load.any():
             kind = np.uint16 if load.max() < 1 << 16 else np.uint64
             parts = [p.astype(kind).tobytes() for p in np.split(load, SKETCH_PARTS)]
             nothing = pa.nulls(SKETCH_PARTS, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [*[nothing] * 4, pa.array(range(SKETCH_PARTS), pa.int32()), pa.array(parts, pa.binary())], names)
+                [*[nothing] * 4, pa.nulls(SKETCH_PARTS, pa.list_(pa.int64())), pa.array(range(SKETCH_PARTS), pa.int32()), pa.array(parts, pa.binary())], names)
 
     return materialize(docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(look, schema), "survey")
 
@@ -113,7 +129,7 @@ def _order(survey: DataFrame) -> Order:
 
 
 def _prefixes(docs: DataFrame, size: int, percent: int, shared) -> DataFrame:
-    """(g, fp, n, p): the first n-grams of every class, with their places, that are possibly in another class too."""
+    """(g, salt, fp, n, p): the first n-grams of every class, with their places, that may be in another class too."""
     def cut(batches):
         order = shared.value
         seen: set[int] = set()
@@ -140,8 +156,17 @@ def _prefixes(docs: DataFrame, size: int, percent: int, shared) -> DataFrame:
 
     rows = docs.mapInArrow(cut, "g long, fp long, n int, p int, salt int")
     # n-grams of frequent cells are kept unseen, so that none of them gathers in one task
-    met = rows.withColumn("here", F.count("*").over(W.partitionBy("g", "salt")))
-    return materialize(met.where("here > 1 or salt >= 0").select("g", "fp", "n", "p"), "prefixes")
+    members = _pivoted(rows, [F.col("p"), F.xxhash64("fp")], "g", "salt")
+    return materialize(members.where("here > 1 or salt >= 0").select("g", "salt", "fp", "n", "p", "pivot"), "prefixes")
+
+
+def _pivoted(rows: DataFrame, order: list[Column], *key: str) -> DataFrame:
+    """`rows` with the first of the rows of their key, `pivot`, and the number of them, `here`."""
+    by = W.partitionBy(*key).orderBy(*order)
+    whole = by.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    member = F.struct(*[c for c in ("fp", "n", "p", "root") if c in rows.columns])
+    rows = rows.repartition(*key)  # before the columns of the window are there, which would be shuffled too
+    return rows.withColumns({"pivot": F.first(member).over(by), "here": F.count("*").over(whole)})
 
 
 def _possible(percent: int, na: Column, pa_: Column, nb: Column, pb: Column) -> Column:
@@ -151,38 +176,65 @@ def _possible(percent: int, na: Column, pa_: Column, nb: Column, pb: Column) ->
     return sizes & (rest.cast("long") * (100 + percent) >= (na + nb).cast("long") * percent)
 
 
-def _pairs(rows: DataFrame, left: str, right: str) -> DataFrame:
-    a, b = F.col(left), F.col(right)
-    first = a["fp"] < b["fp"]
-    return materialize(rows.select(
-        F.when(first, a["fp"]).otherwise(b["fp"]).alias("a"), F.when(first, b["fp"]).otherwise(a["fp"]).alias("b"),
-        F.when(first, a["n"]).otherwise(b["n"]).alias("na"), F.when(first, b["n"]).otherwise(a["n"]).alias("nb"),
-    ).distinct(), "pairs")
+def _pairs(rows: DataFrame) -> DataFrame:
+    return materialize(rows.select(F.col("pivot.fp").alias("a"), F.col("member.fp").alias("b"),
+                                   F.col("pivot.n").alias("na"), F.col("member.n").alias("nb")).distinct(), "pairs")
+
+
+def _with_pivots(rows: DataFrame) -> DataFrame:
+    """(pivot, member): all members of an n-gram with its pivot; where it is hot, with a salt's pivot, and those with one."""
+    member = F.struct(*[c for c in ("fp", "n", "p", "root") if c in rows.columns])
+    heads = rows.where((F.col("salt") >= 0) & (F.col("pivot.fp") == F.col("fp"))).drop("pivot")
+    heads = _pivoted(heads, [F.col("p"), F.xxhash64("fp")], "g").drop("here")
+    return rows.select("pivot", member.alias("member")).unionByName(heads.select("pivot", member.alias("member")))
+
 
+def _all_met(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(pivot, member): every two members of an n-gram whose bitmaps do not tell that they differ too much."""
+    member = F.struct("fp", "n", "p", "root", "bits")
+    rows = rows if "root" in rows.columns else rows.withColumn("root", F.col("fp"))
+    full = rows.join(classes.select("fp", "bits"), "fp").select("g", member.alias("member"))
+    a, b = F.col("pivot"), F.col("member")
+    differ = F.aggregate(F.zip_with(a["bits"], b["bits"], lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+                         F.lit(0), lambda total, x: total + x)
+    near = differ * (100 + percent) <= (a["n"] + b["n"]) * (100 - percent)
+    return full.withColumnRenamed("member", "pivot").join(full, "g").where(
+        (a["fp"] < b["fp"]) & (a["root"] != b["root"]) & near)
 
-def _unlinked(prefixes: DataFrame, roots: DataFrame | None) -> DataFrame:
-    if roots is None:
-        return prefixes.withColumn("root", F.col("fp"))
-    known = prefixes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-    return known.withColumn("root", F.coalesce("root", "fp"))
 
+def _small(df: DataFrame) -> DataFrame:
+    """A broadcast of a frame of a few narrow columns, when it is small."""
+    return F.broadcast(df) if df.count() <= BROADCAST_IDS else df
 
-def _segments(docs: DataFrame, survey: DataFrame, pairs: DataFrame, size: int, shared) -> DataFrame:
-    """(fp, fragment, grams) for every class in `pairs`, read from the text of its first document."""
+
+def _still_open(rows: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
+    """The rows of n-grams whose members are in different components, with their roots as known now and a new pivot."""
+    known = rows.drop("root", "pivot").join(_small(roots).withColumnRenamed("node", "fp"), "fp", "left")
+    known = known.withColumn("root", F.coalesce("root", "fp"))
+    able = F.col("p") * 9 > F.col("n") + 9  # beyond this place no set of the same size can be similar
+    members = _pivoted(known, [able, F.xxhash64("fp", F.lit(turn))], "g", "salt")
+    whole = W.partitionBy("g", "salt").orderBy(able, F.xxhash64("fp", F.lit(turn))).rowsBetween(
+        W.unboundedPreceding, W.unboundedFollowing)
+    members = members.withColumns({"least": F.min("root").over(whole), "most": F.max("root").over(whole)})
+    return materialize(members.where("least < most or salt >= 0").drop("here", "least", "most"), "open")
+
+
+def _segments(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, shared, repeats: bool) -> DataFrame:
+    """(fp, fragment, grams) for every class in `pairs`, read from the text of its first document.
+
+    `repeats` says that rows may be equal in id and text; all but one of those are left out.
+    """
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
-    firsts = survey.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
-    ids = materialize(firsts.join(wanted, "fp").withColumnRenamed("doc_id", "first"), "wanted")
-    side = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    texts = docs.join(side, F.col("doc_id").eqNullSafe(F.col("first"))).select("text", "fp")
+    ids = classes.join(wanted, "fp", "left_semi").select(
+        "fp", F.col("head.doc_id").alias("first"), F.col("head.text_hash").alias("first_hash"))
+    same_row = F.col("doc_id").eqNullSafe(F.col("first")) & (F.xxhash64("text") == F.col("first_hash"))
+    texts = docs.join(_small(materialize(ids, "wanted")), same_row).select("text")
 
     def cut(batches):
         order = shared.value
         for batch in blocks(batches):
             values, first, prints = sets(batch.column("text"), size)
-            same = prints == batch.column("fp").to_numpy()  # another row may carry the same id
             row = np.repeat(np.arange(len(prints)), np.diff(first))
-            kept = same[row]
-            row, values = row[kept], values[kept]
             fragment = order.fragment(order.keys(values))
             by = np.lexsort((fragment, row))
             row, values, fragment = row[by], values[by], fragment[by]
@@ -194,14 +246,14 @@ def _segments(docs: DataFrame, survey: DataFrame, pairs: DataFrame, size: int, s
                 [pa.array(prints[row[edge]]), pa.array(fragment[edge]), grams], ["fp", "fragment", "grams"])
 
     found = texts.mapInArrow(cut, "fp long, fragment int, grams array<long>")
-    return materialize(found.dropDuplicates(["fp", "fragment"]), "segments")
+    return materialize(found.dropDuplicates(["fp", "fragment"]) if repeats else found, "segments")
 
 
 def _links(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that are similar enough: partial overlaps by fragment, summed per pair."""
     left = segments.select(F.col("fp").alias("a"), "fragment", F.col("grams").alias("grams_a"))
     right = segments.select(F.col("fp").alias("b"), "fragment", F.col("grams").alias("grams_b"))
-    partial = pairs.join(left, "a").join(right, ["b", "fragment"]).select(
+    partial = left.join(_small(pairs), "a").join(right, ["b", "fragment"]).select(
         "a", "b", "na", "nb", F.size(F.array_intersect("grams_a", "grams_b")).alias("overlap"))
     total = partial.groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("overlap"))
     return materialize(total.where(F.col("overlap") * 100 >= (F.col("na") + F.col("nb") - F.col("overlap")) * percent)
@@ -213,38 +265,29 @@ def _linked(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFr
     survey = _survey(docs, size)
     shared = docs.sparkSession.sparkContext.broadcast(_order(survey))
     prefixes = _prefixes(docs, size, percent, shared)
-    edges, roots = [], None
-    for turn in range(PIVOTS + 1):
-        rows = _unlinked(prefixes, roots)
-        member = F.struct("fp", "n", "p", "root")
-        groups = rows.groupBy("g").agg(F.min("root").alias("least"), F.max("root").alias("most"),
-                                       F.min_by(member, F.xxhash64("fp", F.lit(turn))).alias("pivot"))
-        groups = groups.where("least <> most").select("g", "pivot")
-        if turn < PIVOTS:
-            met = rows.withColumn("member", member).join(groups, "g").select("pivot", "member")
-            met = met.where(F.col("pivot.root") != F.col("member.root"))
-        else:
-            open_rows = materialize(rows.join(groups.select("g"), "g", "left_semi"), "open")
-            met = (open_rows.select("g", member.alias("pivot")).join(open_rows.select("g", member.alias("member")), "g")
-                   .where((F.col("pivot.fp") < F.col("member.fp")) & (F.col("pivot.root") != F.col("member.root"))))
-        met = met.where(_possible(percent, F.col("pivot.n"), F.col("pivot.p"), F.col("member.n"), F.col("member.p")))
-        pairs = _pairs(met, "pivot", "member")
-        if pairs.isEmpty():
-            continue
-        links = _links(pairs, _segments(docs, survey, pairs, size, shared), percent)
-        if not links.isEmpty():
-            edges.append(links)
-            roots = materialize(components(functools.reduce(DataFrame.unionByName, edges)), "roots")
     rows = survey.where("part is null").select("doc_id", "text_hash", "n", "fp")
     head = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash"))
-    classes = rows.where("fp is not null").groupBy("fp").agg(head.alias("head"))
-    if roots is not None:
-        classes = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-    else:
-        classes = classes.withColumn("root", F.lit(None).cast("long"))
+    classes = materialize(survey.where("fp is not null").groupBy("fp").agg(
+        head.alias("head"), F.first("bits").alias("bits")), "classes")
+    repeats = not rows.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty()
+    edges, roots, members = [], None, prefixes
+    for turn in range(PIVOTS + 1):
+        met = _with_pivots(members) if turn < PIVOTS else _all_met(members, classes, percent)
+        if roots is not None:
+            met = met.where(F.col("pivot.root") != F.col("member.root"))
+        pairs = _pairs(met.where((F.col("pivot.fp") != F.col("member.fp")) & _possible(
+            percent, F.col("pivot.n"), F.col("pivot.p"), F.col("member.n"), F.col("member.p"))))
+        if not pairs.isEmpty():
+            edges.append(_links(pairs, _segments(docs, classes, pairs, size, shared, repeats), percent))
+            roots = components(functools.reduce(DataFrame.unionByName, edges))
+        if turn < PIVOTS and roots is not None:
+            members = _still_open(members, roots, turn)
+    classes = classes.drop("bits")
+    classes = (classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left") if roots is not None
+               else classes.withColumn("root", F.lit(None).cast("long")))
     classes = materialize(classes.withColumn("root", F.coalesce("root", "fp")), "classes")
     heads = classes.groupBy("root").agg(F.min("head").alias("head"))
-    return rows, materialize(classes.drop("head").join(heads, "root").select(
+    return rows, materialize(classes.select("fp", "root").join(heads, "root").select(
         "fp", F.col("head.doc_id").alias("first"), F.col("head.text_hash").alias("first_hash")), "heads")
 
 
