@@ -133,10 +133,17 @@ def _windows(docs: DataFrame, size: int, least: int) -> DataFrame:
     return materialize(met.where("(least < most or salt >= 0) and c >= 0").select("v", "fp", "c"), "windows")
 
 
-def _sequences(docs: DataFrame, classes: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(fp, grams): the n-grams in order, 32 bits each, of the classes in `wanted`, from their first document."""
-    ids = materialize(classes.join(wanted, "fp", "left_semi").select("fp", "first", "first_hash"), "wanted")
-    side = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+def _small(df: DataFrame) -> DataFrame:
+    """A broadcast of a frame of a few narrow columns, when it is small."""
+    return F.broadcast(df) if df.count() <= BROADCAST_IDS else df
+
+
+def _sequences(docs: DataFrame, classes: DataFrame, wanted: DataFrame, size: int, repeats: bool) -> DataFrame:
+    """(fp, grams): the n-grams in order, 32 bits each, of the classes in `wanted`, from their first document.
+
+    `repeats` says that rows may be equal in id and text; all but one of those are left out.
+    """
+    side = _small(materialize(classes.join(wanted, "fp", "left_semi").select("fp", "first", "first_hash"), "wanted"))
     same_row = F.col("doc_id").eqNullSafe(F.col("first")) & (F.xxhash64("text") == F.col("first_hash"))
     texts = docs.join(side, same_row).select("text", "fp")
 
@@ -148,7 +155,8 @@ def _sequences(docs: DataFrame, classes: DataFrame, wanted: DataFrame, size: int
             packed = [short[a:b].tobytes() for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
             yield pa.RecordBatch.from_arrays([batch.column("fp"), pa.array(packed, pa.binary())], ["fp", "grams"])
 
-    return materialize(texts.mapInArrow(cut, "fp long, grams binary").dropDuplicates(["fp"]), "sequences")
+    found = texts.mapInArrow(cut, "fp long, grams binary")
+    return materialize(found.dropDuplicates(["fp"]) if repeats else found, "sequences")
 
 
 def runs(shared: np.ndarray, penalty: int) -> tuple[np.ndarray, np.ndarray]:
@@ -243,7 +251,8 @@ def repeated(docs: DataFrame, least: int = 50, size: int = SHINGLE, percent: int
     classes = materialize(classes.select("fp", "copies", F.col("head.doc_id").alias("first"),
                                          F.col("head.text_hash").alias("first_hash")), "classes")
     windows = _windows(narrow, size, least)
-    open_rows = windows.join(classes.select("fp", "first"), "fp").select(
+    repeats = not survey.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty()
+    open_rows = windows.join(_small(classes.select("fp", "first")), "fp").select(
         "v", F.struct(F.col("first").isNull().alias("nameless"), "first", "fp", "c").alias("w"))
     open_rows = materialize(open_rows, "open")
     found = []
@@ -258,11 +267,12 @@ def repeated(docs: DataFrame, least: int = 50, size: int = SHINGLE, percent: int
         if pairs.isEmpty():
             break
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
-        spans = _verify(pairs, _sequences(narrow, classes, wanted, size), size, least, percent)
+        spans = _verify(pairs, _sequences(narrow, classes, wanted, size, repeats), size, least, percent)
         if spans.isEmpty():
             break
         found.append(spans)
-        left = met.join(spans.select(F.col("b").alias("s_fp"), "b_start", "b_end").distinct(), (
+        known = _small(materialize(spans.select(F.col("b").alias("s_fp"), "b_start", "b_end").distinct(), "known"))
+        left = met.join(known, (
             (F.col("w.fp") == F.col("s_fp")) & (F.col("w.c") >= F.col("b_start")) & (F.col("w.c") < F.col("b_end"))),
             "left_anti")
         open_rows = materialize(left.select("v", "w"), "open")
