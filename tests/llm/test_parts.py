@@ -140,6 +140,39 @@ def test_verified_runs():
     assert passages.verified(a, b, hits, 61, 80) == []
 
 
+@pytest.mark.parametrize("length, edit", [(52, "change"), (55, "change"), (60, "change"), (55, "insert"), (57, "drop")])
+def test_verified_near_passages_with_the_edit_at_every_place(length, edit):
+    rng = np.random.default_rng(length)
+    wanted = 0
+    for place in range(length):
+        a, b = (rng.integers(0, 1 << 40, 200 + length) for _ in range(2))
+        passage = rng.integers(0, 1 << 40, length)
+        a[100:100 + length] = passage
+        changed = {"change": np.concatenate([passage[:place], [7], passage[place + 1:]]),
+                   "insert": np.insert(passage, place, 7), "drop": np.delete(passage, place)}[edit]
+        b = np.concatenate([b[:60], changed, b[60:160]])
+        grams = [sum(text.mix((w[i:len(w) - 4 + i] + i).astype(np.uint64)) for i in range(5)) for w in (a, b)]
+        hits = []
+        for k in range(passages.HASHES):
+            nodes = []
+            for g in grams:
+                h = text.mix(g ^ passages._SEED[k])
+                nodes.append({h[c]: c for c in passages.window_nodes(h, np.array([0, len(h)]), 46).tolist()})
+            hits += [(k, nodes[0][v], nodes[1][v]) for v in nodes[0].keys() & nodes[1].keys()]
+        hits = np.array(sorted(hits), np.int64).reshape(-1, 3)
+        found = passages.verified(*grams, hits, 46, 80)
+        assert all(min(q - p, t - s) >= 46 and similar >= 0.8 - 1e-9 for p, q, s, t, similar in found)
+        mine, other = (np.isin(*g) for g in (grams, grams[::-1]))
+        ends = [(p, q) for p in range(96, 112) for q in range(p + 46, 102 + length) if mine[p] and mine[q - 1]]
+        near = any(len(set(hits[(hits[:, 1] >= p) & (hits[:, 1] < q) & (hits[:, 2] >= p - 40) & (hits[:, 2] < t - 40), 0])) >= 2
+                   and passages._similarity(grams[0][p:q], grams[1][p - 40:t - 40]) >= 0.8
+                   for p, q in ends for t in (q - 1, q, q + 1)
+                   if t - p >= 46 and other[p - 40] and other[t - 41])
+        wanted += near
+        assert bool(found) >= near, place
+    assert wanted > 10
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.integers(1, 64), min_size=1, max_size=60), st.sampled_from(["norm", "dot"]),
        st.sampled_from([(64, 64, 4096), (64, 3, 4096), (64, 64, 4200)]))

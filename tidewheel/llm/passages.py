@@ -10,7 +10,9 @@ per function, equal ones under every function.
 Windows that meet in a hash are joined, each with one anchor of the hash: the document of the smallest id. A pair of
 documents is verified when windows of MIN_HASHES functions or more meet: from every meeting point the longest run is
 grown in both documents in which n-grams of the other document prevail, and the pair of runs is kept when it is long
-enough, similar enough, and holds meeting points of enough functions. Windows of which the place has not been found to
+enough, similar enough, and holds meeting points of enough functions. Meeting points without such a pair are tried
+again with the best runs that are long enough, and with the run of the other document most similar to each. A passage
+begins and ends with n-grams that the other document has too. Windows of which the place has not been found to
 repeat meet again among themselves, with the next anchor, until a round finds nothing new.
 
 Documents with the same words are one class, of which the first stands for all.
@@ -174,35 +176,114 @@ def runs(shared: np.ndarray, penalty: int) -> tuple[np.ndarray, np.ndarray]:
     return start, end
 
 
+def runs_of(shared: np.ndarray, penalty: float, at: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
+    """Of all runs of at least `least` that hold a place of `at`, the one with the best sum as in `runs`.
+
+    A run begins and ends with shared places, as those of `runs` do. Starts, exclusive ends and sums; -inf for no run.
+    """
+    n = len(shared)
+    if n < least or not len(at):
+        return np.zeros(len(at), np.int64), np.zeros(len(at), np.int64), np.full(len(at), -np.inf)
+    until = np.concatenate([[0.0], np.cumsum(np.where(shared, 1.0, -float(penalty)))])
+    every = np.arange(n + 1)
+    starts = np.append(np.where(shared, until[:-1], np.inf), np.inf)
+    stops = np.append(-np.inf, np.where(shared, until[1:], -np.inf))
+    low = np.minimum.accumulate(starts)
+    low_at = np.maximum.accumulate(np.where(starts == low, every, 0))
+    high = np.maximum.accumulate(stops[::-1])[::-1]
+    high_at = np.minimum.accumulate(np.where(stops == high, every, n)[::-1])[::-1]
+    far = np.minimum(at + least, n)  # ends from here on leave the start free
+    best = np.where(at + least <= n, high[far] - low[at], -np.inf)
+    start, end = low_at[at], high_at[far]
+    ends = at[:, None] + np.arange(1, least)[None, :]  # nearer ends bound the start
+    fits = (ends <= n) & (ends >= least)
+    near = np.where(fits, stops[np.minimum(ends, n)] - low[np.clip(ends - least, 0, n)], -np.inf)
+    pick = near.argmax(axis=1) if least > 1 else np.zeros(len(at), np.int64)
+    if least > 1:
+        value, row = near[np.arange(len(at)), pick], np.arange(len(at))
+        closer = value > best
+        stop = np.minimum(ends[row, pick], n)
+        start = np.where(closer, low_at[np.clip(stop - least, 0, n)], start)
+        end = np.where(closer, stop, end)
+        best = np.where(closer, value, best)
+    return start, end, best
+
+
 def _similarity(a: np.ndarray, b: np.ndarray) -> float:
     a, b = np.unique(a), np.unique(b)
     both = len(np.intersect1d(a, b, assume_unique=True))
     return both / (len(a) + len(b) - both)
 
 
+def _partner(run: tuple[int, int], a: np.ndarray, b: np.ndarray, at: int, least: int, share: float):
+    """The run of b through `at` that is most similar to the run of a.
+
+    The similarity is at least `share` when the shared n-grams, less `share` times all others of both, come out even;
+    a run more than 1 / share times as long cannot be that similar.
+    """
+    reach = int((run[1] - run[0]) / share) + 1
+    first = max(0, at - reach)
+    part = b[first:at + reach + 1]
+    start, end, best = runs_of(np.isin(part, a[run[0]:run[1]]), share, np.array([at - first]), least)
+    return (first + int(start[0]), first + int(end[0])) if best[0] > -np.inf else None
+
+
 def verified(a: np.ndarray, b: np.ndarray, hits: np.ndarray, least: int, percent: int) -> list[tuple]:
     """Pairs of runs (start and end in a, start and end in b, similarity) around the meeting points (function, a, b)."""
     in_a, in_b = np.isin(a, b), np.isin(b, a)
+    share = percent / 100
     found, tried, left = [], set(), hits
-    for penalty in (4, 8, len(a) + len(b)):  # the last one allows nothing but shared n-grams
+
+    def keep(run: tuple) -> bool:
+        nonlocal left
+        if run in tried:
+            return False
+        tried.add(run)
+        inside = ((hits[:, 1] >= run[0]) & (hits[:, 1] < run[1]) & (hits[:, 2] >= run[2]) & (hits[:, 2] < run[3]))
+        if len(np.unique(hits[inside, 0])) < MIN_HASHES:
+            return False
+        similar = _similarity(a[run[0]:run[1]], b[run[2]:run[3]])
+        if 100 * similar < percent - 1e-9:
+            return False
+        found.append((*run, similar))
+        left = left[~((left[:, 1] >= run[0]) & (left[:, 1] < run[1])
+                      & (left[:, 2] >= run[2]) & (left[:, 2] < run[3]))]
+        return True
+
+    strict = len(a) + len(b)  # allows nothing but shared n-grams
+    for penalty in (4, 8, strict, 2, 1):
         (p, q), (s, t) = runs(in_a, penalty), runs(in_b, penalty)
         at_a, at_b = left[:, 1], left[:, 2]
         around = np.stack([p[at_a], q[at_a], s[at_b], t[at_b]], axis=1)
         long = np.minimum(around[:, 1] - around[:, 0], around[:, 3] - around[:, 2]) >= least
         for run in dict.fromkeys(map(tuple, around[long].tolist())):
-            if run in tried:
-                continue
-            tried.add(run)
-            inside = ((hits[:, 1] >= run[0]) & (hits[:, 1] < run[1]) & (hits[:, 2] >= run[2]) & (hits[:, 2] < run[3]))
-            if len(np.unique(hits[inside, 0])) < MIN_HASHES:
-                continue
-            similar = _similarity(a[run[0]:run[1]], b[run[2]:run[3]])
-            if 100 * similar >= percent - 1e-9:
-                found.append((*run, similar))
-                left = left[~((left[:, 1] >= run[0]) & (left[:, 1] < run[1])
-                              & (left[:, 2] >= run[2]) & (left[:, 2] < run[3]))]
+            keep(run)
         if not len(left):
+            return found
+    # Passages whose edits lie near an end: runs that must be long enough, and the run most similar to each.
+    loss = share / (1 - share) if share < 1 else strict  # at least `share` of a run must be shared
+    possible = ((runs_of(in_a, loss, left[:, 1], least)[2] >= -1e-6)
+                & (runs_of(in_b, loss, left[:, 2], least)[2] >= -1e-6))
+    todo = left[possible]
+    for penalty in (4, 8, strict, 2, 1, share):
+        if not len(todo):
             break
+        (p, q, _), (s, t, _) = runs_of(in_a, penalty, todo[:, 1], least), runs_of(in_b, penalty, todo[:, 2], least)
+        for (_, x, y), *run in zip(todo.tolist(), p.tolist(), q.tolist(), s.tolist(), t.tolist()):
+            if not ((left[:, 1] == x) & (left[:, 2] == y)).any() or (x, y, *run) in tried:
+                continue  # found meanwhile
+            tried.add((x, y, *run))
+            if keep(tuple(run)):
+                continue
+            one, two = tuple(run[:2]), tuple(run[2:])
+            for start in ((one, _partner(one, a, b, y, least, share)), (_partner(two, b, a, x, least, share), two)):
+                for _ in range(3):
+                    if None in start or keep((*start[0], *start[1])):
+                        break
+                    mine = _partner(start[1], b, a, x, least, share)
+                    start = (mine, mine and _partner(mine, a, b, y, least, share))
+        rest = {tuple(h) for h in left.tolist()}
+        todo = todo[np.array([tuple(h) in rest for h in todo.tolist()], bool)]
     return found
 
 
