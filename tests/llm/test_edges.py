@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -91,6 +92,30 @@ def test_long_copies_are_cut_whole(spark):
     assert [r.doc_id for r in left] == [2, 2]
 
 
+def _words(rng, n):
+    return [f"w{x}" for x in rng.integers(0, 1 << 40, n)]
+
+
+def _found(spark, texts, pairs):
+    """Those of the pairs (later, earlier) that have a row."""
+    rows = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    spans = passages.repeated(rows).select("doc_id", "first_doc_id").distinct().collect()
+    return {(r.doc_id, r.first_doc_id) for r in spans} & set(pairs)
+
+
+def test_passages_around_a_frequent_line(spark):
+    rng = np.random.default_rng(5)
+    texts, pairs = [], []
+    for i in range(12):
+        line, before, after = _words(rng, 36), _words(rng, 10), _words(rng, 10)
+        for _ in range(9):
+            texts.append(_words(rng, 60) + line + _words(rng, 60))
+        for _ in range(2):
+            texts.append(_words(rng, 60) + before + line + after + _words(rng, 60))
+        pairs.append((len(texts) - 1, len(texts) - 2))
+    assert _found(spark, texts, pairs) == set(pairs)
+
+
 def test_token_counts(docs):
     rows = by_id(token_counts.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model")).collect(),
                  "n_bytes", "n_tokens", "over_limit")

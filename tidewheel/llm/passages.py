@@ -7,13 +7,16 @@ of words inside a window that hold the node share the min-hash, so only nodes wh
 matter, about two in `least` n-grams. Near-duplicate passages share the node's hash with a chance of their similarity
 per function, equal ones under every function.
 
-Windows that meet in a hash are joined, each with one anchor of the hash: the document of the smallest id. A pair of
-documents is verified when windows of MIN_HASHES functions or more meet: from every meeting point the longest run is
+Windows that meet in a hash are joined with anchors of the hash: first the document of the smallest id, in every later
+round up to four times as many documents, dealt out by salt. Meeting points of a pair are kept from round to round, and
+a pair of documents is verified as soon as windows of MIN_HASHES functions or more have met: from every meeting point the longest run is
 grown in both documents in which n-grams of the other document prevail, and the pair of runs is kept when it is long
 enough, similar enough, and holds meeting points of enough functions. Meeting points without such a pair are tried
 again with the best runs that are long enough, and with the run of the other document most similar to each. A passage
-begins and ends with n-grams that the other document has too. Windows of which the place has not been found to
-repeat meet again among themselves, with the next anchor, until a round finds nothing new.
+begins and ends with n-grams that the other document has too.
+An anchor has met all windows of its hash and leaves. A window is known when every passage it stands for lies inside a
+found one; known windows become no anchors and are not met as the later ones. The rounds end when no hash has a window
+left that is not known and has an earlier document to meet.
 
 Documents with the same words are one class, of which the first stands for all.
 """
@@ -49,7 +52,12 @@ def prints(grams: np.ndarray, first: np.ndarray, counts: np.ndarray) -> np.ndarr
 
 
 def window_nodes(hashes: np.ndarray, first: np.ndarray, least: int) -> np.ndarray:
-    """The places whose hash is the smallest of some run of `least` in their document; of equal ones the leftmost.
+    """The places whose hash is the smallest of some run of `least` in their document; of equal ones the leftmost."""
+    return windows_of(hashes, first, least)[0]
+
+
+def windows_of(hashes: np.ndarray, first: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Those places, and how far the window of each goes back and ahead, up to what a run of `least` can reach.
 
     Documents stand apart by zeros, which end every window; windows are followed no further than `least`.
     """
@@ -79,8 +87,10 @@ def window_nodes(hashes: np.ndarray, first: np.ndarray, least: int) -> np.ndarra
         right += np.where(levels[j][at] >= value, step, 0)
         at = left - step
         left -= np.where((at > 0) & (levels[j][np.maximum(at, 0)] > value), step, 0)
-    node = node[right - left + 1 >= least]
-    return node - np.searchsorted(first[:-1] + np.arange(1, docs + 1), node, "right")
+    wide = right - left + 1 >= least
+    back, ahead = (np.minimum(x[wide], least - 1) for x in (node - left, right - node))
+    node = node[wide]
+    return node - np.searchsorted(first[:-1] + np.arange(1, docs + 1), node, "right"), back, ahead
 
 
 def _survey(docs: DataFrame, size: int) -> DataFrame:
@@ -98,7 +108,9 @@ def _survey(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _windows(docs: DataFrame, size: int, least: int) -> DataFrame:
-    """(v, fp, c): the nodes that windows of other documents may share; v holds the function's number."""
+    """(v, fp, c, back, ahead): the nodes that windows of other documents may share, and how far their windows go.
+
+    v holds the function's number."""
     def cut(batches):
         seen: set[int] = set()
         for batch in blocks(batches):
@@ -111,28 +123,35 @@ def _windows(docs: DataFrame, size: int, least: int) -> DataFrame:
                     seen.add(fp)
                     fresh[d] = True
             doc = np.repeat(np.arange(len(own)), np.diff(first))
-            values, nodes = [], []
+            values, nodes, backs, aheads = [], [], [], []
             for k in range(HASHES):
                 hashes = mix(grams ^ _SEED[k])
-                at = window_nodes(hashes, first, least - size + 1)
-                at = at[fresh[doc[at]]]
+                at, back, ahead = windows_of(hashes, first, least - size + 1)
+                new = fresh[doc[at]]
+                at = at[new]
                 values.append((hashes[at] & ~_U(7)) | _U(k))
                 nodes.append(at)
-            v, at = np.concatenate(values), np.concatenate(nodes)
+                backs.append(back[new])
+                aheads.append(ahead[new])
+            v, at, back, ahead = (np.concatenate(x) for x in (values, nodes, backs, aheads))
             c, fp = at - first[doc[at]], own[doc[at]]
-            kinds, back, often = np.unique(v, return_inverse=True, return_counts=True)
-            salt = np.where(often[back] >= HOT, fp & (SALTS - 1), -1)
+            kinds, which, often = np.unique(v, return_inverse=True, return_counts=True)
+            salt = np.where(often[which] >= HOT, fp & (SALTS - 1), -1)
             hot = kinds[often >= HOT]  # known to be shared; one row tells those that are alone elsewhere
             mark = np.zeros(len(hot), np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate([v, hot]).view(np.int64)), pa.array(np.concatenate([fp, mark])),
                  pa.array(np.concatenate([c, mark - 1]).astype(np.int32)),
-                 pa.array(np.concatenate([salt, mark - 1]).astype(np.int32))], ["v", "fp", "c", "salt"])
+                 pa.array(np.concatenate([back, mark]).astype(np.int32)),
+                 pa.array(np.concatenate([ahead, mark]).astype(np.int32)),
+                 pa.array(np.concatenate([salt, mark - 1]).astype(np.int32))],
+                ["v", "fp", "c", "back", "ahead", "salt"])
 
-    rows = docs.mapInArrow(cut, "v long, fp long, c int, salt int")
+    rows = docs.mapInArrow(cut, "v long, fp long, c int, back int, ahead int, salt int")
     here = W.partitionBy("v", "salt")
     met = rows.withColumns({"least": F.min("fp").over(here), "most": F.max("fp").over(here)})
-    return materialize(met.where("(least < most or salt >= 0) and c >= 0").select("v", "fp", "c"), "windows")
+    return materialize(met.where("(least < most or salt >= 0) and c >= 0").select("v", "fp", "c", "back", "ahead"),
+                       "windows")
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -315,6 +334,34 @@ def _verify(pairs: DataFrame, sequences: DataFrame, size: int, least: int, perce
     return materialize(both.mapInArrow(check, schema), "verified")
 
 
+def _met(rows: DataFrame, anchors: DataFrame) -> DataFrame:
+    """(a, b, hits): the meeting points of the anchors' windows with all others of their hashes, the earlier class as a."""
+    anchor_rows = rows.join(anchors, "v").where("w.fp = anchor.fp").select(
+        "v", "anchor", F.col("c").alias("anchor_c"), F.col("known").alias("anchor_known")).groupBy("v", "anchor").agg(
+        F.min("anchor_c").alias("anchor_c"), F.min("anchor_known").alias("anchor_known"))
+    met = rows.join(anchor_rows, "v").where("w.fp <> anchor.fp")
+    later = F.col("anchor") < F.col("w")
+    met = met.where(~F.when(later, F.col("known")).otherwise(F.col("anchor_known")))
+
+    def ends(one, two):
+        return F.when(later, one).otherwise(two)
+
+    hit = F.struct(F.pmod("v", F.lit(8)).alias("k"), ends(F.col("anchor_c"), F.col("c")).alias("a"),
+                   ends(F.col("c"), F.col("anchor_c")).alias("b"))
+    return met.groupBy(ends(F.col("anchor.fp"), F.col("w.fp")).alias("a"),
+                       ends(F.col("w.fp"), F.col("anchor.fp")).alias("b")).agg(F.collect_set(hit).alias("hits"))
+
+
+def _marked(rows: DataFrame, spans: DataFrame, size: int) -> DataFrame:
+    """`rows`, marked as known where every passage that a window stands for lies in a found one of its document."""
+    known = spans.groupBy(F.col("b").alias("s_fp")).agg(F.collect_set(F.struct("b_start", "b_end")).alias("spans"))
+    side = _small(materialize(known, "known"))
+    inside = F.exists("spans", lambda s: (F.col("c") - F.col("back") >= s["b_start"]) & (
+        F.col("c") + F.col("ahead") + F.lit(size) <= s["b_end"]))
+    return rows.join(side, F.col("w.fp") == F.col("s_fp"), "left").select(
+        "v", "w", "c", "back", "ahead", (F.col("known") | F.coalesce(inside, F.lit(False))).alias("known"))
+
+
 def repeated(docs: DataFrame, least: int = 50, size: int = SHINGLE, percent: int = 80, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
     """One row for every passage of a document that another document, of a smaller id, has too.
@@ -333,30 +380,35 @@ def repeated(docs: DataFrame, least: int = 50, size: int = SHINGLE, percent: int
                                          F.col("head.text_hash").alias("first_hash")), "classes")
     windows = _windows(narrow, size, least)
     repeats = not survey.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty()
-    open_rows = windows.join(_small(classes.select("fp", "first")), "fp").select(
-        "v", F.struct(F.col("first").isNull().alias("nameless"), "first", "fp", "c").alias("w"))
-    open_rows = materialize(open_rows, "open")
-    found = []
+    rows = windows.join(_small(classes.select("fp", "first")), "fp").select(
+        "v", F.struct(F.col("first").isNull().alias("nameless"), "first", "fp").alias("w"), "c", "back", "ahead",
+        F.lit(False).alias("known"))
+    rows = materialize(rows, "open")
+    found, hits, salts = [], None, 1
     while True:
-        anchors = open_rows.groupBy("v").agg(F.min("w").alias("anchor"), F.max("w.fp").alias("most"),
-                                             F.min("w.fp").alias("least")).where("most <> least").select("v", "anchor")
-        met = open_rows.join(anchors, "v").where("w.fp <> anchor.fp")
-        hit = F.struct(F.pmod("v", F.lit(8)).alias("k"), F.col("anchor.c").alias("a"), F.col("w.c").alias("b"))
-        pairs = met.groupBy(F.col("anchor.fp").alias("a"), F.col("w.fp").alias("b")).agg(F.collect_set(hit).alias("hits"))
+        todo = rows.groupBy("v").agg(F.min("w").alias("low"), F.max(F.when(~F.col("known"), F.col("w"))).alias("high"))
+        rows = materialize(rows.join(todo.where("low < high").select("v"), "v", "left_semi"), "open")
+        if rows.isEmpty():
+            break
+        salt = F.pmod(F.xxhash64("w.fp", F.lit(salts)), F.lit(salts))
+        anchors = materialize(rows.where(~F.col("known")).groupBy("v", salt.alias("salt")).agg(
+            F.min("w").alias("anchor")).select("v", "anchor"), "anchors")
+        new = materialize(_met(rows, anchors), "hits")
+        pairs = new if hits is None else new.unionByName(
+            hits.join(_small(new.select("a", "b")), ["a", "b"], "left_semi")).groupBy("a", "b").agg(
+            F.array_distinct(F.flatten(F.collect_list("hits"))).alias("hits"))
         functions = F.array_distinct(F.transform("hits", lambda h: h["k"]))
         pairs = materialize(pairs.where(F.size(functions) >= MIN_HASHES), "pairs")
-        if pairs.isEmpty():
-            break
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
-        spans = _verify(pairs, _sequences(narrow, classes, wanted, size, repeats), size, least, percent)
-        if spans.isEmpty():
-            break
-        found.append(spans)
-        known = _small(materialize(spans.select(F.col("b").alias("s_fp"), "b_start", "b_end").distinct(), "known"))
-        left = met.join(known, (
-            (F.col("w.fp") == F.col("s_fp")) & (F.col("w.c") >= F.col("b_start")) & (F.col("w.c") < F.col("b_end"))),
-            "left_anti")
-        open_rows = materialize(left.select("v", "w"), "open")
+        hits = new if hits is None else hits.unionByName(new)
+        rows = rows.join(anchors.withColumnRenamed("v", "met"), (F.col("v") == F.col("met")) & (
+            F.col("w.fp") == F.col("anchor.fp")), "left_anti")
+        if not pairs.isEmpty():
+            wanted = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
+            spans = _verify(pairs, _sequences(narrow, classes, wanted, size, repeats), size, least, percent)
+            found.append(spans)
+            rows = _marked(rows, spans, size)
+        rows = materialize(rows, "open")
+        salts *= 4
     return _listed(survey, classes, found, least)
 
 
@@ -371,7 +423,7 @@ def _listed(survey: DataFrame, classes: DataFrame, found: list[DataFrame], least
         "text_hash").distinct()
     if not found:
         return whole
-    spans = functools.reduce(DataFrame.unionByName, found)
+    spans = functools.reduce(DataFrame.unionByName, found).distinct()
     parts = (spans.join(classes.select(F.col("fp").alias("a"), F.col("first").alias("first_doc_id")), "a")
              .join(classes.select(F.col("fp").alias("b"), F.col("first").alias("doc_id"),
                                   F.col("first_hash").alias("text_hash")), "b"))
