@@ -116,6 +116,20 @@ def test_passages_around_a_frequent_line(spark):
     assert _found(spark, texts, pairs) == set(pairs)
 
 
+def test_passages_after_an_earlier_variant_in_the_same_document(spark):
+    rng = np.random.default_rng(6)
+    texts, pairs = [], []
+    for i in range(12):
+        passage = _words(rng, 56)
+        variant = list(passage)
+        for place in (8, 24, 40):
+            variant[place] = "other"
+        texts.append(_words(rng, 40) + variant + _words(rng, 60) + passage + _words(rng, 40))
+        texts.append(_words(rng, 50) + passage + _words(rng, 50))
+        pairs.append((len(texts) - 1, len(texts) - 2))
+    assert _found(spark, texts, pairs) == set(pairs)
+
+
 def test_token_counts(docs):
     rows = by_id(token_counts.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model")).collect(),
                  "n_bytes", "n_tokens", "over_limit")

@@ -8,9 +8,10 @@ matter, about two in `least` n-grams. Near-duplicate passages share the node's h
 per function, equal ones under every function.
 
 Windows that meet in a hash are joined with anchors of the hash: first the document of the smallest id, in every later
-round up to four times as many documents, dealt out by salt. Meeting points of a pair are kept from round to round, and
-a pair of documents is verified as soon as windows of MIN_HASHES functions or more have met: from every meeting point the longest run is
-grown in both documents in which n-grams of the other document prevail, and the pair of runs is kept when it is long
+round up to four times as many documents, dealt out by salt. All places of both documents meet; of equal windows of a
+document the first meets for all, and the others are looked up when the pair is verified. Meeting points of a pair are kept from round to round, and a pair of documents is
+verified as soon as windows of MIN_HASHES functions or more have met: from every meeting point the longest run is grown
+in both documents in which n-grams of the other document prevail, and the pair of runs is kept when it is long
 enough, similar enough, and holds meeting points of enough functions. Meeting points without such a pair are tried
 again with the best runs that are long enough, and with the run of the other document most similar to each. A passage
 begins and ends with n-grams that the other document has too.
@@ -93,6 +94,23 @@ def windows_of(hashes: np.ndarray, first: np.ndarray, least: int) -> tuple[np.nd
     return node - np.searchsorted(first[:-1] + np.arange(1, docs + 1), node, "right"), back, ahead
 
 
+def repeats_before(values: np.ndarray, grams: np.ndarray, at: np.ndarray, back: np.ndarray, ahead: np.ndarray,
+                   doc: np.ndarray) -> np.ndarray:
+    """Which windows have an earlier one of the same value and the same n-grams in the same document.
+
+    Both stand for the same passages, so the first of them meets other documents for all.
+    """
+    power = np.cumprod(np.full(len(grams) + 1, 0xD1342543DE82EF95, _U))
+    turned = np.cumprod(np.full(len(grams) + 1, pow(0xD1342543DE82EF95, -1, 1 << 64), _U))
+    sums = np.concatenate([np.zeros(1, _U), np.cumsum(mix(grams) * power[:-1])])
+    around = mix((sums[at + ahead + 1] - sums[at - back]) * turned[at - back] + back.astype(_U))
+    order = np.lexsort((at, around, values, doc))
+    same = np.zeros(len(at), bool)
+    one, two = order[:-1], order[1:]
+    same[two] = (doc[one] == doc[two]) & (values[one] == values[two]) & (around[one] == around[two])
+    return same
+
+
 def _survey(docs: DataFrame, size: int) -> DataFrame:
     """doc_id, text_hash, n_words and fp, the fingerprint of the words, of every row."""
     def look(batches):
@@ -110,7 +128,7 @@ def _survey(docs: DataFrame, size: int) -> DataFrame:
 def _windows(docs: DataFrame, size: int, least: int) -> DataFrame:
     """(v, fp, c, back, ahead): the nodes that windows of other documents may share, and how far their windows go.
 
-    v holds the function's number."""
+    v holds the function's number. Of equal windows of a document only the first has a row."""
     def cut(batches):
         seen: set[int] = set()
         for batch in blocks(batches):
@@ -134,6 +152,8 @@ def _windows(docs: DataFrame, size: int, least: int) -> DataFrame:
                 backs.append(back[new])
                 aheads.append(ahead[new])
             v, at, back, ahead = (np.concatenate(x) for x in (values, nodes, backs, aheads))
+            once = ~repeats_before(v, grams, at, back, ahead, doc[at])
+            v, at, back, ahead = v[once], at[once], back[once], ahead[once]
             c, fp = at - first[doc[at]], own[doc[at]]
             kinds, which, often = np.unique(v, return_inverse=True, return_counts=True)
             salt = np.where(often[which] >= HOT, fp & (SALTS - 1), -1)
@@ -251,7 +271,7 @@ def verified(a: np.ndarray, b: np.ndarray, hits: np.ndarray, least: int, percent
     """Pairs of runs (start and end in a, start and end in b, similarity) around the meeting points (function, a, b)."""
     in_a, in_b = np.isin(a, b), np.isin(b, a)
     share = percent / 100
-    found, tried, left = [], set(), hits
+    found, tried, failed, left = [], set(), set(), hits
 
     def keep(run: tuple) -> bool:
         nonlocal left
@@ -289,11 +309,12 @@ def verified(a: np.ndarray, b: np.ndarray, hits: np.ndarray, least: int, percent
             break
         (p, q, _), (s, t, _) = runs_of(in_a, penalty, todo[:, 1], least), runs_of(in_b, penalty, todo[:, 2], least)
         for (_, x, y), *run in zip(todo.tolist(), p.tolist(), q.tolist(), s.tolist(), t.tolist()):
-            if not ((left[:, 1] == x) & (left[:, 2] == y)).any() or (x, y, *run) in tried:
-                continue  # found meanwhile
-            tried.add((x, y, *run))
+            same = (x, y - run[2], *run[:2], b[run[2]:run[3]].tobytes())
+            if same in failed or any(f[0] <= x < f[1] and f[2] <= y < f[3] for f in found):
+                continue
             if keep(tuple(run)):
                 continue
+            before = len(found)
             one, two = tuple(run[:2]), tuple(run[2:])
             for start in ((one, _partner(one, a, b, y, least, share)), (_partner(two, b, a, x, least, share), two)):
                 for _ in range(3):
@@ -301,11 +322,23 @@ def verified(a: np.ndarray, b: np.ndarray, hits: np.ndarray, least: int, percent
                         break
                     mine = _partner(start[1], b, a, x, least, share)
                     start = (mine, mine and _partner(mine, a, b, y, least, share))
+            if len(found) == before:
+                failed.add(same)
         rest = {tuple(h) for h in left.tolist()}
         todo = todo[np.array([tuple(h) in rest for h in todo.tolist()], bool)]
     return found
 
 
+def _everywhere(hits: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Meeting points (function, a, b) with every place of b that has the same n-gram."""
+    by = np.argsort(b, kind="stable")
+    wanted, values = b[hits[:, 2]], b[by]
+    lo, hi = np.searchsorted(values, wanted), np.searchsorted(values, wanted, "right")
+    n = hi - lo
+    places = by[np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+    return np.unique(np.column_stack([np.repeat(hits[:, :2], n, axis=0), places]), axis=0)
+
+
 def _verify(pairs: DataFrame, sequences: DataFrame, size: int, least: int, percent: int) -> DataFrame:
     """(a, b, start and end words in both, similarity) of the near-duplicate passages of pairs of classes."""
     left = sequences.select(F.col("fp").alias("a"), F.col("grams").alias("grams_a"))
@@ -320,8 +353,9 @@ def _verify(pairs: DataFrame, sequences: DataFrame, size: int, least: int, perce
             points = np.stack([flat.field(c).to_numpy().astype(np.int64) for c in ("k", "a", "b")], axis=1)
             for i in range(batch.num_rows):
                 hits = points[edges[i]:edges[i + 1]]
-                hits = hits[np.lexsort((hits[:, 0], hits[:, 1], hits[:, 2]))]
                 grams = [np.frombuffer(batch.column(c)[i].as_py(), "<u4") for c in ("grams_a", "grams_b")]
+                hits = _everywhere(hits, grams[1])
+                hits = hits[np.lexsort((hits[:, 0], hits[:, 1], hits[:, 2]))]
                 for p, q, s, t, similar in verified(*grams, hits, least - size + 1, percent):
                     for column, value in zip(rows, (batch.column("a")[i].as_py(), batch.column("b")[i].as_py(), p,
                                                     q + size - 1, s, t + size - 1, similar)):
@@ -334,22 +368,23 @@ def _verify(pairs: DataFrame, sequences: DataFrame, size: int, least: int, perce
     return materialize(both.mapInArrow(check, schema), "verified")
 
 
-def _met(rows: DataFrame, anchors: DataFrame) -> DataFrame:
-    """(a, b, hits): the meeting points of the anchors' windows with all others of their hashes, the earlier class as a."""
-    anchor_rows = rows.join(anchors, "v").where("w.fp = anchor.fp").select(
-        "v", "anchor", F.col("c").alias("anchor_c"), F.col("known").alias("anchor_known")).groupBy("v", "anchor").agg(
-        F.min("anchor_c").alias("anchor_c"), F.min("anchor_known").alias("anchor_known"))
-    met = rows.join(anchor_rows, "v").where("w.fp <> anchor.fp")
-    later = F.col("anchor") < F.col("w")
-    met = met.where(~F.when(later, F.col("known")).otherwise(F.col("anchor_known")))
+def _met(rows: DataFrame, anchors: DataFrame, first: bool) -> DataFrame:
+    """(a, b, hits): the meeting points of the anchors' windows with all others of their hashes, the earlier class as a.
 
-    def ends(one, two):
-        return F.when(later, one).otherwise(two)
-
-    hit = F.struct(F.pmod("v", F.lit(8)).alias("k"), ends(F.col("anchor_c"), F.col("c")).alias("a"),
-                   ends(F.col("c"), F.col("anchor_c")).alias("b"))
-    return met.groupBy(ends(F.col("anchor.fp"), F.col("w.fp")).alias("a"),
-                       ends(F.col("w.fp"), F.col("anchor.fp")).alias("b")).agg(F.collect_set(hit).alias("hits"))
+    `first` says that no class of a hash is earlier than its anchor.
+    """
+    own = rows.join(anchors, "v").where("w.fp = anchor.fp")
+    before = own.select("v", "anchor", F.col("c").alias("anchor_c"))
+    behind = own.where("not known").select("v", "anchor", F.col("c").alias("anchor_c"))
+    k = F.pmod("v", F.lit(8)).alias("k")
+    met = rows.where("not known").join(before, "v").where("anchor < w").select(
+        F.col("anchor.fp").alias("a"), F.col("w.fp").alias("b"),
+        F.struct(k, F.col("anchor_c").alias("a"), F.col("c").alias("b")).alias("hit"))
+    if not first:
+        met = met.unionByName(rows.join(behind, "v").where("w < anchor").select(
+            F.col("w.fp").alias("a"), F.col("anchor.fp").alias("b"),
+            F.struct(k, F.col("c").alias("a"), F.col("anchor_c").alias("b")).alias("hit")))
+    return met.groupBy("a", "b").agg(F.collect_set("hit").alias("hits"))
 
 
 def _marked(rows: DataFrame, spans: DataFrame, size: int) -> DataFrame:
@@ -393,7 +428,7 @@ def repeated(docs: DataFrame, least: int = 50, size: int = SHINGLE, percent: int
         salt = F.pmod(F.xxhash64("w.fp", F.lit(salts)), F.lit(salts))
         anchors = materialize(rows.where(~F.col("known")).groupBy("v", salt.alias("salt")).agg(
             F.min("w").alias("anchor")).select("v", "anchor"), "anchors")
-        new = materialize(_met(rows, anchors), "hits")
+        new = materialize(_met(rows, anchors, salts == 1), "hits")
         pairs = new if hits is None else new.unionByName(
             hits.join(_small(new.select("a", "b")), ["a", "b"], "left_semi")).groupBy("a", "b").agg(
             F.array_distinct(F.flatten(F.collect_list("hits"))).alias("hits"))
