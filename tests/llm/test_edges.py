@@ -130,6 +130,17 @@ def test_passages_after_an_earlier_variant_in_the_same_document(spark):
     assert _found(spark, texts, pairs) == set(pairs)
 
 
+def test_hamming_neighbours_of_an_id_with_many_codes(spark):
+    def vector(flipped):
+        return [-1.0 if i in flipped else 1.0 for i in range(64)]
+
+    rows = [(0, vector({4 * i})) for i in range(8)]  # eight codes of the query's own id, two bits apart
+    rows += [(i, vector({4 * s + 1 for s in range(8, 11 + i)})) for i in range(1, 6)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = hamming.search(vectors, k=3).where("query_id = 0").orderBy("rank").collect()
+    assert [(r.vec_id, r.distance) for r in found] == [(1, 5), (2, 6), (3, 7)]
+
+
 def test_token_counts(docs):
     rows = by_id(token_counts.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model")).collect(),
                  "n_bytes", "n_tokens", "over_limit")

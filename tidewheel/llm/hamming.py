@@ -74,6 +74,7 @@ def _probe(width: int, bits: int, length: int, radius: int, k: int):
             ids = codes.column("ids").combine_chunks()
             id_first, id_values = ids.offsets.to_numpy(), ids.values.to_numpy()
             worst = queries.column("worst").to_numpy()
+            enough = k + queries.column("own").to_numpy()  # some of them may be the query's own codes
             for q, name in enumerate(queries.column("query_id").to_pylist()):
                 seen = []
                 for (values, by, flips), keys in zip(tables, wanted):
@@ -85,8 +86,8 @@ def _probe(width: int, bits: int, length: int, radius: int, k: int):
                 distance = np.bitwise_count(own[at] ^ asked[q]).sum(axis=1, dtype=np.int64)
                 near = distance <= worst[q]
                 at, distance = at[near], distance[near]
-                if len(at) > k + 1:  # one of them may be the query
-                    near = distance <= np.partition(distance, k)[k]
+                if len(at) > enough[q]:
+                    near = distance <= np.partition(distance, enough[q] - 1)[enough[q] - 1]
                     at, distance = at[near], distance[near]
                 n = id_first[at + 1] - id_first[at]
                 found = id_values[np.repeat(id_first[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
@@ -138,7 +139,8 @@ def _search(rows: DataFrame, bits: int, k: int, every: int) -> DataFrame:
     parts = -(-bits // length)
     cells = -(-count // CELL_CODES) or 1
     index = codes.withColumn("cell", F.pmod(F.xxhash64("code"), F.lit(cells)))
-    queries = rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "code")
+    queries = rows.where(F.col("vec_id") % every == 0).select(
+        F.col("vec_id").alias("query_id"), "code", F.count("*").over(W.partitionBy("vec_id")).alias("own"))
     queries = materialize(queries, "queries")
     best = None
     active = queries.withColumn("worst", F.lit(bits).cast("long"))
@@ -153,7 +155,7 @@ def _search(rows: DataFrame, bits: int, k: int, every: int) -> DataFrame:
         covered = parts * (radius + 1) - 1
         active = queries.join(worst, "query_id", "left").where(
             F.coalesce((F.col("n") < k) | (F.col("far") > covered), F.lit(True))).select(
-            "query_id", "code", F.when(F.col("n") >= k, F.col("far")).otherwise(bits).cast("long").alias("worst"))
+            "query_id", "code", "own", F.when(F.col("n") >= k, F.col("far")).otherwise(bits).cast("long").alias("worst"))
         active = materialize(active, "active")
         if active.isEmpty():
             break
