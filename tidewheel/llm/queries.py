@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewheel.llm import hamming, language, lm_scoring, mixing, near_vectors, ngram_join, packing, passages, token_counts, url_filter
+from tidewheel.llm import conversations, hamming, language, lm_scoring, mixing, near_vectors, ngram_join, packing, passages, token_counts, url_filter
 from tidewheel.queries.registry import query
 
 #: The rules that pages are judged by.
@@ -232,6 +232,80 @@ def product_quantisation(spark: SparkSession, folder: str) -> DataFrame:
     return near_vectors.near_duplicates(read(spark, folder, "embeddings"))
 
 
+_TURN_KEY = "coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')"
+REPAIR_SQL = r"""
+WITH RECURSIVE marked AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {crc} % 20 AS kind FROM conversations),
+damaged AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE kind WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM marked WHERE kind <> 0),
+ordered AS (
+  SELECT conv_id, turn, role, text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS n,
+         regexp_extract(text, '(?s)([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last FROM damaged),
+judged AS (
+  SELECT conv_id, turn, role, text, n, substr(role, 1, 1) AS initial,
+         CASE WHEN last = '' THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'duplicate'
+              WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+         lag(role) OVER (PARTITION BY conv_id ORDER BY n) AS earlier FROM ordered),
+totals AS (
+  SELECT conv_id, count(*) AS rows_left, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (earlier IS NOT NULL AND substr(earlier, 1, 1) || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv_id),
+moves(state, initial, state_to) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (3, 'u', 2), (2, 'a', 3)),
+inserted(state, state_in, ins) AS (
+  VALUES (0, 0, 0), (1, 1, 0), (2, 2, 0), (3, 3, 0), (0, 2, 1), (1, 2, 1), (3, 2, 1), (2, 3, 1),
+         (0, 3, 2), (1, 3, 2), (3, 3, 2), (2, 2, 2)),
+names AS (SELECT row_number() OVER () AS c, conv_id FROM (SELECT DISTINCT conv_id FROM conversations)),
+numbered AS (SELECT c, j.* FROM judged j JOIN names ON j.conv_id IS NOT DISTINCT FROM names.conv_id),
+paths(c, n, state, cost, audit, repaired) AS (
+  SELECT c, 0::BIGINT, 0, 0, '', '' FROM names
+  UNION ALL
+  SELECT c, n, state, (best).cost, (best).audit, (best).repaired
+  FROM (
+    SELECT c, n, state, min({'cost': cost, 'audit': audit, 'repaired': repaired}) AS best
+    FROM (
+      SELECT p.c, r.n, e.state_to AS state,
+             p.cost + 3 * i.ins + e.price + CASE WHEN r.fault = 'truncated' AND e.edit <> 'D' THEN 3 ELSE 0 END AS cost,
+             p.audit || repeat('I', i.ins) || e.edit AS audit,
+             p.repaired || CASE i.ins WHEN 0 THEN '' WHEN 1 THEN CASE p.state WHEN 2 THEN chr(10) || 'assistant:'
+                                                            ELSE chr(10) || 'user:' END
+                           ELSE CASE p.state WHEN 2 THEN chr(10) || 'assistant:' || chr(10) || 'user:'
+                                ELSE chr(10) || 'user:' || chr(10) || 'assistant:' END END
+                        || CASE e.edit WHEN 'D' THEN '' WHEN 'K' THEN chr(10) || r.role || ':' || r.text
+                           ELSE chr(10) || CASE i.state_in WHEN 2 THEN 'assistant:' ELSE 'user:' END || r.text END AS repaired
+      FROM paths p JOIN numbered r ON r.c = p.c AND r.n = p.n + 1 JOIN inserted i ON i.state = p.state
+      JOIN (SELECT state, initial, 'K' AS edit, 0 AS price, state_to FROM moves
+            UNION ALL SELECT DISTINCT state, NULL, 'R', 3, CASE state WHEN 2 THEN 3 ELSE 2 END FROM inserted
+            UNION ALL SELECT DISTINCT state, NULL, 'D', 4, state FROM inserted) e
+        ON e.state = i.state_in AND (e.initial IS NULL OR e.initial = r.initial)
+           AND (e.edit = 'D' OR r.fault NOT IN ('blank', 'duplicate')))
+    GROUP BY c, n, state)),
+ended AS (
+  SELECT c, min({'cost': p.cost + CASE p.state WHEN 1 THEN 6 WHEN 2 THEN 3 ELSE 0 END,
+                 'audit': p.audit || CASE p.state WHEN 1 THEN 'II' WHEN 2 THEN 'I' ELSE '' END,
+                 'repaired': p.repaired || CASE p.state WHEN 1 THEN chr(10) || 'user:' || chr(10) || 'assistant:'
+                                           WHEN 2 THEN chr(10) || 'assistant:' ELSE '' END}) AS best
+  FROM paths p JOIN names USING (c) LEFT JOIN totals t ON t.conv_id IS NOT DISTINCT FROM names.conv_id
+  WHERE p.n = coalesce(rows_left, 0) GROUP BY c)
+SELECT names.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+       coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, (best).cost::BIGINT AS cost, (best).audit AS audit,
+       sha256(substr((best).repaired, 2)) AS repaired_sha256
+FROM names JOIN ended USING (c) LEFT JOIN totals t ON t.conv_id IS NOT DISTINCT FROM names.conv_id
+""".replace("{crc}", CRC_SQL.replace("coalesce(doc_id::VARCHAR, 'null')", _TURN_KEY))
+
+
+@query("op13_conversation_repair", REPAIR_SQL)
+def conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.repair(read(spark, folder, "conversations"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
