@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewheel.llm import conversations, hamming, language, lm_scoring, mixing, near_vectors, ngram_join, packing, passages, token_counts, url_filter
+from tidewheel.llm import conversations, filter_audit, hamming, language, lm_scoring, mixing, near_vectors, ngram_join, packing, passages, token_counts, url_filter
 from tidewheel.queries.registry import query
 
 #: The rules that pages are judged by.
@@ -232,6 +232,48 @@ def product_quantisation(spark: SparkSession, folder: str) -> DataFrame:
     return near_vectors.near_duplicates(read(spark, folder, "embeddings"))
 
 
+AUDIT_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS part,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+least AS (SELECT text, min(doc_id) AS low FROM docs GROUP BY text),
+marks AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic
+          FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+masks AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT
+         + 4 * (100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * len(text))::INT
+         + 8 * regexp_matches(text, '[#$%&*|]')::INT + 16 * coalesce(docs.doc_id > low, false)::INT AS mask
+  FROM docs JOIN least USING (text) LEFT JOIN marks ON marks.doc_id = docs.doc_id),
+counts AS (SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+           FROM masks GROUP BY part, mask),
+letter(l, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order FROM letter a, letter b, letter c, letter d, letter e
+  WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND a.bit <> b.bit AND a.bit <> c.bit AND a.bit <> d.bit
+    AND a.bit <> e.bit AND b.bit <> c.bit AND b.bit <> d.bit AND b.bit <> e.bit AND c.bit <> d.bit AND c.bit <> e.bit
+    AND d.bit <> e.bit),
+steps AS (
+  SELECT filter_order, step, letter.bit AS own,
+         coalesce((SELECT sum(x.bit) FROM letter x WHERE strpos(filter_order, x.l) < step), 0)::INT AS earlier
+  FROM orders, (SELECT unnest(range(1, 6))::INT AS step) JOIN letter ON letter.l = substr(filter_order, step, 1))
+SELECT part, filter_order, step,
+       coalesce(sum(n) FILTER (mask & (own | earlier) = 0), 0)::BIGINT AS kept,
+       coalesce(sum(n) FILTER (mask & own > 0 AND mask & earlier = 0), 0)::BIGINT AS removed,
+       coalesce(sum(n) FILTER (mask & own > 0 AND mask & earlier > 0), 0)::BIGINT AS redundant,
+       coalesce(sum(n) FILTER (mask = own), 0)::BIGINT AS unique_fails,
+       coalesce(sum(good) FILTER (mask & own > 0 AND mask & earlier = 0), 0)::BIGINT AS good_lost,
+       coalesce(sum(toxic) FILTER (mask & own > 0 AND mask & earlier = 0), 0)::BIGINT AS toxic_lost,
+       coalesce(sum(n * 120 // greatest(bit_count(mask), 1)) FILTER (mask & own > 0), 0)::BIGINT AS shapley
+FROM counts CROSS JOIN steps GROUP BY part, filter_order, step
+"""
+
+
+@query("op12_filter_audit", AUDIT_SQL)
+def filter_audit_query(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
 _TURN_KEY = "coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')"
 REPAIR_SQL = r"""
 WITH RECURSIVE marked AS (
