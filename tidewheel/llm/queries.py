@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewheel.llm import conversations, filter_audit, hamming, language, lm_scoring, mixing, near_vectors, ngram_join, packing, passages, token_counts, url_filter
+from tidewheel.llm import (conversations, filter_audit, hamming, language, lm_scoring, mixing, near_vectors, ngram_join,
+                           packing, passages, posting_lists, token_counts, url_filter)
 from tidewheel.queries.registry import query
 
 #: The rules that pages are judged by.
@@ -232,6 +233,11 @@ def product_quantisation(spark: SparkSession, folder: str) -> DataFrame:
     return near_vectors.near_duplicates(read(spark, folder, "embeddings"))
 
 
+@query("op11_balanced_lists")
+def balanced_lists(spark: SparkSession, folder: str) -> DataFrame:
+    return posting_lists.search(read(spark, folder, "embeddings"))
+
+
 AUDIT_SQL = r"""
 WITH docs AS (
   SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS part,
