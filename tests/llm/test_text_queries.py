@@ -19,7 +19,7 @@ from compare import difference, duck
 FOLDER = "/root/testdata/sf0.001"
 NAMES = ["op1_language_id", "op2_temperature_mixing", "op3_compact_windows", "op4_ngram_join", "op5_token_counts",
          "op6_lm_scoring", "op7_hamming_topk", "op8_url_filter", "op9_best_fit_packing", "op10_product_quantisation",
-         "pipeline"]
+         "op11_balanced_lists", "op12_filter_audit", "op13_conversation_repair", "pipeline"]
 CHECKED = [n for n in NAMES if n in entry.oracle_sql()]
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -42,7 +42,7 @@ def words(text):
 
 def test_all_are_registered():
     assert set(NAMES) <= set(entry.queries())
-    assert len(CHECKED) == 6
+    assert len(CHECKED) == 8
 
 
 @pytest.mark.parametrize("name", CHECKED)
