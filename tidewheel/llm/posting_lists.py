@@ -9,8 +9,9 @@ A query reads the lists whose centroid is at most `ratio` times as far away as t
 the sample it reaches TARGET_RECALL of all true neighbours. Vectors without any structure need most of their lists for
 that; a query that has found too few reads all. Distances to what the lists hold are exact, from the original vectors.
 
-Equal vectors are one class with its smallest ids. Lists and the queries of a list are cut into blocks, so neither a
-dense region nor a list that every query reads is one task.
+Equal vectors are one class with its smallest ids. Neighbouring lists share a shard, in which a query keeps what it has found
+from list to list, so that a query brings back its nearest of a shard, however many lists it reads there. Shards that
+a dense region makes large, and the queries of a shard, are cut into blocks.
 """
 
 from __future__ import annotations
@@ -35,7 +36,8 @@ REPLICAS = 4
 BOUNDARY = 1.15
 TARGET_RECALL = 0.98
 TRIALS = 512
-BLOCK_VECTORS = 4096
+SHARD_VECTORS = 32_768  # vectors that a task compares at once, about; lists next to each other share it
+QUERY_BLOCK = 1024
 SLICE = 512
 _LARGEST = 1e100  # for the index alone
 
@@ -201,65 +203,107 @@ def exact(query: np.ndarray, others: np.ndarray) -> np.ndarray:
     return out
 
 
+class _Best:
+    """The k nearest so far of one query, ties to the smaller id; a class counts once."""
+    __slots__ = ("far", "first", "node")
+
+    def __init__(self):
+        self.far, self.first, self.node = np.empty(0), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def add(self, far: np.ndarray, first: np.ndarray, node: np.ndarray, k: int) -> None:
+        new = ~np.isin(node, self.node)
+        far, first, node = (np.concatenate([x, y[new]]) for x, y in (
+            (self.far, far), (self.first, first), (self.node, node)))
+        order = np.lexsort((first, far))[:k]
+        self.far, self.first, self.node = far[order], first[order], node[order]
+
+
 def _compare(width: int, k: int):
-    """A block of queries against a block of a list: the k nearest of each, ties to the smaller id."""
+    """A block of queries against a block of a shard, list by list: the k nearest of each query in the lists it reads.
+
+    What a query has found so far bounds what it looks at in the next list.
+    """
     def compare(queries: pa.Table, base: pa.Table) -> pa.Table:
-        out = ([], [], [])
+        best: dict[int, _Best] = {}
         if queries.num_rows and base.num_rows:
             b, q = (matrix(t.column("vector"), width) for t in (base, queries))
-            nodes, first = base.column("node").to_numpy(), base.column("first").to_numpy()
-            asking = queries.column("node").to_numpy()
-            with np.errstate(over="ignore", invalid="ignore"):
-                lengths = (b ** 2).sum(axis=1)
-                for at in range(0, len(q), SLICE):
-                    part = q[at:at + SLICE]
-                    own = (part ** 2).sum(axis=1)[:, None]
-                    about = own + lengths - 2 * part @ b.T
-                    slack = 1e-9 * (own + lengths.max())
-                    about = np.where(np.isfinite(about) & np.isfinite(slack), about, -np.inf)
-                    last = np.partition(about, min(k, len(b)) - 1, axis=1)[:, min(k, len(b)) - 1]
-                    for i, row in enumerate(about):
-                        some = np.flatnonzero(~(row > last[i] + 2 * slack[i, 0]))
-                        far = exact(part[i], b[some])
-                        best = np.lexsort((first[some], far))[:k]
-                        out[0].extend([asking[at + i]] * len(best))
-                        out[1].extend(nodes[some[best]].tolist())
-                        out[2].extend(far[best].tolist())
-        return pa.table({"query": pa.array(out[0], pa.int64()), "node": pa.array(out[1], pa.int64()),
-                         "far": pa.array(out[2], pa.float64())})
+            nodes, first, of = (base.column(c).to_numpy() for c in ("node", "first", "list"))
+            names, lists = queries.column("node").to_numpy(), queries.column("lists").combine_chunks()
+            reads, who = lists.flatten().to_numpy(), np.repeat(np.arange(len(q)), np.diff(lists.offsets.to_numpy()))
+            order, wants = np.argsort(of, kind="stable"), np.argsort(reads, kind="stable")
+            bound = np.full(len(q), np.inf)
+            for number in np.unique(reads).tolist():
+                held = order[slice(*np.searchsorted(of[order], [number, number + 1]))]
+                here = who[wants[slice(*np.searchsorted(reads[wants], [number, number + 1]))]]
+                for at in range(0, len(here) if len(held) else 0, SLICE):
+                    _list(q, here[at:at + SLICE], b, held, first, nodes, bound, best, k)
+        rows = [(int(names[i]), n, f) for i, found in best.items() for n, f in zip(found.node.tolist(), found.far.tolist())]
+        return pa.table({"query": pa.array([r[0] for r in rows], pa.int64()), "node": pa.array([r[1] for r in rows], pa.int64()),
+                         "far": pa.array([r[2] for r in rows], pa.float64())})
     return compare
 
 
+def _list(q, here, b, held, first, nodes, bound, best, k) -> None:
+    """Queries `here` against the vectors `held` of one list."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        own, lengths = (q[here] ** 2).sum(axis=1)[:, None], (b[held] ** 2).sum(axis=1)
+        about = own + lengths - 2 * q[here] @ b[held].T
+        slack = 1e-9 * (own[:, 0] + lengths.max())
+        about = np.where(np.isfinite(about) & np.isfinite(slack)[:, None], about, -np.inf)
+        n = min(k, len(held)) - 1
+        limit = np.minimum(np.partition(about, n, axis=1)[:, n], bound[here] ** 2) if n + 1 == k \
+            else bound[here] ** 2
+        near = ~(about > (limit + 2 * slack)[:, None])
+        for i in np.flatnonzero(near.any(axis=1)).tolist():
+            some, name = held[near[i]], int(here[i])
+            found = best.setdefault(name, _Best())
+            found.add(exact(q[here[i]], b[some]), first[some], nodes[some], k)
+            if len(found.far) == k:
+                bound[name] = found.far[-1]
+
+
 def _placed(classes: DataFrame, width: int, shared, queries: bool) -> DataFrame:
-    """A row of (size, list, node, first, vector) for every list that holds a vector, or that a query reads."""
+    """A row for every list that holds a vector, with the vector, or for every list that a query reads, without."""
+    columns = ["size", "node"] if queries else ["size", "node", "first", "vector"]
+
     def place(batches):
         for whole in batches:
             for at in range(0, whole.num_rows, SLICE):
                 batch = whole.slice(at, SLICE)
                 points = np.clip(matrix(batch.column("vector"), width), -_LARGEST, _LARGEST)
                 row, lists = (shared.value.reads if queries else shared.value.homes)(points)
-                taken = batch.select(["size", "node", "first", "vector"]).take(pa.array(row))
-                yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(lists.astype(np.int32))],
-                                                 ["size", "node", "first", "vector", "list"])
+                taken = batch.select(columns).take(pa.array(row))
+                yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(lists.astype(np.int32))], [*columns, "list"])
+
+    schema = ", ".join(f"{c} {classes.schema[c].dataType.simpleString()}" for c in columns)
+    return classes.mapInArrow(place, f"{schema}, list int")
 
-    kind = classes.schema["vector"].dataType.simpleString()
-    return classes.mapInArrow(place, f"size int, node long, first long, vector {kind}, list int")
 
+def _shards(base: DataFrame) -> DataFrame:
+    """(size, list, shard): neighbouring lists together hold about SHARD_VECTORS; a row per list is all this looks at."""
+    held = base.groupBy("size", "list").agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(W.partitionBy("size").orderBy("list")) - F.col("n")
+    return materialize(held.select("size", "list", F.floor(upto / SHARD_VECTORS).alias("shard")), "shards")
 
-def _met(base: DataFrame, asked: DataFrame, width: int, k: int) -> DataFrame:
-    """(query, node, far): for every query, list and block the nearest."""
-    key = ["size", "list"]
-    blocks = [F.ceil(F.count("*") / BLOCK_VECTORS).alias(n) for n in ("base_blocks", "query_blocks")]
-    cells = materialize(base.groupBy(*key).agg(blocks[0]).join(asked.groupBy(*key).agg(blocks[1]), key), "cells")
+
+def _met(base: DataFrame, reads: DataFrame, asking: DataFrame, shards: DataFrame, width: int, k: int) -> DataFrame:
+    """(query, node, far): for every query, shard and block the nearest. `reads` has the lists of the queries `asking`."""
+    key = ["size", "shard"]
+    base = base.join(shards, ["size", "list"])
+    asked = reads.join(shards, ["size", "list"]).groupBy(*key, "node").agg(F.collect_list("list").alias("lists")).join(
+        asking.select("node", "vector"), "node")
+    asked = materialize(asked, "asked")
+    cells = materialize(base.groupBy(*key).agg(F.ceil(F.count("*") / (2 * SHARD_VECTORS)).alias("base_blocks")).join(
+        asked.groupBy(*key).agg(F.ceil(F.count("*") / QUERY_BLOCK).alias("query_blocks")), key), "cells")
 
     def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
         every = F.sequence(F.lit(0).cast("long"), F.col(f"{other}_blocks") - 1)
         return rows.join(cells, key).withColumn(own, F.pmod(F.xxhash64("node"), F.col(f"{own}_blocks"))).withColumn(
-            other, F.explode(every)).select(*key, "base", "query", "node", "first", "vector")
+            other, F.explode(every)).drop("base_blocks", "query_blocks")
 
-    one, two = dealt(asked, "query", "base"), dealt(base, "base", "query")
-    two = two.toDF(*two.columns)
     block = [*key, "base", "query"]
+    one, two = dealt(asked, "query", "base"), dealt(base, "base", "query")
+    two = two.toDF(*two.columns)  # fresh columns, as both sides stem from one frame
     return materialize(one.groupBy(*block).cogroup(two.groupBy(*block)).applyInArrow(
         _compare(width, k), "query long, node long, far double"), "met")
 
@@ -303,14 +347,15 @@ def search(vectors: DataFrame, k: int = 10, every: int = 100, id_col: str = "vec
         return queries.select("query_id", F.lit(1).alias("rank"), F.col("node").alias("vec_id"), F.lit(0.0).alias("score"))
     shared = vectors.sparkSession.sparkContext.broadcast(_fitted(classes, count, width, k))
     base = materialize(_placed(classes, width, shared, False), "base")
-    asked = materialize(_placed(asking, width, shared, True), "asked")
-    met = _met(base, asked, width, k + 1)
+    reads = materialize(_placed(asking, width, shared, True), "reads")
+    shards = _shards(base)
+    met = _met(base, reads, asking, shards, width, k + 1)
     found = met.groupBy("query").agg(F.count_distinct("node").alias("found"))
     short = materialize(asking.join(found, F.col("node") == F.col("query"), "left").join(sizes, "size").where(
-        F.coalesce("found", F.lit(0)) < F.least(F.lit(k + 1), "classes")).select("size", "node", "first", "vector"), "short")
+        F.coalesce("found", F.lit(0)) < F.least(F.lit(k + 1), "classes")).select("size", "node", "vector"), "short")
     if not short.isEmpty():
         lists = base.select("size", "list").distinct()
-        met = met.unionByName(_met(base, short.join(lists, "size"), width, k + 1))
+        met = met.unionByName(_met(base, short.join(lists, "size").drop("vector"), short, shards, width, k + 1))
     once = met.groupBy("query", "node").agg(F.min("far").alias("far")).join(classes.select("node", "ids"), "node")
     each = once.select("query", "far", F.explode("ids").alias("vec_id"))
     best = each.withColumn("place", F.row_number().over(W.partitionBy("query").orderBy("far", "vec_id"))).where(
