@@ -80,6 +80,20 @@ SERVICE_HOLIDAYS = [
     "2023-01-01", "2023-01-02", "2023-02-20", "2023-04-07", "2023-05-22", "2023-07-01",
     "2023-09-04", "2023-10-09", "2023-12-25", "2023-12-26",
 ]
+
+# Fits as published: the default model, the candidates of the sweep, and what the shipped model is trained with.
+BOOST_DEFAULT = {"learning_rate": 0.1, "max_leaf_nodes": 31, "rounds": 300}
+BOOST_GRID = [
+    {"learning_rate": 0.1, "max_leaf_nodes": 31, "rounds": 300},
+    {"learning_rate": 0.1, "max_leaf_nodes": 63, "rounds": 300},
+    {"learning_rate": 0.1, "max_leaf_nodes": 127, "rounds": 300},
+    {"learning_rate": 0.05, "max_leaf_nodes": 63, "rounds": 600},
+    {"learning_rate": 0.05, "max_leaf_nodes": 127, "rounds": 600},
+    {"learning_rate": 0.05, "max_leaf_nodes": 127, "rounds": 600, "min_samples_leaf": 100},
+    {"learning_rate": 0.05, "max_leaf_nodes": 127, "rounds": 600, "l2": 1.0},
+    {"learning_rate": 0.05, "max_leaf_nodes": 127, "rounds": 600, "max_features": 0.7},
+]
+BOOST_SHIPPED = {"learning_rate": 0.05, "max_leaf_nodes": 127, "rounds": 600, "max_features": 0.7, "quantile": 0.8}
 # --- End of fixed values ---------------------------------------------------
 
 STAGE_COLUMNS = [*RAW_HEADERS.values(), *OPTIONAL_COLUMNS]

@@ -1,204 +1,32 @@
-"""Demand models on Spark ML: Poisson regression and boosted trees."""
+"""Demand models: Poisson regression and boosted trees, and what is asked of them."""
 
 from __future__ import annotations
 
-import json
-from dataclasses import asdict, dataclass, field, replace
-
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import (GeneralizedLinearRegression, GeneralizedLinearRegressionModel,
-                                   RandomForestRegressionModel, RandomForestRegressor)
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-
-from tidewheel.contract import CALENDAR_FEATURES, CATEGORICAL_FEATURES, PRIOR_FEATURES, TARGET
-from tidewheel.functions.encoding import clipped
-from tidewheel.operators.baseline import tall_predictions
-from tidewheel.operators.metrics import accuracy, leaderboard
-from tidewheel.operators.numbering import with_dense_id
-from tidewheel.session import materialize
-
-# A missing prior-year mean sits below every real mean: one split sets it apart.
-_MISSING = -1.0
-_SEASONS = ["winter", "spring", "summer", "fall"]
-
-
-# --- Poisson regression ----------------------------------------------------
-
-@dataclass
-class PoissonRegression:
-    inputs: PipelineModel
-    model: GeneralizedLinearRegressionModel
+from dataclasses import replace
 
-    def predict(self, df: DataFrame) -> DataFrame:
-        ready = df.withColumn("station_id", F.col("station_id").cast("string"))
-        return (self.model.transform(self.inputs.transform(ready)).select(*df.columns, clipped(F.col("prediction")).alias("pred"))
-                .withColumn("station_id", F.col("station_id").cast(df.schema["station_id"].dataType)))
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
 
-
-def fit_poisson_glm(train: DataFrame, features: list[str] = CALENDAR_FEATURES, alpha: float = 1.0,
-                    max_iter: int = 300) -> PoissonRegression:
-    """One-hot categories, scaled numbers, log link, L2 penalty; unseen categories get zeros.
-
-    The encoded rows are written once, since every iteration of the fit reads them. The
-    solver takes at most 4096 inputs, which a station pool stays far below.
-    """
-    categories = [c for c in CATEGORICAL_FEATURES if c in features]
-    numbers = [c for c in features if c not in categories]
-    indexed, encoded = [f"{c}_index" for c in categories], [f"{c}_onehot" for c in categories]
-    stages = [
-        StringIndexer(inputCols=categories, outputCols=indexed, handleInvalid="keep"),
-        OneHotEncoder(inputCols=indexed, outputCols=encoded, handleInvalid="keep"),
-        VectorAssembler(inputCols=numbers, outputCol="numbers"),
-        StandardScaler(inputCol="numbers", outputCol="scaled", withMean=True, withStd=True),
-        VectorAssembler(inputCols=[*encoded, "scaled"], outputCol="inputs"),
-    ]
-    ready = train.select(*features, F.col(TARGET).cast("double").alias(TARGET)).withColumn(
-        "station_id", F.col("station_id").cast("string"))
-    inputs = Pipeline(stages=stages).fit(ready)
-    solver = GeneralizedLinearRegression(family="poisson", link="log", featuresCol="inputs", labelCol=TARGET,
-                                         regParam=alpha, maxIter=max_iter)
-    return PoissonRegression(inputs, solver.fit(materialize(inputs.transform(ready).select("inputs", TARGET), "glm")))
+from tidewheel.contract import BUSY_THRESHOLD, CALENDAR_FEATURES, PRIOR_FEATURES, TARGET
+from tidewheel.operators.baseline import fit_cells, predict_cells, tall_predictions
+from tidewheel.operators.glm import PoissonRegression, fit_poisson_glm  # noqa: F401
+from tidewheel.operators.metrics import accuracy, compare, leaderboard
+from tidewheel.operators.trees import (BoostedTrees, BoostParams, columns_of, fit_many, inputs, load, save,  # noqa: F401
+                                       to_bins)
+from tidewheel.session import materialize
 
 
 # --- Boosted trees ---------------------------------------------------------
 
-@dataclass(frozen=True)
-class BoostParams:
-    """`depth` bounds the leaves at 2 ** depth; `max_features` is the share tried per split."""
-
-    loss: str = "poisson"
-    quantile: float = 0.5
-    learning_rate: float = 0.3
-    rounds: int = 8
-    depth: int = 5
-    min_samples_leaf: int = 20
-    l2: float = 0.0
-    max_features: float = 1.0
-    bins: int = 64
-    seed: int = 0
-    checkpoint_every: int = 5
-
-
-@dataclass
-class BoostedTrees:
-    params: BoostParams
-    features: list[str]
-    start: float
-    trees: list[tuple[object, dict[int, float]]] = field(default_factory=list)
-
-    def raw_scores(self, assembled: DataFrame, upto: int | None = None) -> DataFrame:
-        out = assembled.withColumn("score", F.lit(self.start))
-        for tree, values in self.trees[:upto]:
-            out = _add_tree(out, tree, values, self.params.learning_rate)
-        return out
-
-    def predict(self, df: DataFrame) -> DataFrame:
-        """All columns of `df` and `pred`, clipped at zero."""
-        scored = self.raw_scores(assemble(df, self.features))
-        level = F.exp("score") if self.params.loss == "poisson" else F.col("score")
-        return scored.select(*df.columns, clipped(level).alias("pred"))
-
-
-def assemble(df: DataFrame, features: list[str]) -> DataFrame:
-    """Add a vector of the features: season one-hot, everything else as a number."""
-    columns = {}
-    for name in features:
-        if name == "season":
-            columns.update({f"_season_{s}": (F.col("season") == s).cast("double") for s in _SEASONS})
-        else:
-            columns[f"_{name}"] = F.coalesce(F.col(name).cast("double"), F.lit(_MISSING))
-    wide = df.withColumns(columns)
-    vector = VectorAssembler(inputCols=list(columns), outputCol="inputs", handleInvalid="error")
-    return vector.transform(wide).drop(*columns)
-
-
-def _leaf() -> Column:
-    return vector_to_array("_leaf")[0].cast("int")
-
-
-def _add_tree(df: DataFrame, tree, values: dict[int, float], rate: float) -> DataFrame:
-    """Add a tree's leaf values to the score; at most 2 ** depth literals."""
-    table = F.create_map(*[F.lit(x) for leaf, value in values.items() for x in (leaf, float(value))])
-    step = F.coalesce(table[F.col("_leaf_no")], F.lit(0.0))
-    return (tree.transform(df).withColumn("_leaf_no", _leaf())
-            .withColumn("score", F.col("score") + rate * step).drop("_leaf", "_leaf_no", "_step"))
-
-
-def _start(train: DataFrame, p: BoostParams) -> float:
-    level = F.log(F.greatest(F.avg("y"), F.lit(1e-9))) if p.loss == "poisson" else F.percentile_approx("y", p.quantile, 10000)
-    return float(train.agg(level.alias("v")).first()["v"])
-
-
-def _gradient(p: BoostParams) -> Column:
-    y, f = F.col("y"), F.col("score")
-    if p.loss == "poisson":
-        return y - F.exp(f)
-    return F.when(y > f, p.quantile).otherwise(p.quantile - 1)
-
-
-def _leaf_value(p: BoostParams) -> Column:
-    """The step that fits a leaf's rows: a Newton step, or the quantile of the residuals.
-
-    The quantile uses a sketch of fixed size, since a leaf may hold most of the rows.
-    """
-    y, f = F.col("y"), F.col("score")
-    if p.loss == "poisson":
-        return F.sum(y - F.exp(f)) / (F.sum(F.exp(f)) + p.l2)
-    return F.percentile_approx(y - f, p.quantile, 10000)
-
-
 def fit_boosted(train: DataFrame, features: list[str], params: BoostParams = BoostParams()) -> BoostedTrees:
-    """Gradient boosting with Poisson or quantile loss.
-
-    Each round fits one Spark ML tree to the gradient and then refits the leaf values in
-    one small aggregate. Only those values (at most 2 ** depth) reach the driver. Scores
-    are written to the shared folder every few rounds to keep the plans short.
-    """
-    if params.loss not in ("poisson", "quantile"):
-        raise ValueError(f"unknown loss {params.loss}")
-    if params.depth > 12:
-        raise ValueError("depth is limited to 12: every leaf value passes through the driver")
-    base = train.select(*features, F.col(TARGET).cast("double").alias("y"))
-    rows = materialize(assemble(base, features).select("inputs", "y"), "boost")
-    model = BoostedTrees(params, list(features), _start(rows, params))
-    scored = rows.withColumn("score", F.lit(model.start))
-    learner = RandomForestRegressor(
-        featuresCol="inputs", labelCol="_gradient", predictionCol="_step", leafCol="_leaf", numTrees=1,
-        bootstrap=False, maxDepth=params.depth, maxBins=params.bins, minInstancesPerNode=params.min_samples_leaf,
-        featureSubsetStrategy="all" if params.max_features >= 1 else str(params.max_features))
-    for number in range(params.rounds):
-        tree = learner.setSeed(params.seed + number).fit(scored.withColumn("_gradient", _gradient(params)))
-        leaves = (tree.transform(scored).groupBy(_leaf().alias("leaf"))
-                  .agg(_leaf_value(params).alias("value")).collect())
-        values = {row["leaf"]: row["value"] for row in leaves}
-        model.trees.append((tree, values))
-        scored = _add_tree(scored, tree, values, params.learning_rate)
-        if (number + 1) % params.checkpoint_every == 0 and number + 1 < params.rounds:
-            scored = materialize(scored, "boost")
-    return model
-
-
-def save(model: BoostedTrees, spark: SparkSession, path: str) -> None:
-    """Trees as Spark ML models, everything else as one JSON row beside them."""
-    for number, (tree, _) in enumerate(model.trees):
-        tree.write().overwrite().save(f"{path}/tree-{number:04d}")
-    state = {"params": asdict(model.params), "features": model.features, "start": model.start,
-             "leaves": [{str(k): v for k, v in values.items()} for _, values in model.trees]}
-    spark.createDataFrame([(json.dumps(state),)], "state string").coalesce(1).write.mode("overwrite").text(f"{path}/state")
-
-
-def load(spark: SparkSession, path: str) -> BoostedTrees:
-    state = json.loads(spark.read.text(f"{path}/state").first()["value"])
-    trees = [(RandomForestRegressionModel.load(f"{path}/tree-{number:04d}"), {int(k): v for k, v in values.items()})
-             for number, values in enumerate(state["leaves"])]
-    return BoostedTrees(BoostParams(**state["params"]), state["features"], state["start"], trees)
+    """Gradient boosting with Poisson or quantile loss; see `trees`."""
+    return fit_many(train, features, [params])[0]
 
 
 def predictions(models: dict[str, object], df: DataFrame, keep: list[str]) -> DataFrame:
     """Tall (keep.., y, model, pred) of several fitted models."""
-    frames = [tall_predictions(m.predict(df).withColumnRenamed("pred", name), [name], keep)
+    frames = [m.predict(df).select(*keep, F.col(TARGET).cast("double").alias("y"), F.lit(name).alias("model"), "pred")
               for name, m in models.items()]
     out = frames[0]
     for frame in frames[1:]:
@@ -208,46 +36,71 @@ def predictions(models: dict[str, object], df: DataFrame, keep: list[str]) -> Da
 
 def sweep(train: DataFrame, val: DataFrame, features: list[str], grid: list[BoostParams],
           busy: int) -> tuple[DataFrame, BoostParams]:
-    """Fit each candidate and rank them on validation only; the test split is not used.
+    """Fit all candidates in the same passes and rank them on validation only; the test split is not used.
 
     Returns the leaderboard and the winning parameters; refit those for the final model.
     """
     names = {f"cand_{i:02d}": p for i, p in enumerate(grid)}
-    fitted = {name: fit_boosted(train, features, p) for name, p in names.items()}
+    fitted = dict(zip(names, fit_many(train, features, grid)))
     scores = accuracy(predictions(fitted, val, ["hour"]), busy=busy)
     ranked = materialize(leaderboard(scores), "leaderboard")
     winner = ranked.orderBy("mae", "model").first()["model"]
     return ranked, replace(names[winner])
 
 
-def ablation(train: DataFrame, val: DataFrame, params: BoostParams) -> dict[str, BoostedTrees]:
-    """The same learner with and without the prior-year features."""
-    return {"calendar": fit_boosted(train, CALENDAR_FEATURES, params),
-            "calendar+py": fit_boosted(train, CALENDAR_FEATURES + PRIOR_FEATURES, params)}
+def ablation(train: DataFrame, val: DataFrame, params: BoostParams, sets: dict[str, list[str]] | None = None,
+             busy: int = BUSY_THRESHOLD) -> DataFrame:
+    """Accuracy on validation of the cell means and of the same learner with each feature set, against the cell means.
+
+    By default the sets are the calendar features, without and with the prior-year ones.
+    """
+    sets = sets or {"calendar": CALENDAR_FEATURES, "calendar+py": CALENDAR_FEATURES + PRIOR_FEATURES}
+    cells = fit_cells(train, {"baseline": F.avg(TARGET)})
+    tall = tall_predictions(predict_cells(val, cells, ["baseline"]), ["baseline"], ["hour"])
+    fitted = {name: fit_boosted(train, features, params) for name, features in sets.items()}
+    return compare(accuracy(tall.unionByName(predictions(fitted, val, ["hour"])), busy=busy), "baseline")
+
+
+BLOCK_ROWS = 65_536  # rows among which a feature is shuffled
 
 
 def permutation_importance(model: BoostedTrees, df: DataFrame, key: list[str], repeats: int = 3,
                            seed: int = 0) -> DataFrame:
     """Rise of the MAE over all rows when one feature is shuffled.
 
-    The rows get dense numbers in the order of a key hash, in parallel. Each (feature, repeat) pair takes the feature
-    from the row a pseudo-random number of places further on, around the end: in a random order that pairs every row
-    with an unrelated one, by an equi join. All pairs are scored in one plan.
+    Rows are dealt by a digest of `key` into blocks and put in its order, which is a random one. In repeat r a row takes the
+    feature from the r-th row after it, around the end of the block. A block is scored once; for each feature only the trees
+    that look at it are scored again, in place, so no row is copied. Rows with one key are in any order.
     """
-    rows = df.select(*key, *[f for f in model.features if f not in key], TARGET)
-    ordered = rows.withColumn("_order", F.xxhash64(F.lit(seed), *key))
-    numbered = materialize(with_dense_id(ordered, ["_order", *key], "_i").drop("_order"), "numbered")
-    total = numbered.agg(F.count("*")).first()[0]
-    donors = numbered.select(F.col("_i").alias("_donor"), *[F.col(f).alias(f"_d_{f}") for f in model.features])
-    pairs = numbered.withColumn("feature", F.explode(F.array(*map(F.lit, model.features)))).withColumn(
-        "repeat", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
-    further = F.pmod(F.xxhash64("feature", "repeat", F.lit(seed)), F.lit(max(total - 1, 1))) + 1
-    shuffled = pairs.withColumn("_donor", (F.col("_i") - 1 + further) % F.lit(max(total, 1)) + 1).join(donors, "_donor")
-    swapped = shuffled.select("feature", "repeat", TARGET, *[
-        F.when(F.col("feature") == f, F.col(f"_d_{f}")).otherwise(F.col(f)).alias(f) for f in model.features])
-
-    error = F.avg(F.abs(F.col(TARGET) - F.col("pred")))
-    base = model.predict(numbered).agg(error).scalar()
-    per_repeat = model.predict(swapped).groupBy("feature", "repeat").agg(error.alias("mae"))
-    return (per_repeat.groupBy("feature").agg((F.avg("mae") - base).alias("mae_increase"))
-            .orderBy(F.desc("mae_increase"), "feature"))
+    names = list(columns_of(model.features))
+    groups = [[i for i, n in enumerate(names) if n == f or (f == "season" and n.startswith("season_"))] for f in model.features]
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in key]))
+    rows = df.select(inputs(model.features).alias("inputs"), F.col(TARGET).cast("double").alias("y"), digest.alias("place"))
+    rows = materialize(rows, "rows")
+    blocks = max(1, -(-rows.count() // BLOCK_ROWS))
+    dealt = rows.withColumn("block", F.pmod(F.conv(F.substring("place", 1, 8), 16, 10).cast("long"), F.lit(blocks)))
+    shared = df.sparkSession.sparkContext.broadcast(model)
+
+    def errors(block: pa.Table) -> pa.Table:
+        model = shared.value
+        block = block.sort_by("place")
+        values = block.column("inputs").combine_chunks()
+        y = block.column("y").to_numpy()
+        bins = to_bins(values.flatten().to_numpy().reshape(len(y), -1), model.edges)
+        each = [t.value[t.leaves(bins)] for t in model.trees]
+        score, uses = model.start + np.sum(each, axis=0, initial=0.0), model.uses()
+        out = [("", 0, np.abs(y - model.to_level(score)).sum(), len(y))]
+        for name, columns in zip(model.features, groups):
+            touched = [i for i, u in enumerate(uses) if u & set(columns)]
+            for repeat in range(1, repeats + 1):
+                moved = bins.copy()
+                moved[:, columns] = np.roll(bins[:, columns], -repeat, axis=0)
+                other = score + sum((t.value[t.leaves(moved)] - each[i] for i in touched for t in (model.trees[i],)), 0.0)
+                out.append((name, repeat, np.abs(y - model.to_level(other)).sum(), len(y)))
+        return pa.table({n: pa.array(c) for n, c in zip(("feature", "repeat", "error", "n"), zip(*out))})
+
+    summed = dealt.groupBy("block").applyInArrow(errors, "feature string, repeat long, error double, n long")
+    total = materialize(summed.groupBy("feature", "repeat").agg((F.sum("error") / F.sum("n")).alias("mae")), "errors")
+    base = total.where("repeat = 0").agg(F.avg("mae")).first()[0]
+    return total.where("repeat > 0").groupBy("feature").agg((F.avg("mae") - F.lit(base)).alias("mae_increase")).orderBy(
+        F.desc("mae_increase"), "feature")

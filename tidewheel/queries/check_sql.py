@@ -201,7 +201,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         "SELECT min(fact_trip_start_date_id) AS lo, max(fact_trip_end_date_id) AS hi FROM ev_trips")),
     "ev_panel": (("ev_departures",), _PANEL.format(stations="ev_departures", trips="ev_departures")),
     "ev_cal_panel": (("ev_panel", "ev_cal"), _WITH_CALENDAR.format("ev_panel", "ev_cal")),
-    "zone_trips": ((), _FACT.format(_EVENT_ROWS.format("length(bin(user_id + 1)) - 1"))),
+    "zone_trips": ((), _FACT.format(_EVENT_ROWS.format("user_id // 20"))),
     "zone_departures": (("zone_trips",), _DEPARTURES.format("zone_trips")),
     "zone_panel": (("zone_departures",), _PANEL.format(stations="zone_departures", trips="zone_departures")),
     "zone_cal_panel": (("zone_panel", "ev_cal"), _WITH_CALENDAR.format("zone_panel", "ev_cal")),

@@ -38,21 +38,21 @@ def shown(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*[rounded(F.col(c), digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
-_ACCURACY = """round(avg(abs(y - p)), 6) AS mae, round(sqrt(avg((y - p) * (y - p))), 6) AS rmse,
+ACCURACY_SQL = """round(avg(abs(y - p)), 6) AS mae, round(sqrt(avg((y - p) * (y - p))), 6) AS rmse,
         round(avg(abs(y - p)) FILTER (hour IN (7, 8, 9, 16, 17, 18, 19)), 6) AS mae_peak,
         round(avg(abs(y - p)) FILTER (hour NOT IN (7, 8, 9, 16, 17, 18, 19)), 6) AS mae_offpeak,
-        round(avg(abs(y - p)) FILTER (y >= 11), 6) AS mae_busy, round(avg(p - y) FILTER (y >= 11), 6) + 0.0 AS bias_busy"""
+        round(avg(abs(y - p)) FILTER (y >= 5), 6) AS mae_busy, round(avg(p - y) FILTER (y >= 5), 6) + 0.0 AS bias_busy"""
 
 
 @query("accuracy_metrics", with_ctes(f"""
-    SELECT split, model, {_ACCURACY} FROM preds WHERE split <> 'train' GROUP BY ALL""", "preds"))
+    SELECT split, model, {ACCURACY_SQL} FROM preds WHERE split <> 'train' GROUP BY ALL""", "preds"))
 def accuracy_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return shown(metrics.accuracy(scored(spark, folder), ("split", "model"), busy=BUSY))
 
 
 _COST = """avg(abs(y - p)) AS mae, avg(abs(y - p)) FILTER (hour IN (7, 8, 9, 16, 17, 18, 19)) AS mae_peak,
-        avg(abs(y - p)) FILTER (y >= 11) AS mae_busy, avg((p < y)::INT) FILTER (y >= 11) AS under_rate_busy,
-        1 - sum(p) FILTER (y >= 11) / sum(y) FILTER (y >= 11) AS shortfall_busy,
+        avg(abs(y - p)) FILTER (y >= 5) AS mae_busy, avg((p < y)::INT) FILTER (y >= 5) AS under_rate_busy,
+        1 - sum(p) FILTER (y >= 5) / sum(y) FILTER (y >= 5) AS shortfall_busy,
         avg(greatest(q * (y - p), (q - 1) * (y - p))) AS pinball, avg(greatest(p - y, 0)) AS over_supply,
         sum(greatest(y - p, 0)) AS unmet_demand, sum(greatest(p - y, 0)) AS over_supply_total,
         sum(greatest(y - p, 0)) / sum(y) AS unmet_pct, sum(greatest(p - y, 0)) / sum(y) AS over_pct"""
@@ -75,7 +75,7 @@ def cost_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("model_comparison", with_ctes(f"""
-    , s AS (SELECT model, {_ACCURACY}, avg(abs(y - p)) AS raw_mae FROM tests GROUP BY 1)
+    , s AS (SELECT model, {ACCURACY_SQL}, avg(abs(y - p)) AS raw_mae FROM tests GROUP BY 1)
     SELECT * EXCLUDE (raw_mae), round(1 - raw_mae / (SELECT raw_mae FROM s WHERE model = 'baseline'), 6) + 0.0 AS vs_baseline
     FROM s""", "tests"))
 def model_comparison(spark: SparkSession, folder: str) -> DataFrame:
@@ -176,7 +176,7 @@ def peak_hours(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("leaderboard", with_ctes(f"""
-    , s AS (SELECT model, {_ACCURACY}, avg(abs(y - p)) AS raw FROM preds WHERE split = 'val' GROUP BY 1)
+    , s AS (SELECT model, {ACCURACY_SQL}, avg(abs(y - p)) AS raw FROM preds WHERE split = 'val' GROUP BY 1)
     SELECT * EXCLUDE (raw), round(max(raw) OVER () / min(raw) OVER () - 1, 6) + 0.0 AS spread FROM s""", "preds"))
 def leaderboard(spark: SparkSession, folder: str) -> DataFrame:
     val = scored(spark, folder).where("split = 'val'")
