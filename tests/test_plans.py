@@ -8,6 +8,7 @@ import random
 
 import pytest
 
+from tidewheel import __main__ as command_line
 from tidewheel.contract import RAW_HEADERS
 from tidewheel.operators.models import BoostParams
 from tidewheel.plans import service, study, warehouse
@@ -64,7 +65,21 @@ def test_csv_to_forecast(spark, network):
     result = study.evaluate(spark, out, ["poisson", "q80"], {"q80": 0.8}, "poisson", "q80")
     assert {r.model for r in result["accuracy"].collect()} == {"baseline", "poisson", "q80"}
     assert [r.model for r in result["verdict"].where("recommended").collect()] == ["q80"]
-    runs = spark.read.parquet(f"{out}/runs")
+    steps = [["ablation", "--rounds", "2", "--leaves", "4"], ["sweep", "--name", "best", "--rounds-divisor", "300"],
+             ["regression"], ["importance", "--name", "poisson", "--repeats", "1"], ["interval", "--name", "poisson"],
+             ["evaluate", "--names", "poisson", "q80", "--quantiles", "q80=0.8", "--reference", "poisson",
+              "--recommended", "q80"]]
+    for step in steps:
+        command_line.main([step[0], "--out", out, *step[1:]])
+    board = spark.read.parquet(f"{out}/reports/ablation").collect()
+    assert {r.model for r in board} == {"baseline", "calendar", "calendar+py"}
+    assert spark.read.parquet(f"{out}/reports/sweep").count() == 8
+    assert {r.split for r in spark.read.parquet(f"{out}/reports/regression").collect()} == {"val", "test"}
+    assert spark.read.parquet(f"{out}/reports/importance").count() == len(contract["features"])
+    assert spark.read.parquet(f"{out}/reports/interval").count() == 1
+    record = spark.read.parquet(f"{out}/runs").where("run = 'poisson'").first().params
+    assert record["test_years"] == "2022" and int(record["train_rows"]) > 0 and ":" in record["train_digest"]
+    runs = spark.read.parquet(f"{out}/runs").where("run <> 'best'")
     assert {r.run for r in runs.select("run").distinct().collect()} == {"poisson", "q80"}
 
     service.build_lookups(spark, out, export, 2022)
@@ -91,3 +106,16 @@ def test_a_failed_suite_stops_before_the_export(spark, network, tmp_path, monkey
     with pytest.raises(warehouse.FailedChecks, match="orphans"):
         warehouse.build(spark, folders, f"{tmp_path}/warehouse", f"{tmp_path}/export")
     assert not (tmp_path / "export").exists()
+
+
+def test_a_split_that_breaks_its_contract_is_not_trained_on(spark, tmp_path):
+    rows = [("train", dt.date(2020, 5, 1), 1), ("val", dt.date(2020, 5, 1), 2), ("test", dt.date(2022, 1, 1), 3)]
+    spark.createDataFrame(rows, "split string, start_date date, trip_count int").write.parquet(f"{tmp_path}/split")
+    contract = {"features": [], "target": "trip_count", "test_years": [2022]}
+    spark.createDataFrame([(json.dumps(contract),)], "value string").write.text(f"{tmp_path}/contract")
+    with pytest.raises(study.BrokenSplit, match="train and val overlap"):
+        study.checked_split(spark, str(tmp_path))
+    contract["features"] = ["hour"]
+    spark.createDataFrame([(json.dumps(contract),)], "value string").write.mode("overwrite").text(f"{tmp_path}/contract")
+    with pytest.raises(study.BrokenSplit, match="hour"):
+        study.checked_split(spark, str(tmp_path))

@@ -7,14 +7,12 @@ from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewheel.contract import BUSY_THRESHOLD, CALENDAR_FEATURES, POOL_TOP_N, PRIOR_FEATURES, STAR_COLUMNS, TARGET
-from tidewheel.operators import baseline, features, metrics, models, panel, pool, splits
+from tidewheel.contract import BUSY_THRESHOLD, POOL_TOP_N, STAR_COLUMNS, TARGET
+from tidewheel.operators import baseline, bootstrap, features, metrics, models, panel, pool, splits
 from tidewheel.plans.warehouse import require_ok
 from tidewheel.session import materialize
 from tidewheel.sources import exports, records, tables
 
-FEATURES = CALENDAR_FEATURES + PRIOR_FEATURES
-
 
 @dataclass(frozen=True)
 class StudyScope:
@@ -79,19 +77,107 @@ def baseline_predictions(split: DataFrame, parts: list[str]) -> DataFrame:
     return baseline.tall_predictions(scored, ["baseline"], ["split", "station_id", "start_date", "hour", "is_weekend"])
 
 
+class BrokenSplit(ValueError):
+    """The frozen split does not keep its contract."""
+
+
+def checked_split(spark: SparkSession, out: str) -> tuple[dict, DataFrame]:
+    """The contract and the frozen split, refused if parts overlap in time or columns are missing."""
+    contract, split = read_contract(spark, out), tables.read_table(spark, f"{out}/split")
+    absent = sorted(set(contract["features"] + [contract["target"]]) - set(split.columns))
+    if absent:
+        raise BrokenSplit(f"columns missing from the split: {absent}")
+    bounds = {r["split"]: (r["lo"], r["hi"]) for r in split.groupBy("split").agg(
+        F.min("start_date").alias("lo"), F.max("start_date").alias("hi")).collect()}
+    if missing := sorted({"train", "val", "test"} - set(bounds)):
+        raise BrokenSplit(f"parts without rows: {missing}")
+    for earlier, later in (("train", "val"), ("val", "test")):
+        if bounds[earlier][1] >= bounds[later][0]:
+            raise BrokenSplit(f"{earlier} and {later} overlap")
+    return contract, split
+
+
+def provenance(contract: dict, train_rows: DataFrame) -> dict[str, str]:
+    """What a run was trained on: features, target, test years, and a digest of the training rows."""
+    columns = [*contract["features"], contract["target"], "start_date"]
+    digest = records.fingerprint(train_rows, columns).first()
+    return {"features": ",".join(contract["features"]), "target": contract["target"],
+            "test_years": ",".join(map(str, contract["test_years"])), "train_rows": str(digest["row_count"]),
+            "train_digest": f"{digest['xor_digest']}:{digest['sum_digest']}"}
+
+
 def train(spark: SparkSession, out: str, name: str, params: models.BoostParams) -> DataFrame:
-    """Fit on the frozen training part, score test, keep the model and its run record."""
-    split = tables.read_table(spark, f"{out}/split")
-    model = models.fit_boosted(split.where("split = 'train'"), FEATURES, params)
+    """Fit on the training part as the contract says, score test, keep the model and its run record."""
+    contract, split = checked_split(spark, out)
+    rows = split.where("split = 'train'")
+    model = models.fit_many(rows, contract["features"], [params], target=contract["target"])[0]
     models.save(model, spark, f"{out}/models/{name}")
     test = models.predictions({name: model}, split.where("split = 'test'"), ["hour"])
     level = params.quantile if params.loss == "quantile" else 0.5
-    scores = metrics.cost(test, {name: level}).withColumn("split", F.lit("test"))
+    scores = metrics.cost(test, {name: level}, contract["peak_hours"], contract["busy_threshold"])
+    scores = materialize(scores.withColumn("split", F.lit("test")), "scores")
     records.log_run(metrics.tall_metrics(scores.drop("model"), ["split"]), f"{out}/runs", name,
-                    {k: str(v) for k, v in asdict(params).items()})
+                    {**{k: str(v) for k, v in asdict(params).items()}, **provenance(contract, rows)})
     return scores
 
 
+def sweep(spark: SparkSession, out: str, name: str, grid: list[models.BoostParams]) -> DataFrame:
+    """Grow all candidates together, rank them on validation, train the winner as `name`; the board stays in the reports."""
+    contract, split = checked_split(spark, out)
+    board, winner = models.sweep(split.where("split = 'train'"), split.where("split = 'val'"), contract["features"], grid,
+                                 contract["busy_threshold"])
+    described = split.sparkSession.createDataFrame(
+        [(f"cand_{i:02d}", json.dumps(asdict(p))) for i, p in enumerate(grid)], "model string, params string")
+    board = _report(board.join(described, "model"), out, "sweep")
+    train(spark, out, name, winner)
+    return board.orderBy("mae", "model")
+
+
+def regression(spark: SparkSession, out: str, alpha: float = 1.0) -> DataFrame:
+    """Accuracy of the Poisson regression on validation and test, against the cell means."""
+    contract, split = checked_split(spark, out)
+    names = [f for f in contract["features"] if f not in contract["prior_year"]]
+    fitted = models.fit_poisson_glm(split.where("split = 'train'"), names, alpha)
+    tall = models.predictions({"poisson_glm": fitted}, split.where("split <> 'train'"), ["split", "hour"])
+    cells = baseline_predictions(split, ["val", "test"]).select("split", "hour", "y", "model", "pred")
+    scores = metrics.accuracy(tall.unionByName(cells), ("split", "model"), contract["peak_hours"], contract["busy_threshold"])
+    return _report(scores, out, "regression").orderBy("split", "model")
+
+
+def ablation(spark: SparkSession, out: str, params: models.BoostParams) -> DataFrame:
+    """The cell means and the learner without and with the prior-year features, on validation."""
+    contract, split = checked_split(spark, out)
+    calendar = [f for f in contract["features"] if f not in contract["prior_year"]]
+    board = models.ablation(split.where("split = 'train'"), split.where("split = 'val'"), params,
+                            {"calendar": calendar, "calendar+py": contract["features"]}, contract["busy_threshold"])
+    return _report(board, out, "ablation").orderBy("model")
+
+
+def importance(spark: SparkSession, out: str, name: str, repeats: int = 3) -> DataFrame:
+    """What shuffling each feature costs a saved model on validation."""
+    split = checked_split(spark, out)[1]
+    model = models.load(spark, f"{out}/models/{name}")
+    board = models.permutation_importance(model, split.where("split = 'val'"), ["station_id", "start_date", "hour"], repeats)
+    return _report(board, out, "importance").orderBy(F.desc("mae_increase"), "feature")
+
+
+def interval(spark: SparkSession, out: str, name: str) -> DataFrame:
+    """Bootstrap interval of a saved model's gain over the cell means on test."""
+    split, key = tables.read_table(spark, f"{out}/split"), ["station_id", "start_date", "hour"]
+    tall = models.predictions({name: models.load(spark, f"{out}/models/{name}")}, split.where("split = 'test'"), key)
+    cells = baseline_predictions(split, ["test"]).select(*key, "y", "model", "pred")
+    wide = tall.unionByName(cells).groupBy(*key).agg(*[
+        F.max(F.when(F.col("model") == m, F.abs(F.col("y") - F.col("pred")))).alias(a)
+        for a, m in (("before", "baseline"), ("after", name))])
+    return _report(bootstrap.paired_ci(materialize(wide, "paired"), "before", "after", key), out, "interval")
+
+
+def _report(df: DataFrame, out: str, name: str) -> DataFrame:
+    """A report, written below `out` and read back."""
+    tables.write_small(df, f"{out}/reports/{name}")
+    return tables.read_table(df.sparkSession, f"{out}/reports/{name}")
+
+
 def evaluate(spark: SparkSession, out: str, names: list[str], quantiles: dict[str, float], reference: str,
              recommended: str) -> dict[str, DataFrame]:
     """All reports on the test part for saved models and the baseline."""
