@@ -130,6 +130,27 @@ def test_passages_after_an_earlier_variant_in_the_same_document(spark):
     assert _found(spark, texts, pairs) == set(pairs)
 
 
+def test_recall_of_near_passages(spark):
+    """Passages of 52 to 120 words in other surroundings, with changed, new and left out words, at similarities from 0.8."""
+    rng = np.random.default_rng(17)
+    texts, pairs, near = [], [], []
+    for _ in range(150):
+        passage = _words(rng, int(rng.integers(52, 120)))
+        other = list(passage)
+        for _ in range(int(rng.integers(0, 4))):
+            at = int(rng.integers(0, len(other)))
+            other[at:at + int(rng.integers(0, 2))] = _words(rng, int(rng.integers(0, 2)))
+        one, two = ({tuple(x[i:i + 5]) for i in range(len(x) - 4)} for x in (passage, other))
+        if len(other) >= 52 and len(one & two) >= 0.8 * len(one | two):
+            for words in (passage, other):
+                texts.append(_words(rng, int(rng.integers(0, 90))) + words + _words(rng, int(rng.integers(0, 90))))
+            pairs.append((len(texts) - 1, len(texts) - 2))
+            near.append(len(one & two) / len(one | two))
+    found = _found(spark, texts, pairs)
+    assert len(pairs) > 80 and len(found) >= 0.95 * len(pairs)
+    assert len([p for p, x in zip(pairs, near) if x < 1 and p in found]) >= 0.9 * sum(x < 1 for x in near)
+
+
 def test_hamming_neighbours_of_an_id_with_many_codes(spark):
     def vector(flipped):
         return [-1.0 if i in flipped else 1.0 for i in range(64)]

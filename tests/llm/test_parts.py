@@ -128,20 +128,23 @@ def test_window_nodes_are_those_of_the_cartesian_tree(kinds):
         assert set(passages.window_nodes(h, first, least).tolist()) == wanted
 
 
-def test_verified_runs():
+def test_aligned_runs():
     rng = np.random.default_rng(3)
-    a, b, run = (rng.integers(0, 1 << 32, n).astype("<u4") for n in (300, 250, 60))
+    a, b, run = (rng.integers(0, 1 << 60, n).astype(np.uint64) for n in (300, 250, 60))
     a[100:160], b[20:80] = run, run
-    hits = np.array([(0, 110, 30), (1, 150, 70)])
-    assert passages.verified(a, b, hits, 46, 80) == [(100, 160, 20, 80, 1.0)]
-    assert passages.verified(a, b, hits[:1], 46, 80) == []  # one function is not enough
+    assert passages.aligned(a, b, 46, 80) == [(100, 160, 20, 80, 1.0)]
     b[48:51] = 0  # three n-grams changed
-    assert [x[:4] for x in passages.verified(a, b, hits, 46, 80)] == [(100, 160, 20, 80)]
-    assert passages.verified(a, b, hits, 61, 80) == []
+    assert [x[:4] for x in passages.aligned(a, b, 46, 80)] == [(100, 160, 20, 80)]
+    assert passages.aligned(a, b, 61, 80) == [] == passages.aligned(a[:30], b, 46, 80) == passages.aligned(a, b[:0], 46, 80)
+    a[200:260], a[0:60] = run, run  # the passage three times: once is enough
+    assert len(passages.aligned(a, b, 46, 80)) == 1
+    line = np.tile(run[:10], 400)  # a line repeated four hundred times in both
+    found = passages.aligned(np.concatenate([a, line]), np.concatenate([line, b]), 46, 80)
+    assert {x for p, q, s, t, _ in found for x in range(s, t)} >= set(range(4000)) | set(range(4020, 4080))
 
 
 @pytest.mark.parametrize("length, edit", [(52, "change"), (55, "change"), (60, "change"), (55, "insert"), (57, "drop")])
-def test_verified_near_passages_with_the_edit_at_every_place(length, edit):
+def test_aligned_near_passages_with_the_edit_at_every_place(length, edit):
     rng = np.random.default_rng(length)
     wanted = 0
     for place in range(length):
@@ -152,27 +155,57 @@ def test_verified_near_passages_with_the_edit_at_every_place(length, edit):
                    "insert": np.insert(passage, place, 7), "drop": np.delete(passage, place)}[edit]
         b = np.concatenate([b[:60], changed, b[60:160]])
         grams = [sum(text.mix((w[i:len(w) - 4 + i] + i).astype(np.uint64)) for i in range(5)) for w in (a, b)]
-        hits = []
-        for k in range(passages.HASHES):
-            nodes = []
-            for g in grams:
-                h = text.mix(g ^ passages._SEED[k])
-                nodes.append({h[c]: c for c in passages.window_nodes(h, np.array([0, len(h)]), 46).tolist()})
-            hits += [(k, nodes[0][v], nodes[1][v]) for v in nodes[0].keys() & nodes[1].keys()]
-        hits = np.array(sorted(hits), np.int64).reshape(-1, 3)
-        found = passages.verified(*grams, hits, 46, 80)
+        found = passages.aligned(*grams, 46, 80)
         assert all(min(q - p, t - s) >= 46 and similar >= 0.8 - 1e-9 for p, q, s, t, similar in found)
         mine, other = (np.isin(*g) for g in (grams, grams[::-1]))
         ends = [(p, q) for p in range(96, 112) for q in range(p + 46, 102 + length) if mine[p] and mine[q - 1]]
-        near = any(len(set(hits[(hits[:, 1] >= p) & (hits[:, 1] < q) & (hits[:, 2] >= p - 40) & (hits[:, 2] < t - 40), 0])) >= 2
-                   and passages._similarity(grams[0][p:q], grams[1][p - 40:t - 40]) >= 0.8
-                   for p, q in ends for t in (q - 1, q, q + 1)
-                   if t - p >= 46 and other[p - 40] and other[t - 41])
+        near = any(passages._similarity(grams[0][p:q], grams[1][p - 40:t - 40]) >= 0.8
+                   for p, q in ends for t in (q - 1, q, q + 1) if t - p >= 46 and other[p - 40] and other[t - 41])
         wanted += near
         assert bool(found) >= near, place
     assert wanted > 10
 
 
+def test_aligned_covers_what_all_pairs_of_runs_cover():
+    """Against every pair of runs, on sequences that share a piece with edits, amid noise."""
+    rng = np.random.default_rng(12)
+    covered = wanted = 0
+    for _ in range(80):
+        pool = rng.integers(0, 1 << 30, 40)
+
+        def sequence():
+            parts = [rng.integers(0, 1 << 30, rng.integers(2, 10))]
+            at, n = rng.integers(0, 12), rng.integers(10, 28)
+            piece = pool[at:at + n].copy()
+            edited = rng.random(len(piece)) < 0.06
+            piece[edited] = rng.integers(0, 1 << 30, edited.sum())
+            parts += [piece, rng.integers(0, 1 << 30, rng.integers(0, 6))]
+            return np.concatenate(parts).astype(np.uint64)
+
+        a, b = sequence(), sequence()
+        mine = np.zeros(len(b), bool)
+        for p, q, s, t, similar in passages.aligned(a, b, 8, 80):
+            assert min(q - p, t - s) >= 8 and similar >= 0.8 - 1e-9
+            assert abs(similar - len(set(a[p:q]) & set(b[s:t])) / len(set(a[p:q]) | set(b[s:t]))) < 1e-9
+            mine[s:t] = True
+        true = np.zeros(len(b), bool)
+        in_a, in_b = np.isin(a, b), np.isin(b, a)
+        starts_a, starts_b = np.flatnonzero(in_a), np.flatnonzero(in_b)
+        for p in starts_a:
+            for q in starts_a[starts_a >= p + 7]:
+                one = set(a[p:q + 1])
+                for s in starts_b:
+                    for t in starts_b[(starts_b >= s + 7) & (starts_b <= s + 1.4 * len(one))]:
+                        if not true[s:t + 1].all():
+                            two = set(b[s:t + 1])
+                            if len(one & two) >= 0.8 * len(one | two):
+                                true[s:t + 1] = True
+        covered += (mine & true).sum()
+        wanted += true.sum()
+        assert not (mine & ~true).any()
+    assert covered >= 0.97 * wanted and wanted > 500
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.integers(1, 64), min_size=1, max_size=60), st.sampled_from(["norm", "dot"]),
        st.sampled_from([(64, 64, 4096), (64, 3, 4096), (64, 64, 4200)]))

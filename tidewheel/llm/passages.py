@@ -7,14 +7,12 @@ of words inside a window that hold the node share the min-hash, so only nodes wh
 matter, about two in `least` n-grams. Near-duplicate passages share the node's hash with a chance of their similarity
 per function, equal ones under every function.
 
-Windows that meet in a hash are joined with anchors of the hash: first the document of the smallest id, in every later
-round up to four times as many documents, dealt out by salt. All places of both documents meet; of equal windows of a
-document the first meets for all, and the others are looked up when the pair is verified. Meeting points of a pair are kept from round to round, and a pair of documents is
-verified as soon as windows of MIN_HASHES functions or more have met: from every meeting point the longest run is grown
-in both documents in which n-grams of the other document prevail, and the pair of runs is kept when it is long
-enough, similar enough, and holds meeting points of enough functions. Meeting points without such a pair are tried
-again with the best runs that are long enough, and with the run of the other document most similar to each. A passage
-begins and ends with n-grams that the other document has too.
+Documents whose windows meet in a hash are joined with anchors of the hash: first the document of the smallest id, in every
+later round up to four times as many documents, dealt out by salt. What is joined are documents and hashes, not places. The
+functions in which a pair has met are kept from round to round, and a pair of which MIN_HASHES functions or more have met is
+verified, once and whole: its equal stretches of n-grams are chained along both documents, and every part of a chain that
+is long enough and whose sets of n-grams are similar enough is a passage. A passage begins and ends with n-grams that
+the other document has too. All n-grams are compared by 64-bit hashes.
 An anchor has met all windows of its hash and leaves. A window is known when every passage it stands for lies inside a
 found one; known windows become no anchors and are not met as the later ones. The rounds end when no hash has a window
 left that is not known and has an earlier document to meet.
@@ -38,9 +36,13 @@ from tidewheel.session import materialize
 
 HASHES = 4
 MIN_HASHES = 2
-HOT = 8  # documents of a block that share a window; from then on the window is dealt out by document
+HOT = 8  # windows of a task that share a hash; from then on they are dealt out by document
 SALTS = 64
-BROADCAST_IDS = 500_000  # ids of 16 bytes each
+BROADCAST_IDS = 500_000  # ids, or ends of spans, of 16 bytes each
+SEEN = 1 << 17  # fingerprints that a task remembers, to leave out copies before the shuffle
+SKETCH = 1 << 20  # counters of a task's window hashes
+SLIP = 8  # n-grams that equal stretches may overlap where words were put in or left out
+PAIRS = 64  # pairs whose texts are read at a time
 
 _U = np.uint64
 _SEED = mix(np.arange(1, HASHES + 1, dtype=_U) * _U(0xC2B2AE3D27D4EB4F))
@@ -131,7 +133,10 @@ def _windows(docs: DataFrame, size: int, least: int) -> DataFrame:
     v holds the function's number. Of equal windows of a document only the first has a row."""
     def cut(batches):
         seen: set[int] = set()
+        counted = np.zeros(SKETCH, np.int32)
         for batch in blocks(batches):
+            if len(seen) > SEEN:
+                seen.clear()
             block = words(batch.column("text"))
             grams, first = shingles(block, size)
             own = prints(grams, first, np.diff(block.first))
@@ -156,8 +161,11 @@ def _windows(docs: DataFrame, size: int, least: int) -> DataFrame:
             v, at, back, ahead = v[once], at[once], back[once], ahead[once]
             c, fp = at - first[doc[at]], own[doc[at]]
             kinds, which, often = np.unique(v, return_inverse=True, return_counts=True)
-            salt = np.where(often[which] >= HOT, fp & (SALTS - 1), -1)
-            hot = kinds[often >= HOT]  # known to be shared; one row tells those that are alone elsewhere
+            cell = ((kinds >> _U(8)) % _U(SKETCH)).astype(np.int64)
+            np.add.at(counted, cell, often)
+            frequent = counted[cell] >= HOT
+            salt = np.where(frequent[which], fp & (SALTS - 1), -1)
+            hot = kinds[frequent]  # known to be shared; one row tells those that are alone elsewhere
             mark = np.zeros(len(hot), np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate([v, hot]).view(np.int64)), pa.array(np.concatenate([fp, mark])),
@@ -175,77 +183,19 @@ def _windows(docs: DataFrame, size: int, least: int) -> DataFrame:
 
 
 def _small(df: DataFrame) -> DataFrame:
-    """A broadcast of a frame of a few narrow columns, when it is small."""
+    """A broadcast of a frame of a few numbers a row, when it is small."""
     return F.broadcast(df) if df.count() <= BROADCAST_IDS else df
 
 
-def _sequences(docs: DataFrame, classes: DataFrame, wanted: DataFrame, size: int, repeats: bool) -> DataFrame:
-    """(fp, grams): the n-grams in order, 32 bits each, of the classes in `wanted`, from their first document.
+def _texts(docs: DataFrame, classes: DataFrame, wanted: DataFrame, repeats: bool) -> DataFrame:
+    """(fp, text) of the first document of the classes in `wanted`.
 
     `repeats` says that rows may be equal in id and text; all but one of those are left out.
     """
     side = _small(materialize(classes.join(wanted, "fp", "left_semi").select("fp", "first", "first_hash"), "wanted"))
     same_row = F.col("doc_id").eqNullSafe(F.col("first")) & (F.xxhash64("text") == F.col("first_hash"))
-    texts = docs.join(side, same_row).select("text", "fp")
-
-    def cut(batches):
-        for batch in blocks(batches):
-            block = words(batch.column("text"))
-            grams, first = shingles(block, size)
-            short = (grams >> _U(32)).astype("<u4")
-            packed = [short[a:b].tobytes() for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([batch.column("fp"), pa.array(packed, pa.binary())], ["fp", "grams"])
-
-    found = texts.mapInArrow(cut, "fp long, grams binary")
-    return materialize(found.dropDuplicates(["fp"]) if repeats else found, "sequences")
-
-
-def runs(shared: np.ndarray, penalty: int) -> tuple[np.ndarray, np.ndarray]:
-    """For every place the run around it with the most shared places, each other place counting -penalty.
-
-    Starts and exclusive ends; of equally good runs the shortest.
-    """
-    n = len(shared)
-    until = np.concatenate([[0], np.cumsum(np.where(shared, 1, -penalty))])
-    at = np.arange(n)
-    least = np.minimum.accumulate(until[:-1])
-    start = np.maximum.accumulate(np.where(until[:-1] == least, at, 0))
-    most = np.maximum.accumulate(until[:0:-1])[::-1]
-    end = np.minimum.accumulate(np.where(until[1:] == most, at, n)[::-1])[::-1] + 1
-    return start, end
-
-
-def runs_of(shared: np.ndarray, penalty: float, at: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
-    """Of all runs of at least `least` that hold a place of `at`, the one with the best sum as in `runs`.
-
-    A run begins and ends with shared places, as those of `runs` do. Starts, exclusive ends and sums; -inf for no run.
-    """
-    n = len(shared)
-    if n < least or not len(at):
-        return np.zeros(len(at), np.int64), np.zeros(len(at), np.int64), np.full(len(at), -np.inf)
-    until = np.concatenate([[0.0], np.cumsum(np.where(shared, 1.0, -float(penalty)))])
-    every = np.arange(n + 1)
-    starts = np.append(np.where(shared, until[:-1], np.inf), np.inf)
-    stops = np.append(-np.inf, np.where(shared, until[1:], -np.inf))
-    low = np.minimum.accumulate(starts)
-    low_at = np.maximum.accumulate(np.where(starts == low, every, 0))
-    high = np.maximum.accumulate(stops[::-1])[::-1]
-    high_at = np.minimum.accumulate(np.where(stops == high, every, n)[::-1])[::-1]
-    far = np.minimum(at + least, n)  # ends from here on leave the start free
-    best = np.where(at + least <= n, high[far] - low[at], -np.inf)
-    start, end = low_at[at], high_at[far]
-    ends = at[:, None] + np.arange(1, least)[None, :]  # nearer ends bound the start
-    fits = (ends <= n) & (ends >= least)
-    near = np.where(fits, stops[np.minimum(ends, n)] - low[np.clip(ends - least, 0, n)], -np.inf)
-    pick = near.argmax(axis=1) if least > 1 else np.zeros(len(at), np.int64)
-    if least > 1:
-        value, row = near[np.arange(len(at)), pick], np.arange(len(at))
-        closer = value > best
-        stop = np.minimum(ends[row, pick], n)
-        start = np.where(closer, low_at[np.clip(stop - least, 0, n)], start)
-        end = np.where(closer, stop, end)
-        best = np.where(closer, value, best)
-    return start, end, best
+    found = docs.join(side, same_row).select("fp", "text")
+    return materialize(found.dropDuplicates(["fp"]) if repeats else found, "texts")
 
 
 def _similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -254,143 +204,187 @@ def _similarity(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both)
 
 
-def _partner(run: tuple[int, int], a: np.ndarray, b: np.ndarray, at: int, least: int, share: float):
-    """The run of b through `at` that is most similar to the run of a.
+def exact_runs(a: np.ndarray, b: np.ndarray, least: int) -> np.ndarray:
+    """Maximal equal stretches (start in a, start in b, length) that cover what b shares with a, by start in b.
 
-    The similarity is at least `share` when the shared n-grams, less `share` times all others of both, come out even;
-    a run more than 1 / share times as long cannot be that similar.
+    Only stretches of b are looked at in which half of some `least` places are shared. N-grams that a holds once tell the
+    diagonals of most stretches; a place that none of those covers takes its longest stretch, the first of equal ones.
     """
-    reach = int((run[1] - run[0]) / share) + 1
-    first = max(0, at - reach)
-    part = b[first:at + reach + 1]
-    start, end, best = runs_of(np.isin(part, a[run[0]:run[1]]), share, np.array([at - first]), least)
-    return (first + int(start[0]), first + int(end[0])) if best[0] > -np.inf else None
-
-
-def verified(a: np.ndarray, b: np.ndarray, hits: np.ndarray, least: int, percent: int) -> list[tuple]:
-    """Pairs of runs (start and end in a, start and end in b, similarity) around the meeting points (function, a, b)."""
-    in_a, in_b = np.isin(a, b), np.isin(b, a)
-    share = percent / 100
-    found, tried, failed, left = [], set(), set(), hits
-
-    def keep(run: tuple) -> bool:
-        nonlocal left
-        if run in tried:
-            return False
-        tried.add(run)
-        inside = ((hits[:, 1] >= run[0]) & (hits[:, 1] < run[1]) & (hits[:, 2] >= run[2]) & (hits[:, 2] < run[3]))
-        if len(np.unique(hits[inside, 0])) < MIN_HASHES:
-            return False
-        similar = _similarity(a[run[0]:run[1]], b[run[2]:run[3]])
-        if 100 * similar < percent - 1e-9:
-            return False
-        found.append((*run, similar))
-        left = left[~((left[:, 1] >= run[0]) & (left[:, 1] < run[1])
-                      & (left[:, 2] >= run[2]) & (left[:, 2] < run[3]))]
-        return True
-
-    strict = len(a) + len(b)  # allows nothing but shared n-grams
-    for penalty in (4, 8, strict, 2, 1):
-        (p, q), (s, t) = runs(in_a, penalty), runs(in_b, penalty)
-        at_a, at_b = left[:, 1], left[:, 2]
-        around = np.stack([p[at_a], q[at_a], s[at_b], t[at_b]], axis=1)
-        long = np.minimum(around[:, 1] - around[:, 0], around[:, 3] - around[:, 2]) >= least
-        for run in dict.fromkeys(map(tuple, around[long].tolist())):
-            keep(run)
-        if not len(left):
-            return found
-    # Passages whose edits lie near an end: runs that must be long enough, and the run most similar to each.
-    loss = share / (1 - share) if share < 1 else strict  # at least `share` of a run must be shared
-    possible = ((runs_of(in_a, loss, left[:, 1], least)[2] >= -1e-6)
-                & (runs_of(in_b, loss, left[:, 2], least)[2] >= -1e-6))
-    todo = left[possible]
-    for penalty in (4, 8, strict, 2, 1, share):
-        if not len(todo):
-            break
-        (p, q, _), (s, t, _) = runs_of(in_a, penalty, todo[:, 1], least), runs_of(in_b, penalty, todo[:, 2], least)
-        for (_, x, y), *run in zip(todo.tolist(), p.tolist(), q.tolist(), s.tolist(), t.tolist()):
-            same = (x, y - run[2], *run[:2], b[run[2]:run[3]].tobytes())
-            if same in failed or any(f[0] <= x < f[1] and f[2] <= y < f[3] for f in found):
-                continue
-            if keep(tuple(run)):
-                continue
-            before = len(found)
-            one, two = tuple(run[:2]), tuple(run[2:])
-            for start in ((one, _partner(one, a, b, y, least, share)), (_partner(two, b, a, x, least, share), two)):
-                for _ in range(3):
-                    if None in start or keep((*start[0], *start[1])):
-                        break
-                    mine = _partner(start[1], b, a, x, least, share)
-                    start = (mine, mine and _partner(mine, a, b, y, least, share))
-            if len(found) == before:
-                failed.add(same)
-        rest = {tuple(h) for h in left.tolist()}
-        todo = todo[np.array([tuple(h) in rest for h in todo.tolist()], bool)]
-    return found
-
-
-def _everywhere(hits: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Meeting points (function, a, b) with every place of b that has the same n-gram."""
-    by = np.argsort(b, kind="stable")
-    wanted, values = b[hits[:, 2]], b[by]
-    lo, hi = np.searchsorted(values, wanted), np.searchsorted(values, wanted, "right")
-    n = hi - lo
-    places = by[np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())]
-    return np.unique(np.column_stack([np.repeat(hits[:, :2], n, axis=0), places]), axis=0)
-
-
-def _verify(pairs: DataFrame, sequences: DataFrame, size: int, least: int, percent: int) -> DataFrame:
+    by = np.argsort(a, kind="stable")
+    values = a[by]
+    lo, hi = np.searchsorted(values, b), np.searchsorted(values, b, "right")
+    shared = hi > lo
+    dense = np.zeros(len(b) + 1, np.int64)
+    sums = np.concatenate([[0], np.cumsum(shared)])
+    if len(b) >= least:
+        good = np.flatnonzero(2 * (sums[least:] - sums[:-least]) >= least)
+        np.add.at(dense, good, 1)
+        np.add.at(dense, good + least, -1)
+    open_ = shared & (np.cumsum(dense)[:-1] > 0)
+    out, todo = [], open_.copy()
+
+    def along(diagonal: int, seeds: np.ndarray) -> None:
+        """The stretches of one diagonal (place in a less place in b) that hold a seed."""
+        first, last = max(0, -diagonal), min(len(b), len(a) - diagonal)
+        equal = a[first + diagonal:last + diagonal] == b[first:last]
+        edge = np.flatnonzero(np.diff(np.concatenate([[False], equal, [False]]).astype(np.int8)))
+        start, end = edge[0::2] + first, edge[1::2] + first
+        for k in np.unique(np.searchsorted(start, seeds, "right") - 1).tolist():
+            out.append((int(start[k]) + diagonal, int(start[k]), int(end[k] - start[k])))
+            todo[start[k]:end[k]] = False
+
+    single = np.flatnonzero(open_ & (hi - lo == 1))
+    diagonals = by[lo[single]] - single
+    order = np.argsort(diagonals, kind="stable")
+    for part in np.split(order, np.flatnonzero(np.diff(diagonals[order])) + 1) if len(order) else []:
+        along(int(diagonals[part[0]]), single[part])
+    at = 0
+    while len(rest := np.flatnonzero(todo[at:])):
+        at += int(rest[0])
+        here = by[lo[at]:hi[at]]
+        length, step = np.zeros(len(here), np.int64), 64
+        going = np.arange(len(here))
+        while len(going):  # how far each is equal, by ever longer pieces
+            places = here[going] + length[going]
+            spans = np.minimum(step, np.minimum(len(a) - places, len(b) - at - length[going]))
+            offsets = np.arange(step)
+            inside = offsets < spans[:, None]
+            same = inside & (a[np.minimum(places[:, None] + offsets, len(a) - 1)]
+                             == b[np.minimum(at + length[going][:, None] + offsets, len(b) - 1)])
+            more = np.where(same.all(axis=1), step, same.argmin(axis=1))
+            length[going] += more
+            going, step = going[more == step], min(2 * step, 1 << 14)
+        best = int(length.argmax())
+        along(int(here[best]) - at, np.array([at]))
+        todo[at] = False
+    return np.array(sorted(set(out), key=lambda r: (r[1], r[0])), np.int64).reshape(-1, 3)
+
+
+def chains(found: np.ndarray) -> list[np.ndarray]:
+    """Stretches in order along both documents, each chain broken where the gap is longer than half of what it spans."""
+    done, active = [], []
+    for k, (i, j, n) in enumerate(found.tolist()):
+        best, least = None, None
+        for c in active:
+            ahead, beside = j - c[2], i - c[1]
+            limit = max(48, (c[2] - c[3]) // 2, n)
+            if -SLIP <= ahead <= limit and -SLIP <= beside <= limit and j + n > c[2] and i + n > c[1]:
+                cost = abs(ahead) + abs(beside)
+                if best is None or cost < least:
+                    best, least = c, cost
+        if best is None:
+            best = [[], 0, 0, j]
+            active.append(best)
+        best[0].append(k)
+        best[1], best[2] = i + n, j + n
+        if k % 64 == 63:
+            reach = [max(48, c[2] - c[3], int(found[k:, 2].max())) for c in active]
+            done += [c for c, r in zip(active, reach) if c[2] + r < j]
+            active = [c for c, r in zip(active, reach) if c[2] + r >= j]
+    return [found[c[0]] for c in done + active]
+
+
+def _ahead(marks: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(marks)])
+
+
+def _repeats(grams: np.ndarray) -> np.ndarray:
+    """Which places hold an n-gram that an earlier place holds."""
+    again = np.ones(len(grams), bool)
+    again[np.unique(grams, return_index=True)[1]] = False
+    return again
+
+
+def aligned(a: np.ndarray, b: np.ndarray, least: int, percent: int) -> list[tuple]:
+    """Passages (start and end in a, start and end in b, similarity) that begin and end with shared n-grams.
+
+    Every part of a chain of equal stretches that has at least `least` n-grams in both documents is a candidate, the longest
+    first; it counts if its sets of n-grams are similar enough and it covers a stretch that none before it does. What
+    cannot be similar by the counts of shared and repeated places is not compared. Passages inside others of b are left out.
+    """
+    found, share = [], percent / 100
+    runs = exact_runs(a, b, least)
+    if not len(runs):
+        return found
+    in_a, in_b = _ahead(np.isin(a, b)), _ahead(np.isin(b, a))
+    new_a, new_b = _ahead(~_repeats(a)), _ahead(~_repeats(b))
+    for chain in chains(runs):
+        i, j, n = chain.T
+        s, e = np.triu_indices(len(chain))
+        bounds = np.stack([i[s], (i + n)[e], j[s], (j + n)[e]])
+        fits = (bounds[1] - bounds[0] >= least) & (bounds[3] - bounds[2] >= least)
+        s, e, (p, q, t, u) = s[fits], e[fits], bounds[:, fits]
+        both = np.minimum(in_a[q] - in_a[p], in_b[u] - in_b[t])
+        others = np.maximum(new_a[q] - new_a[p] + new_b[u] - new_b[t] - both, both)
+        likely = (both >= (share - 1e-9) * others) | (s == e)
+        s, e, p, q, t, u = (x[likely] for x in (s, e, p, q, t, u))
+        order = np.lexsort((s, t - u))
+        bare = np.ones(len(chain), bool)
+        while len(order):
+            k = order[0]
+            passage = tuple(int(x[k]) for x in (p, q, t, u))
+            similar = 1.0 if s[k] == e[k] else _similarity(a[passage[0]:passage[1]], b[passage[2]:passage[3]])
+            order = order[1:]
+            if similar >= share - 1e-9:
+                found.append((*passage, similar))
+                bare[s[k]:e[k] + 1] = False
+                left = _ahead(bare)
+                order = order[left[e[order] + 1] > left[s[order]]]
+    found.sort(key=lambda f: (f[2], -f[3]))
+    out, reach = [], 0
+    for f in found:
+        if f[3] > reach:
+            out.append(f)
+            reach = f[3]
+    return out
+
+
+def _verify(pairs: DataFrame, texts: DataFrame, size: int, least: int, percent: int) -> DataFrame:
     """(a, b, start and end words in both, similarity) of the near-duplicate passages of pairs of classes."""
-    left = sequences.select(F.col("fp").alias("a"), F.col("grams").alias("grams_a"))
-    right = sequences.select(F.col("fp").alias("b"), F.col("grams").alias("grams_b"))
+    names = ["a", "b", "a_start", "a_end", "b_start", "b_end", "similarity"]
 
     def check(batches):
-        names = ["a", "b", "a_start", "a_end", "b_start", "b_end", "similarity"]
-        for batch in batches:
-            rows = [[] for _ in names]
-            listed = batch.column("hits")
-            edges, flat = listed.offsets.to_numpy(), listed.values
-            points = np.stack([flat.field(c).to_numpy().astype(np.int64) for c in ("k", "a", "b")], axis=1)
-            for i in range(batch.num_rows):
-                hits = points[edges[i]:edges[i + 1]]
-                grams = [np.frombuffer(batch.column(c)[i].as_py(), "<u4") for c in ("grams_a", "grams_b")]
-                hits = _everywhere(hits, grams[1])
-                hits = hits[np.lexsort((hits[:, 0], hits[:, 1], hits[:, 2]))]
-                for p, q, s, t, similar in verified(*grams, hits, least - size + 1, percent):
-                    for column, value in zip(rows, (batch.column("a")[i].as_py(), batch.column("b")[i].as_py(), p,
-                                                    q + size - 1, s, t + size - 1, similar)):
-                        column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in rows[:-1]] + [pa.array(rows[-1], pa.float64())], names)
-
-    both = pairs.join(left, "a").join(right, "b")
+        for whole in batches:
+            for at in range(0, whole.num_rows, PAIRS):
+                batch = whole.slice(at, PAIRS)
+                ids = {c: batch.column(c).to_pylist() for c in ("a", "b")}
+                place: dict[int, int] = {}
+                for row, fp in enumerate(ids["a"] + ids["b"]):
+                    place.setdefault(fp, row)
+                both = pa.concat_arrays([batch.column("text_a"), batch.column("text_b")])
+                grams, first = shingles(words(both.take(pa.array(list(place.values())))), size)
+                own = {fp: grams[first[d]:first[d + 1]] for d, fp in enumerate(place)}
+                rows = [(x, y, p, q + size - 1, s, t + size - 1, similar) for x, y in zip(ids["a"], ids["b"])
+                        for p, q, s, t, similar in aligned(own[x], own[y], least - size + 1, percent)]
+                columns = list(zip(*rows)) or [()] * 7
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, pa.int64()) for c in columns[:-1]] + [pa.array(columns[-1], pa.float64())], names)
+
+    both = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
     schema = "a long, b long, a_start long, a_end long, b_start long, b_end long, similarity double"
-    return materialize(both.mapInArrow(check, schema), "verified")
+    return materialize(both.select("a", "b", "text_a", "text_b").mapInArrow(check, schema), "verified")
 
 
-def _met(rows: DataFrame, anchors: DataFrame, first: bool) -> DataFrame:
-    """(a, b, hits): the meeting points of the anchors' windows with all others of their hashes, the earlier class as a.
+def _met(met: DataFrame, anchors: DataFrame, first: bool) -> DataFrame:
+    """(a, b, functions): in which functions the anchors' documents meet others of their hashes, the earlier class as a.
 
-    `first` says that no class of a hash is earlier than its anchor.
+    `met` has a row per hash and document. `first` says that no class of a hash is earlier than its anchor.
     """
-    own = rows.join(anchors, "v").where("w.fp = anchor.fp")
-    before = own.select("v", "anchor", F.col("c").alias("anchor_c"))
-    behind = own.where("not known").select("v", "anchor", F.col("c").alias("anchor_c"))
-    k = F.pmod("v", F.lit(8)).alias("k")
-    met = rows.where("not known").join(before, "v").where("anchor < w").select(
-        F.col("anchor.fp").alias("a"), F.col("w.fp").alias("b"),
-        F.struct(k, F.col("anchor_c").alias("a"), F.col("c").alias("b")).alias("hit"))
+    bit = F.call_function("shiftleft", F.lit(1), F.pmod("v", F.lit(8)).cast("int")).alias("functions")
+    later = met.where("not known").join(anchors, "v").where("anchor < w").select(
+        F.col("anchor.fp").alias("a"), F.col("w.fp").alias("b"), bit)
     if not first:
-        met = met.unionByName(rows.join(behind, "v").where("w < anchor").select(
-            F.col("w.fp").alias("a"), F.col("anchor.fp").alias("b"),
-            F.struct(k, F.col("c").alias("a"), F.col("anchor_c").alias("b")).alias("hit")))
-    return met.groupBy("a", "b").agg(F.collect_set("hit").alias("hits"))
+        later = later.unionByName(met.join(anchors, "v").where("w < anchor").select(
+            F.col("w.fp").alias("a"), F.col("anchor.fp").alias("b"), bit))
+    return later.groupBy("a", "b").agg(F.bit_or("functions").alias("functions"))
 
 
 def _marked(rows: DataFrame, spans: DataFrame, size: int) -> DataFrame:
     """`rows`, marked as known where every passage that a window stands for lies in a found one of its document."""
     known = spans.groupBy(F.col("b").alias("s_fp")).agg(F.collect_set(F.struct("b_start", "b_end")).alias("spans"))
-    side = _small(materialize(known, "known"))
+    known = materialize(known, "known")
+    weight = known.agg(F.coalesce(F.sum(F.size("spans") + 1), F.lit(0))).first()[0]
+    side = F.broadcast(known) if weight <= BROADCAST_IDS else known
     inside = F.exists("spans", lambda s: (F.col("c") - F.col("back") >= s["b_start"]) & (
         F.col("c") + F.col("ahead") + F.lit(size) <= s["b_end"]))
     return rows.join(side, F.col("w.fp") == F.col("s_fp"), "left").select(
@@ -419,27 +413,30 @@ def repeated(docs: DataFrame, least: int = 50, size: int = SHINGLE, percent: int
         "v", F.struct(F.col("first").isNull().alias("nameless"), "first", "fp").alias("w"), "c", "back", "ahead",
         F.lit(False).alias("known"))
     rows = materialize(rows, "open")
-    found, hits, salts = [], None, 1
+    found, hits, checked, salts = [], None, None, 1
     while True:
         todo = rows.groupBy("v").agg(F.min("w").alias("low"), F.max(F.when(~F.col("known"), F.col("w"))).alias("high"))
         rows = materialize(rows.join(todo.where("low < high").select("v"), "v", "left_semi"), "open")
         if rows.isEmpty():
             break
+        met = materialize(rows.groupBy("v", "w").agg(F.bool_and("known").alias("known")), "met")
         salt = F.pmod(F.xxhash64("w.fp", F.lit(salts)), F.lit(salts))
-        anchors = materialize(rows.where(~F.col("known")).groupBy("v", salt.alias("salt")).agg(
+        anchors = materialize(met.where(~F.col("known")).groupBy("v", salt.alias("salt")).agg(
             F.min("w").alias("anchor")).select("v", "anchor"), "anchors")
-        new = materialize(_met(rows, anchors, salts == 1), "hits")
-        pairs = new if hits is None else new.unionByName(
-            hits.join(_small(new.select("a", "b")), ["a", "b"], "left_semi")).groupBy("a", "b").agg(
-            F.array_distinct(F.flatten(F.collect_list("hits"))).alias("hits"))
-        functions = F.array_distinct(F.transform("hits", lambda h: h["k"]))
-        pairs = materialize(pairs.where(F.size(functions) >= MIN_HASHES), "pairs")
+        new = materialize(_met(met, anchors, salts == 1), "hits")
+        pairs = new if hits is None else new.unionByName(hits.join(_small(new.select("a", "b")), ["a", "b"], "left_semi"))
+        pairs = pairs.groupBy("a", "b").agg(F.bit_or("functions").alias("functions"))
+        pairs = pairs.where(F.bit_count("functions") >= MIN_HASHES).select("a", "b")
+        if checked is not None:
+            pairs = pairs.join(checked, ["a", "b"], "left_anti")
+        pairs = materialize(pairs, "pairs")
         hits = new if hits is None else hits.unionByName(new)
         rows = rows.join(anchors.withColumnRenamed("v", "met"), (F.col("v") == F.col("met")) & (
             F.col("w.fp") == F.col("anchor.fp")), "left_anti")
         if not pairs.isEmpty():
+            checked = pairs if checked is None else checked.unionByName(pairs)
             wanted = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
-            spans = _verify(pairs, _sequences(narrow, classes, wanted, size, repeats), size, least, percent)
+            spans = _verify(pairs, _texts(narrow, classes, wanted, repeats), size, least, percent)
             found.append(spans)
             rows = _marked(rows, spans, size)
         rows = materialize(rows, "open")
