@@ -24,6 +24,15 @@ def test_broken_keys_drop_the_row(spark, change):
     assert cleaning.clean(stage(spark, change)).count() == 0
 
 
+@pytest.mark.parametrize("column, largest", [
+    ("trip_id", 2 ** 63 - 1), ("start_station_id", 2 ** 31 - 1), ("end_station_id", 2 ** 31 - 1)])
+def test_numbers_beyond_the_type_drop_the_row(spark, column, largest):
+    kept = [str(largest), f"000{largest}", "0", "000", "0" * 40 + "7"]
+    gone = [str(largest + 1), f"00{largest + 1}", "9" * len(str(largest)), "9" * 30]
+    found = cleaning.clean(stage(spark, *[{column: v} for v in kept + gone])).collect()
+    assert [r[column] for r in found] == kept
+
+
 @pytest.mark.parametrize("change, column, expected", [
     ({}, "end_time", "01/05/2019 08:22"),
     ({"end_time": None, "trip_duration": "700.9"}, "end_time", "01/05/2019 08:21"),

@@ -11,17 +11,27 @@ from tidewheel.contract import INTEGER_PATTERN, NUMBER_PATTERN
 from tidewheel.functions import stamps, text
 
 
+#: The largest values of the key columns' types, as text.
+_LARGEST = {"trip_id": str(2 ** 63 - 1), "start_station_id": str(2 ** 31 - 1), "end_station_id": str(2 ** 31 - 1)}
+
+
+def _fits(name: str) -> Column:
+    """Digits whose number the key's type can hold, judged as text: a cast of every row costs more than the rest."""
+    digits, largest = F.ltrim(F.col(name), F.lit("0")), _LARGEST[name]
+    return F.col(name).rlike(INTEGER_PATTERN) & (
+        (F.length(name) < len(largest)) | (F.length(digits) < len(largest))
+        | ((F.length(digits) == len(largest)) & (digits <= largest)))
+
+
 def key_rules() -> dict[str, Column]:
     """One condition per key column; a null condition counts as broken, as does a number beyond the key's type.
 
-    Casts are the `try_` kind throughout: conditions joined by `&` are not evaluated in
+    The cast of the duration is the `try_` kind: conditions joined by `&` are not evaluated in
     a guaranteed order, so a pattern test does not protect a failing cast in ANSI mode.
     """
-    kinds = {"trip_id": "bigint", "start_station_id": "int", "end_station_id": "int"}
-    matches = {c: F.col(c).rlike(INTEGER_PATTERN) & F.col(c).try_cast(kind).isNotNull() for c, kind in kinds.items()}
     duration = F.col("trip_duration")
     return {
-        **matches,
+        **{c: _fits(c) for c in _LARGEST},
         "trip_duration": duration.rlike(NUMBER_PATTERN) & (duration.try_cast("double") > 0),
         "start_time": stamps.is_stamp("start_time"),
     }
