@@ -130,19 +130,28 @@ def test_busiest_slice_breaks_ties_by_id(spark):
 
 def test_bootstrap_weights_are_poisson(spark):
     df = spark.createDataFrame([(i, 1.0) for i in range(3000)], "id int, d double")
-    sums = bootstrap.replicate_gaps(df, "d", ["id"], 40)
-    assert sums.count() == 40 and all(r.gap == 1.0 for r in sums.collect())
-    digits = [f"{x:08x}" for x in (0, int(0.3 * 2 ** 32), int(0.5 * 2 ** 32), int(0.8 * 2 ** 32), 2 ** 32 - 1)]
-    weights = spark.createDataFrame([(d,) for d in digits], "h string").select(bootstrap._weight(F.col("h"))).collect()
-    assert [r[0] for r in weights] == [0, 0, 1, 2, 12]
+    sums = bootstrap.replicate_gaps(df, "d", 40)
+    assert sums.count() == 40 and all(math.isclose(r.gap, 1.0) for r in sums.collect())
+    for bit, mean in ((0, 1), (3, 8), (5, 32), (9, 512)):
+        draws = spark.range(4000).select(bootstrap._draw(
+            F.lit(bit), F.pmod(F.xxhash64("id"), F.lit(2 ** 32)), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(2 ** 32))).alias("w"))
+        row = draws.agg(F.avg("w").alias("m"), F.variance("w").alias("v")).first()
+        assert abs(row.m - mean) < 4 * math.sqrt(mean / 4000) and abs(row.v / mean - 1) < 0.1
+    assert bootstrap.cumulative(1)[:3] == [1580030168, 3160060337, 3950075421]
+
+
+def test_bootstrap_of_equal_rows_spreads_like_that_of_single_ones(spark):
+    df = spark.createDataFrame([(i, float(i % 2)) for i in range(5000)], "id int, d double")
+    spread = bootstrap.replicate_gaps(df, "d").agg(F.stddev("gap")).first()[0]
+    assert abs(spread / (0.5 / math.sqrt(5000)) - 1) < 0.2
 
 
 def test_bootstrap_interval_is_close_to_the_normal_one(spark):
     rng = np.random.default_rng(5)
     gap = rng.normal(0.2, 1.0, 4000)
     df = spark.createDataFrame([(i, 1 + float(g), 1.0) for i, g in enumerate(gap)], "id int, a double, b double")
-    row = bootstrap.paired_ci(df, "a", "b", ["id"]).first()
+    row = bootstrap.paired_ci(df, "a", "b").first()
     half = 1.96 * gap.std() / math.sqrt(len(gap))
     assert row.replicates == 200 and math.isclose(row.mean_gap, gap.mean())
     assert abs(row.low - (gap.mean() - half)) < 0.4 * half and abs(row.high - (gap.mean() + half)) < 0.4 * half
-    assert bootstrap.paired_ci(df.repartition(7), "a", "b", ["id"]).first().low == pytest.approx(row.low, abs=1e-9)
+    assert bootstrap.paired_ci(df.repartition(7), "a", "b").first().low == pytest.approx(row.low, abs=1e-9)

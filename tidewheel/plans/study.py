@@ -169,7 +169,7 @@ def interval(spark: SparkSession, out: str, name: str) -> DataFrame:
     wide = tall.unionByName(cells).groupBy(*key).agg(*[
         F.max(F.when(F.col("model") == m, F.abs(F.col("y") - F.col("pred")))).alias(a)
         for a, m in (("before", "baseline"), ("after", name))])
-    return _report(bootstrap.paired_ci(materialize(wide, "paired"), "before", "after", key), out, "interval")
+    return _report(bootstrap.paired_ci(materialize(wide, "paired"), "before", "after"), out, "interval")
 
 
 def _report(df: DataFrame, out: str, name: str) -> DataFrame:

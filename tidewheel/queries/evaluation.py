@@ -198,9 +198,7 @@ def run_log(spark: SparkSession, folder: str) -> DataFrame:
         "run", "split", "metric", rounded(F.col("value")).alias("value"), F.col("params")["cell"].alias("cell"))
 
 
-# floor(2^32 * P(Poisson(1) <= k)) for k = 0, 1, ..., 11
-_CUMULATIVE = ("[1580030168, 3160060337, 3950075421, 4213413783, 4279248373, 4292415291, "
-               "4294609777, 4294923276, 4294962463, 4294966817, 4294967252, 4294967292]")
+_STEPS = " ".join(f"WHEN {k} THEN len(list_filter({bootstrap.cumulative(2 ** k)}, lambda t: u >= t))" for k in range(6))
 
 
 @query("bootstrap_ci", with_ctes(f"""
@@ -209,11 +207,15 @@ _CUMULATIVE = ("[1580030168, 3160060337, 3950075421, 4213413783, 4279248373, 429
     gaps AS (SELECT t.station_id, start_date, t.hour, abs(trip_count - a) AS ea, abs(trip_count - a) - abs(trip_count - b) AS d
         FROM ev_split t JOIN fitted f ON f.station_id = t.station_id AND f.hour = t.hour AND f.weekday = t.weekday
         WHERE split = 'test'),
-    digests AS (SELECT d, block, md5(concat_ws('|', '0', station_id, start_date, hour, block)) AS h
-        FROM gaps, (SELECT unnest(range(0, 50)) AS block)),
-    draws AS (SELECT d, block * 4 + i AS replicate, CAST('0x' || substr(h, CAST(1 + 8 * i AS INT), 8) AS BIGINT) AS u
+    kinds AS (SELECT CAST(round(d * 1000000000) AS BIGINT) AS k, count(*) AS n FROM gaps GROUP BY 1),
+    bits AS (SELECT k, bit FROM kinds, (SELECT unnest(range(0, 40)) AS bit) WHERE (n >> bit) & 1 = 1),
+    digests AS (SELECT k, bit, block, concat_ws('|', '0', k, bit, block) AS t FROM bits, (SELECT unnest(range(0, 50)) AS block)),
+    draws AS (SELECT k, bit, block * 4 + i AS replicate, CAST('0x' || substr(md5(t), CAST(1 + 8 * i AS INT), 8) AS BIGINT) AS u,
+                  CAST('0x' || substr(md5(t || '|'), CAST(1 + 8 * i AS INT), 8) AS BIGINT) AS v
         FROM digests, (SELECT unnest(range(0, 4)) AS i)),
-    weighted AS (SELECT replicate, d, len(list_filter({_CUMULATIVE}, lambda t: u >= t)) AS w FROM draws),
+    weighted AS (SELECT replicate, k / 1000000000.0::DOUBLE AS d, CASE bit {_STEPS} ELSE greatest(0, floor(pow(2.0::DOUBLE, bit) + 0.5::DOUBLE
+        + sqrt(pow(2.0::DOUBLE, bit)) * sqrt(-2 * ln((u + 0.5::DOUBLE) / 4294967296)) * cos(2 * pi() * v / 4294967296))) END AS w
+        FROM draws),
     means AS (SELECT replicate, sum(w * d) / sum(w) AS gap FROM weighted GROUP BY 1)
     SELECT round((SELECT avg(d) FROM gaps), 6) + 0.0 AS mean_gap, round(quantile_cont(gap, 0.025), 6) + 0.0 AS low,
         round(quantile_cont(gap, 0.975), 6) + 0.0 AS high, count(*) AS replicates,
@@ -224,4 +226,4 @@ def bootstrap_ci(spark: SparkSession, folder: str) -> DataFrame:
     key = ["station_id", "start_date", "hour"]
     paired = test.groupBy(*key).agg(*[
         F.max(F.when(F.col("model") == m, F.abs(F.col("y") - F.col("pred")))).alias(m) for m in ("baseline", "q50")])
-    return shown(bootstrap.paired_ci(materialize(paired, "paired"), "baseline", "q50", key))
+    return shown(bootstrap.paired_ci(materialize(paired, "paired"), "baseline", "q50"))
