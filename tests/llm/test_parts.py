@@ -291,3 +291,20 @@ def test_bitmaps_differ_no_more_than_the_sets(found):
     for x, a in zip(found, bits):
         for y, b in zip(found, bits):
             assert np.bitwise_count(a ^ b).sum() <= len(x ^ y)
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_automaton_gives_the_interpolated_probabilities(order, monkeypatch):
+    rng = np.random.default_rng(order)
+    monkeypatch.setattr(lm_scoring, "PIECE", 7)
+    texts = pa.chunked_array([pa.array([" ".join(f"w{x}" for x in rng.integers(0, 6, rng.integers(0, 40)))
+                                        for _ in range(60)] + ["", "new words only here", None])])
+    learned = np.arange(63) % 5 > 0
+    learned[-2:] = False
+    stream = lm_scoring.Stream(texts, order)
+    values, back = np.unique(stream.every(), return_inverse=True)
+    weight = np.concatenate([np.tile(np.repeat(learned, stream.counts), order), learned])
+    totals = np.bincount(back, weights=weight, minlength=len(values)).astype(np.int64)
+    got = lm_scoring.Automaton(stream, values, back, totals, order, 500.0).scores(stream)
+    plain = lm_scoring.left_out_of(stream, totals[back], np.ones(63, bool), order, 500.0, less=0)
+    assert np.allclose(got, plain, rtol=1e-10) and (got < 0).all()

@@ -4,7 +4,9 @@ The model interpolates n-gram counts with the next lower order. With p(w) = (c(w
 p(w | h) = (c(h w) + s p(w | h')) / (c(h) + s), where h' is h without its first token. As an automaton: every history
 seen in training is a state; every n-gram seen is an arc with the weight log10 p; and each state has a failure arc to
 h' with the weight log10(s / (c(h) + s)). The traversal of a text goes left to right, carries the longest known history
-as its state, and adds up the weights of the arcs it takes. The strength s is that of STRENGTHS under which the
+as its state, and adds up the weights of the arcs it takes, failure arcs included; all texts of a chunk go in step. A state
+depends on the last `order` - 1 tokens alone, so a long text is read in pieces at once: each piece first reads the
+tokens before it that its state depends on, without counting them. The strength s is that of STRENGTHS under which the
 training tokens are likeliest, each one left out of the counts when it is predicted.
 
 The automaton grows with the corpus and is nowhere whole. Documents are dealt into chunks of a few megabytes. Every
@@ -26,6 +28,7 @@ from tidewheel.session import materialize
 
 CHUNK_BYTES = 12 << 20
 BUCKET_BYTES = 16 << 20  # of text for each bucket of n-grams
+PIECE = 512  # tokens of a text that are read in one go
 STRENGTHS = (4.0, 64.0, 1024.0, 16384.0, 262144.0)
 
 _U = np.uint64
@@ -168,6 +171,88 @@ def _answer(table: pa.Table) -> pa.Table:
                      "totals": pa.array(packed, pa.binary())})
 
 
+class Automaton:
+    """The part of the backoff automaton that a chunk's documents can reach.
+
+    Every n-gram of the chunk has a number, in the order of the hashes. `weight[a]` is the log10 probability of arc a under
+    each strength and `after[a]` the state it leads to; `backoff[h]` and `shorter[h]` are those of the failure arc of state h.
+    A state is the number of its history; ROOT, the last, has an arc for every token.
+    """
+
+    def __init__(self, stream: Stream, values: np.ndarray, back: np.ndarray, totals: np.ndarray, order: int, norm: float):
+        n = len(stream.tokens)
+        root = len(values)
+        self.root, self.order, self.hashes, self.start = root, order, values, int(back[order * n]) if n else root
+        self.level = np.full(root + 1, -1)  # tokens of a history, less one; the root has none
+        held = totals > 0
+        strengths = np.array(STRENGTHS)
+        p = np.zeros((root, len(STRENGTHS)))
+        self.after, self.shorter = np.full(root, root), np.full(root + 1, root)
+        self.arc = np.zeros(root, bool)
+        for k in range(order):
+            at = np.flatnonzero(stream.place >= k - 1) if k > 1 else np.arange(n)
+            number, place = np.unique(back[k * n + at], return_index=True)
+            place = at[place]  # one occurrence of each n-gram of k + 1 tokens
+            self.level[number] = k
+            if k == 0:
+                p[number] = ((totals[number] + 0.1) / norm)[:, None]
+                self.arc[number] = True
+            else:
+                before = np.maximum(place - 1, 0) + (k - 1) * n
+                history = np.where(stream.place[place] > 0, back[before], self.start)
+                lower = back[(k - 1) * n + place]
+                p[number] = (totals[number, None] + strengths * p[lower]) / (totals[history, None] + strengths)
+                self.arc[number] = held[number]
+                self.shorter[number] = np.where(held[lower], lower, root)
+            longest = number if k < order - 1 else self.shorter[number] if k else np.full(len(number), root)
+            self.after[number] = np.where(held[number], longest, root)
+        if n and order > 1:
+            self.level[self.start] = 0
+        with np.errstate(divide="ignore"):
+            self.weight = np.log10(p)
+        self.backoff = np.log10(strengths / (np.append(totals, 0)[:, None] + strengths))
+
+    def read(self, state: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The weights that each state takes for its token, failure arcs included, and the state after it."""
+        gained = np.zeros((len(state), len(STRENGTHS)))
+        state, todo = state.copy(), np.arange(len(state))
+        while len(todo):
+            now, token = state[todo], tokens[todo]
+            level = self.level[now] + 1
+            history = np.where(now == self.root, _U(0), self.hashes[np.minimum(now, self.root - 1)])
+            plain = np.where(now == self.root, token * _LEVEL[0], history * _LEVEL[level] + token)
+            key = mix(plain)
+            arc = np.minimum(np.searchsorted(self.hashes, key), self.root - 1)
+            found = (self.hashes[arc] == key) & self.arc[arc]
+            gained[todo[found]] += self.weight[arc[found]]
+            state[todo[found]] = self.after[arc[found]]
+            gained[todo[~found]] += self.backoff[now[~found]]
+            state[todo[~found]] = self.shorter[now[~found]]
+            todo = todo[~found]
+        return gained, state
+
+    def scores(self, stream: Stream) -> np.ndarray:
+        """The log10 probability of every document under each strength."""
+        pieces = -(-stream.counts // PIECE)
+        of = np.repeat(np.arange(len(stream.counts)), pieces)
+        nth = np.arange(len(of)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        begin = stream.first[of] + nth * PIECE
+        end = np.minimum(begin + PIECE, stream.first[of] + stream.counts[of])
+        warm = np.where(nth > 0, np.minimum(self.order - 1, nth * PIECE), 0)
+        at = begin - warm
+        state = np.where((nth > 0) & (warm < nth * PIECE), self.root, self.start if self.order > 1 else self.root)
+        total = np.zeros((len(of), len(STRENGTHS)))
+        by = np.argsort(at - end, kind="stable")  # longest first
+        for step in range(int((end - at).max(initial=0))):
+            here = by[:np.searchsorted((at - end)[by], -step, "left")]
+            gained, state[here] = self.read(state[here], stream.tokens[at[here] + step])
+            counts = step >= warm[here]
+            total[here[counts]] += gained[counts]
+        out = np.zeros((len(stream.counts), len(STRENGTHS)))
+        np.add.at(out, of, total)
+        return out
+
+
 def _traverse(order: int, tokens_learned: int, kinds: int):
     """Score a chunk's documents with its part of the automaton."""
     norm = tokens_learned + 0.1 * (kinds + 1)
@@ -180,41 +265,39 @@ def _traverse(order: int, tokens_learned: int, kinds: int):
         totals = np.concatenate([_wide(packed[i], sizes[i]) for i in by.tolist()])
         if len(totals) != len(values):
             raise RuntimeError("the documents changed between two readings")
-        count = totals[back]
-        n = len(stream.tokens)
-        levels = [count[k * n:(k + 1) * n] for k in range(order)]
-        histories = []
-        for k in range(1, order):
-            history = np.empty(n, np.int64)
-            history[1:] = levels[k - 1][:-1]
-            history[stream.first] = count[order * n:]
-            histories.append(history)
-        learned = ~texts.column("held").to_numpy()
-        own = np.repeat(learned, stream.counts)
-
-        def log_p(strength: float, less: int, which) -> np.ndarray:
-            p = (levels[0][which] - less + 0.1) / norm
-            for k in range(1, order):
-                long = (levels[k][which] - less + strength * p) / (histories[k - 1][which] - less + strength)
-                p = long if k == 1 else np.where(stream.place[which] >= k - 1, long, p)
-            return np.log10(p)
-
-        scores, left_out = [], np.zeros((len(texts), len(STRENGTHS)))
-        for i, strength in enumerate(STRENGTHS):
-            scores.append(np.add.reduceat(log_p(strength, 0, slice(None)), stream.first))
-            each = np.zeros(n)
-            each[own] = log_p(strength, 1, own)
-            left_out[:, i] = np.add.reduceat(each, stream.first)
-        base = np.add.reduceat(np.log10((levels[0] + 0.1) / norm), stream.first)
-        known = np.add.reduceat((levels[0] > 0).astype(np.int64), stream.first)
+        scores = Automaton(stream, values, back, totals, order, norm).scores(stream)
+        left_out = left_out_of(stream, totals[back], ~texts.column("held").to_numpy(), order, norm)
+        unigrams = totals[back][:len(stream.tokens)]
+        base = np.add.reduceat(np.log10((unigrams + 0.1) / norm), stream.first)
+        known = np.add.reduceat((unigrams > 0).astype(np.int64), stream.first)
         listed = pa.list_(pa.float64())
         return pa.table({
             "doc_id": texts.column("doc_id"), "held_out": texts.column("held"), "n_tokens": pa.array(stream.counts),
             "n_known": pa.array(known), "base_score": pa.array(base),
-            "scores": pa.array(list(np.stack(scores, axis=1)), listed), "left_out": pa.array(list(left_out), listed)})
+            "scores": pa.array(list(scores), listed), "left_out": pa.array(list(left_out), listed)})
     return score
 
 
+def left_out_of(stream: Stream, count: np.ndarray, learned: np.ndarray, order: int, norm: float, less: int = 1) -> np.ndarray:
+    """Per document and strength the log10 probability of training tokens, each left out of the counts once."""
+    n = len(stream.tokens)
+    levels = [count[k * n:(k + 1) * n] for k in range(order)]
+    own = np.repeat(learned, stream.counts)
+    out = np.zeros((len(learned), len(STRENGTHS)))
+    for i, strength in enumerate(STRENGTHS):
+        p = (levels[0][own] - less + 0.1) / norm
+        for k in range(1, order):
+            history = np.empty(n, np.int64)
+            history[1:] = levels[k - 1][:-1]
+            history[stream.first] = count[order * n:]
+            long = (levels[k][own] - less + strength * p) / (history[own] - less + strength)
+            p = long if k == 1 else np.where(stream.place[own] >= k - 1, long, p)
+        each = np.zeros(n)
+        each[own] = np.log10(p)
+        out[:, i] = np.add.reduceat(each, stream.first)
+    return out
+
+
 def score(docs: DataFrame, order: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score.
 
