@@ -1,6 +1,9 @@
 from __future__ import annotations
 
 import codecs
+import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -139,3 +142,20 @@ def test_shared_folder_comes_from_the_session(spark):
 def test_schema_table_keeps_order(spark):
     assert [tuple(r) for r in tables.schema_table(stage_rows(spark, ("1", "2019"))).collect()][:2] == [
         (1, "trip_id", "string"), (2, "trip_duration", "string")]
+
+
+def test_a_local_warehouse_is_refused_on_a_cluster(spark):
+    assert tw_session.needs_shared_folder("spark://host:7077", "file") and tw_session.needs_shared_folder("yarn", "file")
+    assert tw_session.needs_shared_folder("local-cluster[2,1,1024]", "file")
+    assert not tw_session.needs_shared_folder("local[4]", "file") and not tw_session.needs_shared_folder("yarn", "s3a")
+    assert not tw_session.needs_shared_folder("local", "file") and tw_session.work_dir(spark)
+
+
+def test_entry_survives_a_missing_package(tmp_path):
+    (tmp_path / "public_tokenizers.py").write_text("raise ImportError('no vocabulary files')\n")
+    found = subprocess.run(
+        [sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), 'op5_token_counts' in e.queries())"],
+        cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))), capture_output=True, text=True, timeout=120,
+        env={**os.environ, "PYTHONPATH": str(tmp_path)})
+    count, has = found.stdout.split()
+    assert int(count) > 100 and has == "False"

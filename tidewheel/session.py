@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,10 +25,22 @@ def session(app: str = "tidewheel", **conf: str) -> SparkSession:
 def work_dir(spark: SparkSession) -> str:
     """The shared folder for intermediate tables: `spark.checkpoint.dir`, else a folder in the warehouse.
 
-    The warehouse is shared by all machines of a cluster; a machine's own temporary folder would not be.
+    On a cluster, a warehouse on a machine's own disk is refused: what executors write there, others cannot read.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_working").rstrip("/")
+    if configured:
+        return configured.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(warehouse)
+    scheme = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getUri().getScheme()
+    if needs_shared_folder(spark.sparkContext.master, scheme):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share; {warehouse} is a local one")
+    return f"{warehouse}/_working"
+
+
+def needs_shared_folder(master: str, scheme: str) -> bool:
+    """Whether intermediate tables on a file system of this scheme would be out of reach of some executors."""
+    return scheme == "file" and not re.fullmatch(r"local(\[.*\])?", master)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
