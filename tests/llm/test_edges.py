@@ -221,6 +221,15 @@ def test_pages(spark):
     assert url_filter.judge(pages, URL_RULES).count() == len(rows)
 
 
+def test_rules_of_one_length_and_long_hosts(spark):
+    rules = [url_filter.Rule("org", "/abcdefgh", True), url_filter.Rule("example.org", "/", False)]
+    rows = [(1, "http://example.org/abcdefgh"), (2, "http://org/abcdefgh"), (3, f"http://{'a.' * 10_000}example.org/x"),
+            (4, "http://..example.org/"), (5, "http://example.org./")]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    got = {r.page_id: r.rule for r in url_filter.judge(pages, rules).collect()}
+    assert got == {1: "example.org/", 2: "org/abcdefgh", 3: "example.org/", 4: "example.org/", 5: None}
+
+
 VECTORS = [(1, [1.0, 0.0, 0.5]), (2, [1.0, 0.01, 0.5]), (2, [1.0, 0.01, 0.5]), (3, [-1.0, 0.0, 0.5]), (4, None), (5, []),
            (6, [0.0, 0.0, 0.0]), (7, [float("nan"), 1.0, 1.0]), (8, [None, 1.0, 1.0]), (9, [1.0, 0.0]),
            (10, [2.0, 0.0, 1.0]), (None, [1.0, 0.0, 0.5]), (11, [float("inf"), 1.0, 1.0]), (12, [1e-30, 0.0, 5e-31])]

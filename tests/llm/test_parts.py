@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import re
 
 import numpy as np
@@ -308,3 +309,35 @@ def test_automaton_gives_the_interpolated_probabilities(order, monkeypatch):
     got = lm_scoring.Automaton(stream, values, back, totals, order, 500.0).scores(stream)
     plain = lm_scoring.left_out_of(stream, totals[back], np.ones(63, bool), order, 500.0, less=0)
     assert np.allclose(got, plain, rtol=1e-10) and (got < 0).all()
+
+
+def test_needed_windows_hold_a_rare_common_hash_of_every_similar_pair_of_runs():
+    """Any two runs that agree in MIN_HASHES functions meet in a hash that both need."""
+    rng = np.random.default_rng(21)
+    least, pool = 12, rng.integers(0, 1 << 60, 300).astype(np.uint64)
+    docs = [np.concatenate([pool[a:a + n] for a, n in zip(rng.integers(0, 280, 4), rng.integers(3, 25, 4))]) for _ in range(25)]
+    rows, runs = [], {}
+    for d, grams in enumerate(docs):
+        for k in range(passages.HASHES):
+            h = (text.mix(grams ^ passages._SEED[k]) & ~np.uint64(7)) | np.uint64(k)
+            at, back, ahead = passages.windows_of(h, np.array([0, len(h)]), least)
+            rows += [(d, int(v), p) for v, p in zip(h[at], passages._packed(at, back, ahead).tolist())]
+            for s in range(len(h) - least + 1):
+                runs.setdefault((d, s), []).append(int(h[s:s + least].min()))
+    holders = {}
+    for d, v, _ in rows:
+        holders.setdefault(v, set()).add(d)
+    shared = [r for r in rows if len(holders[r[1]]) > 1]
+    some = passages.needed(*(np.array([r[i] for r in shared], t) for i, t in ((0, np.int64), (1, np.uint64), (2, np.int64))),
+                           np.array([len(holders[r[1]]) for r in shared]), least)
+    kept = {}
+    for (d, v, _), keep in zip(shared, some):
+        if keep:
+            kept.setdefault(d, set()).add(v)
+    assert 0 < some.sum() < len(shared)
+    met = 0
+    for ((d, _), x), ((e, _), y) in itertools.combinations(runs.items(), 2):
+        if d != e and sum(a == b for a, b in zip(x, y)) >= passages.MIN_HASHES:
+            met += 1
+            assert kept[d] & kept[e] & set(x) & set(y)
+    assert met > 100

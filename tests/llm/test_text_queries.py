@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -15,6 +17,7 @@ from tokenizers import Tokenizer
 import __spark_entry__ as entry
 import corpus_pipeline
 from compare import difference, duck
+from tidewheel.llm import language
 
 FOLDER = "/root/testdata/sf0.001"
 NAMES = ["op1_language_id", "op2_temperature_mixing", "op3_compact_windows", "op4_ngram_join", "op5_token_counts",
@@ -59,6 +62,56 @@ def test_language_of_held_out_documents(spark, con):
     assert sum(r.lang_pred == langs[r.doc_id] for r in held) >= 0.95 * len(held)
 
 
+def plain_languages(texts, langs, dimensions=1024):
+    """doc_id -> cosine with every language, from letter vectors made one by one and dictionaries of trigrams."""
+    def symbol(c):
+        return ord(c) % ((1 << 13) - 1) + 1 if c.isalpha() else 0
+
+    def scramble(x):
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            x = (x ^ x >> shift) * factor % 2 ** 64
+        return x ^ x >> 31
+
+    @functools.cache
+    def letter(s):
+        bits = []
+        for column in range(dimensions // 64):
+            word = scramble(scramble(((s + 1) * 0x9E3779B97F4A7C15 + column * 0xD1B54A32D192ED03) % 2 ** 64))
+            bits += [(word >> 8 * byte + 7 - bit) & 1 for byte in range(8) for bit in range(8)]
+        return np.array(bits) * 2 - 1
+
+    @functools.cache
+    def bound(a, b, c):
+        return np.roll(letter(a), 2) * np.roll(letter(b), 1) * letter(c)
+
+    vectors = {}
+    for d, t in texts.items():
+        row = [0, *map(symbol, t.lower()), 0]
+        counts = Counter((row[i - 1], row[i], row[i + 1]) for i in range(1, len(row) - 1) if row[i])
+        vectors[d] = sum((n * bound(*g) for g, n in counts.items()), np.zeros(dimensions))
+    learned = {x: sum(v for d, v in vectors.items() if langs[d] == x and zlib.crc32(str(d).encode()) % 4 != 2)
+               for x in sorted({x for x in langs.values() if x})}
+    return {d: {x: v @ p / max(np.linalg.norm(v) * np.linalg.norm(p), 1e-300) for x, p in learned.items()}
+            for d, v in vectors.items()}
+
+
+def test_language_equals_a_plain_version(spark, con, texts):
+    langs = dict(con.execute("SELECT doc_id, lang FROM documents").fetchall())
+    plain = plain_languages(texts, langs)
+    for r in entry.queries()["op1_language_id"](spark, FOLDER).collect():
+        best = max(plain[r.doc_id].values())
+        assert abs(max(best, 0) - r.score) < 1e-5
+        assert (r.lang_pred == "und") == (not any(c.isalpha() for c in texts[r.doc_id]))
+        assert r.lang_pred == "und" or plain[r.doc_id][r.lang_pred] > best - 1e-5
+
+
+def test_texts_in_unknown_letters_are_rejected(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text", "lang")
+    odd = spark.createDataFrame([(-1, "漢字漢字", None), (-2, "xqzjk wvbxq zzkkq", None), (-3, "Привет, как дела?", None)], docs.schema)
+    kept = {r.doc_id for r in language.keep_identified(docs.unionByName(odd)).select("doc_id").collect()}
+    assert not kept & {-1, -2, -3} and len(kept) > 190
+
+
 def test_every_repeated_run_of_fifty_words_is_found(spark, texts):
     rows = entry.queries()["op3_compact_windows"](spark, FOLDER).collect()
     split = {d: words(t) for d, t in texts.items()}

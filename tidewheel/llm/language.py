@@ -163,7 +163,8 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str =
     """Per row: doc_id, lang_pred and score, the largest cosine, not below 0.
 
     `und` with score 0 where the text is null or has no letter, or where nothing was learned. Of equal cosines the
-    first language by name wins. Whole texts count; repeated rows are predicted alike. Other columns are dropped.
+    first language by name wins. Whole texts count; repeated rows are predicted alike. Other columns are dropped; an
+    empty table has no rows.
     """
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return annotate(narrow, model, "text", "lang_pred", "score").select("doc_id", "lang_pred", "score")
@@ -175,14 +176,18 @@ def identify(docs: DataFrame, dimensions: int = DIMENSIONS) -> DataFrame:
     return predict(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, dimensions: int = DIMENSIONS) -> DataFrame:
-    """`docs`, with all its columns, without the rows whose language is `und`; see `predict`.
+def keep_identified(docs: DataFrame, dimensions: int = DIMENSIONS, deviations: float = 2.0) -> DataFrame:
+    """`docs`, with all its columns, without the rows that resemble no language.
 
-    Where no row has a language to learn from, nothing can be told and every row stays.
+    Unrelated vectors have cosines around 0 with a standard deviation of 1 / sqrt(dimensions). A row stays when its best
+    cosine is above `deviations` of those; so texts that are null or have no letter go, and texts in letters or words
+    that no learned language has. Of one text all rows stay or go, also without an id. Where no row has a language to learn
+    from, nothing can be told and every row stays.
     """
     model = fit(docs.where(~held_out(F.col("doc_id"))), dimensions)
     if not model[0]:
         return docs
     plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     judged = annotate(plain, model, f"c{docs.columns.index('text')}", "lang_pred", "score")
-    return judged.where("lang_pred <> 'und'").drop("lang_pred", "score").toDF(*docs.columns)
+    least = deviations / dimensions ** 0.5
+    return judged.where((F.col("lang_pred") != "und") & (F.col("score") > least)).drop("lang_pred", "score").toDF(*docs.columns)

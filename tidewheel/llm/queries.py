@@ -45,8 +45,8 @@ rules(rule_host, rule_path, verdict) AS (VALUES
   ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
   ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
 fits AS (
-  SELECT n, max_by(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
-         max_by(verdict, length(rule_host || rule_path)) AS verdict
+  SELECT n, max_by(rule_host || rule_path, {'long': length(rule_host || rule_path), 'host': length(rule_host)}) AS rule,
+         max_by(verdict, {'long': length(rule_host || rule_path), 'host': length(rule_host)}) AS verdict
   FROM split JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
   GROUP BY n)
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM split LEFT JOIN fits USING (n)

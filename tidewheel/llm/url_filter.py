@@ -4,7 +4,8 @@ A rule is a host and a path; it fits its host and all subdomains when the URL's
 index file holds the rules' 64-bit xxhash keys in ascending order and the rules' strings; it is written to the shared
 folder, added to the job's files and memory-mapped by each worker. A URL is probed with the digests of all pairs of a
 host suffix and a path prefix of a length that some rule has, by one vectorised binary search per block of URLs; where
-a digest is found, the stored string is compared, so a collision cannot decide. The longest rule that fits wins.
+a digest is found, the stored string is compared, so a collision cannot decide. The longest rule that fits wins, of
+rules of one length that with the longer host. Only suffixes of as many labels as some rule's host has are probed.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ class Rule(NamedTuple):
 
 
 def build_index(rules: Sequence[Rule]) -> bytes:
-    """The index file: counts, sorted digests, end offsets, verdicts, strings, and the lengths of all rule paths.
+    """The index file: counts, sorted digests, end offsets, verdicts, strings, and the rules' path lengths and label counts.
 
     A rule given twice must say the same both times. Rules without a host are refused.
     """
@@ -52,7 +53,8 @@ def build_index(rules: Sequence[Rule]) -> bytes:
     digests = np.array([x[0] for x in ordered], "<u8")
     ends = np.cumsum([len(x[1]) for x in ordered], dtype="<u8")
     allow = np.array([x[2] for x in ordered], np.uint8)
-    lengths = json.dumps(sorted({x[3] for x in ordered})).encode()
+    labels = sorted({len(host.split(".")) for host, _, _ in rules}, reverse=True)
+    lengths = json.dumps([sorted({x[3] for x in ordered}), labels]).encode()
     packed = b"".join([_HEAD.pack(len(ordered), len(lengths)), digests.tobytes(), ends.tobytes(), allow.tobytes(),
                        lengths, *[x[1] for x in ordered]])
     if len(packed) > MAX_INDEX_BYTES:
@@ -70,7 +72,8 @@ class DigestArray:
         self.digests, at = raw[at:at + 8 * n].view("<u8"), at + 8 * n
         self.ends, at = raw[at:at + 8 * n].view("<u8"), at + 8 * n
         self.allow, at = raw[at:at + n], at + n
-        self.path_lengths, at = json.loads(raw[at:at + extra].tobytes()), at + extra
+        self.path_lengths, self.labels = json.loads(raw[at:at + extra].tobytes())
+        at += extra
         self.strings = raw[at:]
 
     def string(self, i: int) -> str:
@@ -100,12 +103,11 @@ def longest_fits(array: DigestArray, hosts: list[str], paths: list[str]) -> list
     tried: list[list[int]] = []
     for host, path in zip(hosts, paths):
         own = []
-        suffix = host
-        while suffix:
-            for n in array.path_lengths:
-                if n <= len(path):
-                    own.append(keys.setdefault(suffix + path[:n], len(keys)))
-            suffix = suffix.partition(".")[2]
+        labels = host.split(".")
+        for count in array.labels:  # the longest host first, which wins among rules of one length
+            if count <= len(labels):
+                suffix = ".".join(labels[len(labels) - count:])
+                own += [keys.setdefault(suffix + path[:n], len(keys)) for n in array.path_lengths if n <= len(path)]
         tried.append(own)
     found = array.find(list(keys)).tolist()
     best = []
@@ -142,8 +144,8 @@ def judge(pages: DataFrame, rules: Sequence[Rule], default: str = "allow", id_co
     """Per row: page_id, host, path, the rule that decided (host and path in one string, or null), and the verdict.
 
     A URL that no rule fits, also one that is null, empty or without `://`, gets `default`. Repeated rows and null ids
-    are judged row by row. Of two rules of one length that fit there is none, as both would be the same string.
-    Columns other than id and URL are dropped.
+    are judged row by row. Of rules of one length that fit, that with the longer host decides. Columns other than id and URL
+    are dropped; an empty table has no rows.
     """
     name = _publish(pages.sparkSession, build_index(rules))
     split = pages.select(F.col(id_col).cast("long").alias("page_id"), url_host(F.col(url_col)).alias("host"),
