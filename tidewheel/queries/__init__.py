@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["stage", "warehouse", "prep", "demand", "evaluation", "forecast", "models"]
+MODULES = ["stage", "warehouse", "prep", "demand", "evaluation", "forecast", "models", "faults"]
 
 
 def load_all() -> None:

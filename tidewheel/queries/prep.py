@@ -133,23 +133,23 @@ def filter_funnel(spark: SparkSession, folder: str) -> DataFrame:
     return profile.funnel(flagged, steps).withColumn("pct", F.round("pct", 4))
 
 
-_CLEANED = """
+CLEANED_SQL = """
     SELECT fact_trip_id AS trip_id, fact_trip_start_station_id AS station_id, fact_trip_start_date_id AS start_date,
         fact_trip_start_hour AS hour, fact_trip_duration AS duration, start_year AS year
     FROM trips WHERE fact_trip_duration BETWEEN 60 AND 86400
         AND fact_trip_start_station_id IN (SELECT station_id FROM pool)"""
 
 
-def _write_cleaned(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+def write_cleaned(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     kept = pool.cleaned_trips(ordered_trips(spark, folder), year_pool(spark, folder))
     path = scratch_path(spark, "cleaned")
     tables.write_partitioned(kept, path, ["year"])
     return kept, tables.read_table(spark, path)
 
 
-@query("cleaned_trips", with_ctes(_CLEANED, "trips", "pool"))
+@query("cleaned_trips", with_ctes(CLEANED_SQL, "trips", "pool"))
 def cleaned_trips(spark: SparkSession, folder: str) -> DataFrame:
-    return _write_cleaned(spark, folder)[1].select("trip_id", "station_id", "start_date", "hour", "duration", "year")
+    return write_cleaned(spark, folder)[1].select("trip_id", "station_id", "start_date", "hour", "duration", "year")
 
 
 @query("readback_reconcile", with_ctes(f"""
@@ -157,9 +157,9 @@ def cleaned_trips(spark: SparkSession, folder: str) -> DataFrame:
         count(DISTINCT station_id) AS written_stations, count(DISTINCT station_id) AS read_stations,
         min(start_date) AS written_from_date, min(start_date) AS read_from_date,
         max(start_date) AS written_to_date, max(start_date) AS read_to_date, 'ok' AS status
-    FROM ({_CLEANED}) GROUP BY year""", "trips", "pool"))
+    FROM ({CLEANED_SQL}) GROUP BY year""", "trips", "pool"))
 def readback_reconcile(spark: SparkSession, folder: str) -> DataFrame:
-    written, found = _write_cleaned(spark, folder)
+    written, found = write_cleaned(spark, folder)
     return exports.reconcile_groups(written, found, ["year"], {
         "row_count": F.count("*"), "stations": F.count_distinct("station_id"),
         "from_date": F.min("start_date"), "to_date": F.max("start_date")})

@@ -75,9 +75,7 @@ def schema_align(spark: SparkSession, folder: str) -> DataFrame:
     SELECT source_year, count(*) AS raw_lines, count(*) AS staged_rows, 'ok' AS status FROM raw GROUP BY 1""", "raw"))
 def raw_line_reconcile(spark: SparkSession, folder: str) -> DataFrame:
     folders = csv_folders(spark, folder)
-    staged = csvs.read_years(spark, folders).groupBy("source_year").agg(F.count("*").alias("staged_rows"))
-    return (csvs.raw_line_counts(spark, folders).join(staged, "source_year", "left")
-            .withColumn("status", F.when(F.col("raw_lines") == F.col("staged_rows"), "ok").otherwise("FAIL")))
+    return csvs.reconcile_lines(csvs.raw_line_counts(spark, folders), csvs.read_years(spark, folders))
 
 
 def _stage_table(spark: SparkSession, stage: DataFrame) -> tuple[str, str]:

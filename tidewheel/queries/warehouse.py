@@ -163,21 +163,21 @@ def star_schema(spark: SparkSession, folder: str) -> DataFrame:
         "table_name", F.replace("table_name", F.lit(prefix), F.lit("")))
 
 
-_ROWS = " UNION ALL ".join(
+ROWS_SQL = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS row_count, {len(ddl.split(', '))} AS column_count, "
     f"'{','.join(STAR_PARTITIONS.get(t, []))}' AS partitioned_by FROM {'fact' if t == 'fact_trip' else t}"
     for t, ddl in STAR_COLUMNS.items())
-_ALL = ("fact", "dim_date", "dim_station", "dim_bike", "dim_user_type")
+ALL_TABLES = ("fact", "dim_date", "dim_station", "dim_bike", "dim_user_type")
 
 
-@query("export_manifest", with_ctes(_ROWS, *_ALL))
+@query("export_manifest", with_ctes(ROWS_SQL, *ALL_TABLES))
 def export_manifest(spark: SparkSession, folder: str) -> DataFrame:
     recorded = exports.export_tables(star_tables(spark, folder), scratch_path(spark, "export"))
     return recorded.drop("exported_at", "spark_version")
 
 
 @query("manifest_reconcile", with_ctes(
-    f"SELECT table_name, row_count, row_count AS found_rows, 'ok' AS status FROM ({_ROWS})", *_ALL))
+    f"SELECT table_name, row_count, row_count AS found_rows, 'ok' AS status FROM ({ROWS_SQL})", *ALL_TABLES))
 def manifest_reconcile(spark: SparkSession, folder: str) -> DataFrame:
     """Export, read back from the files alone, and compare with the manifest."""
     path = scratch_path(spark, "export")

@@ -81,3 +81,10 @@ def raw_line_counts(spark: SparkSession, folders: dict[str, str]) -> DataFrame:
                 for year, path in sorted(folders.items())]
     return (reduce(DataFrame.unionByName, per_file)
             .groupBy("source_year").agg(F.sum("n").alias("raw_lines")))
+
+
+def reconcile_lines(raw: DataFrame, staged: DataFrame) -> DataFrame:
+    """Data lines against staged rows per source year; a year without any staged row has null."""
+    counts = staged.groupBy("source_year").agg(F.count("*").alias("staged_rows"))
+    same = F.col("raw_lines").eqNullSafe(F.col("staged_rows"))
+    return raw.join(counts, "source_year", "left").withColumn("status", F.when(same, "ok").otherwise("FAIL"))
