@@ -87,7 +87,7 @@ def test_one_partition_can_become_empty(spark, tmp_path):
 
 def test_swap_reads_its_own_table_and_drops_emptied_partitions(spark, tmp_path):
     location = f"{tmp_path}/stage"
-    tables.create_table(spark, "swap_me", STAGE_SCHEMA, location, STAGE_PARTITIONS)
+    tables.create_versioned(spark, "swap_me", STAGE_SCHEMA, location, STAGE_PARTITIONS)
     assert spark.table("swap_me").count() == 0
     tables.write_partitioned(stage_rows(spark, ("1", "2019"), ("2", "2020")), location, STAGE_PARTITIONS, dynamic=True)
     tables.register_partitions(spark, "swap_me")
@@ -99,6 +99,37 @@ def test_swap_reads_its_own_table_and_drops_emptied_partitions(spark, tmp_path):
     assert spark.read.parquet(again).count() == 1
 
 
+def test_a_swap_that_stops_anywhere_leaves_the_old_table_or_the_new_one(spark, tmp_path, monkeypatch):
+    real, done, seen = type(spark).sql, False, set()
+    for stop in range(1, 40):
+        location = f"{tmp_path}/{stop}"
+        tables.create_versioned(spark, "stops", STAGE_SCHEMA, location, STAGE_PARTITIONS)
+        tables.write_partitioned(stage_rows(spark, ("1", "2019"), ("2", "2020")), location, STAGE_PARTITIONS, dynamic=True)
+        tables.register_partitions(spark, "stops")
+        left = [stop]
+
+        def limited(self, *args, **more):
+            left[0] -= 1
+            if not left[0]:
+                raise RuntimeError("killed")
+            return real(self, *args, **more)
+
+        with monkeypatch.context() as patch:
+            patch.setattr(type(spark), "sql", limited)
+            try:
+                tables.swap_table(spark.table("stops").where("trip_id = '1'"), "stops", STAGE_PARTITIONS, root=location)
+                done = True
+            except RuntimeError:
+                pass
+        ids = tuple(sorted(r.trip_id for r in spark.table("stops").collect()))
+        assert ids == ("1",) if done else ids in (("1", "2"), ("1",))
+        seen.add(ids)
+        if done:
+            break
+    assert done and stop > 5 and seen == {("1", "2"), ("1",)}
+    assert len(spark.sql("SHOW TABLES LIKE 'stops__*'").collect()) == 1
+
+
 def test_export_manifest_reconciles_and_notices_loss(spark, tmp_path):
     dim = spark.createDataFrame([(1, "a"), (2, "b")], "dim_station_id int, dim_station_name string")
     fact = spark.createDataFrame([(1, 2019, 1), (2, 2019, 2)], "fact_trip_id int, start_year int, start_month int")

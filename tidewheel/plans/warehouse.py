@@ -29,12 +29,10 @@ def require_ok(report: DataFrame, what: str) -> DataFrame:
 def load_stage(spark: SparkSession, folders: dict[str, str], root: str) -> DataFrame:
     """Load the given years, replacing only their partitions, and prove the line counts."""
     location = f"{root}/{STAGE}"
-    tables.create_table(spark, STAGE, STAGE_SCHEMA, location, STAGE_PARTITIONS)
+    tables.create_versioned(spark, STAGE, STAGE_SCHEMA, location, STAGE_PARTITIONS)
     tables.write_partitioned(csvs.read_years(spark, folders), location, STAGE_PARTITIONS, dynamic=True)
     tables.register_partitions(spark, STAGE)
-    staged = spark.table(STAGE).groupBy("source_year").agg(F.count("*").alias("staged_rows"))
-    return csvs.raw_line_counts(spark, folders).join(staged, "source_year", "left").withColumn(
-        "status", F.when(F.col("raw_lines") == F.col("staged_rows"), "ok").otherwise("FAIL"))
+    return csvs.reconcile_lines(csvs.raw_line_counts(spark, folders), spark.table(STAGE))
 
 
 def clean_stage(spark: SparkSession, root: str) -> DataFrame:

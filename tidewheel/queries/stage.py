@@ -81,7 +81,7 @@ def raw_line_reconcile(spark: SparkSession, folder: str) -> DataFrame:
 def _stage_table(spark: SparkSession, stage: DataFrame) -> tuple[str, str]:
     location = scratch_path(spark, "stage_trips")
     name = location.rsplit("/", 1)[1].replace("-", "_")
-    tables.create_table(spark, name, STAGE_SCHEMA, location, STAGE_PARTITIONS)
+    tables.create_versioned(spark, name, STAGE_SCHEMA, location, STAGE_PARTITIONS)
     tables.write_partitioned(stage, location, STAGE_PARTITIONS, dynamic=True)
     tables.register_partitions(spark, name)
     return name, location

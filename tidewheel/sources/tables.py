@@ -23,9 +23,54 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType, location:
     spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {by} LOCATION '{location}'")
 
 
+_VERSION = "tidewheel.table"  # the property of a view that names the table behind it
+
+
+def create_versioned(spark: SparkSession, name: str, schema: T.StructType, location: str,
+                     partitions: list[str] | tuple = ()) -> None:
+    """Register a table that `swap_table` can replace: a view over its present version, which is an external table."""
+    if spark.catalog.tableExists(name):
+        kind = "VIEW" if spark.catalog.getTable(name).tableType == "VIEW" else "TABLE"
+        spark.sql(f"DROP {kind} {name}")
+    version = _new_version(name)
+    create_table(spark, version, schema, location, partitions)
+    _point(spark, name, version)
+    _drop_others(spark, name)
+
+
+def _new_version(name: str) -> str:
+    return f"{name}__{uuid.uuid4().hex}"
+
+
+def _point(spark: SparkSession, name: str, version: str) -> None:
+    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{_VERSION}' = '{version}') AS SELECT * FROM {version}")
+
+
+def version_of(spark: SparkSession, name: str) -> str:
+    """The table behind a versioned one; the name itself for any other."""
+    if spark.catalog.getTable(name).tableType != "VIEW":
+        return name
+    return spark.sql(f"SHOW TBLPROPERTIES {name} ('{_VERSION}')").first()["value"]
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    return spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = 'Location'").first()["data_type"]
+
+
+def _drop_others(spark: SparkSession, name: str, folders: bool = False) -> None:
+    """Drop the versions that the view does not point to, with `folders` their files too."""
+    present = version_of(spark, name)
+    for row in spark.sql(f"SHOW TABLES LIKE '{name}__*'").collect():
+        if row.tableName != present:
+            folder = _location(spark, row.tableName)
+            spark.sql(f"DROP TABLE {row.tableName}")
+            if folders:
+                remove_folder(spark, folder)
+
+
 def register_partitions(spark: SparkSession, name: str) -> None:
     """Make directories written below a table visible to the catalog."""
-    spark.sql(f"MSCK REPAIR TABLE {name}")
+    spark.sql(f"MSCK REPAIR TABLE {version_of(spark, name)}")
 
 
 def create_star(spark: SparkSession, location: str, prefix: str = "") -> list[str]:
@@ -63,27 +108,27 @@ def write_small(df: DataFrame, path: str) -> None:
 
 
 def swap_table(df: DataFrame, name: str, partitions: list[str] | tuple = (), root: str | None = None) -> str:
-    """Replace a table by a frame that may read the same table.
+    """Replace a versioned table by a frame that may read the same table.
 
-    The rows go to a fresh folder, the catalog entry is pointed there once they are all written, and the folder that it
-    pointed to before is removed last. So the table exists at every moment, no input file is touched before the write is
-    complete, and partitions that lost all their rows do not survive. Returns the new location.
+    The rows become a new version in a fresh folder, with all its partitions. Then one statement points the view there, so
+    that readers see the old table or the new one and nothing in between, wherever the job stops. Versions that nothing
+    points to are dropped last, with their files. Returns the new location.
     """
     spark = df.sparkSession
+    if version_of(spark, name) == name:
+        raise ValueError(f"{name} is no versioned table")
     fresh = f"{root}-{uuid.uuid4().hex}" if root else scratch_path(spark, name)
-    before = spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]
+    version = _new_version(name)
     if partitions:
         write_partitioned(df, fresh, list(partitions))
-        for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
-            spec = ", ".join("{}='{}'".format(*pair.split("=", 1)) for pair in row.partition.split("/"))
-            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
     else:
         write_small(df, fresh)
-    spark.sql(f"ALTER TABLE {name} SET LOCATION '{fresh}'")
+    create_table(spark, version, df.select(*[c for c in df.columns if c not in partitions], *partitions).schema, fresh,
+                 partitions)
     if partitions:
-        register_partitions(spark, name)
-    spark.sql(f"REFRESH TABLE {name}")
-    remove_folder(spark, before)
+        register_partitions(spark, version)
+    _point(spark, name, version)
+    _drop_others(spark, name, folders=True)
     return fresh
 
 
