@@ -7,15 +7,19 @@ of words inside a window that hold the node share the min-hash, so only nodes wh
 matter, about two in `least` n-grams. Near-duplicate passages share the node's hash with a chance of their similarity
 per function, equal ones under every function.
 
-Documents whose windows meet in a hash are joined with anchors of the hash: first the document of the smallest id, in every
-later round up to four times as many documents, dealt out by salt. What is joined are documents and hashes, not places. The
-functions in which a pair has met are kept from round to round, and a pair of which MIN_HASHES functions or more have met is
-verified, once and whole: its equal stretches of n-grams are chained along both documents, and every part of a chain that
+Two runs are near duplicates when MIN_HASHES of their min-hashes agree or more. So a run of which fewer are shared with any
+other document is out, and of the others only the rarest need to meet: with K functions, two runs that agree in m of them
+agree in one of the K - m + 1 rarest of both. Windows that are among those for no run are left out; a frequent line alone brings
+no documents together.
+Documents whose windows meet in a hash are joined with anchors of the hash: in the first rounds the document of the smallest
+id that is left, then up to twice as many documents a round, dealt out by salt. What is joined are documents and hashes, not places. A
+pair that meets is verified, once and whole: its equal stretches of n-grams are chained along both documents, and every part of a chain that
 is long enough and whose sets of n-grams are similar enough is a passage. A passage begins and ends with n-grams that
 the other document has too. All n-grams are compared by 64-bit hashes.
-An anchor has met all windows of its hash and leaves. A window is known when every passage it stands for lies inside a
-found one; known windows become no anchors and are not met as the later ones. The rounds end when no hash has a window
-left that is not known and has an earlier document to meet.
+An anchor has met all windows of its hash and leaves. A window is known when its own n-gram, the smallest, lies in a found
+passage of its document; known windows become no anchors and are not met as the later ones, or the documents of a
+frequent passage would all meet in it. What goes on beyond a found passage is met by the windows beyond. The rounds end
+when no hash has a window left that is not known and has an earlier document to meet.
 
 Documents with the same words are one class, of which the first stands for all.
 """
@@ -34,8 +38,10 @@ from pyspark.sql import functions as F
 from tidewheel.llm.text import SHINGLE, blocks, joined, mix, segment_sum, shingles, words
 from tidewheel.session import materialize
 
-HASHES = 4
-MIN_HASHES = 2
+HASHES = 6
+MIN_HASHES = 4
+SINGLE = 3  # rounds with one anchor per hash; most windows are known after those
+FREQUENT = 1 << 30  # stands for the count of a hash that is dealt out
 HOT = 8  # windows of a task that share a hash; from then on they are dealt out by document
 SALTS = 64
 BROADCAST_IDS = 500_000  # ids, or ends of spans, of 16 bytes each
@@ -128,7 +134,7 @@ def _survey(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _windows(docs: DataFrame, size: int, least: int) -> DataFrame:
-    """(v, fp, c, back, ahead): the nodes that windows of other documents may share, and how far their windows go.
+    """(v, fp, c): the nodes that have to meet windows of other documents.
 
     v holds the function's number. Of equal windows of a document only the first has a row."""
     def cut(batches):
@@ -159,7 +165,7 @@ def _windows(docs: DataFrame, size: int, least: int) -> DataFrame:
             v, at, back, ahead = (np.concatenate(x) for x in (values, nodes, backs, aheads))
             once = ~repeats_before(v, grams, at, back, ahead, doc[at])
             v, at, back, ahead = v[once], at[once], back[once], ahead[once]
-            c, fp = at - first[doc[at]], own[doc[at]]
+            place, fp = _packed(at - first[doc[at]], back, ahead), own[doc[at]]
             kinds, which, often = np.unique(v, return_inverse=True, return_counts=True)
             cell = ((kinds >> _U(8)) % _U(SKETCH)).astype(np.int64)
             np.add.at(counted, cell, often)
@@ -169,17 +175,69 @@ def _windows(docs: DataFrame, size: int, least: int) -> DataFrame:
             mark = np.zeros(len(hot), np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate([v, hot]).view(np.int64)), pa.array(np.concatenate([fp, mark])),
-                 pa.array(np.concatenate([c, mark - 1]).astype(np.int32)),
-                 pa.array(np.concatenate([back, mark]).astype(np.int32)),
-                 pa.array(np.concatenate([ahead, mark]).astype(np.int32)),
-                 pa.array(np.concatenate([salt, mark - 1]).astype(np.int32))],
-                ["v", "fp", "c", "back", "ahead", "salt"])
+                 pa.array(np.concatenate([place, mark - 1])), pa.array(np.concatenate([salt, mark - 1]).astype(np.int32))],
+                ["v", "fp", "place", "salt"])
 
-    rows = docs.mapInArrow(cut, "v long, fp long, c int, back int, ahead int, salt int")
+    rows = docs.mapInArrow(cut, "v long, fp long, place long, salt int")
     here = W.partitionBy("v", "salt")
-    met = rows.withColumns({"least": F.min("fp").over(here), "most": F.max("fp").over(here)})
-    return materialize(met.where("(least < most or salt >= 0) and c >= 0").select("v", "fp", "c", "back", "ahead"),
-                       "windows")
+    met = rows.withColumns({"least": F.min("fp").over(here), "most": F.max("fp").over(here),
+                            "mark": F.min("place").over(here), "n": F.count("*").over(here)})
+    often = F.when((F.col("salt") >= 0) | (F.col("mark") < 0), FREQUENT).otherwise(F.col("n"))  # alike for all documents
+    met = met.where("(least < most or salt >= 0) and place >= 0").select("v", "fp", "place", often.cast("long").alias("n"))
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = met.repartition(n, "fp").sortWithinPartitions("fp")
+    return materialize(dealt.mapInArrow(_rarest(least - size + 1), "v long, fp long, c int"), "rarest")
+
+
+def _packed(c: np.ndarray, back: np.ndarray, ahead: np.ndarray) -> np.ndarray:
+    """A window's place and its two reaches, which are below 2^12, as one number."""
+    return (c.astype(np.int64) << 24) | (back << 12) | ahead
+
+
+def needed(fp: np.ndarray, v: np.ndarray, place: np.ndarray, often: np.ndarray, least: int) -> np.ndarray:
+    """Which shared windows are, for some run of `least` n-grams, among the rarest that have to meet."""
+    c, back, ahead = place >> 24, place >> 12 & 0xFFF, place & 0xFFF
+    first, last = np.maximum(c - back, c - least + 1), np.minimum(c, c + ahead - least + 1)
+    n = np.maximum(last - first + 1, 0)
+    row = np.repeat(np.arange(len(v)), n)
+    run = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    rare = np.empty(len(v), np.int64)
+    rare[np.lexsort((v, often))] = np.arange(len(v))
+    document = np.unique(fp, return_inverse=True)[1]
+    begin = np.zeros(document.max(initial=-1) + 2, np.int64)
+    np.maximum.at(begin[1:], document, last + 2)  # documents one after another, with room for all their runs
+    at = np.cumsum(begin)[document][row] + run + 1
+    order = np.lexsort((rare[row], at))
+    at = at[order]
+    new = np.flatnonzero(np.append(True, np.diff(at) > 0)) if len(at) else np.empty(0, np.int64)
+    shared = np.diff(np.append(new, len(at)))
+    rank = np.arange(len(at)) - np.repeat(new, shared)
+    out = np.zeros(len(v), bool)
+    out[row[order[rank <= np.repeat(shared, shared) - MIN_HASHES]]] = True
+    return out
+
+
+def _rarest(least: int):
+    """Rows that come by document, cut down to the windows that are needed."""
+    def cut(batches):
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if held is None else pa.concat_tables([held, table])
+            fp = table.column("fp").to_numpy()
+            whole = int(np.flatnonzero(fp != fp[-1])[-1]) + 1 if len(fp) and fp[0] != fp[-1] else 0
+            held = table.slice(whole)
+            if whole:
+                yield of(table.slice(0, whole))
+        if held is not None and held.num_rows:
+            yield of(held)
+
+    def of(table):
+        v, fp, place, often = (table.column(c).to_numpy() for c in ("v", "fp", "place", "n"))
+        some = needed(fp, v, place, often, least)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(v[some]), pa.array(fp[some]), pa.array((place[some] >> 24).astype(np.int32))], ["v", "fp", "c"])
+    return cut
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -340,18 +398,21 @@ def aligned(a: np.ndarray, b: np.ndarray, least: int, percent: int) -> list[tupl
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, size: int, least: int, percent: int) -> DataFrame:
-    """(a, b, start and end words in both, similarity) of the near-duplicate passages of pairs of classes."""
+    """(a, b, start and end words in both, similarity) of the near-duplicate passages of pairs of classes.
+
+    The shorter text of a pair travels with it to the longer one.
+    """
     names = ["a", "b", "a_start", "a_end", "b_start", "b_end", "similarity"]
 
     def check(batches):
         for whole in batches:
             for at in range(0, whole.num_rows, PAIRS):
                 batch = whole.slice(at, PAIRS)
-                ids = {c: batch.column(c).to_pylist() for c in ("a", "b")}
+                ids = {c: batch.column(c).to_pylist() for c in ("a", "b", "x", "y")}
                 place: dict[int, int] = {}
-                for row, fp in enumerate(ids["a"] + ids["b"]):
+                for row, fp in enumerate(ids["x"] + ids["y"]):
                     place.setdefault(fp, row)
-                both = pa.concat_arrays([batch.column("text_a"), batch.column("text_b")])
+                both = pa.concat_arrays([batch.column("text_x"), batch.column("text_y")])
                 grams, first = shingles(words(both.take(pa.array(list(place.values())))), size)
                 own = {fp: grams[first[d]:first[d + 1]] for d, fp in enumerate(place)}
                 rows = [(x, y, p, q + size - 1, s, t + size - 1, similar) for x, y in zip(ids["a"], ids["b"])
@@ -360,35 +421,35 @@ def _verify(pairs: DataFrame, texts: DataFrame, size: int, least: int, percent:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, pa.int64()) for c in columns[:-1]] + [pa.array(columns[-1], pa.float64())], names)
 
-    both = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
+    shorter = F.col("na") <= F.col("nb")
+    sided = pairs.select("a", "b", F.when(shorter, F.col("a")).otherwise(F.col("b")).alias("x"),
+                         F.when(shorter, F.col("b")).otherwise(F.col("a")).alias("y"))
+    both = sided.join(texts.toDF("x", "text_x"), "x").join(texts.toDF("y", "text_y"), "y")
     schema = "a long, b long, a_start long, a_end long, b_start long, b_end long, similarity double"
-    return materialize(both.select("a", "b", "text_a", "text_b").mapInArrow(check, schema), "verified")
+    return materialize(both.select("a", "b", "x", "y", "text_x", "text_y").mapInArrow(check, schema), "verified")
 
 
-def _met(met: DataFrame, anchors: DataFrame, first: bool) -> DataFrame:
-    """(a, b, functions): in which functions the anchors' documents meet others of their hashes, the earlier class as a.
+def _pair(earlier: str, later: str) -> list:
+    return [F.col(f"{earlier}.fp").alias("a"), F.col(f"{later}.fp").alias("b"), F.col(f"{earlier}.n").alias("na"),
+            F.col(f"{later}.n").alias("nb")]
 
-    `met` has a row per hash and document. `first` says that no class of a hash is earlier than its anchor.
-    """
-    bit = F.call_function("shiftleft", F.lit(1), F.pmod("v", F.lit(8)).cast("int")).alias("functions")
-    later = met.where("not known").join(anchors, "v").where("anchor < w").select(
-        F.col("anchor.fp").alias("a"), F.col("w.fp").alias("b"), bit)
-    if not first:
-        later = later.unionByName(met.join(anchors, "v").where("w < anchor").select(
-            F.col("w.fp").alias("a"), F.col("anchor.fp").alias("b"), bit))
-    return later.groupBy("a", "b").agg(F.bit_or("functions").alias("functions"))
+
+def _met(rows: DataFrame, anchors: DataFrame) -> DataFrame:
+    """(a, b, na, nb): the anchors' documents with others of their hashes, the earlier class as a."""
+    met = materialize(rows.groupBy("v", "w").agg(F.bool_and("known").alias("known")), "met")
+    later = met.where("not known").join(anchors, "v").where("anchor < w").select(*_pair("anchor", "w"))
+    return later.unionByName(met.join(anchors, "v").where("w < anchor").select(*_pair("w", "anchor"))).distinct()
 
 
 def _marked(rows: DataFrame, spans: DataFrame, size: int) -> DataFrame:
-    """`rows`, marked as known where every passage that a window stands for lies in a found one of its document."""
+    """`rows`, marked as known where the window's own n-gram lies in a found passage of its document."""
     known = spans.groupBy(F.col("b").alias("s_fp")).agg(F.collect_set(F.struct("b_start", "b_end")).alias("spans"))
     known = materialize(known, "known")
     weight = known.agg(F.coalesce(F.sum(F.size("spans") + 1), F.lit(0))).first()[0]
     side = F.broadcast(known) if weight <= BROADCAST_IDS else known
-    inside = F.exists("spans", lambda s: (F.col("c") - F.col("back") >= s["b_start"]) & (
-        F.col("c") + F.col("ahead") + F.lit(size) <= s["b_end"]))
+    inside = F.exists("spans", lambda s: (F.col("c") >= s["b_start"]) & (F.col("c") + F.lit(size) <= s["b_end"]))
     return rows.join(side, F.col("w.fp") == F.col("s_fp"), "left").select(
-        "v", "w", "c", "back", "ahead", (F.col("known") | F.coalesce(inside, F.lit(False))).alias("known"))
+        "v", "w", "c", (F.col("known") | F.coalesce(inside, F.lit(False))).alias("known"))
 
 
 def repeated(docs: DataFrame, least: int = 50, size: int = SHINGLE, percent: int = 80, id_col: str = "doc_id",
@@ -404,35 +465,33 @@ def repeated(docs: DataFrame, least: int = 50, size: int = SHINGLE, percent: int
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     survey = _survey(narrow, size)
     head = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")).alias("head")
-    classes = survey.where(F.col("n_words") >= least).groupBy("fp").agg(head, F.count("*").alias("copies"))
-    classes = materialize(classes.select("fp", "copies", F.col("head.doc_id").alias("first"),
+    classes = survey.where(F.col("n_words") >= least).groupBy("fp").agg(
+        head, F.count("*").alias("copies"), F.max("n_words").cast("int").alias("n"))
+    classes = materialize(classes.select("fp", "copies", "n", F.col("head.doc_id").alias("first"),
                                          F.col("head.text_hash").alias("first_hash")), "classes")
     windows = _windows(narrow, size, least)
     repeats = not survey.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty()
-    rows = windows.join(_small(classes.select("fp", "first")), "fp").select(
-        "v", F.struct(F.col("first").isNull().alias("nameless"), "first", "fp").alias("w"), "c", "back", "ahead",
+    rows = windows.join(_small(classes.select("fp", "first", "n")), "fp").select(
+        "v", F.struct(F.col("first").isNull().alias("nameless"), "first", "fp", "n").alias("w"), "c",
         F.lit(False).alias("known"))
     rows = materialize(rows, "open")
-    found, hits, checked, salts = [], None, None, 1
+    found, checked, turn = [], None, 0
     while True:
-        todo = rows.groupBy("v").agg(F.min("w").alias("low"), F.max(F.when(~F.col("known"), F.col("w"))).alias("high"))
-        rows = materialize(rows.join(todo.where("low < high").select("v"), "v", "left_semi"), "open")
+        salts = 1 << max(0, turn + 1 - SINGLE)
+        if turn:
+            todo = rows.groupBy("v").agg(F.min("w").alias("low"), F.max(F.when(~F.col("known"), F.col("w"))).alias("high"))
+            rows = materialize(rows.join(todo.where("low < high").select("v"), "v", "left_semi"), "open")
         if rows.isEmpty():
             break
-        met = materialize(rows.groupBy("v", "w").agg(F.bool_and("known").alias("known")), "met")
-        salt = F.pmod(F.xxhash64("w.fp", F.lit(salts)), F.lit(salts))
-        anchors = materialize(met.where(~F.col("known")).groupBy("v", salt.alias("salt")).agg(
-            F.min("w").alias("anchor")).select("v", "anchor"), "anchors")
-        new = materialize(_met(met, anchors, salts == 1), "hits")
-        pairs = new if hits is None else new.unionByName(hits.join(_small(new.select("a", "b")), ["a", "b"], "left_semi"))
-        pairs = pairs.groupBy("a", "b").agg(F.bit_or("functions").alias("functions"))
-        pairs = pairs.where(F.bit_count("functions") >= MIN_HASHES).select("a", "b")
+        salted = rows.withColumn("salt", F.pmod(F.xxhash64("w.fp", F.lit(salts)), F.lit(salts)))
+        anchors = materialize(salted.where(~F.col("known")).groupBy("v", "salt").agg(F.min("w").alias("anchor")), "anchors")
+        own = materialize(salted.join(anchors, ["v", "salt"], "left"), "own")
+        pairs = _met(rows, anchors.drop("salt")) if salts > 1 else own.where("not known and anchor < w").select(
+            *_pair("anchor", "w")).unionByName(own.where("w < anchor").select(*_pair("w", "anchor"))).distinct()
+        rows = own.where("anchor is null or w <> anchor").drop("salt", "anchor")
         if checked is not None:
-            pairs = pairs.join(checked, ["a", "b"], "left_anti")
+            pairs = pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
-        hits = new if hits is None else hits.unionByName(new)
-        rows = rows.join(anchors.withColumnRenamed("v", "met"), (F.col("v") == F.col("met")) & (
-            F.col("w.fp") == F.col("anchor.fp")), "left_anti")
         if not pairs.isEmpty():
             checked = pairs if checked is None else checked.unionByName(pairs)
             wanted = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
@@ -440,7 +499,7 @@ def repeated(docs: DataFrame, least: int = 50, size: int = SHINGLE, percent: int
             found.append(spans)
             rows = _marked(rows, spans, size)
         rows = materialize(rows, "open")
-        salts *= 4
+        turn += 1
     return _listed(survey, classes, found, least)
 
 
