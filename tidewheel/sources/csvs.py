@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidewheel.contract import OPTIONAL_COLUMNS, RAW_HEADERS, STAGE_COLUMNS
 
 
+_FILLED = r"[^\x00-\x20]"  # what makes a line count
 _AROUND = "﻿ \t\r"  # what may stand around a header: byte order mark, blanks, the end of a CRLF line
 
 
@@ -31,15 +32,21 @@ def align(df: DataFrame, columns: list[str] = STAGE_COLUMNS,
 def _lines(spark: SparkSession, path) -> DataFrame:
     """Lines that are not blank, with their file. Carriage returns stay: only a line feed ends a line."""
     lines = spark.read.text(path, lineSep="\n").select("value", F.col("_metadata.file_path").alias("file"))
-    return lines.where(F.col("value").rlike(r"[^\x00-\x20]"))
+    return lines.where(F.col("value").rlike(_FILLED))
 
 
-def file_headers(spark: SparkSession, path, wanted: dict[str, str] = RAW_HEADERS) -> dict[str, list[str]]:
-    """The header lines below `path`, each with its files: the line of a file that names the most wanted headers."""
-    cells = F.transform(F.split("value", ","), lambda c: F.trim(F.regexp_replace(c, r"[\x{FEFF}\r\t\"]", "")))
-    known = F.size(F.array_intersect(cells, F.array(*map(F.lit, wanted))))
-    per_file = _lines(spark, path).groupBy("file").agg(F.max_by("value", known).alias("header"))
-    found = per_file.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("files")
+def file_headers(spark: SparkSession, path) -> dict[str, list[str]]:
+    """The header lines below `path`, each with its files: the first line of a file that is not blank.
+
+    Only lines of a file's first block are looked at, and of those only whether they are blank and where they stand.
+    """
+    lines = spark.read.text(path, lineSep="\n").select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    begun = lines.where((F.col("block") == 0) & F.col("value").rlike(_FILLED)).withColumn(
+        "place", F.monotonically_increasing_id())  # ascends within a block
+    per_file = begun.groupBy("file").agg(F.min(F.struct("place", "value")).alias("first"))
+    found = per_file.groupBy(F.col("first.value").alias("header")).agg(
+        F.sort_array(F.collect_list("file")).alias("files")).orderBy("files")
     return {row.header: row.files for row in found.collect()}
 
 
@@ -50,7 +57,7 @@ def read_raw_csv(spark: SparkSession, path: str, wanted: dict[str, str] = RAW_HE
     named in the error. Spark leaves out blank lines.
     """
     parts = []
-    for files in file_headers(spark, path, wanted).values():
+    for files in file_headers(spark, path).values():
         raw = spark.read.csv(files, header=True, inferSchema=False, multiLine=False, encoding="UTF-8", lineSep="\n")
         names = header_names(raw.columns, wanted, files[0])
         last = raw.columns[-1]  # carries the carriage return of lines that end in both
