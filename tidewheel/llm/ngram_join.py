@@ -4,7 +4,7 @@ The n-grams have one global order, rare before frequent; how frequent they are c
 size over all documents. Two documents that are similar enough share one of the first n-grams of their sets in that
 order, so candidates meet there. For verification the order is cut into fragments: every candidate's set is stored as
 one segment per fragment, overlaps of segments are counted fragment by fragment, and the partial overlaps of a pair
-are summed.
+are summed; the first fragment, of the rarest n-grams, is counted alone, as most pairs cannot be similar after that.
 
 Documents with equal sets are one class throughout. Candidates that meet at an n-gram are first only compared with
 one pivot of the n-gram, for a few pivots in turn; the first pivot is the document in which the n-gram comes earliest,
@@ -219,10 +219,11 @@ def _still_open(rows: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
     return materialize(members.where("least < most or salt >= 0").drop("here", "least", "most"), "open")
 
 
-def _segments(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, shared, repeats: bool) -> DataFrame:
+def _segments(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, shared, repeats: bool,
+              first_only: bool) -> DataFrame:
     """(fp, fragment, grams) for every class in `pairs`, read from the text of its first document.
 
-    `repeats` says that rows may be equal in id and text; all but one of those are left out.
+    `first_only` says whether the first fragment is wanted, or all others. `repeats` says that rows may be equal in id and text; all but one of those are left out.
     """
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
     ids = classes.join(wanted, "fp", "left_semi").select(
@@ -236,7 +237,8 @@ def _segments(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int,
             values, first, prints = sets(batch.column("text"), size)
             row = np.repeat(np.arange(len(prints)), np.diff(first))
             fragment = order.fragment(order.keys(values))
-            by = np.lexsort((fragment, row))
+            some = np.flatnonzero((fragment == 0) == first_only)
+            by = some[np.lexsort((fragment[some], row[some]))]
             row, values, fragment = row[by], values[by], fragment[by]
             edge = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (fragment[1:] != fragment[:-1])])
                                   ) if len(row) else np.empty(0, np.int64)
@@ -249,13 +251,32 @@ def _segments(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int,
     return materialize(found.dropDuplicates(["fp", "fragment"]) if repeats else found, "segments")
 
 
-def _links(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that are similar enough: partial overlaps by fragment, summed per pair."""
+def _overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
+    """(a, b, overlap): partial overlaps by fragment, summed per pair."""
     left = segments.select(F.col("fp").alias("a"), "fragment", F.col("grams").alias("grams_a"))
     right = segments.select(F.col("fp").alias("b"), "fragment", F.col("grams").alias("grams_b"))
-    partial = left.join(_small(pairs), "a").join(right, ["b", "fragment"]).select(
-        "a", "b", "na", "nb", F.size(F.array_intersect("grams_a", "grams_b")).alias("overlap"))
-    total = partial.groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("overlap"))
+    partial = left.join(_small(pairs.select("a", "b")), "a").join(right, ["b", "fragment"]).select(
+        "a", "b", F.size(F.array_intersect("grams_a", "grams_b")).alias("overlap"))
+    return partial.groupBy("a", "b").agg(F.sum("overlap").alias("overlap"))
+
+
+def _links(pairs: DataFrame, segments, percent: int) -> DataFrame:
+    """The pairs (a, b) that are similar enough, by the partial overlaps of their fragments.
+
+    The first fragment is counted alone. What a pair lacks there it cannot make up for: only pairs that could still be similar
+    if all else were shared have their other fragments read and counted. `segments` gives those of pairs.
+    """
+    first = segments(pairs, True)
+    sizes = first.select("fp", F.size("grams").alias("size"))
+    sized = pairs.join(sizes.toDF("a", "sa"), "a", "left").join(sizes.toDF("b", "sb"), "b", "left").join(
+        _overlaps(pairs, first), ["a", "b"], "left").fillna(0, ["sa", "sb", "overlap"])
+    bound = F.col("overlap") + F.least(F.col("na") - F.col("sa"), F.col("nb") - F.col("sb"))
+    able = materialize(sized.where(bound * 100 >= (F.col("na") + F.col("nb") - bound) * percent).select(
+        "a", "b", "na", "nb", F.col("overlap").alias("so_far")), "able")
+    if able.isEmpty():
+        return able.select("a", "b")
+    total = able.join(_overlaps(able, segments(able, False)), ["a", "b"], "left").withColumn(
+        "overlap", F.col("so_far") + F.coalesce("overlap", F.lit(0)))
     return materialize(total.where(F.col("overlap") * 100 >= (F.col("na") + F.col("nb") - F.col("overlap")) * percent)
                        .select("a", "b"), "links")
 
@@ -278,7 +299,8 @@ def _linked(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFr
         pairs = _pairs(met.where((F.col("pivot.fp") != F.col("member.fp")) & _possible(
             percent, F.col("pivot.n"), F.col("pivot.p"), F.col("member.n"), F.col("member.p"))))
         if not pairs.isEmpty():
-            edges.append(_links(pairs, _segments(docs, classes, pairs, size, shared, repeats), percent))
+            edges.append(_links(pairs, lambda some, first: _segments(
+                docs, classes, some, size, shared, repeats, first), percent))
             roots = components(functools.reduce(DataFrame.unionByName, edges))
         if turn < PIVOTS and roots is not None:
             members = _still_open(members, roots, turn)

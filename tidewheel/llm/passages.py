@@ -27,6 +27,7 @@ Documents with the same words are one class, of which the first stands for all.
 from __future__ import annotations
 
 import functools
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidewheel.llm.text import SHINGLE, blocks, joined, mix, segment_sum, shingles, words
+from tidewheel.llm.text import BLOCK_BYTES, SHINGLE, blocks, joined, mix, segment_sum, shingles, words
 from tidewheel.session import materialize
 
 HASHES = 6
@@ -48,7 +49,6 @@ BROADCAST_IDS = 500_000  # ids, or ends of spans, of 16 bytes each
 SEEN = 1 << 17  # fingerprints that a task remembers, to leave out copies before the shuffle
 SKETCH = 1 << 20  # counters of a task's window hashes
 SLIP = 8  # n-grams that equal stretches may overlap where words were put in or left out
-PAIRS = 64  # pairs whose texts are read at a time
 
 _U = np.uint64
 _SEED = mix(np.arange(1, HASHES + 1, dtype=_U) * _U(0xC2B2AE3D27D4EB4F))
@@ -406,8 +406,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, size: int, least: int, percent:
 
     def check(batches):
         for whole in batches:
-            for at in range(0, whole.num_rows, PAIRS):
-                batch = whole.slice(at, PAIRS)
+            for batch in _bounded(whole):
                 ids = {c: batch.column(c).to_pylist() for c in ("a", "b", "x", "y")}
                 place: dict[int, int] = {}
                 for row, fp in enumerate(ids["x"] + ids["y"]):
@@ -429,6 +428,22 @@ def _verify(pairs: DataFrame, texts: DataFrame, size: int, least: int, percent:
     return materialize(both.select("a", "b", "x", "y", "text_x", "text_y").mapInArrow(check, schema), "verified")
 
 
+def _bounded(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The same pairs in batches whose different texts have at most BLOCK_BYTES, or of one pair."""
+    columns = [(batch.column(c).to_pylist(), pc.binary_length(batch.column(f"text_{c}")).to_pylist()) for c in ("x", "y")]
+    begin, seen, held = 0, set(), 0
+    for row in range(batch.num_rows):
+        new = sum(size[row] for fp, size in columns if fp[row] not in seen)
+        if held + new > BLOCK_BYTES and row > begin:
+            yield batch.slice(begin, row - begin)
+            begin, seen, held = row, set(), 0
+            new = sum(size[row] for _, size in columns)
+        seen.update(fp[row] for fp, _ in columns)
+        held += new
+    if begin < batch.num_rows:
+        yield batch.slice(begin)
+
+
 def _pair(earlier: str, later: str) -> list:
     return [F.col(f"{earlier}.fp").alias("a"), F.col(f"{later}.fp").alias("b"), F.col(f"{earlier}.n").alias("na"),
             F.col(f"{later}.n").alias("nb")]
