@@ -40,7 +40,7 @@ from tidewheel.llm.text import BLOCK_BYTES, SHINGLE, blocks, joined, mix, segmen
 from tidewheel.session import materialize
 
 HASHES = 6
-MIN_HASHES = 4
+MIN_HASHES = 5
 SINGLE = 3  # rounds with one anchor per hash; most windows are known after those
 FREQUENT = 1 << 30  # stands for the count of a hash that is dealt out
 HOT = 8  # windows of a task that share a hash; from then on they are dealt out by document
