@@ -109,7 +109,7 @@ def search(vectors: DataFrame, k: int = 10, every: int = 50, id_col: str = "vec_
     fewer other vectors of the same length. Vectors that are null or empty, hold a null or a number that is not finite, or
     have a null id are neither searched nor found. An id that several rows carry is one vector for each distinct code
     of it; such a vector is never its own neighbour. Vectors of different lengths are kept apart. Other columns are
-    dropped.
+    dropped; an empty table has no rows.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.size(embedding_col).alias("bits"),
                           sign_code(F.col(embedding_col)).alias("code"))

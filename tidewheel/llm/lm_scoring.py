@@ -303,7 +303,8 @@ def score(docs: DataFrame, order: int = 2, id_col: str = "doc_id", text_col: str
 
     Tokens are the words of the whole text and one end; a null text is empty, that is the end alone. `base_score` is
     the word model's, `score` the automaton's log10 probability, both to 6 decimals. Repeated rows are learned from and
-    scored as often as they occur. With no training document all counts are 0. Other columns are dropped.
+    scored as often as they occur. With no training document all counts are 0. Other columns are dropped; an empty table has
+    no rows.
     """
     narrow = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),

@@ -193,7 +193,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, id_col: str = "
     smallest id that is reachable by links. A vector that is null, zero or empty, or holds a null or a number that is
     not finite, and one without a label, is linked with nothing. Repeated rows are vectors of their own, linked with each other.
     A row without an id counts as a neighbour, but gives its component no name unless no other row of it has an id.
-    Other columns are dropped.
+    Other columns are dropped; an empty table has no rows.
     """
     if not 0 < threshold <= 1:
         raise ValueError("the threshold is a cosine above 0")

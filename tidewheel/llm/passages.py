@@ -475,7 +475,8 @@ def repeated(docs: DataFrame, least: int = 50, size: int = SHINGLE, percent: int
     Spark's xxhash64 of the text, which tells documents of one id apart. A document with the same words as another has
     one row over all its words, against the first of its copies; other passages of copies are given for the first
     alone. Rows equal in id and text are one document. A null id comes after all others. Texts that are null or shorter
-    than a passage have no rows, nor have passages that repeat within one document only. Other columns are dropped.
+    than a passage have no rows, nor have passages that repeat within one document only. Other columns are dropped; an empty
+    table has no rows.
     """
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     survey = _survey(narrow, size)

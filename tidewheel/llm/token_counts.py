@@ -1,8 +1,8 @@
 """Token counts from pre-token frequencies.
 
-A task counts the pieces of each distinct pre-token it meets once, joins those counts to the pre-token frequencies of
-its documents and sums. No token ids of documents come into being. The distinct pre-tokens are per worker and not of
-the whole table: joining a table of all of them to all documents' frequencies would shuffle more than the texts weigh.
+A worker counts the pieces of each distinct pre-token it meets once, in a bounded table, looks the count up at every
+place of its documents and sums. No token ids of documents come into being. There is no table of all distinct pre-tokens and
+no join: joining one to all documents' frequencies would shuffle more than the texts weigh.
 
 Special strings inside texts are ordinary text, as they are for the sentencepiece library.
 """
@@ -24,7 +24,8 @@ def count_tokens(docs: DataFrame, model_path: str, limit: int = 4096, id_col: st
     """Bytes and tokens of every text, and whether the tokens exceed `limit`.
 
     One row per row of `docs`, repeated rows and null ids included; other columns are dropped, so their names cannot
-    clash. A null text counts as empty: 0 bytes and 0 tokens. Texts of any length are counted whole.
+    clash. A null text counts as empty: 0 bytes and 0 tokens. Texts of any length are counted whole. An empty table has no
+    rows.
     """
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
