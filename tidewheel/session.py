@@ -62,15 +62,29 @@ def clear_scratch(spark: SparkSession) -> None:
     remove_folder(spark, _own_folder(spark))
 
 
+_BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+_BATCH_BYTES = 8 << 20  # the default of 64 MB stands several times in each task, once more in its Python worker
+
+
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     """Write `df` once as Parquet in the shared folder and read it back.
 
     This ends the lineage, survives lost executors, and gives Catalyst the real file
-    size, so that its own threshold decides whether a later join may broadcast.
+    size, so that its own threshold decides whether a later join may broadcast. Arrow
+    batches are kept to a few megabytes meanwhile, whatever the rows weigh.
     """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    before = spark.conf.get(_BATCH_LIMIT, None)
+    spark.conf.set(_BATCH_LIMIT, str(_BATCH_BYTES))
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_BATCH_LIMIT)
+        else:
+            spark.conf.set(_BATCH_LIMIT, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame) -> DataFrame:
