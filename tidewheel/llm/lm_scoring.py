@@ -175,7 +175,8 @@ class Automaton:
     """The part of the backoff automaton that a chunk's documents can reach.
 
     Every n-gram of the chunk has a number, in the order of the hashes. `weight[a]` is the log10 probability of arc a under
-    each strength and `after[a]` the state it leads to; `backoff[h]` and `shorter[h]` are those of the failure arc of state h.
+    each strength and `after[a]` the state it leads to; `shorter[h]` is where the failure arc of state h leads, with the weight
+    that its count `seen[h]` gives.
     A state is the number of its history; ROOT, the last, has an arc for every token.
     """
 
@@ -209,8 +210,8 @@ class Automaton:
         if n and order > 1:
             self.level[self.start] = 0
         with np.errstate(divide="ignore"):
-            self.weight = np.log10(p)
-        self.backoff = np.log10(strengths / (np.append(totals, 0)[:, None] + strengths))
+            self.weight = np.log10(p, out=p)
+        self.seen, self.strengths = totals, strengths
 
     def read(self, state: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The weights that each state takes for its token, failure arcs included, and the state after it."""
@@ -226,8 +227,9 @@ class Automaton:
             found = (self.hashes[arc] == key) & self.arc[arc]
             gained[todo[found]] += self.weight[arc[found]]
             state[todo[found]] = self.after[arc[found]]
-            gained[todo[~found]] += self.backoff[now[~found]]
-            state[todo[~found]] = self.shorter[now[~found]]
+            lost = now[~found]  # failure arcs; the root has none, as all its tokens are found
+            gained[todo[~found]] += np.log10(self.strengths / (self.seen[lost][:, None] + self.strengths))
+            state[todo[~found]] = self.shorter[lost]
             todo = todo[~found]
         return gained, state
 

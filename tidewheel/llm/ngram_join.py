@@ -21,7 +21,6 @@ from __future__ import annotations
 import functools
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -114,14 +113,14 @@ def _survey(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _order(survey: DataFrame) -> Order:
-    def add(rows: pd.DataFrame) -> pd.DataFrame:
+    def add(rows: pa.Table) -> pa.Table:
         wide = (1 << SKETCH_BITS) // SKETCH_PARTS
         total = sum(np.frombuffer(x, np.uint16 if len(x) == 2 * wide else np.uint64).astype(np.uint64)
-                    for x in rows["loads"])
-        return pd.DataFrame({"part": rows["part"].iloc[:1], "loads": [total.tobytes()]})
+                    for x in rows.column("loads").to_pylist())
+        return pa.table({"part": rows.column("part").slice(0, 1), "loads": pa.array([total.tobytes()], pa.binary())})
 
     parts = (survey.where("part is not null").select("part", "loads")
-             .groupBy("part").applyInPandas(add, "part int, loads binary").collect())
+             .groupBy("part").applyInArrow(add, "part int, loads binary").collect())
     load = np.zeros((SKETCH_PARTS, (1 << SKETCH_BITS) // SKETCH_PARTS), np.uint64)
     for row in parts:
         load[row.part] = np.frombuffer(row.loads, np.uint64)
