@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewheel.llm.text import blocks, mix
+from tidewheel.session import materialize
 
 DIMENSIONS = 1024
 SYMBOLS = 1 << 13  # letters share a vector when their code points agree modulo this; 0 is the edge of a word
@@ -190,4 +191,5 @@ def keep_identified(docs: DataFrame, dimensions: int = DIMENSIONS, deviations: f
     plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     judged = annotate(plain, model, f"c{docs.columns.index('text')}", "lang_pred", "score")
     least = deviations / dimensions ** 0.5
-    return judged.where((F.col("lang_pred") != "und") & (F.col("score") > least)).drop("lang_pred", "score").toDF(*docs.columns)
+    kept = judged.where((F.col("lang_pred") != "und") & (F.col("score") > least)).drop("lang_pred", "score")
+    return materialize(kept, "identified").toDF(*docs.columns)  # written here, in small Arrow batches
