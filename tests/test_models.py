@@ -246,3 +246,40 @@ def test_tall_predictions_of_two_models(frame):
               "b": models.fit_boosted(frame, CALENDAR_FEATURES, replace(SMALL, rounds=1))}
     scores = metrics.accuracy(models.predictions(fitted, frame, ["hour"]))
     assert sorted(r.model for r in scores.collect()) == ["a", "b"]
+
+
+def test_rows_alike_are_stored_once_and_derived_features_follow(spark, frame, monkeypatch):
+    """What a pass reads and adds up grows with the distinct rows and with the features that say something of their own."""
+    from tidewheel.operators import trees
+
+    written, layouts = [], []
+    keep, lay = trees.materialize, trees._layout
+    monkeypatch.setattr(trees, "materialize", lambda df, label="table": written.append((label, keep(df, label))) or written[-1][1])
+    monkeypatch.setattr(trees, "_layout", lambda rows, sizes: layouts.append(lay(rows, sizes)) or layouts[-1])
+    half = frame.withColumn("hour_sin", F.sin(F.col("hour") * F.lit(math.pi / 12)))
+    once = models.fit_boosted(half, FEATURES, replace(SMALL, rounds=2))
+    again = models.fit_boosted(half.unionByName(half), FEATURES, replace(SMALL, rounds=2, min_samples_leaf=10))
+    binned = [df for label, df in written if label == "binned"]
+    assert binned[0].count() == binned[1].count() < frame.count()
+    assert [binned[i].agg(F.sum("n")).first()[0] for i in (0, 1)] == [frame.count(), 2 * frame.count()]
+    names = list(trees.columns_of(FEATURES))
+    assert layouts[0].follows[names.index("hour_sin")][0] == names.index("hour")
+    assert names.index("month") not in layouts[0].kept() and names.index("hour") in layouts[0].kept()
+    for one, two in zip(once.trees, again.trees):
+        assert (one.feature == two.feature).all() and (one.bin == two.bin).all() and np.allclose(one.value, two.value)
+
+
+def test_select_rank_counts_values_as_often_as_told(spark):
+    values, times = np.array([3.5, -1.0, 2.0, 7.0]), np.array([2, 5, 1, 9])
+    rows = spark.range(3).repartition(3)
+
+    def pairs(batches):
+        for batch in batches:
+            for _ in range(batch.num_rows):
+                yield np.array([0, 0, 0, 1]), quantiles.ordered_bits(values), times
+
+    every = np.repeat(values[:3], times[:3] * 3)
+    for q in (0.1, 0.6, 0.7, 0.8, 1.0):
+        found = quantiles.select_rank(rows, pairs, {0: q, 1: 0.5, 2: 0.5})
+        got = quantiles.unordered_bits(np.array([found[0], found[1]], np.uint64))
+        assert got.tolist() == [np.quantile(every, q, method="inverted_cdf"), 7.0] and 2 not in found
