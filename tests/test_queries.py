@@ -61,3 +61,13 @@ def test_entry_point(spark):
 def test_entry_imports_without_a_session():
     subprocess.run([sys.executable, "-c", "import __spark_entry__"], check=True,
                    cwd=os.path.dirname(entry.__file__), timeout=120)
+
+
+def test_raw_files_are_compressed_and_name_their_years(spark):
+    from tidewheel.queries import stage
+
+    folders = stage.csv_folders(spark, FOLDER)
+    raw = stage.raw_stage(spark, FOLDER)
+    assert list(folders) == sorted(r[0] for r in raw.select("source_year").distinct().collect())
+    files = [f for path in folders.values() for f in spark.read.text(path).inputFiles()]
+    assert files and all(f.endswith(".csv.lz4") for f in files)
