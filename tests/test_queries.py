@@ -71,3 +71,21 @@ def test_raw_files_are_compressed_and_name_their_years(spark):
     assert list(folders) == sorted(r[0] for r in raw.select("source_year").distinct().collect())
     files = [f for path in folders.values() for f in spark.read.text(path).inputFiles()]
     assert files and all(f.endswith(".csv.lz4") for f in files)
+
+
+@pytest.mark.parametrize("name", ["fact_typed", "quantile_cells", "split_contract"])
+def test_queries_leave_methods_too_long_to_be_compiled(spark, name):
+    """HotSpot interprets methods of more than 8000 bytes of code, however often they run."""
+    spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
+    entry.queries()[name](spark, FOLDER)
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+
+
+def test_a_limit_the_user_has_set_stays(spark):
+    from tidewheel.session import bound_methods
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "4000")
+    try:
+        bound_methods(spark)
+        assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "4000"
+    finally:
+        spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
