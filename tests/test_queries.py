@@ -89,3 +89,12 @@ def test_a_limit_the_user_has_set_stays(spark):
         assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "4000"
     finally:
         spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
+
+
+def test_an_export_builds_its_dimensions_once(spark):
+    """They are written and counted, so what the export is given has to be read from files."""
+    from tidewheel.queries.warehouse import export_sources
+    for name, frame in export_sources(spark, FOLDER).items():
+        if name in ("dim_date", "dim_station", "dim_bike"):
+            plan = frame._jdf.queryExecution().optimizedPlan().toString()
+            assert plan.startswith("Relation"), f"{name}: {plan}"
