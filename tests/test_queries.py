@@ -98,3 +98,12 @@ def test_an_export_builds_its_dimensions_once(spark):
         if name in ("dim_date", "dim_station", "dim_bike"):
             plan = frame._jdf.queryExecution().optimizedPlan().toString()
             assert plan.startswith("Relation"), f"{name}: {plan}"
+
+
+def test_a_split_contract_passes_over_the_trips_once(spark, monkeypatch):
+    from tidewheel.queries import standins
+    passes = []
+    counts = standins.panel.daily_counts
+    monkeypatch.setattr(standins.panel, "daily_counts", lambda trips: passes.append(1) or counts(trips))
+    entry.queries()["split_contract"](spark, FOLDER)
+    assert len(passes) == 1

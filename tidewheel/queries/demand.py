@@ -11,7 +11,7 @@ from tidewheel.operators import baseline, features, metrics, panel, pool, reques
 from tidewheel.queries.check_sql import with_ctes
 from tidewheel.queries.registry import query
 from tidewheel.queries.standins import (YEAR_SPLIT, event_counts, event_daily, event_panel, ordered_trips, suppliers,
-                                        year_calendar, year_days, year_features, year_pool, year_split)
+                                        year_calendar, year_daily, year_days, year_features, year_pool, year_split)
 from tidewheel.session import materialize, scratch_path
 from tidewheel.sources import records, tables
 
@@ -179,8 +179,9 @@ _SCORED = """
         FROM ysplit y LEFT JOIN cell USING (station_id, hour, weekday))"""
 
 
-def _split_with_baseline(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    frozen = year_split(spark, folder, CELL_KEYS)
+def _split_with_baseline(spark: SparkSession, folder: str,
+                         daily: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    frozen = year_split(spark, folder, CELL_KEYS, daily)
     cells = baseline.fit_cells(frozen.where("split = 'train'"), {"baseline": F.avg(TARGET)})
     return frozen, baseline.predict_cells(frozen, cells, ["baseline"])
 
@@ -210,8 +211,9 @@ def baseline_predict(spark: SparkSession, folder: str) -> DataFrame:
         [1999] AS val_years, [2000, 2001] AS test_years,
         round(avg(abs(trip_count - p)) FILTER (split = 'val'), 6) AS baseline_val_mae FROM scored""", "ysplit"))
 def split_contract(spark: SparkSession, folder: str) -> DataFrame:
-    _, scored = _split_with_baseline(spark, folder)
-    frozen = year_split(spark, folder)
+    daily = year_daily(spark, folder)
+    _, scored = _split_with_baseline(spark, folder, daily)
+    frozen = year_split(spark, folder, daily=daily)
     mae = scored.where("split = 'val'").agg(F.avg(F.abs(F.col(TARGET) - F.col("baseline"))))
     contract = splits.split_contract(frozen, YEAR_SPLIT, "all", mae, "boosted_poisson")
     return contract.select(
