@@ -341,3 +341,22 @@ def test_needed_windows_hold_a_rare_common_hash_of_every_similar_pair_of_runs():
             met += 1
             assert kept[d] & kept[e] & set(x) & set(y)
     assert met > 100
+
+
+def test_what_a_worker_holds_for_a_few_words_is_small(monkeypatch):
+    """An executor's workers and all that they keep stand beside its heap."""
+    monkeypatch.setattr(text, "_powers", {})
+    assert len(text.words(pa.array(["a few words"])).hashes) == 3
+    assert 0 < sum(p.nbytes for p in text._powers.values()) < 12 << 20
+    long = text.words(pa.array(["x" * (3 << 20) + " y", "z"]))  # grows with a longer text
+    assert long.first.tolist() == [0, 2, 3]
+
+
+def test_pairs_are_verified_in_batches_of_few_texts():
+    n = 400
+    texts = ["t" * 10_000 for _ in range(n)]
+    batch = pa.RecordBatch.from_pydict({"a": range(n), "b": range(n, 2 * n), "x": range(n), "y": range(n, 2 * n),
+                                        "text_x": texts, "text_y": texts})
+    parts = list(passages._bounded(batch))
+    assert [i for part in parts for i in part.column("a").to_pylist()] == list(range(n))
+    assert max(2 * 10_000 * part.num_rows for part in parts) <= 1 << 20
