@@ -360,3 +360,18 @@ def test_pairs_are_verified_in_batches_of_few_texts():
     parts = list(passages._bounded(batch))
     assert [i for part in parts for i in part.column("a").to_pylist()] == list(range(n))
     assert max(2 * 10_000 * part.num_rows for part in parts) <= 1 << 20
+
+
+def test_a_document_is_sorted_once_for_all_its_pairs(monkeypatch):
+    rng = np.random.default_rng(5)
+    line = rng.integers(1, 1 << 62, 70).astype(np.uint64)
+    plain = [np.concatenate([rng.integers(1, 1 << 62, n).astype(np.uint64), line[:m], line[5:9]])
+             for n, m in ((30, 70), (200, 60), (5, 30), (0, 70))]
+    expected = [passages.aligned(a, b, 46, 80) for a, b in itertools.permutations(plain, 2)]
+    assert sum(map(bool, expected)) == 6
+    sorts = []
+    argsort = np.argsort
+    monkeypatch.setattr(passages.np, "argsort", lambda x, **how: sorts.append(len(x)) or argsort(x, **how))
+    kept = [passages.Grams(x) for x in plain]
+    assert [passages.aligned(a, b, 46, 80) for a, b in itertools.permutations(kept, 2)] == expected
+    assert sum(sorts.count(len(x)) for x in plain) <= len(plain)
