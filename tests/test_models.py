@@ -283,3 +283,47 @@ def test_select_rank_counts_values_as_often_as_told(spark):
         found = quantiles.select_rank(rows, pairs, {0: q, 1: 0.5, 2: 0.5})
         got = quantiles.unordered_bits(np.array([found[0], found[1]], np.uint64))
         assert got.tolist() == [np.quantile(every, q, method="inverted_cdf"), 7.0] and 2 not in found
+
+
+def test_trees_grown_in_one_task_equal_those_grown_in_passes(frame, monkeypatch):
+    """A table of few distinct rows is grown by a task per candidate, one of many by Spark jobs."""
+    from tidewheel.operators import trees
+
+    half = frame.withColumn("hour_sin", F.sin(F.col("hour") * F.lit(math.pi / 12)))
+    grid = [replace(SMALL, depth=None, max_leaf_nodes=12), replace(SMALL, l2=2.0, max_features=0.5),
+            replace(SMALL, loss="quantile", quantile=0.8, depth=None, max_leaf_nodes=9)]
+    held = models.fit_many(half, FEATURES, grid)
+    monkeypatch.setattr(trees, "HELD", 0)
+    for one, two in zip(held, models.fit_many(half, FEATURES, grid, checkpoint_every=2)):
+        assert len(one.trees) == len(two.trees) == SMALL.rounds
+        for a, b in zip(one.trees, two.trees):
+            assert (a.feature == b.feature).all() and (a.bin == b.bin).all() and (a.left == b.left).all()
+            assert np.allclose(a.value, b.value) and a.depth == b.depth
+
+
+def test_passes_keep_one_table_of_scores(spark, frame, monkeypatch):
+    """A fit of hundreds of rounds stores its scores again and again."""
+    import os
+
+    from tidewheel.operators import trees
+
+    kept, written = trees.materialize, []
+    monkeypatch.setattr(trees, "materialize", lambda df, label="table": written.append(kept(df, label)) or written[-1])
+    monkeypatch.setattr(trees, "HELD", 0)
+    models.fit_boosted(frame, FEATURES, replace(SMALL, rounds=16))
+    folders = [df.inputFiles() for df in written[1:] if "scores" in df.columns]
+    left = [f for files in folders for f in files[:1] if os.path.exists(f.removeprefix("file:").replace("//", "/"))]
+    assert len(folders) == 5 and len(left) == 2
+
+
+@pytest.mark.parametrize("name", ["boosted_poisson_scores", "feature_ablation", "permutation_importance", "sweep_and_refit"])
+def test_queries_fit_the_published_rounds(spark, monkeypatch, name):
+    from tidewheel.contract import BOOST_DEFAULT, BOOST_GRID
+    from tidewheel.queries import models as queries
+
+    asked, fit = [], models.fit_many
+    monkeypatch.setattr(models, "fit_many", lambda df, features, grid: asked.extend(grid) or fit(
+        df, features, [replace(p, rounds=1, max_leaf_nodes=2) for p in grid]))
+    getattr(queries, name)(spark, "/root/testdata/sf0.001")
+    published = [models.BoostParams(**p) for p in (BOOST_GRID if name == "sweep_and_refit" else [BOOST_DEFAULT])]
+    assert asked[:len(published)] == published and all(p.rounds >= 300 for p in asked)
