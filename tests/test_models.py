@@ -327,3 +327,14 @@ def test_queries_fit_the_published_rounds(spark, monkeypatch, name):
     getattr(queries, name)(spark, "/root/testdata/sf0.001")
     published = [models.BoostParams(**p) for p in (BOOST_GRID if name == "sweep_and_refit" else [BOOST_DEFAULT])]
     assert asked[:len(published)] == published and all(p.rounds >= 300 for p in asked)
+
+
+def test_batch_forecasts_come_from_the_whole_shipped_model(spark, monkeypatch):
+    from tidewheel.contract import BOOST_SHIPPED
+    from tidewheel.queries import models as queries
+
+    asked, fit = [], models.fit_many
+    monkeypatch.setattr(models, "fit_many", lambda df, features, grid: asked.extend(grid) or fit(
+        df, features, [replace(p, rounds=1, max_leaf_nodes=2) for p in grid]))
+    queries.boosted_batch_forecast(spark, "/root/testdata/sf0.001")
+    assert asked == [models.BoostParams("quantile", **BOOST_SHIPPED)]
