@@ -338,3 +338,14 @@ def test_batch_forecasts_come_from_the_whole_shipped_model(spark, monkeypatch):
         df, features, [replace(p, rounds=1, max_leaf_nodes=2) for p in grid]))
     queries.boosted_batch_forecast(spark, "/root/testdata/sf0.001")
     assert asked == [models.BoostParams("quantile", **BOOST_SHIPPED)]
+
+
+def test_quantile_scores_are_those_of_whole_models(spark, monkeypatch):
+    from tidewheel.contract import BOOST_SHIPPED
+    from tidewheel.queries import models as queries
+
+    asked, fit = [], models.fit_many
+    monkeypatch.setattr(models, "fit_many", lambda df, features, grid: asked.extend(grid) or fit(
+        df, features, [replace(p, rounds=1, max_leaf_nodes=2) for p in grid]))
+    queries.boosted_quantile_scores(spark, "/root/testdata/sf0.001")
+    assert asked == [models.BoostParams("quantile", **{**BOOST_SHIPPED, "quantile": q}) for q in (0.5, 0.8, 0.9)]
