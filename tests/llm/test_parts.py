@@ -375,3 +375,30 @@ def test_a_document_is_sorted_once_for_all_its_pairs(monkeypatch):
     kept = [passages.Grams(x) for x in plain]
     assert [passages.aligned(a, b, 46, 80) for a, b in itertools.permutations(kept, 2)] == expected
     assert sum(sorts.count(len(x)) for x in plain) <= len(plain)
+
+
+def test_shared_runs_are_those_counted_by_hand():
+    rng = np.random.default_rng(5)
+    rows = [rng.integers(0, 40, n).astype(np.uint32) for n in (30, 12, 30, 9, 25)]
+    for least in (1, 4, 7):
+        needs = np.full(len(rows), least)
+        for i, got in zip((0, 2, 3, 4), passages.shared_runs(rows, np.array([0, 2, 3, 4]), 10, needs)):
+            held = [np.isin(rows[i], other) for other in rows[:i]]
+            k = min(10, len(rows[i]))
+            assert got.tolist() == [e for e, h in enumerate(held) if max(h[j:j + k].sum() for j in range(len(h) - k + 1)) >= least]
+
+
+def test_documents_whose_windows_meet_without_a_similar_run_are_not_verified(spark, monkeypatch):
+    """Near copies with an edit in every run of fifty words share window hashes, but no passage."""
+    rng = np.random.default_rng(3)
+    plain = rng.integers(0, 10_000, 150).tolist()
+    rows = []
+    for d in range(60):
+        own = list(plain)
+        for at in range(int(rng.integers(0, 16)), 150, 16):
+            own[at] = 20_000 + int(rng.integers(0, 100_000))
+        rows.append((d, " ".join(f"w{x}" for x in own)))
+    pairs, verify = [], passages._verify
+    monkeypatch.setattr(passages, "_verify", lambda p, *rest: pairs.append(p.count()) or verify(p, *rest))
+    passages.repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sum(pairs) < 5 * len(rows)
