@@ -402,3 +402,18 @@ def test_documents_whose_windows_meet_without_a_similar_run_are_not_verified(spa
     monkeypatch.setattr(passages, "_verify", lambda p, *rest: pairs.append(p.count()) or verify(p, *rest))
     passages.repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sum(pairs) < 5 * len(rows)
+
+
+def test_vocabularies_are_given_back_by_the_next_operator():
+    """A worker process that has packed texts does not hold vocabularies while it joins n-grams."""
+    import public_tokenizers
+
+    from tidewheel.llm import language, ngram_join
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    once = pretokens.byte_encoder(path, public_tokenizers.PATTERN)
+    for module in (language, ngram_join, passages):
+        assert pretokens.byte_encoder(path, public_tokenizers.PATTERN) and pretokens._encoders
+        module.release()
+        assert not pretokens._encoders
+    assert once.encode([b"words"]) == pretokens.byte_encoder(path, public_tokenizers.PATTERN).encode([b"words"])
